@@ -114,6 +114,94 @@ HELPERS["ready_bmt"] = _readiness("states_bmt", "bmt")
 HELPERS["ready_legacy"] = _readiness("states_legacy", "legacy")
 HELPERS["ready_current"] = _readiness("states_current", "current")
 
+
+# ---------------------------------------------------------------- gate
+HELPERS["sched_src"] = """SELECT regionname, report_source, expected_start_time, average_runtime FROM (
+  SELECT s.regionname, x.src AS report_source, s.expected_start_time, s.average_runtime,
+         row_number() OVER (PARTITION BY s.regionname, x.src ORDER BY s.expected_start_time, s.average_runtime) AS rn
+  FROM d_schedule s JOIN (SELECT 'BMT' AS src UNION ALL SELECT 'SPDST') x
+    ON (x.src = 'BMT' AND s.report_source = 'BMT') OR (x.src = 'SPDST' AND contains(s.report_source, 'SPDST'))) z WHERE rn = 1"""
+HELPERS["win"] = """SELECT c.batchrundate, c.regionname, s.report_source,
+  c.batchrundate + CAST(s.expected_start_time AS TIME) AS expected_start,
+  c.batchrundate + (CAST(s.expected_start_time AS TIME) + INTERVAL (s.average_runtime) MINUTE) AS expected_end,
+  dayname(c.batchrundate) AS day_name
+FROM cal c JOIN sched_src s ON s.regionname = c.regionname"""
+HELPERS["latest_run"] = """SELECT job_name, job_run_state FROM (SELECT job_name, job_run_state,
+  row_number() OVER (PARTITION BY job_name ORDER BY started DESC, seq DESC) AS rn FROM d_job_runs) z WHERE rn = 1"""
+HELPERS["busy"] = """SELECT d.regionname,
+  bool_or(coalesce(l.job_run_state IN ('STARTING', 'RUNNING', 'STOPPING'), false)) AS busy,
+  count(*) FILTER (WHERE l.job_run_state IN ('STARTING', 'RUNNING', 'STOPPING')) AS busy_jobs
+FROM d_dependency d LEFT JOIN latest_run l ON l.job_name = d.job_name GROUP BY 1"""
+HELPERS["upstream"] = """SELECT c.batchrundate, c.regionname, EXISTS (SELECT 1 FROM d_trigger_log t WHERE t.batchrundate = c.batchrundate
+  AND t.regionname = c.regionname AND t.report_source = 'BMT' AND t.execution_status = 'Finished') AS upstream_finished FROM cal c"""
+
+GATE_NOW = "CAST(w.batchrundate AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 1 MINUTE * (7 * month(w.batchrundate))"
+
+
+def _clock_in(now: str, win: tuple) -> str:
+    sh, sm, eh, em = win
+    return f"(hour({now}) * 60 + minute({now})) BETWEEN {sh * 60 + sm} AND {eh * 60 + em}"
+
+
+def _fields_in(now: str, win: tuple) -> str:
+    sh, sm, eh, _ = win
+    return f"(hour({now}) >= {sh} AND minute({now}) >= {sm} AND hour({now}) <= {eh})"
+
+
+def _decide(rule: str) -> str:
+    src = "BMT" if rule == "bmt" else "SPDST"
+    in_cut = _clock_in("now", P.CUTOFF) if rule == "current" else _fields_in("now", P.CUTOFF)
+    ready = "done >= expected" if rule == "bmt" else "done = expected AND up"
+    forced = (f"WHEN hour(now) >= {P.CUTOFF[0] + P.FORCE_EXTRA[0]} AND minute(now) >= {P.CUTOFF[1] + P.FORCE_EXTRA[1]} "
+              "THEN 'forced_start'") if rule == "bmt" else ""
+    if rule == "current":
+        cut = "'Cut off time Reached: Missing ' || CAST(missing AS VARCHAR) || ' files'"
+        pend = "'Pending files: ' || CAST(missing AS VARCHAR)"
+    else:
+        cut = "'Cut off time Reached and priority files not received' || names"
+        pend = "'PF Missing ' || names"
+    init = {"current": "SPDST report refresh pending initialization", "bmt": "BMT report refresh yet to start",
+            "legacy": "SPDST report refresh yet to start"}[rule]
+    start_msg = "NULL" if rule == "bmt" else "NA"
+    flag = ("CASE action WHEN 'forced_start' THEN 'N' WHEN 'start' THEN 'Y' END" if rule == "bmt"
+            else "CAST(NULL AS VARCHAR)")
+    alert = (f"action IN ('start', 'cutoff', 'pending') AND {_clock_in('now', P.DELAY_WINDOW)}"
+             if rule == "current" else "false")
+    up = "coalesce(u.upstream_finished, false)" if rule != "bmt" else "true"
+    return f"""SELECT batchrundate, regionname, report_source, action,
+  CASE WHEN action = 'insert' THEN 'Yet to start' WHEN action IN ('start', 'forced_start') THEN 'Submitted'
+       WHEN action IN ('blocked', 'cutoff', 'pending') AND past THEN 'Delay' ELSE old_status END AS execution_status,
+  CASE WHEN action = 'insert' THEN '{init}' WHEN action = 'forced_start' THEN 'NULL' WHEN action = 'start' THEN '{start_msg}'
+       WHEN action = 'blocked' AND past THEN 'Other Region Report Refresh is already running'
+       WHEN action = 'cutoff' AND past THEN {cut}
+       WHEN action = 'pending' AND past THEN {pend} ELSE CAST(NULL AS VARCHAR) END AS error_message,
+  CASE WHEN action IN ('start', 'forced_start') THEN now END AS actual_start_time,
+  {flag} AS priority_files_received, missing, names, {alert} AS delay_alert
+FROM (SELECT *, CASE WHEN NOT has_row THEN 'insert' WHEN old_status IN ('Finished', 'Submitted') THEN 'none'
+    WHEN busy THEN 'blocked' {forced} WHEN {ready} THEN 'start' WHEN done <> expected AND {in_cut} THEN 'cutoff'
+    ELSE 'pending' END AS action
+  FROM (SELECT w.batchrundate, w.regionname, w.report_source, {GATE_NOW} AS now,
+          {GATE_NOW} > w.expected_start AS past, t.batchrundate IS NOT NULL AS has_row, t.execution_status AS old_status,
+          coalesce(r.expected, 0) AS expected, coalesce(r.done, 0) AS done, coalesce(r.missing, 0) AS missing,
+          coalesce(r.names, '') AS names, coalesce(b.busy, false) AS busy, {up} AS up
+        FROM win w
+        LEFT JOIN d_trigger_log t ON t.batchrundate = w.batchrundate AND t.regionname = w.regionname AND t.report_source = w.report_source
+        LEFT JOIN ready_{rule} r ON r.batchrundate = w.batchrundate AND r.regionname = w.regionname
+        LEFT JOIN busy b ON b.regionname = w.regionname
+        LEFT JOIN upstream u ON u.batchrundate = w.batchrundate AND u.regionname = w.regionname
+        WHERE w.report_source = '{src}') z1) z2"""
+
+
+for _r in ("current", "bmt", "legacy"):
+    HELPERS[f"decide_{_r}"] = _decide(_r)
+
+HELPERS["report_win"] = f"""SELECT *,
+  d + CAST(expected_start_time AS TIME) AS expected_start,
+  d + (CAST(expected_start_time AS TIME) + INTERVAL (average_runtime) MINUTE) AS expected_end
+FROM (SELECT *, CASE WHEN report_refresh_frequency IN ('Monthly', 'Quarterly', 'Weekly', 'Yearly')
+  THEN CAST(regexp_split_to_array(trim(file_arrival_cutoff_datetime), '\\s+')[1] AS DATE) ELSE DATE '{P.TODAY}' END AS d
+  FROM d_report_master) z"""
+
 BODIES: dict[str, str] = {
     "q05_priority_bmt": "SELECT regionname, filename FROM pf_bmt",
     "q06_priority_other": "SELECT regionname, filename FROM pf_other",
@@ -144,6 +232,42 @@ GROUP BY 1, 2, 3""",
     "q18_readiness": "SELECT * FROM ready_bmt",
 }
 
+BODIES.update({
+    "q01_expected_window": "SELECT * FROM win",
+    "q02_initial_log_rows": f"""SELECT w.batchrundate, w.regionname, 'Yet to start' AS execution_status,
+  CASE w.report_source WHEN 'BMT' THEN '{P.JOBS["BMT"]}' WHEN 'SPDST' THEN '{P.JOBS["SPDST"]}' END AS gluejob, w.report_source,
+  w.expected_start AS expected_start_time, w.expected_end AS expected_end_time,
+  CASE w.report_source WHEN 'BMT' THEN 'BMT report refresh yet to start' WHEN 'SPDST' THEN 'SPDST report refresh pending initialization' END AS error_message
+FROM win w WHERE NOT EXISTS (SELECT 1 FROM d_trigger_log t WHERE t.batchrundate = w.batchrundate AND t.regionname = w.regionname AND t.report_source = w.report_source)""",
+    "q03_already_triggered": "SELECT *, coalesce(execution_status IN ('Finished', 'Submitted'), false) AS already_triggered FROM d_trigger_log",
+    "q04_busy_regions": "SELECT * FROM busy",
+    "q19_upstream_finished": "SELECT * FROM upstream",
+    "q24_decide_current": "SELECT * FROM decide_current",
+    "q25_decide_bmt": "SELECT * FROM decide_bmt",
+    "q26_decide_legacy": "SELECT * FROM decide_legacy",
+    "q27_merged_log": """SELECT coalesce(n.batchrundate, o.batchrundate) AS batchrundate, coalesce(n.regionname, o.regionname) AS regionname,
+  coalesce(n.report_source, o.report_source) AS report_source, coalesce(n.execution_status, o.execution_status) AS execution_status,
+  n.error_message AS error_message, n.actual_start_time AS actual_start_time
+FROM d_trigger_log o FULL OUTER JOIN (SELECT * FROM decide_current UNION ALL SELECT * FROM decide_bmt) n
+  ON n.batchrundate = o.batchrundate AND n.regionname = o.regionname AND n.report_source = o.report_source""",
+    "q28_report_window": "SELECT * EXCLUDE (d) FROM report_win",
+    "q29_report_status": f"""SELECT report_name, regionname, identifier, expected_start,
+  CASE WHEN NOT coalesce(CAST(actual_start_time AS DATE) = CAST(expected_start AS DATE), false) THEN 'Null'
+       WHEN TIMESTAMP '{P.NOW}' <= expected_start AND coalesce(status = 'Null', false) THEN 'Yet to start'
+       WHEN TIMESTAMP '{P.NOW}' <= expected_start AND coalesce(status = 'Completed', false) THEN 'Completed'
+       WHEN TIMESTAMP '{P.NOW}' >= expected_start AND NOT coalesce(status = 'Completed', false) THEN 'Delay'
+       WHEN TIMESTAMP '{P.NOW}' >= expected_start AND coalesce(status = 'Completed', false) THEN 'Completed'
+       ELSE coalesce(status, 'None') END AS status
+FROM report_win""",
+    "q38_next_day_delay": f"""SELECT c.batchrundate, c.regionname, n.execution_status AS next_status,
+  (hour(now) >= {P.LEGACY_DELAY_WINDOW[0]} AND minute(now) >= {P.LEGACY_DELAY_WINDOW[1]} AND hour(now) <= {P.LEGACY_DELAY_WINDOW[2]} AND minute(now) < {P.LEGACY_DELAY_WINDOW[3]}) AS in_window,
+  (hour(now) >= {P.LEGACY_DELAY_WINDOW[0]} AND minute(now) >= {P.LEGACY_DELAY_WINDOW[1]} AND hour(now) <= {P.LEGACY_DELAY_WINDOW[2]} AND minute(now) < {P.LEGACY_DELAY_WINDOW[3]})
+    AND (n.execution_status IS NULL OR n.execution_status = 'Failed') AS alert
+FROM (SELECT *, CAST(batchrundate AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 1 MINUTE * (7 * month(batchrundate)) AS now FROM cal) c
+LEFT JOIN d_trigger_log n ON n.regionname = c.regionname AND n.report_source = 'SPDST'
+  AND n.batchrundate = CAST(c.batchrundate + INTERVAL {P.BATCH_STEP_MONTHS} MONTH AS DATE)""",
+})
+
 
 def _deps(sql: str, known: dict[str, str]) -> list[str]:
     words = set(re.findall(r"\b([a-z_][a-z0-9_]*)\b", sql))

@@ -13,9 +13,14 @@ GATE_NOW_SQL_SPARK = ("CAST(batchrundate AS TIMESTAMP_NTZ) + make_dt_interval(0,
 
 # File-arrival cutoff window (start h, m, end h, m) and forced-start extra time.
 CUTOFF = (12, 30, 13, 0)
-FORCE_EXTRA = (1, 0)
-# Delay-alert window.
-DELAY_WINDOW = (12, 40, 13, 20)
+FORCE_EXTRA = (0, 10)
+# Delay-alert windows: clock form (current rule) and field form with
+# minute < end minute (legacy rule; its start minute must be below its end
+# minute or it never fires).
+DELAY_WINDOW = (12, 20, 13, 10)
+LEGACY_DELAY_WINDOW = (12, 5, 13, 50)
+# Batch step of the stand-in trigger log (dates are month starts).
+BATCH_STEP_MONTHS = 1
 # Windows tested over events.ts as "now" (q20 to q23).
 EVENT_CUTOFF = (7, 15, 8, 10)
 EVENT_DELAY = (17, 30, 18, 45)

@@ -121,3 +121,100 @@ QUERIES = {
     "q17_file_state_current": q17_file_state_current,
     "q18_readiness": q18_readiness,
 }
+
+
+# ---------------------------------------------------------------- gate
+
+from arrivalgate.operators import gate as G  # noqa: E402
+from arrivalgate.operators import schedule as S  # noqa: E402
+
+
+def gate_now():
+    """Per-row evaluation time of the gate queries."""
+    return F.expr(P.GATE_NOW_SQL_SPARK)
+
+
+def windows(ct: ControlTables) -> DataFrame:
+    return S.expected_window(ct.d_schedule, FS.calendar(ct.d_trigger_log))
+
+
+def decisions(ct: ControlTables, rule: str) -> DataFrame:
+    source = "bmt" if rule == "bmt" else "other"
+    ch = file_chain(ct, source, rule)
+    ready = FS.readiness(ch["states"], rule)
+    busy = G.busy_regions(ct.d_dependency, ct.d_job_runs)
+    up = None if rule == "bmt" else G.upstream_finished(ct.d_trigger_log, ch["calendar"])
+    return G.decide(rule, windows(ct), ct.d_trigger_log, ready, busy, up, gate_now(),
+                    P.CUTOFF, P.FORCE_EXTRA, P.DELAY_WINDOW)
+
+
+def q01_expected_window(spark: SparkSession, sf: str) -> DataFrame:
+    return windows(ControlTables(spark, sf))
+
+
+def q02_initial_log_rows(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return G.initial_rows(windows(ct), ct.d_trigger_log, P.JOBS)
+
+
+def q03_already_triggered(spark: SparkSession, sf: str) -> DataFrame:
+    return G.already_triggered(ControlTables(spark, sf).d_trigger_log)
+
+
+def q04_busy_regions(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return G.busy_regions(ct.d_dependency, ct.d_job_runs)
+
+
+def q19_upstream_finished(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return G.upstream_finished(ct.d_trigger_log, FS.calendar(ct.d_trigger_log))
+
+
+def q24_decide_current(spark: SparkSession, sf: str) -> DataFrame:
+    return decisions(ControlTables(spark, sf), "current")
+
+
+def q25_decide_bmt(spark: SparkSession, sf: str) -> DataFrame:
+    return decisions(ControlTables(spark, sf), "bmt")
+
+
+def q26_decide_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    return decisions(ControlTables(spark, sf), "legacy")
+
+
+def q27_merged_log(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    changes = decisions(ct, "current").unionByName(decisions(ct, "bmt"))
+    return G.merge_log(ct.d_trigger_log, changes)
+
+
+def q28_report_window(spark: SparkSession, sf: str) -> DataFrame:
+    return S.report_window(ControlTables(spark, sf).d_report_master, P.TODAY)
+
+
+def q29_report_status(spark: SparkSession, sf: str) -> DataFrame:
+    w = S.report_window(ControlTables(spark, sf).d_report_master, P.TODAY)
+    return S.report_status(w, P.NOW).select("report_name", "regionname", "identifier", "expected_start", "status")
+
+
+def q38_next_day_delay(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return G.next_day_delay(FS.calendar(ct.d_trigger_log), ct.d_trigger_log, gate_now(),
+                            P.LEGACY_DELAY_WINDOW, "SPDST", months=P.BATCH_STEP_MONTHS)
+
+
+QUERIES.update({
+    "q01_expected_window": q01_expected_window,
+    "q02_initial_log_rows": q02_initial_log_rows,
+    "q03_already_triggered": q03_already_triggered,
+    "q04_busy_regions": q04_busy_regions,
+    "q19_upstream_finished": q19_upstream_finished,
+    "q24_decide_current": q24_decide_current,
+    "q25_decide_bmt": q25_decide_bmt,
+    "q26_decide_legacy": q26_decide_legacy,
+    "q27_merged_log": q27_merged_log,
+    "q28_report_window": q28_report_window,
+    "q29_report_status": q29_report_status,
+    "q38_next_day_delay": q38_next_day_delay,
+})
