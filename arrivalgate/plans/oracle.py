@@ -268,6 +268,65 @@ LEFT JOIN d_trigger_log n ON n.regionname = c.regionname AND n.report_source = '
   AND n.batchrundate = CAST(c.batchrundate + INTERVAL {P.BATCH_STEP_MONTHS} MONTH AS DATE)""",
 })
 
+# ---------------------------------------------------------------- runs
+_POSK = "try_cast(exec_order AS DOUBLE)"
+HELPERS["plan_rows"] = f"""SELECT run_id, order_key, exec_order, stored_procedure_name, file_datasource, codebase, status, error, duplicate_keys,
+  row_number() OVER (PARTITION BY run_id ORDER BY order_key IS NULL, order_key, CASE WHEN order_key IS NULL THEN exec_order END) AS rk
+FROM (SELECT *, {_POSK} AS order_key,
+  row_number() OVER (PARTITION BY run_id, {_POSK}, CASE WHEN {_POSK} IS NULL THEN exec_order END
+    ORDER BY stored_procedure_name NULLS FIRST, exec_order NULLS FIRST, file_datasource NULLS FIRST, codebase NULLS FIRST,
+             status NULLS FIRST, error NULLS FIRST) AS rn,
+  count(*) OVER (PARTITION BY run_id, {_POSK}, CASE WHEN {_POSK} IS NULL THEN exec_order END) AS duplicate_keys
+  FROM d_run_steps) z WHERE rn = 1"""
+
+
+def _halt(kind: str) -> str:
+    failed = "coalesce(status = 'FAILED', status IS NULL)"
+    halting = failed if kind == "strict" else f"{failed} AND coalesce(file_datasource = 'SPDST', false)"
+    return f"""SELECT p.*, CASE WHEN h.halt_at IS NOT NULL AND p.rk > h.halt_at THEN 'Skipped'
+  WHEN {failed.replace('status', 'p.status')} THEN 'Failed' ELSE 'Completed' END AS outcome
+FROM plan_rows p LEFT JOIN (SELECT run_id, min(rk) AS halt_at FROM plan_rows WHERE {halting} GROUP BY 1) h ON h.run_id = p.run_id"""
+
+
+HELPERS["halt_strict"] = _halt("strict")
+HELPERS["halt_critical"] = _halt("critical")
+_TAIL = "CASE WHEN strpos({e}, ':') > 0 THEN substr({e}, strpos({e}, ':') + 1) ELSE {e} END"
+_SECOND = "CASE WHEN strpos({e}, ':') > 0 THEN split_part({e}, ':', 2) ELSE {e} END"
+HELPERS["outcome_strict"] = f"""SELECT run_id, 'strict' AS rule, CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Finished' END AS execution_status,
+  CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Completed' END AS report_status,
+  CASE WHEN n_failed > 0 THEN {_TAIL.format(e='fe')} ELSE 'Null' END AS error_message, n_steps, n_failed, n_skipped
+FROM (SELECT run_id, count(*) AS n_steps, count(*) FILTER (WHERE outcome = 'Failed') AS n_failed,
+  count(*) FILTER (WHERE outcome = 'Skipped') AS n_skipped,
+  arg_min(coalesce(error, 'Unknown error'), rk) FILTER (WHERE outcome = 'Failed') AS fe FROM halt_strict GROUP BY 1) z"""
+HELPERS["outcome_critical"] = f"""SELECT run_id, 'critical' AS rule, CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Finished' END AS execution_status,
+  CASE WHEN coalesce(lo = 'Failed', false) THEN 'Failed' ELSE 'Completed' END AS report_status,
+  CASE WHEN coalesce(lo = 'Failed', false) THEN {_SECOND.format(e='le')} ELSE 'Null' END AS error_message, n_steps, n_failed, n_skipped
+FROM (SELECT run_id, count(*) AS n_steps, count(*) FILTER (WHERE outcome = 'Failed') AS n_failed,
+  count(*) FILTER (WHERE outcome = 'Skipped') AS n_skipped,
+  arg_max(outcome, rk) FILTER (WHERE outcome <> 'Skipped') AS lo,
+  arg_max(coalesce(error, 'Unknown error'), rk) FILTER (WHERE outcome <> 'Skipped') AS le FROM halt_critical GROUP BY 1) z"""
+
+BODIES.update({
+    "q30_plan_order": "SELECT run_id, order_key, exec_order, stored_procedure_name, file_datasource, duplicate_keys FROM plan_rows",
+    "q31_halt_strict": "SELECT run_id, order_key, stored_procedure_name, outcome FROM halt_strict",
+    "q32_halt_critical": "SELECT run_id, order_key, stored_procedure_name, outcome FROM halt_critical",
+    "q33_retry_fold": f"""SELECT step_id, batchrundate,
+  CASE WHEN first_ok IS NOT NULL AND first_ok <= {P.RETRY_LIMIT} THEN 'Completed' ELSE 'Failed' END AS final_state,
+  CAST(CASE WHEN first_ok IS NOT NULL AND first_ok <= {P.RETRY_LIMIT} THEN first_ok ELSE least(n, {P.RETRY_LIMIT}) END AS BIGINT) AS attempts_used,
+  n AS attempts_recorded
+FROM (SELECT step_id, batchrundate, min(rn) FILTER (WHERE status <> 'FAILED') AS first_ok, count(*) AS n
+  FROM (SELECT *, row_number() OVER (PARTITION BY step_id, batchrundate ORDER BY started, seq) AS rn FROM d_step_attempts) z
+  GROUP BY 1, 2) y""",
+    "q34_run_outcome": "SELECT * FROM outcome_strict UNION ALL SELECT * FROM outcome_critical",
+    "q35_error_text": f"""SELECT error, {_SECOND.format(e='error')} AS second_part, {_TAIL.format(e='error')} AS tail
+FROM (SELECT DISTINCT error FROM d_run_steps WHERE error IS NOT NULL) z""",
+    "q39_statement_state": """SELECT s.statement_id, t.state AS final_state, t.started AS terminal_at, s.n_events
+FROM (SELECT job_name AS statement_id, count(*) AS n_events FROM d_job_runs GROUP BY 1) s
+LEFT JOIN (SELECT job_name, state, started, row_number() OVER (PARTITION BY job_name ORDER BY started, seq) AS rn
+  FROM (SELECT *, CASE WHEN job_run_state = 'SUCCEEDED' THEN 'FINISHED' ELSE job_run_state END AS state FROM d_job_runs) z
+  WHERE state IN ('FINISHED', 'FAILED', 'ABORTED')) t ON t.job_name = s.statement_id AND t.rn = 1""",
+})
+
 
 def _deps(sql: str, known: dict[str, str]) -> list[str]:
     words = set(re.findall(r"\b([a-z_][a-z0-9_]*)\b", sql))

@@ -218,3 +218,62 @@ QUERIES.update({
     "q29_report_status": q29_report_status,
     "q38_next_day_delay": q38_next_day_delay,
 })
+
+
+# ---------------------------------------------------------------- runs
+
+from arrivalgate.operators import runs as R  # noqa: E402
+
+
+def plan(ct: ControlTables) -> DataFrame:
+    return R.plan_order(ct.d_run_steps)
+
+
+def q30_plan_order(spark: SparkSession, sf: str) -> DataFrame:
+    return plan(ControlTables(spark, sf)).select(
+        "run_id", "order_key", "exec_order", "stored_procedure_name", "file_datasource", "duplicate_keys")
+
+
+def q31_halt_strict(spark: SparkSession, sf: str) -> DataFrame:
+    return R.step_outcomes(plan(ControlTables(spark, sf)), "strict").select(
+        "run_id", "order_key", "stored_procedure_name", "outcome")
+
+
+def q32_halt_critical(spark: SparkSession, sf: str) -> DataFrame:
+    return R.step_outcomes(plan(ControlTables(spark, sf)), "critical").select(
+        "run_id", "order_key", "stored_procedure_name", "outcome")
+
+
+def q33_retry_fold(spark: SparkSession, sf: str) -> DataFrame:
+    return R.fold_attempts(ControlTables(spark, sf).d_step_attempts, P.RETRY_LIMIT)
+
+
+def run_outcomes(ct: ControlTables) -> DataFrame:
+    p = plan(ct)
+    return (R.run_outcome(R.step_outcomes(p, "strict"), "strict")
+            .unionByName(R.run_outcome(R.step_outcomes(p, "critical"), "critical")))
+
+
+def q34_run_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    return run_outcomes(ControlTables(spark, sf))
+
+
+def q35_error_text(spark: SparkSession, sf: str) -> DataFrame:
+    return R.error_texts(ControlTables(spark, sf).d_run_steps)
+
+
+def q39_statement_state(spark: SparkSession, sf: str) -> DataFrame:
+    ev = ControlTables(spark, sf).d_job_runs.select(
+        F.col("job_name").alias("statement_id"), "started", "seq", F.col("job_run_state").alias("state"))
+    return R.statement_states(ev, aliases={"SUCCEEDED": R.FINISHED})
+
+
+QUERIES.update({
+    "q30_plan_order": q30_plan_order,
+    "q31_halt_strict": q31_halt_strict,
+    "q32_halt_critical": q32_halt_critical,
+    "q33_retry_fold": q33_retry_fold,
+    "q34_run_outcome": q34_run_outcome,
+    "q35_error_text": q35_error_text,
+    "q39_statement_state": q39_statement_state,
+})
