@@ -121,7 +121,8 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
     log_cols.append((F.col("actual_start_time") if "actual_start_time" in log.columns
                      else F.lit(None).cast("timestamp_ntz")).alias("old_actual_start"))
     df = (w.join(log.select(*KEYS, *log_cols, F.lit(True).alias("_has_row")), KEYS, "left")
-          .join(ready.select(*DAY_REGION, "expected", "done", "missing", "names"), DAY_REGION, "left")
+          .join(ready.select(*DAY_REGION, "expected", "done", "missing", "names", "missing_names"),
+                DAY_REGION, "left")
           .join(busy.select("regionname", "busy"), "regionname", "left"))
     if upstream is not None:
         df = df.join(upstream.select(*DAY_REGION, "upstream_finished"), DAY_REGION, "left")
@@ -174,7 +175,8 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
         alert = F.lit(False)
     return df.select(*KEYS, "action", status.alias("execution_status"), message.alias("error_message"),
                      started.alias("actual_start_time"), flag.alias("priority_files_received"),
-                     missing.alias("missing"), names.alias("names"), alert.alias("delay_alert"))
+                     missing.alias("missing"), names.alias("names"),
+                     F.coalesce("missing_names", F.lit("")).alias("missing_names"), alert.alias("delay_alert"))
 
 
 def merge_log(log: DataFrame, changes: DataFrame, keys: list[str] | None = None,

@@ -176,14 +176,14 @@ def _decide(rule: str) -> str:
        WHEN action = 'cutoff' AND past THEN {cut}
        WHEN action = 'pending' AND past THEN {pend} ELSE CAST(NULL AS VARCHAR) END AS error_message,
   CASE WHEN action IN ('start', 'forced_start') THEN now END AS actual_start_time,
-  {flag} AS priority_files_received, missing, names, {alert} AS delay_alert
+  {flag} AS priority_files_received, missing, names, missing_names, {alert} AS delay_alert
 FROM (SELECT *, CASE WHEN NOT has_row THEN 'insert' WHEN old_status IN ('Finished', 'Submitted') THEN 'none'
     WHEN busy THEN 'blocked' {forced} WHEN {ready} THEN 'start' WHEN done <> expected AND {in_cut} THEN 'cutoff'
     ELSE 'pending' END AS action
   FROM (SELECT w.batchrundate, w.regionname, w.report_source, {GATE_NOW} AS now,
           {GATE_NOW} > w.expected_start AS past, t.batchrundate IS NOT NULL AS has_row, t.execution_status AS old_status,
           coalesce(r.expected, 0) AS expected, coalesce(r.done, 0) AS done, coalesce(r.missing, 0) AS missing,
-          coalesce(r.names, '') AS names, coalesce(b.busy, false) AS busy, {up} AS up
+          coalesce(r.names, '') AS names, coalesce(r.missing_names, '') AS missing_names, coalesce(b.busy, false) AS busy, {up} AS up
         FROM win w
         LEFT JOIN d_trigger_log t ON t.batchrundate = w.batchrundate AND t.regionname = w.regionname AND t.report_source = w.report_source
         LEFT JOIN ready_{rule} r ON r.batchrundate = w.batchrundate AND r.regionname = w.regionname
@@ -327,6 +327,81 @@ LEFT JOIN (SELECT job_name, state, started, row_number() OVER (PARTITION BY job_
   WHERE state IN ('FINISHED', 'FAILED', 'ABORTED')) t ON t.job_name = s.statement_id AND t.rn = 1""",
 })
 
+# ---------------------------------------------------------------- outputs
+_RUN_LABEL = "CAST(o.run_id AS VARCHAR)"
+HELPERS["notify"] = f"""
+SELECT 'files_missing' AS kind, regionname, batchrundate, CAST(NULL AS BIGINT) AS run_id,
+  '** ' || regionname || ' SPDST Priority Files Missing**' AS subject,
+  CAST(json_object('Env', '{P.ENV}', 'File', string_split(names, ','), 'Process Name', 'Files Not Received', 'Region', regionname) AS VARCHAR) AS body
+FROM decide_current WHERE action = 'cutoff' AND missing > 0
+UNION ALL
+SELECT 'delay', regionname, batchrundate, NULL, '*** Delay in ' || regionname || ' SPDST Report Refresh ***',
+  CAST(json_object('Env', '{P.ENV}', 'Report_Source', 'SPDST', 'Region', regionname, 'Message', 'Potential delay in SPDST report generation') AS VARCHAR)
+FROM decide_current WHERE delay_alert
+UNION ALL
+SELECT CASE action WHEN 'start' THEN 'started' ELSE 'started_without_files' END, regionname, batchrundate, NULL,
+  CASE action WHEN 'start' THEN '*** ' || regionname || ' BMT report refresh is started.***'
+       ELSE '*** ' || regionname || ' BMT report refresh is started without Priority files.***' END,
+  CAST(json_object('Env', '{P.ENV}', 'Message', 'The BMT ' || regionname || ' Report refresh is started. Open glue job log : {P.JOBS["BMT"]}',
+    'Region', regionname) AS VARCHAR)
+FROM decide_bmt WHERE action IN ('start', 'forced_start')
+UNION ALL
+SELECT 'files_missing', regionname, batchrundate, NULL, '*** ' || regionname || 'BMT Priority File Missing ***',
+  CAST(json_object('Env', '{P.ENV}', 'Missing Priority File', string_split(missing_names, ','),
+    'Process Name failed, If any', 'Files Not Received', 'Region', regionname) AS VARCHAR)
+FROM decide_bmt WHERE action = 'cutoff' AND missing > 0
+UNION ALL
+SELECT 'files_failed', d.regionname, d.batchrundate, NULL, '*** ' || d.regionname || 'BMT Priority File Failure ***',
+  CAST(json_object('Env', '{P.ENV}', 'Priority File Failed', f.lst, 'Process Name failed, If any', 'NA', 'Region', d.regionname) AS VARCHAR)
+FROM decide_bmt d JOIN (SELECT batchrundate, regionname, list(map([filename], [string_split(detail, ',')]) ORDER BY filename, detail) AS lst
+  FROM states_bmt WHERE state = 'failed' GROUP BY 1, 2) f ON f.batchrundate = d.batchrundate AND f.regionname = d.regionname
+WHERE d.action = 'cutoff'
+UNION ALL
+SELECT 'run_failed', NULL, NULL, o.run_id, {_RUN_LABEL} || ' SPDST/Others Report Refresh Failed',
+  CAST(json_object('Env', '{P.ENV}', 'Error Message', [json_object('Stored Procedure Name', h.stored_procedure_name,
+    'Error', coalesce(h.error, 'Unknown error'), 'Data Source', CASE WHEN h.file_datasource = 'SPDST' THEN 'SPDST' ELSE 'SPDST/Others' END,
+    'Region', {_RUN_LABEL})], 'status', 'Failed', 'Region', {_RUN_LABEL}) AS VARCHAR)
+FROM outcome_strict o JOIN halt_strict h ON h.run_id = o.run_id AND h.outcome = 'Failed' WHERE o.execution_status = 'Failed'
+UNION ALL
+SELECT 'run_succeeded', NULL, NULL, o.run_id, {_RUN_LABEL} || ' SPDST/Others Report Refresh Successful',
+  CAST(json_object('Env', '{P.ENV}', 'Error Message', CAST([] AS VARCHAR[]), 'status', 'Succeeded', 'Region', {_RUN_LABEL}) AS VARCHAR)
+FROM outcome_strict o WHERE o.execution_status <> 'Failed'
+UNION ALL
+SELECT 'run_report_link', NULL, NULL, o.run_id, {_RUN_LABEL} || ' SPDST/others Report Refresh Successful',
+  CAST(json_object('Env', '{P.ENV}', 'Message', {_RUN_LABEL} || ' SPDST/others Report Refresh is Completed Successfully.',
+    'Report_Url', '{P.REPORT_URL}') AS VARCHAR)
+FROM outcome_strict o WHERE o.execution_status <> 'Failed'"""
+
+
+def _hourly(**flags) -> str:
+    cols = ", ".join(f"count(*) FILTER (WHERE {c}) AS {n}" for n, c in flags.items())
+    return f"SELECT date_trunc('hour', ts) AS hour_start, count(*) AS n_events, {cols} FROM events GROUP BY 1"
+
+
+_ec, _ed = P.EVENT_CUTOFF, P.EVENT_DELAY
+BODIES.update({
+    "q36_notifications": "SELECT * FROM notify",
+    "q37_start_requests": f"""SELECT batchrundate, regionname, report_source,
+  CASE report_source WHEN 'BMT' THEN '{P.JOBS["BMT"]}' ELSE '{P.JOBS["SPDST"]}' END AS job_name,
+  CASE WHEN report_source = 'BMT' THEN CAST(json_object('--priority_files_received', priority_files_received,
+         '--reportregionname', regionname, '--identifier', 'BMT') AS VARCHAR)
+       ELSE CAST(json_object('--reportregionname', regionname, '--identifier', report_source) AS VARCHAR) END AS arguments
+FROM (SELECT * FROM decide_current UNION ALL SELECT * FROM decide_bmt) d WHERE action IN ('start', 'forced_start')""",
+    "q20_cutoff_clock": _hourly(n_inside=_clock_in("ts", _ec)),
+    "q21_cutoff_fields": _hourly(n_inside=_fields_in("ts", _ec)),
+    "q22_delay_window": _hourly(n_delay_clock=_clock_in("ts", _ed),
+                                n_delay_fields=f"{_fields_in('ts', _ed)} AND minute(ts) < {_ed[3]}"),
+    "q23_forced_start": _hourly(n_forced=f"hour(ts) >= {_ec[0] + P.FORCE_EXTRA[0]} AND minute(ts) >= {_ec[1] + P.FORCE_EXTRA[1]}"),
+    "q40_daily_loads": "SELECT date_trunc('day', ts) AS day_start, event_type, count(*) AS n_events FROM events GROUP BY 1, 2",
+    "q41_first_arrivals": """SELECT user_id, date_trunc('day', ts) AS day_start, min(ts) AS first_ts,
+  arg_min(event_id, (ts, event_id)) AS first_event_id, arg_min(event_type, (ts, event_id)) AS first_event_type, count(*) AS n_events
+FROM events GROUP BY 1, 2""",
+    "q42_late_arrivals": f"""SELECT day_start, count(*) AS n_keys,
+  count(*) FILTER (WHERE first_ts <= CAST(day_start AS DATE) + TIME '{P.ARRIVAL_CUTOFF}') AS on_time,
+  count(*) FILTER (WHERE first_ts > CAST(day_start AS DATE) + TIME '{P.ARRIVAL_CUTOFF}') AS late
+FROM (SELECT user_id, date_trunc('day', ts) AS day_start, min(ts) AS first_ts FROM events GROUP BY 1, 2) z GROUP BY 1""",
+})
+
 
 def _deps(sql: str, known: dict[str, str]) -> list[str]:
     words = set(re.findall(r"\b([a-z_][a-z0-9_]*)\b", sql))

@@ -34,3 +34,5 @@ JOBS = {"BMT": "bmt_report_refresh", "SPDST": "spdst_report_refresh"}
 RETRY_LIMIT = 3
 # Lateness cutoff of first arrivals (q42), clock of the day.
 ARRIVAL_CUTOFF = "12:00:00"
+# Link carried by the success message of a run (a deployment setting).
+REPORT_URL = "report-url"

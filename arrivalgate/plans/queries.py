@@ -277,3 +277,82 @@ QUERIES.update({
     "q35_error_text": q35_error_text,
     "q39_statement_state": q39_statement_state,
 })
+
+
+# ---------------------------------------------------------------- outputs
+
+from arrivalgate.functions import timecols as TC  # noqa: E402
+from arrivalgate.operators import outputs as O  # noqa: E402
+from arrivalgate.streaming import streams as ST  # noqa: E402
+
+
+def q36_notifications(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    cur = decisions(ct, "current")
+    bmt = decisions(ct, "bmt")
+    failed_files = (file_chain(ct, "bmt", "bmt")["states"].where(F.col("state") == "failed")
+                    .select("batchrundate", "regionname", "filename", "detail"))
+    trig = O.decision_alerts(cur, bmt, P.ENV, P.JOBS, failed_files)
+    steps = R.step_outcomes(plan(ct), "strict")
+    outcomes = R.run_outcome(steps, "strict")
+    runs = O.run_alerts(outcomes, steps.where(F.col("outcome") == R.FAILED), P.ENV, P.REPORT_URL,
+                        F.col("run_id").cast("string"))
+    return trig.unionByName(runs)
+
+
+def q37_start_requests(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return O.start_requests(decisions(ct, "current").unionByName(decisions(ct, "bmt")), P.JOBS)
+
+
+# ------------------------------------------------- windows over event time
+
+def _hourly(ct: ControlTables, **flags) -> DataFrame:
+    ev = ct.events
+    return (ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"))
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 *[F.count_if(c).alias(name) for name, c in flags.items()]))
+
+
+def q20_cutoff_clock(spark: SparkSession, sf: str) -> DataFrame:
+    return _hourly(ControlTables(spark, sf), n_inside=TC.in_window("ts", *P.EVENT_CUTOFF, form="clock"))
+
+
+def q21_cutoff_fields(spark: SparkSession, sf: str) -> DataFrame:
+    return _hourly(ControlTables(spark, sf), n_inside=TC.in_window("ts", *P.EVENT_CUTOFF, form="fields"))
+
+
+def q22_delay_window(spark: SparkSession, sf: str) -> DataFrame:
+    return _hourly(ControlTables(spark, sf),
+                   n_delay_clock=TC.in_window("ts", *P.EVENT_DELAY, form="clock"),
+                   n_delay_fields=TC.in_window("ts", *P.EVENT_DELAY, form="fields_strict_end"))
+
+
+def q23_forced_start(spark: SparkSession, sf: str) -> DataFrame:
+    c = P.EVENT_CUTOFF
+    return _hourly(ControlTables(spark, sf), n_forced=TC.after_cutoff_plus("ts", c[0], c[1], *P.FORCE_EXTRA))
+
+
+def q40_daily_loads(spark: SparkSession, sf: str) -> DataFrame:
+    return ST.daily_loads(ControlTables(spark, sf).events)
+
+
+def q41_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    return ST.first_arrivals(ControlTables(spark, sf).events)
+
+
+def q42_late_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    return ST.late_arrivals(ST.first_arrivals(ControlTables(spark, sf).events), P.ARRIVAL_CUTOFF)
+
+
+QUERIES.update({
+    "q20_cutoff_clock": q20_cutoff_clock,
+    "q21_cutoff_fields": q21_cutoff_fields,
+    "q22_delay_window": q22_delay_window,
+    "q23_forced_start": q23_forced_start,
+    "q36_notifications": q36_notifications,
+    "q37_start_requests": q37_start_requests,
+    "q40_daily_loads": q40_daily_loads,
+    "q41_first_arrivals": q41_first_arrivals,
+    "q42_late_arrivals": q42_late_arrivals,
+})
