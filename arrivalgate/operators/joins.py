@@ -75,10 +75,17 @@ def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay
         *[F.col(c) for c in extra])
     cond = [F.col(c) == F.col(f"__r_{c}") for c in on] + [F.col(needle_col) == F.col(_FRAG)]
     if how in ("left_semi", "left_anti"):
-        # Existence only: duplicates on the right change nothing, so no distinct.
-        right = right.select(*[f"__r_{c}" for c in on], _FRAG)
-        return needles.join(right, cond, how)
+        # A semi/anti join can only build its right side, which here would be
+        # the (large) fragment side. So first join the fragments with the
+        # distinct needle keys -- an inner join, where AQE may broadcast the
+        # needle side after checking its runtime size, and otherwise falls
+        # back to a shuffle join -- then semi/anti join the few matched keys.
+        keys = on + [needle_col]
+        frags = right.select(*[F.col(f"__r_{c}") for c in on], F.col(_FRAG))
+        matched = (frags.join(needles.select(*keys).distinct(), cond, "inner")
+                   .select(*keys).distinct())
+        return needles.join(matched, keys, how)
     if how != "inner":
         raise ValueError(f"unsupported join type {how!r}")
-    joined = needles.join(right, cond, "inner")
+    joined = right.join(needles, cond, "inner")
     return joined.select(*needles.columns, *extra)

@@ -17,10 +17,19 @@ from arrivalgate.functions import timecols as TC
 from arrivalgate.session import checkpoint_dir
 
 
+def _event_time(events: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need a zone-aware TIMESTAMP. Streams get the zone-less event
+    time as TIMESTAMP in the session zone (UTC in the engine's session, so day
+    windows align with the batch form); batch input is left as it is."""
+    if events.isStreaming:
+        return events.withColumn(ts, F.col(ts).cast("timestamp"))
+    return events
+
+
 def daily_loads(events: DataFrame, ts: str = "ts", kind: str = "event_type",
                 watermark: str = "1 day") -> DataFrame:
     """Tumbling one-day count of events per kind (append mode with a watermark)."""
-    return (events.withWatermark(ts, watermark)
+    return (_event_time(events, ts).withWatermark(ts, watermark)
             .groupBy(F.window(ts, "1 day").alias("w"), kind)
             .agg(F.count(F.lit(1)).alias("n_events"))
             .select(F.col("w.start").cast("timestamp_ntz").alias("day_start"), kind, "n_events"))
@@ -32,11 +41,11 @@ def first_arrivals(events: DataFrame, key: str = "user_id", ts: str = "ts", seq:
     is logged. A windowed min, so stream and batch agree exactly (a
     first-seen dedup would depend on arrival order)."""
     first = F.min(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"), F.col(kind).alias("k")))
-    return (events.withWatermark(ts, watermark)
+    return (_event_time(events, ts).withWatermark(ts, watermark)
             .groupBy(key, F.window(ts, "1 day").alias("w"))
             .agg(first.alias("f"), F.count(F.lit(1)).alias("n_events"))
             .select(key, F.col("w.start").cast("timestamp_ntz").alias("day_start"),
-                    F.col("f.t").alias("first_ts"), F.col("f.s").alias(f"first_{seq}"),
+                    F.col("f.t").cast("timestamp_ntz").alias("first_ts"), F.col("f.s").alias(f"first_{seq}"),
                     F.col("f.k").alias(f"first_{kind}"), "n_events"))
 
 
