@@ -59,12 +59,29 @@ def expected_by_date(cal: DataFrame, files: DataFrame) -> DataFrame:
     return cal.join(files, "regionname").select(*KEY)
 
 
-def curated_loaded(load_log: DataFrame, files: DataFrame) -> DataFrame:
+def load_summary(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
+                 suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
+    """One pass over the load log (the largest input) for the three per-file
+    facts the readiness rules need, per (batchrundate, regionname, filename):
+    a succeeded curated load (J01), the set of failed processes (J09) and an
+    empty-source validation row (P11). Reduced map-side before the shuffle;
+    the curated, failed and empty operators below all read this one result,
+    so a query scans the log once for them (Spark reuses the exchange)."""
+    pn, st = F.col("processname"), F.col("executionstatus")
+    empty = ((pn == VALIDATION) & F.col("errormessage").contains(error_text)
+             & F.col("sourcename").endswith(suffix))
+    return (load_log.groupBy(*KEY)
+            .agg(F.bool_or(F.coalesce((pn == CURATED) & (st == SUCCEEDED), F.lit(False))).alias("curated_ok"),
+                 F.collect_set(F.when(st == FAILED, pn)).alias("failed_set"),
+                 F.bool_or(F.coalesce(empty, F.lit(False))).alias("empty_source")))
+
+
+def curated_loaded(load_log: DataFrame, files: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Files with a succeeded curated load, limited to the
     expected files of their region (a semi join; an empty list gives nothing)."""
-    cur = (load_log.where((F.col("processname") == CURATED) & (F.col("executionstatus") == SUCCEEDED))
-           .select(*KEY))
-    return cur.join(files, ["regionname", "filename"], "left_semi").distinct()
+    sm = summary if summary is not None else load_summary(load_log)
+    return (sm.where(F.col("curated_ok")).select(*KEY)
+            .join(files, ["regionname", "filename"], "left_semi"))
 
 
 def map_procedures(loaded: DataFrame, file_procs: DataFrame) -> DataFrame:
@@ -124,21 +141,21 @@ def received(landing: DataFrame, expected: DataFrame, match: str = "exact",
     raise ValueError(f"unknown match {match!r}")
 
 
-def failed_processes(load_log: DataFrame) -> DataFrame:
+def failed_processes(load_log: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Distinct failed processes of a file on a date (no region condition)."""
-    return (load_log.where(F.col("executionstatus") == FAILED)
+    sm = summary if summary is not None else load_summary(load_log)
+    return (sm.where(F.size("failed_set") > 0)
             .groupBy("batchrundate", "filename")
-            .agg(T.comma_list(F.collect_set("processname")).alias("failed_processes"),
-                 F.count_distinct("processname").alias("n_failed_processes")))
+            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("failed_set")))).alias("_p"))
+            .select("batchrundate", "filename", F.array_join("_p", ",").alias("failed_processes"),
+                    F.size("_p").cast("bigint").alias("n_failed_processes")))
 
 
 def empty_sources(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
-                  suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
+                  suffix: str = DATA_FILE_SUFFIX, summary: DataFrame | None = None) -> DataFrame:
     """Validation rows that report an empty source file (no region condition)."""
-    return (load_log.where((F.col("processname") == VALIDATION)
-                           & F.col("errormessage").contains(error_text)
-                           & F.col("sourcename").endswith(suffix))
-            .select("batchrundate", "filename").distinct())
+    sm = summary if summary is not None else load_summary(load_log, error_text, suffix)
+    return sm.where(F.col("empty_source")).select("batchrundate", "filename").distinct()
 
 
 def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame) -> DataFrame:

@@ -28,60 +28,66 @@ OTHER_SOURCES = "SPDST/Others"
 NOTIFY_COLS = ["kind", "regionname", "batchrundate", "run_id", "subject", "body"]
 
 
-def _rows(df: DataFrame, kind: str, subject: Column, body: Column, run_id: Column | None = None) -> DataFrame:
-    return df.select(F.lit(kind).alias("kind"),
-                     (F.col("regionname") if "regionname" in df.columns else F.lit(None).cast("string")).alias("regionname"),
-                     (F.col("batchrundate") if "batchrundate" in df.columns else F.lit(None).cast("date")).alias("batchrundate"),
-                     (run_id if run_id is not None else F.lit(None).cast("bigint")).alias("run_id"),
-                     subject.alias("subject"), F.to_json(body).alias("body"))
+def _alert(cond: Column, kind: str, subject: Column, body: Column) -> Column:
+    """One candidate alert of a row: NULL unless ``cond``."""
+    return F.when(cond, F.struct(F.lit(kind).alias("kind"), subject.alias("subject"),
+                                 F.to_json(body).alias("body")))
+
+
+def _explode(df: DataFrame, candidates: list[Column], run_id: Column | None = None) -> DataFrame:
+    """Each input row becomes its alert rows: one pass over ``df`` whatever the
+    number of alert kinds (no union of filtered copies of the same input)."""
+    rid = run_id if run_id is not None else F.lit(None).cast("bigint")
+    reg = F.col("regionname") if "regionname" in df.columns else F.lit(None).cast("string")
+    day = F.col("batchrundate") if "batchrundate" in df.columns else F.lit(None).cast("date")
+    return (df.select(reg.alias("regionname"), day.alias("batchrundate"), rid.alias("run_id"),
+                      F.explode(F.filter(F.array(*candidates), lambda x: x.isNotNull())).alias("_a"))
+            .select(F.col("_a.kind").alias("kind"), "regionname", "batchrundate", "run_id",
+                    F.col("_a.subject").alias("subject"), F.col("_a.body").alias("body")))
 
 
 def _names(col: str) -> Column:
     return F.split(F.col(col), ",")
 
 
-def decision_alerts(current: DataFrame | None, bmt: DataFrame | None, env: str, jobs: dict[str, str],
-                    bmt_failed: DataFrame | None = None) -> DataFrame | None:
-    """D13 for the triggers. ``current``/``bmt`` are decisions; ``bmt_failed``
-    holds (batchrundate, regionname, filename, detail) of failed BMT files."""
+def current_alerts(current: DataFrame, env: str) -> DataFrame:
+    """D13, SPDST trigger: files missing at the cutoff, and the delay alert."""
     r = F.col("regionname")
-    out = []
-    if current is not None:
-        miss = current.where((F.col("action") == "cutoff") & (F.col("missing") > 0))
-        out.append(_rows(miss, "files_missing", F.format_string(SUBJ_SPDST_MISSING, r),
-                         F.struct(F.lit(env).alias("Env"), _names("names").alias("File"),
-                                  F.lit(PROC_NOT_RECEIVED).alias("Process Name"), r.alias("Region"))))
-        delay = current.where(F.col("delay_alert"))
-        out.append(_rows(delay, "delay", F.format_string(SUBJ_SPDST_DELAY, r),
-                         F.struct(F.lit(env).alias("Env"), F.lit("SPDST").alias("Report_Source"),
-                                  r.alias("Region"), F.lit(MSG_SPDST_DELAY).alias("Message"))))
-    if bmt is not None:
-        msg = F.struct(F.lit(env).alias("Env"),
+    return _explode(current, [
+        _alert((F.col("action") == "cutoff") & (F.col("missing") > 0), "files_missing",
+               F.format_string(SUBJ_SPDST_MISSING, r),
+               F.struct(F.lit(env).alias("Env"), _names("names").alias("File"),
+                        F.lit(PROC_NOT_RECEIVED).alias("Process Name"), r.alias("Region"))),
+        _alert(F.col("delay_alert"), "delay", F.format_string(SUBJ_SPDST_DELAY, r),
+               F.struct(F.lit(env).alias("Env"), F.lit("SPDST").alias("Report_Source"),
+                        r.alias("Region"), F.lit(MSG_SPDST_DELAY).alias("Message"))),
+    ])
+
+
+def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str], bmt_failed: DataFrame) -> DataFrame:
+    """D13, BMT trigger: started (with or without files), files missing and
+    files failed at the cutoff. ``bmt_failed`` holds (batchrundate, regionname,
+    filename, detail) of failed files; their list is built per region and
+    date (bounded by the expected-file catalog of a region)."""
+    r, a = F.col("regionname"), F.col("action")
+    per = (bmt_failed.groupBy("batchrundate", "regionname")
+           .agg(F.sort_array(F.collect_list(F.struct("filename", "detail"))).alias("_f")))
+    df = bmt.join(per, ["batchrundate", "regionname"], "left")
+    started = F.struct(F.lit(env).alias("Env"),
                        F.format_string(MSG_BMT_STARTED, r, F.lit(jobs["BMT"])).alias("Message"), r.alias("Region"))
-        out.append(_rows(bmt.where(F.col("action") == "start"), "started", F.format_string(SUBJ_BMT_STARTED, r), msg))
-        out.append(_rows(bmt.where(F.col("action") == "forced_start"), "started_without_files",
-                         F.format_string(SUBJ_BMT_FORCED, r), msg))
-        cut = bmt.where(F.col("action") == "cutoff")
-        # The missing list of the BMT message is the plain missing list, not the
+    failed_list = F.transform("_f", lambda x: F.create_map(x["filename"], F.split(x["detail"], ",")))
+    return _explode(df, [
+        _alert(a == "start", "started", F.format_string(SUBJ_BMT_STARTED, r), started),
+        _alert(a == "forced_start", "started_without_files", F.format_string(SUBJ_BMT_FORCED, r), started),
+        # The BMT missing message lists the plain missing files, not the
         # "names" text of the log message.
-        miss = cut.where(F.col("missing") > 0)
-        out.append(_rows(miss, "files_missing", F.format_string(SUBJ_BMT_MISSING, r),
-                         F.struct(F.lit(env).alias("Env"), _names("missing_names").alias("Missing Priority File"),
-                                  F.lit(PROC_NOT_RECEIVED).alias("Process Name failed, If any"), r.alias("Region"))))
-        if bmt_failed is not None:
-            per = (bmt_failed.groupBy("batchrundate", "regionname")
-                   .agg(F.sort_array(F.collect_list(F.struct("filename", "detail"))).alias("_f")))
-            lst = F.transform("_f", lambda x: F.create_map(x["filename"], F.split(x["detail"], ",")))
-            failed = cut.join(per, ["batchrundate", "regionname"])
-            out.append(_rows(failed, "files_failed", F.format_string(SUBJ_BMT_FAILED, r),
-                             F.struct(F.lit(env).alias("Env"), lst.alias("Priority File Failed"),
-                                      F.lit("NA").alias("Process Name failed, If any"), r.alias("Region"))))
-    if not out:
-        return None
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+        _alert((a == "cutoff") & (F.col("missing") > 0), "files_missing", F.format_string(SUBJ_BMT_MISSING, r),
+               F.struct(F.lit(env).alias("Env"), _names("missing_names").alias("Missing Priority File"),
+                        F.lit(PROC_NOT_RECEIVED).alias("Process Name failed, If any"), r.alias("Region"))),
+        _alert((a == "cutoff") & F.col("_f").isNotNull(), "files_failed", F.format_string(SUBJ_BMT_FAILED, r),
+               F.struct(F.lit(env).alias("Env"), failed_list.alias("Priority File Failed"),
+                        F.lit("NA").alias("Process Name failed, If any"), r.alias("Region"))),
+    ])
 
 
 def run_alerts(outcomes: DataFrame, failed_steps: DataFrame, env: str, report_url: str,
@@ -96,19 +102,19 @@ def run_alerts(outcomes: DataFrame, failed_steps: DataFrame, env: str, report_ur
         label.alias("Region")).alias("_entry"))
     df = outcomes.join(fs, run_col, "left").withColumn("_label", label)
     lab = F.col("_label")
-    failed = df.where(F.col("execution_status") == "Failed")
-    ok = df.where(F.col("execution_status") != "Failed")
+    failed = F.col("execution_status") == "Failed"
     empty = F.array().cast("array<struct<`Stored Procedure Name`:string,Error:string,`Data Source`:string,Region:string>>")
-    f_rows = _rows(failed, "run_failed", F.format_string(SUBJ_RUN, lab, F.lit("Failed")),
-                   F.struct(F.lit(env).alias("Env"), F.array("_entry").alias("Error Message"),
-                            F.lit("Failed").alias("status"), lab.alias("Region")), F.col(run_col))
-    s_rows = _rows(ok, "run_succeeded", F.format_string(SUBJ_RUN, lab, F.lit("Successful")),
-                   F.struct(F.lit(env).alias("Env"), empty.alias("Error Message"),
-                            F.lit("Succeeded").alias("status"), lab.alias("Region")), F.col(run_col))
-    l_rows = _rows(ok, "run_report_link", F.format_string(SUBJ_RUN_LINK, lab),
-                   F.struct(F.lit(env).alias("Env"), F.format_string(MSG_RUN_LINK, lab).alias("Message"),
-                            F.lit(report_url).alias("Report_Url")), F.col(run_col))
-    return f_rows.unionByName(s_rows).unionByName(l_rows)
+    return _explode(df, [
+        _alert(failed, "run_failed", F.format_string(SUBJ_RUN, lab, F.lit("Failed")),
+               F.struct(F.lit(env).alias("Env"), F.array("_entry").alias("Error Message"),
+                        F.lit("Failed").alias("status"), lab.alias("Region"))),
+        _alert(~failed, "run_succeeded", F.format_string(SUBJ_RUN, lab, F.lit("Successful")),
+               F.struct(F.lit(env).alias("Env"), empty.alias("Error Message"),
+                        F.lit("Succeeded").alias("status"), lab.alias("Region"))),
+        _alert(~failed, "run_report_link", F.format_string(SUBJ_RUN_LINK, lab),
+               F.struct(F.lit(env).alias("Env"), F.format_string(MSG_RUN_LINK, lab).alias("Message"),
+                        F.lit(report_url).alias("Report_Url"))),
+    ], F.col(run_col))
 
 
 def start_requests(decisions: DataFrame, jobs: dict[str, str]) -> DataFrame:

@@ -18,13 +18,14 @@ def file_chain(ct: ControlTables, source: str, rule: str) -> dict[str, DataFrame
     pf = FS.priority_files(ct.d_file_property, source)
     cal = FS.calendar(ct.d_trigger_log)
     expected = FS.expected_by_date(cal, pf)
-    loaded = FS.curated_loaded(ct.d_audit_log, pf)
+    summary = FS.load_summary(ct.d_audit_log, P.FIXTURE_EMPTY_ERROR)
+    loaded = FS.curated_loaded(ct.d_audit_log, pf, summary)
     mapped = FS.map_procedures(loaded, ct.d_sp_map)
     pub = FS.published(mapped, ct.d_audit_log)
     match = "exact" if rule == "current" else "contains"
     rec = FS.received(ct.d_landing, expected, match, P.FIXTURE_METADATA_PREFIX)
-    failed = FS.failed_processes(ct.d_audit_log)
-    empty = FS.empty_sources(ct.d_audit_log, P.FIXTURE_EMPTY_ERROR)
+    failed = FS.failed_processes(ct.d_audit_log, summary)
+    empty = FS.empty_sources(ct.d_audit_log, summary=summary)
     refd = FS.reference_dates(pub, ct.d_audit_log, ct.d_curated_ref) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
@@ -292,7 +293,7 @@ def q36_notifications(spark: SparkSession, sf: str) -> DataFrame:
     bmt = decisions(ct, "bmt")
     failed_files = (file_chain(ct, "bmt", "bmt")["states"].where(F.col("state") == "failed")
                     .select("batchrundate", "regionname", "filename", "detail"))
-    trig = O.decision_alerts(cur, bmt, P.ENV, P.JOBS, failed_files)
+    trig = O.current_alerts(cur, P.ENV).unionByName(O.bmt_alerts(bmt, P.ENV, P.JOBS, failed_files))
     steps = R.step_outcomes(plan(ct), "strict")
     outcomes = R.run_outcome(steps, "strict")
     runs = O.run_alerts(outcomes, steps.where(F.col("outcome") == R.FAILED), P.ENV, P.REPORT_URL,

@@ -55,12 +55,26 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; set a scratch one only when unset
-    (local runs and tests)."""
+    """Use the cluster's checkpoint folder (``spark.checkpoint.dir``). Only a
+    local session (tests, single-node runs) gets a scratch folder when it is
+    unset; a cluster without one is an error, never a machine-local folder."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder of the cluster")
         d = tempfile.mkdtemp(prefix="arrivalgate-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 -- some deployments forbid runtime core confs
+            pass
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and read it
+    back (reliable ``checkpoint``, never a local one), so a result used by
+    several outputs is computed once and survives lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
