@@ -62,17 +62,18 @@ def expected_by_date(cal: DataFrame, files: DataFrame) -> DataFrame:
 def load_summary(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
                  suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
     """One pass over the load log (the largest input) for the three per-file
-    facts the readiness rules need, per (batchrundate, regionname, filename):
-    a succeeded curated load (J01), the set of failed processes (J09) and an
-    empty-source validation row (P11). Reduced map-side before the shuffle;
+    facts the readiness rules need, per (batchrundate, regionname, filename,
+    processname): a succeeded curated load (J01), a failed run of the process
+    (J09) and an empty-source validation row (P11). Only fixed-width flags are
+    aggregated, so it is a code-generated hash aggregate reduced map-side;
     the curated, failed and empty operators below all read this one result,
     so a query scans the log once for them (Spark reuses the exchange)."""
     pn, st = F.col("processname"), F.col("executionstatus")
     empty = ((pn == VALIDATION) & F.col("errormessage").contains(error_text)
              & F.col("sourcename").endswith(suffix))
-    return (load_log.groupBy(*KEY)
+    return (load_log.groupBy(*KEY, "processname")
             .agg(F.bool_or(F.coalesce((pn == CURATED) & (st == SUCCEEDED), F.lit(False))).alias("curated_ok"),
-                 F.collect_set(F.when(st == FAILED, pn)).alias("failed_set"),
+                 F.bool_or(F.coalesce(st == FAILED, F.lit(False))).alias("failed"),
                  F.bool_or(F.coalesce(empty, F.lit(False))).alias("empty_source")))
 
 
@@ -84,14 +85,14 @@ def curated_loaded(load_log: DataFrame, files: DataFrame, summary: DataFrame | N
             .join(files, ["regionname", "filename"], "left_semi"))
 
 
-def map_procedures(loaded: DataFrame, file_procs: DataFrame) -> DataFrame:
+def map_procedures(loaded: DataFrame, file_procs: DataFrame, lengths: list[int] | None = None) -> DataFrame:
     """J03 + A12: each loaded file to its procedure by ``source_filename`` containing
     the file name on the same region; files without a procedure drop out. The
     reference takes an arbitrary first match; ours is the smallest name (R2)."""
     names = loaded.select("regionname", "filename").distinct()
     matched = contains_join(names, "filename",
                             file_procs.select("regionname", "source_filename", "stored_procedure_name"),
-                            "source_filename", on=["regionname"])
+                            "source_filename", on=["regionname"], lengths=lengths)
     proc = matched.groupBy("regionname", "filename").agg(
         F.min("stored_procedure_name").alias("stored_procedure_name"))
     return loaded.join(proc, ["regionname", "filename"])
@@ -125,7 +126,7 @@ def landed_objects(landing: DataFrame, metadata_prefix: str = T.METADATA_PREFIX)
 
 
 def received(landing: DataFrame, expected: DataFrame, match: str = "exact",
-             metadata_prefix: str = T.METADATA_PREFIX) -> DataFrame:
+             metadata_prefix: str = T.METADATA_PREFIX, lengths: list[int] | None = None) -> DataFrame:
     """Expected files found in the landing or archive zone of their date.
 
     ``exact`` (J07): the object's stem less its 15-character stamp equals the
@@ -137,16 +138,16 @@ def received(landing: DataFrame, expected: DataFrame, match: str = "exact",
         return expected.join(names, KEY, "left_semi").select(*KEY)
     if match == "contains":
         return contains_join(expected.select(*KEY), "filename", objs, "object_name",
-                             on=DAY_REGION, how="left_semi").select(*KEY)
+                             on=DAY_REGION, how="left_semi", lengths=lengths).select(*KEY)
     raise ValueError(f"unknown match {match!r}")
 
 
 def failed_processes(load_log: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Distinct failed processes of a file on a date (no region condition)."""
     sm = summary if summary is not None else load_summary(load_log)
-    return (sm.where(F.size("failed_set") > 0)
+    return (sm.where(F.col("failed"))
             .groupBy("batchrundate", "filename")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("failed_set")))).alias("_p"))
+            .agg(F.array_sort(F.collect_set("processname")).alias("_p"))
             .select("batchrundate", "filename", F.array_join("_p", ",").alias("failed_processes"),
                     F.size("_p").cast("bigint").alias("n_failed_processes")))
 
@@ -158,7 +159,8 @@ def empty_sources(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
     return sm.where(F.col("empty_source")).select("batchrundate", "filename").distinct()
 
 
-def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame) -> DataFrame:
+def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame,
+                    lengths: list[int] | None = None) -> DataFrame:
     """S09 + J14 + P13 + P14: for point-in-time (PND) files, the curated table
     their succeeded curated load wrote to (load-log ``filename`` containing the
     file), then that table's ``reference_dt`` for rows whose ``source_nm``
@@ -171,10 +173,11 @@ def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFram
     loads = (load_log.where((F.col("processname") == CURATED) & (F.col("executionstatus") == SUCCEEDED))
              .select(*DAY_REGION, F.col("filename").alias("load_filename"),
                      F.col("destinationname").alias("table_name")))
-    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION)
+    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION, lengths=lengths)
               .groupBy(*KEY).agg(F.min("table_name").alias("table_name")))
     refs = curated_ref.select("batchrundate", "table_name", "source_nm", "reference_dt")
-    dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"])
+    dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"],
+                           lengths=lengths)
              .groupBy(*KEY).agg(F.max("reference_dt").alias("reference_dt")))
     return dated.withColumn("ref_ok", F.col("reference_dt") == F.date_sub("batchrundate", 1))
 

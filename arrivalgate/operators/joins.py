@@ -56,16 +56,22 @@ def fragments(hay_col: str, lengths: list[int]):
 
 
 def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay_col: str,
-                  on: list[str] | None = None, how: str = "inner") -> DataFrame:
+                  on: list[str] | None = None, how: str = "inner",
+                  lengths: list[int] | None = None) -> DataFrame:
     """Rows of ``needles`` x ``haystacks`` where ``hay_col`` contains ``needle_col``
     (and the ``on`` columns are equal). ``how`` is ``inner``, ``left_semi``
     (needles with at least one match) or ``left_anti``.
 
     Output columns (``inner``): needles' columns, then haystacks' columns that
     are not already in needles.
+
+    ``lengths``: needle lengths if known (any superset is exact, e.g. the
+    lengths of a small catalog the needles come from); else read from the
+    needles with one small aggregate.
     """
     on = list(on or [])
-    lengths = needle_lengths(needles, needle_col)
+    if lengths is None:
+        lengths = needle_lengths(needles, needle_col)
     extra = [c for c in haystacks.columns if c not in on and c not in needles.columns]
     # Right side renamed so the join resolves by name even when both sides
     # come from the same table.

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalgate.operators import files as FS
+from arrivalgate.operators.joins import needle_lengths
 from arrivalgate.plans import params as P
 from arrivalgate.sources.fixtures import ControlTables
 
@@ -20,13 +21,16 @@ def file_chain(ct: ControlTables, source: str, rule: str) -> dict[str, DataFrame
     expected = FS.expected_by_date(cal, pf)
     summary = FS.load_summary(ct.d_audit_log, P.FIXTURE_EMPTY_ERROR)
     loaded = FS.curated_loaded(ct.d_audit_log, pf, summary)
-    mapped = FS.map_procedures(loaded, ct.d_sp_map)
+    # Every needle of the chain's substring joins is a priority file name, so
+    # the lengths of that small catalog serve all of them (read once).
+    lens = needle_lengths(pf, "filename")
+    mapped = FS.map_procedures(loaded, ct.d_sp_map, lens)
     pub = FS.published(mapped, ct.d_audit_log)
     match = "exact" if rule == "current" else "contains"
-    rec = FS.received(ct.d_landing, expected, match, P.FIXTURE_METADATA_PREFIX)
+    rec = FS.received(ct.d_landing, expected, match, P.FIXTURE_METADATA_PREFIX, lens)
     failed = FS.failed_processes(ct.d_audit_log, summary)
     empty = FS.empty_sources(ct.d_audit_log, summary=summary)
-    refd = FS.reference_dates(pub, ct.d_audit_log, ct.d_curated_ref) if rule == "legacy" else None
+    refd = FS.reference_dates(pub, ct.d_audit_log, ct.d_curated_ref, lens) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
             "mapped": mapped, "published": pub, "received": rec, "failed": failed,

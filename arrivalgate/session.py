@@ -8,10 +8,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job of the engine relies on. AQE re-plans joins from runtime
-# sizes (so a broadcast only happens behind a measured size), coalesces small
-# shuffle partitions and splits skewed ones (one region may hold a third of
-# all load-log rows).
+# sizes, coalesces small shuffle partitions and splits skewed ones (one region
+# may hold a third of all load-log rows). Static auto-broadcast is off: a
+# planner estimate from compressed file sizes is no bound on the in-memory
+# size (a filtered 100 TB log can look small). Only AQE broadcasts, from the
+# measured size of a finished shuffle stage.
 ENGINE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -98,12 +98,33 @@ def duckdb_view_sql(name: str) -> str:
     return sql.format(**{r: r for r in _refs(sql) if r != "ntz"}, ntz="TIMESTAMP").strip()
 
 
+def _fingerprint(sf_dir: str) -> str:
+    """Identity of a test-data folder: names, sizes and times of its files."""
+    import hashlib
+    import os
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for n in sorted(os.listdir(sf_dir)):
+        st = os.stat(os.path.join(sf_dir, n))
+        h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
+    return h.hexdigest()[:16]
+
+
 class ControlTables:
-    """Lazy access to the driver tables and the derived control tables."""
+    """Lazy access to the driver tables and the derived control tables.
+
+    The derived tables stand in for stored control tables, so they are stored:
+    each is derived by Spark once, written as parquet under the shared
+    checkpoint folder and read back (a written table cuts the lineage; every
+    query then scans it with column pruning, as it would a real table).
+    ``stored=False`` keeps them as plain views.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    _written: dict[str, str] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.stored = stored
         self._cache: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
@@ -130,5 +151,22 @@ class ControlTables:
                     continue
                 args[r] = self.derived(r) if r.startswith("d_") else self.base(r)
             text = sql.replace("{ntz}", "TIMESTAMP_NTZ")
-            self._cache[name] = self.spark.sql(text, **args)
+            df = self.spark.sql(text, **args)
+            self._cache[name] = self._store(name, df) if self.stored else df
         return self._cache[name]
+
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        import os
+        from arrivalgate.session import ensure_checkpoint_dir
+        key = f"{_fingerprint(self.sf_dir)}/{name}"
+        path = ControlTables._written.get(key)
+        if path is None:
+            path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", key)
+            jvm = self.spark.sparkContext._jvm
+            done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+            fs = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            if not fs.exists(done):
+                # Balanced files, one per core: the stand-in's storage layout.
+                df.repartition(self.spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
+            ControlTables._written[key] = path
+        return self.spark.read.parquet(path)
