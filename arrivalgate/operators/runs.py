@@ -10,7 +10,7 @@ map-side and its rows spread over many tasks (AQE splits the skewed join).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivalgate.functions import text as T
@@ -24,17 +24,36 @@ LOG_FINISHED, LOG_FAILED = "Finished", "Failed"
 UNKNOWN_ERROR = "Unknown error"
 
 
-def order_position():
-    """Numeric order key, non-numeric keys last (by text)."""
+def select_plan(run_plan: DataFrame, kind: str = "other", files_received: str | None = None) -> DataFrame:
+    """S08 + P04/P05/P21: the steps an executor runs. ``bmt``: data source
+    containing 'BMT' and ``codebase`` equal to the priority-files flag;
+    ``other``: data source NOT LIKE '%BMT%' (NULL sources drop out, as in SQL)."""
+    src = F.col("file_datasource")
+    if kind == "bmt":
+        df = run_plan.where(src.contains("BMT"))
+        if files_received is not None:
+            df = df.where(F.col("codebase") == files_received)
+        return df
+    if kind == "other":
+        return run_plan.where(~src.contains("BMT"))
+    raise ValueError(f"unknown plan kind {kind!r}")
+
+
+def order_position(numeric: bool = True):
+    """Numeric order key, non-numeric keys last (by text).
+    L02 (``numeric=False``): the stored text order of ``exec_order``."""
+    if not numeric:
+        return F.struct(F.lit(False).alias("non_numeric"), F.lit(None).cast("double").alias("order_key"),
+                        F.col("exec_order").alias("order_text"))
     key = F.expr("try_cast(exec_order AS DOUBLE)")
     return F.struct(key.isNull().alias("non_numeric"), key.alias("order_key"),
                     F.when(key.isNull(), F.col("exec_order")).alias("order_text"))
 
 
-def plan_order(steps: DataFrame, run_col: str = "run_id") -> DataFrame:
-    """L01 + W03 + J16 + R11: one step per (run, order key). Duplicate keys run
+def plan_order(steps: DataFrame, run_col: str = "run_id", numeric: bool = True) -> DataFrame:
+    """L01/L02 + W03 + J16 + R11: one step per (run, order key). Duplicate keys run
     one procedure (the smallest name) and are counted in ``duplicate_keys``."""
-    pos = order_position()
+    pos = order_position(numeric)
     payload = [c for c in steps.columns if c not in (run_col,)]
     first = F.min(F.struct("stored_procedure_name", *[c for c in payload if c != "stored_procedure_name"]))
     return (steps.withColumn("pos", pos)
@@ -154,3 +173,26 @@ def error_texts(steps: DataFrame) -> DataFrame:
     return (steps.where(F.col("error").isNotNull()).select("error").distinct()
             .select("error", T.error_second_part("error").alias("second_part"),
                     T.error_tail("error").alias("tail")))
+
+
+def close_runs(outcomes: DataFrame, run_keys: DataFrame, ended_at) -> tuple[DataFrame, DataFrame]:
+    """K04 + K06: the closing changes of a run for both audit tables.
+
+    ``run_keys`` maps ``run_id`` to (batchrundate, regionname, report_source,
+    identifier). Returns (trigger-log changes keyed by date, region and
+    source: state, actual end, error text; report-master changes keyed by
+    region and identifier: status). Apply them with ``gate.merge_log``.
+    """
+    end = ended_at if isinstance(ended_at, Column) else F.lit(str(ended_at)).cast("timestamp_ntz")
+    j = outcomes.join(run_keys, "run_id")
+    log = j.select("batchrundate", "regionname", "report_source", "execution_status",
+                   end.alias("actual_end_time"), "error_message")
+    master = j.select("regionname", "identifier", F.col("report_status").alias("status"))
+    return log, master
+
+
+def start_runs(run_keys: DataFrame, started_at) -> DataFrame:
+    """Report-master changes at run start: 'InProgress' and the actual start."""
+    start = started_at if isinstance(started_at, Column) else F.lit(str(started_at)).cast("timestamp_ntz")
+    return run_keys.select("regionname", "identifier", F.lit("InProgress").alias("status"),
+                           start.alias("actual_start_time"))

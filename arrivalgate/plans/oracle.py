@@ -277,7 +277,7 @@ FROM (SELECT *, {_POSK} AS order_key,
     ORDER BY stored_procedure_name NULLS FIRST, exec_order NULLS FIRST, file_datasource NULLS FIRST, codebase NULLS FIRST,
              status NULLS FIRST, error NULLS FIRST) AS rn,
   count(*) OVER (PARTITION BY run_id, {_POSK}, CASE WHEN {_POSK} IS NULL THEN exec_order END) AS duplicate_keys
-  FROM d_run_steps) z WHERE rn = 1"""
+  FROM d_run_steps WHERE NOT (file_datasource LIKE '%BMT%')) z WHERE rn = 1"""
 
 
 def _halt(kind: str) -> str:

@@ -231,7 +231,7 @@ from arrivalgate.operators import runs as R  # noqa: E402
 
 
 def plan(ct: ControlTables) -> DataFrame:
-    return R.plan_order(ct.d_run_steps)
+    return R.plan_order(R.select_plan(ct.d_run_steps, "other"))
 
 
 def q30_plan_order(spark: SparkSession, sf: str) -> DataFrame:

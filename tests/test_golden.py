@@ -120,3 +120,37 @@ def test_duplicate_order_keys(spark):
     rows = R.plan_order(df).orderBy("pos").collect()
     assert [r.stored_procedure_name for r in rows] == ["SP_A", "SP_D", "SP_C"]
     assert [r.duplicate_keys for r in rows] == [2, 1, 1]
+
+
+def test_select_plan_and_text_order(spark):
+    df = spark.createDataFrame([(1, "10", "SP_A", "BMT", "Y", "FINISHED", None), (1, "9", "SP_B", "BMT", "N", "FINISHED", None),
+                                (1, "2", "SP_C", "SPDST", "Y", "FINISHED", None), (1, "1", "SP_D", None, "Y", "FINISHED", None)],
+                               "run_id bigint, exec_order string, stored_procedure_name string, file_datasource string, "
+                               "codebase string, status string, error string")
+    assert [r.stored_procedure_name for r in R.select_plan(df, "bmt", "Y").collect()] == ["SP_A"]
+    assert [r.stored_procedure_name for r in R.select_plan(df, "other").collect()] == ["SP_C"]
+    bmt = R.select_plan(df, "bmt")
+    assert [r.stored_procedure_name for r in R.plan_order(bmt).orderBy("pos").collect()] == ["SP_B", "SP_A"]
+    assert [r.stored_procedure_name for r in R.plan_order(bmt, numeric=False).orderBy("pos").collect()] == ["SP_A", "SP_B"]
+
+
+def test_close_and_start_runs(spark):
+    from arrivalgate.operators import gate as G
+    p = _plan(spark, [("OTHER", "FAILED", "ERROR: relation 7: missing")])
+    out = R.run_outcome(R.step_outcomes(p, "strict"), "strict")
+    keys = spark.createDataFrame([(1, dt.date(2024, 1, 15), "EMEA", "SPDST", "SPDST")],
+                                 "run_id bigint, batchrundate date, regionname string, report_source string, identifier string")
+    log_changes, master_changes = R.close_runs(out, keys, "2024-01-15 13:00:00")
+    log = spark.createDataFrame([(dt.date(2024, 1, 15), "EMEA", "SPDST", "Submitted", None, "NA")],
+                                "batchrundate date, regionname string, report_source string, execution_status string, "
+                                "actual_end_time timestamp_ntz, error_message string")
+    merged = G.merge_log(log, log_changes, cols=["execution_status", "actual_end_time", "error_message"]).first()
+    assert (merged.execution_status, merged.error_message) == ("Failed", " relation 7: missing")
+    assert merged.actual_end_time == dt.datetime(2024, 1, 15, 13, 0)
+    master = spark.createDataFrame([("EMEA", "SPDST", "Yet to start", None)],
+                                   "regionname string, identifier string, status string, actual_start_time timestamp_ntz")
+    started = G.merge_log(master, R.start_runs(keys, "2024-01-15 12:00:00"), ["regionname", "identifier"],
+                          ["status", "actual_start_time"]).first()
+    assert started.status == "InProgress" and started.actual_start_time == dt.datetime(2024, 1, 15, 12, 0)
+    closed = G.merge_log(master, master_changes, ["regionname", "identifier"], ["status"]).first()
+    assert closed.status == "Failed"
