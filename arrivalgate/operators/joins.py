@@ -33,13 +33,47 @@ def needle_lengths(needles: DataFrame, needle_col: str) -> list[int]:
     return sorted(int(r["n"]) for r in rows)
 
 
+def _positions(hay, lengths: list[int]):
+    """(length, start) of every substring of ``hay`` with a length in ``lengths``,
+    as one integer index space: index i < c1 is (L1, i+1), the next c2 are
+    (L2, ..), and so on, where c_k = max(len - L_k + 1, 0). Exploding a plain
+    integer sequence is much cheaper than building arrays of strings."""
+    n = F.length(hay)
+    counts = [F.greatest(n - F.lit(L - 1), F.lit(0)) if L > 0 else F.when(hay.isNotNull(), F.lit(1)).otherwise(0)
+              for L in lengths]
+    total = counts[0]
+    for c in counts[1:]:
+        total = total + c
+    return total, counts
+
+
+def fragment_columns(hay_col: str, lengths: list[int], idx: str):
+    """Length and text of fragment number ``idx`` (see ``_positions``)."""
+    hay = F.col(hay_col)
+    _, counts = _positions(hay, lengths)
+    i = F.col(idx)
+    length = start = None
+    offset = F.lit(0)
+    for L, c in zip(lengths, counts):
+        cond = i < offset + c
+        st = i - offset + 1
+        length = F.when(cond, F.lit(L)) if length is None else length.when(cond, F.lit(L))
+        start = F.when(cond, st) if start is None else start.when(cond, st)
+        offset = offset + c
+    frag = F.substring(hay, start, length)
+    # Keep the first occurrence of each distinct fragment only.
+    first = (F.instr(hay, frag) == start) | (length == 0)
+    return frag, first
+
+
 def _substr_at(hay, length: int):
     # One-argument lambda: transform() inspects the arity of the function.
     return lambda i: F.substring(hay, i, F.lit(length))
 
 
 def fragments(hay_col: str, lengths: list[int]):
-    """Distinct substrings of ``hay_col`` of each length in ``lengths``."""
+    """Distinct substrings of ``hay_col`` of each length in ``lengths`` (as an
+    array; the join uses the cheaper position form of ``contains_join``)."""
     hay = F.col(hay_col)
     n = F.length(hay)
     per_len = []
@@ -47,9 +81,8 @@ def fragments(hay_col: str, lengths: list[int]):
         if L == 0:
             per_len.append(F.when(hay.isNotNull(), F.array(F.lit(""))))
             continue
-        per_len.append(F.when(n >= L, F.transform(
-            F.sequence(F.lit(1), n - F.lit(L - 1)), _substr_at(hay, L)))
-            .otherwise(F.array().cast("array<string>")))
+        per_len.append(F.when(n >= L, F.transform(F.sequence(F.lit(1), n - F.lit(L - 1)), _substr_at(hay, L)))
+                       .otherwise(F.array().cast("array<string>")))
     if not per_len:
         return F.array().cast("array<string>")
     return F.array_distinct(F.flatten(F.array(*per_len)))
@@ -75,10 +108,15 @@ def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay
     extra = [c for c in haystacks.columns if c not in on and c not in needles.columns]
     # Right side renamed so the join resolves by name even when both sides
     # come from the same table.
-    right = haystacks.select(
-        *[F.col(c).alias(f"__r_{c}") for c in on],
-        F.explode(fragments(hay_col, lengths)).alias(_FRAG),
-        *[F.col(c) for c in extra])
+    lengths = lengths or [0]  # no non-null needle: nothing can match
+    total, _ = _positions(F.col(hay_col), lengths)
+    idx = "__idx"
+    seq = F.when(total > 0, F.sequence(F.lit(0), total - 1)).otherwise(F.array().cast("array<int>"))
+    expanded = haystacks.select("*", F.explode(seq).alias(idx))
+    frag, first = fragment_columns(hay_col, lengths, idx)
+    right = (expanded.select(*[F.col(c).alias(f"__r_{c}") for c in on], frag.alias(_FRAG), first.alias("__first"),
+                             *[F.col(c) for c in extra])
+             .where("__first").drop("__first"))
     cond = [F.col(c) == F.col(f"__r_{c}") for c in on] + [F.col(needle_col) == F.col(_FRAG)]
     if how in ("left_semi", "left_anti"):
         # A semi/anti join can only build its right side, which here would be

@@ -119,8 +119,6 @@ class ControlTables:
     ``stored=False`` keeps them as plain views.
     """
 
-    _written: dict[str, str] = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -144,29 +142,42 @@ class ControlTables:
 
     def derived(self, name: str) -> DataFrame:
         if name not in self._cache:
-            sql = DERIVED_SQL[name]
-            args = {}
-            for r in _refs(sql):
-                if r == "ntz":
-                    continue
-                args[r] = self.derived(r) if r.startswith("d_") else self.base(r)
-            text = sql.replace("{ntz}", "TIMESTAMP_NTZ")
-            df = self.spark.sql(text, **args)
-            self._cache[name] = self._store(name, df) if self.stored else df
+            df = None
+            if self.stored:
+                try:
+                    df = self._stored(name)
+                except Exception:  # noqa: BLE001 -- no JVM handle or folder (e.g. a Connect session): keep the view
+                    df = None
+            self._cache[name] = df if df is not None else self._view(name)
         return self._cache[name]
 
-    def _store(self, name: str, df: DataFrame) -> DataFrame:
+    def _view(self, name: str) -> DataFrame:
+        sql = DERIVED_SQL[name]
+        args = {}
+        for r in _refs(sql):
+            if r == "ntz":
+                continue
+            args[r] = self.derived(r) if r.startswith("d_") else self.base(r)
+        return self.spark.sql(sql.replace("{ntz}", "TIMESTAMP_NTZ"), **args)
+
+    # (session, folder fingerprint, name) -> DataFrame over the stored table
+    _frames: dict[tuple, DataFrame] = {}
+
+    def _stored(self, name: str) -> DataFrame:
         import os
         from arrivalgate.session import ensure_checkpoint_dir
-        key = f"{_fingerprint(self.sf_dir)}/{name}"
-        path = ControlTables._written.get(key)
-        if path is None:
-            path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", key)
-            jvm = self.spark.sparkContext._jvm
-            done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-            fs = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            if not fs.exists(done):
-                # Balanced files, one per core: the stand-in's storage layout.
-                df.repartition(self.spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
-            ControlTables._written[key] = path
-        return self.spark.read.parquet(path)
+        fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.sf_dir), name)
+        hit = ControlTables._frames.get(fkey)
+        if hit is not None:
+            return hit
+        path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", fkey[1], name)
+        jvm = self.spark.sparkContext._jvm
+        done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+        fs = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(done):
+            # Balanced files, one per core: the stand-in's storage layout.
+            (self._view(name).repartition(self.spark.sparkContext.defaultParallelism)
+             .write.mode("overwrite").parquet(path))
+        df = self.spark.read.parquet(path)
+        ControlTables._frames[fkey] = df
+        return df
