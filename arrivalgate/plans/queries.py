@@ -314,7 +314,10 @@ def q37_start_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def _hourly(ct: ControlTables, **flags) -> DataFrame:
     ev = ct.events
-    return (ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"))
+    # Zone-free hour bucket of a TIMESTAMP_NTZ (date_trunc would go through
+    # the session zone).
+    hour = F.to_timestamp_ntz(F.date_format("ts", "yyyy-MM-dd HH:00:00"))
+    return (ev.groupBy(hour.alias("hour_start"))
             .agg(F.count(F.lit(1)).alias("n_events"),
                  *[F.count_if(c).alias(name) for name, c in flags.items()]))
 
