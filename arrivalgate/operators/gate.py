@@ -123,7 +123,8 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
     df = (w.join(log.select(*KEYS, *log_cols, F.lit(True).alias("_has_row")), KEYS, "left")
           .join(ready.select(*DAY_REGION, "expected", "done", "missing", "names", "missing_names"),
                 DAY_REGION, "left")
-          .join(busy.select("regionname", "busy"), "regionname", "left"))
+          # One row per region: bounded by the region catalog, so broadcast.
+          .join(F.broadcast(busy.select("regionname", "busy")), "regionname", "left"))
     if upstream is not None:
         df = df.join(upstream.select(*DAY_REGION, "upstream_finished"), DAY_REGION, "left")
     df = df.withColumn("_now", now)
