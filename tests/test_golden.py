@@ -154,3 +154,20 @@ def test_close_and_start_runs(spark):
     assert started.status == "InProgress" and started.actual_start_time == dt.datetime(2024, 1, 15, 12, 0)
     closed = G.merge_log(master, master_changes, ["regionname", "identifier"], ["status"]).first()
     assert closed.status == "Failed"
+
+
+def test_statement_states_poll_error(spark):
+    t = dt.datetime(2024, 1, 15, 10, 0)
+    ev = spark.createDataFrame([("q1", t, 1, "SUBMITTED"), ("q1", t, 2, "POLL_ERROR"), ("q1", t, 3, "FINISHED"),
+                                ("q2", t, 1, "SUCCEEDED")],
+                               "statement_id string, started timestamp_ntz, seq bigint, state string")
+    older = {r.statement_id: r.final_state for r in R.statement_states(ev, aliases={"SUCCEEDED": "FINISHED"}).collect()}
+    newer = {r.statement_id: r.final_state for r in
+             R.statement_states(ev, poll_error_fails=True, aliases={"SUCCEEDED": "FINISHED"}).collect()}
+    assert older == {"q1": "FINISHED", "q2": "FINISHED"}
+    assert newer == {"q1": "FAILED", "q2": "FINISHED"}
+
+
+def test_procedure_name_forms(spark):
+    r = one(spark, a=T.is_no_arg_call(F.lit("PUBLISHED.SP_X ();")), b=T.is_no_arg_call(F.lit("PUBLISHED.SP_X ('EMEA')")))
+    assert r.a is True and r.b is False
