@@ -55,8 +55,20 @@ def calendar(trigger_log: DataFrame) -> DataFrame:
 
 
 def expected_by_date(cal: DataFrame, files: DataFrame) -> DataFrame:
-    """Expected files of every evaluated region and date."""
-    return cal.join(files, "regionname").select(*KEY)
+    """Expected files of every evaluated region and date. The calendar is
+    broadcast: it is bounded by calendar days x the region catalog, and the
+    join key is the region alone (a shuffle on it would put a hot region's
+    files in one task)."""
+    return F.broadcast(cal.select(*DAY_REGION)).join(files, "regionname").select(*KEY)
+
+
+def restrict_to_dates(df: DataFrame, cal: DataFrame) -> DataFrame:
+    """Only the batch dates being evaluated (a trigger evaluates today, the log
+    holds years). A semi join with the broadcast distinct dates -- bounded by
+    calendar days, a few bytes each -- so the large side is filtered where it
+    is read, never shuffled; on a date-partitioned table Spark can also prune
+    partitions dynamically."""
+    return df.join(F.broadcast(cal.select("batchrundate").distinct()), "batchrundate", "left_semi")
 
 
 def load_summary(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,

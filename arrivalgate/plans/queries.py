@@ -14,23 +14,27 @@ from arrivalgate.sources.fixtures import ControlTables
 
 # ---------------------------------------------------------------- file chain
 
-def file_chain(ct: ControlTables, source: str, rule: str) -> dict[str, DataFrame]:
-    """All stages of the file-readiness chain for one trigger kind."""
+def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True) -> dict[str, DataFrame]:
+    """All stages of the file-readiness chain for one trigger kind. With
+    ``restrict`` the two large inputs are read for the evaluated batch dates
+    only (every file state is on those dates)."""
     pf = FS.priority_files(ct.d_file_property, source)
     cal = FS.calendar(ct.d_trigger_log)
     expected = FS.expected_by_date(cal, pf)
-    summary = FS.load_summary(ct.d_audit_log, P.FIXTURE_EMPTY_ERROR)
-    loaded = FS.curated_loaded(ct.d_audit_log, pf, summary)
+    log = FS.restrict_to_dates(ct.d_audit_log, cal) if restrict else ct.d_audit_log
+    landing = FS.restrict_to_dates(ct.d_landing, cal) if restrict else ct.d_landing
+    summary = FS.load_summary(log, P.FIXTURE_EMPTY_ERROR)
+    loaded = FS.curated_loaded(log, pf, summary)
     # Every needle of the chain's substring joins is a priority file name, so
     # the lengths of that small catalog serve all of them (read once).
     lens = needle_lengths(pf, "filename")
     mapped = FS.map_procedures(loaded, ct.d_sp_map, lens)
-    pub = FS.published(mapped, ct.d_audit_log)
+    pub = FS.published(mapped, log)
     match = "exact" if rule == "current" else "contains"
-    rec = FS.received(ct.d_landing, expected, match, P.FIXTURE_METADATA_PREFIX, lens)
-    failed = FS.failed_processes(ct.d_audit_log, summary)
-    empty = FS.empty_sources(ct.d_audit_log, summary=summary)
-    refd = FS.reference_dates(pub, ct.d_audit_log, ct.d_curated_ref, lens) if rule == "legacy" else None
+    rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, lens)
+    failed = FS.failed_processes(log, summary)
+    empty = FS.empty_sources(log, summary=summary)
+    refd = FS.reference_dates(pub, log, ct.d_curated_ref, lens) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
             "mapped": mapped, "published": pub, "received": rec, "failed": failed,
@@ -56,7 +60,8 @@ def q08_file_procedure(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q09_published_files(spark: SparkSession, sf: str) -> DataFrame:
-    return file_chain(ControlTables(spark, sf), "bmt", "bmt")["published"]
+    # Published files of every date in the log, not only the evaluated ones.
+    return file_chain(ControlTables(spark, sf), "bmt", "bmt", restrict=False)["published"]
 
 
 def q10_unpublished_files(spark: SparkSession, sf: str) -> DataFrame:
