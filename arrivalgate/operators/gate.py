@@ -79,20 +79,21 @@ def initial_rows(windows: DataFrame, trigger_log: DataFrame, jobs: dict[str, str
                     msg[F.col("report_source")].alias("error_message")))
 
 
-def next_step_status(trigger_log: DataFrame, source: str, months: int = 0, days: int = 1) -> DataFrame:
-    """Status of the same source's log row one batch step later."""
-    nxt = trigger_log.where(F.col("report_source") == source).select(
+def next_step_status(trigger_log: DataFrame, source: str) -> DataFrame:
+    """The source's log rows keyed by the batch date they follow from."""
+    return trigger_log.where(F.col("report_source") == source).select(
         "regionname", F.col("batchrundate").alias("_next"), F.col("execution_status").alias("next_status"))
-    return nxt, (lambda d: F.add_months(d, months) if months else F.date_add(d, days))
 
 
 def next_day_delay(cal: DataFrame, trigger_log: DataFrame, now: Column, window: tuple,
                    source: str = "SPDST", months: int = 0, days: int = 1) -> DataFrame:
     """D12 (legacy): delay alert when in the delay window (field form, minute <
-    end minute) and the next batch's row is missing or 'Failed'."""
-    nxt, step = next_step_status(trigger_log, source, months, days)
-    df = cal.select(*DAY_REGION).withColumn("_next", step(F.col("batchrundate")))
-    df = df.join(nxt, ["regionname", "_next"], "left").drop("_next")
+    end minute) and the next batch's row (``months`` or ``days`` later) is
+    missing or 'Failed'."""
+    d = F.col("batchrundate")
+    nxt_day = F.add_months(d, months) if months else F.date_add(d, days)
+    df = (cal.select(*DAY_REGION).withColumn("_next", nxt_day)
+          .join(next_step_status(trigger_log, source), ["regionname", "_next"], "left").drop("_next"))
     inside = TC.in_window(now, *window, form="fields_strict_end")
     alert = inside & (F.col("next_status").isNull() | (F.col("next_status") == FAILED))
     return df.select(*DAY_REGION, "next_status", inside.alias("in_window"), alert.alias("alert"))

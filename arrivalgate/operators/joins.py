@@ -66,28 +66,6 @@ def fragment_columns(hay_col: str, lengths: list[int], idx: str):
     return frag, first
 
 
-def _substr_at(hay, length: int):
-    # One-argument lambda: transform() inspects the arity of the function.
-    return lambda i: F.substring(hay, i, F.lit(length))
-
-
-def fragments(hay_col: str, lengths: list[int]):
-    """Distinct substrings of ``hay_col`` of each length in ``lengths`` (as an
-    array; the join uses the cheaper position form of ``contains_join``)."""
-    hay = F.col(hay_col)
-    n = F.length(hay)
-    per_len = []
-    for L in lengths:
-        if L == 0:
-            per_len.append(F.when(hay.isNotNull(), F.array(F.lit(""))))
-            continue
-        per_len.append(F.when(n >= L, F.transform(F.sequence(F.lit(1), n - F.lit(L - 1)), _substr_at(hay, L)))
-                       .otherwise(F.array().cast("array<string>")))
-    if not per_len:
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.flatten(F.array(*per_len)))
-
-
 def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay_col: str,
                   on: list[str] | None = None, how: str = "inner",
                   lengths: list[int] | None = None) -> DataFrame:
