@@ -71,51 +71,79 @@ def restrict_to_dates(df: DataFrame, cal: DataFrame) -> DataFrame:
     return df.join(F.broadcast(cal.select("batchrundate").distinct()), "batchrundate", "left_semi")
 
 
+# Bits of the load-summary flag mask.
+_CURATED_OK, _FAILED, _EMPTY = 1, 2, 4
+
+
 def load_summary(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
                  suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
     """One pass over the load log (the largest input) for the three per-file
     facts the readiness rules need, per (batchrundate, regionname, filename,
     processname): a succeeded curated load (J01), a failed run of the process
-    (J09) and an empty-source validation row (P11). Only fixed-width flags are
-    aggregated, so it is a code-generated hash aggregate reduced map-side;
-    the curated, failed and empty operators below all read this one result,
-    so a query scans the log once for them (Spark reuses the exchange)."""
+    (J09) and an empty-source validation row (P11).
+
+    The facts are one bit mask folded by a single ``bit_or`` (a fixed-width,
+    code-generated hash aggregate reduced map-side), and the flags are
+    projections above it, so Catalyst cannot prune the aggregate differently
+    for different consumers (see ``load_facts``)."""
     pn, st = F.col("processname"), F.col("executionstatus")
     empty = ((pn == VALIDATION) & F.col("errormessage").contains(error_text)
              & F.col("sourcename").endswith(suffix))
-    return (load_log.groupBy(*KEY, "processname")
-            .agg(F.bool_or(F.coalesce((pn == CURATED) & (st == SUCCEEDED), F.lit(False))).alias("curated_ok"),
-                 F.bool_or(F.coalesce(st == FAILED, F.lit(False))).alias("failed"),
-                 F.bool_or(F.coalesce(empty, F.lit(False))).alias("empty_source")))
-
-
-def curated_loaded(load_log: DataFrame, files: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    bit = lambda cond, b: F.when(F.coalesce(cond, F.lit(False)), F.lit(b)).otherwise(F.lit(0))
+    # Disjoint bits, so the sum is the bitwise or.
+    mask = bit((pn == CURATED) & (st == SUCCEEDED), _CURATED_OK) + bit(st == FAILED, _FAILED) + bit(empty, _EMPTY)
+    flags = F.col("_flags")
+    return (load_log.groupBy(*KEY, "processname").agg(F.bit_or(mask).alias("_flags"))
+            .select(*KEY, "processname",
+                    (flags.bitwiseAND(_CURATED_OK) != 0).alias("curated_ok"),
+                    (flags.bitwiseAND(_FAILED) != 0).alias("failed"),
+                    (flags.bitwiseAND(_EMPTY) != 0).alias("empty_source")))
+
+
+def load_facts(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
+               suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
+    """The load summary folded per (batchrundate, filename): the regions with a
+    succeeded curated load, the sorted failed processes (any region, as the
+    reference's failure test has no region condition) and the empty-source
+    flag. All three file facts read this one small table, keyed by date and
+    file only, so the constraints Catalyst infers from their joins are the
+    same and the summary below it -- the only reader of the log -- is
+    computed once per query."""
+    sm = load_summary(load_log, error_text, suffix)
+    return (sm.groupBy("batchrundate", "filename")
+            .agg(F.collect_set(F.when(F.col("curated_ok"), F.col("regionname"))).alias("curated_regions"),
+                 F.array_sort(F.collect_set(F.when(F.col("failed"), F.col("processname")))).alias("failed_list"),
+                 F.bool_or("empty_source").alias("empty_source")))
+
+
+def curated_loaded(load_log: DataFrame, files: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Files with a succeeded curated load, limited to the
     expected files of their region (a semi join; an empty list gives nothing)."""
-    sm = summary if summary is not None else load_summary(load_log)
-    return (sm.where(F.col("curated_ok")).select(*KEY)
-            .join(files, ["regionname", "filename"], "left_semi"))
+    fa = facts if facts is not None else load_facts(load_log)
+    return (fa.select("batchrundate", F.explode("curated_regions").alias("regionname"), "filename")
+            .join(files, ["regionname", "filename"], "left_semi").select(*KEY))
 
 
-def map_procedures(loaded: DataFrame, file_procs: DataFrame, lengths: list[int] | None = None) -> DataFrame:
+def map_procedures(loaded: DataFrame, file_procs: DataFrame, lengths: list[int] | None = None,
+                   catalog: DataFrame | None = None) -> DataFrame:
     """J03 + A12: each loaded file to its procedure by ``source_filename`` containing
     the file name on the same region; files without a procedure drop out. The
-    reference takes an arbitrary first match; ours is the smallest name (R2)."""
-    names = loaded.select("regionname", "filename").distinct()
-    matched = contains_join(names, "filename",
-                            file_procs.select("regionname", "source_filename", "stored_procedure_name"),
-                            "source_filename", on=["regionname"], lengths=lengths)
-    proc = matched.groupBy("regionname", "filename").agg(
-        F.min("stored_procedure_name").alias("stored_procedure_name"))
+    reference takes an arbitrary first match; ours is the smallest name (R2).
+
+    The procedure of a file depends only on (region, file), so when the
+    expected-file ``catalog`` the loads were limited to is given, the map is
+    built from that small table and ``loaded`` (from the large log) is read
+    once, by the final join."""
+    proc = file_procedures(catalog if catalog is not None else loaded, file_procs, lengths)
     return loaded.join(proc, ["regionname", "filename"])
 
 
-def file_procedures(files: DataFrame, file_procs: DataFrame) -> DataFrame:
+def file_procedures(files: DataFrame, file_procs: DataFrame, lengths: list[int] | None = None) -> DataFrame:
     """J03 on (region, file) only: the procedure of every file, no date."""
     names = files.select("regionname", "filename").distinct()
     matched = contains_join(names, "filename",
                             file_procs.select("regionname", "source_filename", "stored_procedure_name"),
-                            "source_filename", on=["regionname"])
+                            "source_filename", on=["regionname"], lengths=lengths)
     return matched.groupBy("regionname", "filename").agg(
         F.min("stored_procedure_name").alias("stored_procedure_name"))
 
@@ -154,21 +182,19 @@ def received(landing: DataFrame, expected: DataFrame, match: str = "exact",
     raise ValueError(f"unknown match {match!r}")
 
 
-def failed_processes(load_log: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def failed_processes(load_log: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Distinct failed processes of a file on a date (no region condition)."""
-    sm = summary if summary is not None else load_summary(load_log)
-    return (sm.where(F.col("failed"))
-            .groupBy("batchrundate", "filename")
-            .agg(F.array_sort(F.collect_set("processname")).alias("_p"))
-            .select("batchrundate", "filename", F.array_join("_p", ",").alias("failed_processes"),
-                    F.size("_p").cast("bigint").alias("n_failed_processes")))
+    fa = facts if facts is not None else load_facts(load_log)
+    return (fa.where(F.size("failed_list") > 0)
+            .select("batchrundate", "filename", F.array_join("failed_list", ",").alias("failed_processes"),
+                    F.size("failed_list").cast("bigint").alias("n_failed_processes")))
 
 
 def empty_sources(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
-                  suffix: str = DATA_FILE_SUFFIX, summary: DataFrame | None = None) -> DataFrame:
+                  suffix: str = DATA_FILE_SUFFIX, facts: DataFrame | None = None) -> DataFrame:
     """Validation rows that report an empty source file (no region condition)."""
-    sm = summary if summary is not None else load_summary(load_log, error_text, suffix)
-    return sm.where(F.col("empty_source")).select("batchrundate", "filename").distinct()
+    fa = facts if facts is not None else load_facts(load_log, error_text, suffix)
+    return fa.where(F.col("empty_source")).select("batchrundate", "filename")
 
 
 def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame,

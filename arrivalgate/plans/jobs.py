@@ -27,16 +27,16 @@ def _chain(t: dict, source: str, rule: str, metadata_prefix: str, empty_error: s
     cal = FS.calendar(t["trigger_log"])
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(t["load_log"], cal)
-    summary = FS.load_summary(log, empty_error)
+    facts = FS.load_facts(log, empty_error)
     lens = needle_lengths(pf, "filename")
-    loaded = FS.curated_loaded(log, pf, summary)
-    pub = FS.published(FS.map_procedures(loaded, t["file_procs"], lens), log)
+    loaded = FS.curated_loaded(log, pf, facts)
+    pub = FS.published(FS.map_procedures(loaded, t["file_procs"], lens, catalog=pf), log)
     rec = FS.received(FS.restrict_to_dates(t["landing"], cal), expected,
                       "exact" if rule == "current" else "contains", metadata_prefix, lens)
     refd = (FS.reference_dates(pub, log, t["curated_ref"], lens)
             if rule == "legacy" and "curated_ref" in t else None)
-    states = FS.file_state(expected, pub, rec, FS.failed_processes(log, summary),
-                           FS.empty_sources(log, summary=summary), refd, rule)
+    states = FS.file_state(expected, pub, rec, FS.failed_processes(log, facts),
+                           FS.empty_sources(log, facts=facts), refd, rule)
     return cal, states
 
 

@@ -23,17 +23,17 @@ def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True)
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(ct.d_audit_log, cal) if restrict else ct.d_audit_log
     landing = FS.restrict_to_dates(ct.d_landing, cal) if restrict else ct.d_landing
-    summary = FS.load_summary(log, P.FIXTURE_EMPTY_ERROR)
-    loaded = FS.curated_loaded(log, pf, summary)
+    facts = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR)
+    loaded = FS.curated_loaded(log, pf, facts)
     # Every needle of the chain's substring joins is a priority file name, so
     # the lengths of that small catalog serve all of them (read once).
     lens = needle_lengths(pf, "filename")
-    mapped = FS.map_procedures(loaded, ct.d_sp_map, lens)
+    mapped = FS.map_procedures(loaded, ct.d_sp_map, lens, catalog=pf)
     pub = FS.published(mapped, log)
     match = "exact" if rule == "current" else "contains"
     rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, lens)
-    failed = FS.failed_processes(log, summary)
-    empty = FS.empty_sources(log, summary=summary)
+    failed = FS.failed_processes(log, facts)
+    empty = FS.empty_sources(log, facts=facts)
     refd = FS.reference_dates(pub, log, ct.d_curated_ref, lens) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
