@@ -75,36 +75,55 @@ def run_available_now(spark: SparkSession, source: DataFrame, fn, out_path: str,
 def merge_into_snapshots(spark: SparkSession, changes_stream: DataFrame, base: str, merge_fn, name: str,
                          keys: list[str]):
     """Apply each micro-batch of decisions to the newest log snapshot and
-    write the result as the next snapshot (``base/v=<batch id>``); the
-    snapshot being read is never overwritten. Within a batch the newest
-    decision per key wins (by ``decided_at`` when present)."""
+    write the result as the next snapshot under ``base``. Versions continue
+    after the newest one present when the stream starts; a batch reads the
+    newest snapshot *before* its own version, so the folder being read is
+    never the one written, and a replayed batch (after a failure) rewrites
+    its own version from the same input. Within a batch the newest decision
+    per key wins (by ``decided_at`` when present)."""
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+    start = latest_version(spark, base)
+    first = (start + 1) if start is not None else 0
 
     def apply(batch: DataFrame, batch_id: int):
         if "decided_at" in batch.columns:
             newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]),
                                                        F.col("decided_at")).alias("_n"))
             batch = newest.select(*keys, "_n.*")
-        current = latest_snapshot(spark, base)
+        version = first + batch_id
+        current = latest_snapshot(spark, base, before=version)
         merged = merge_fn(current, batch) if current is not None else batch
-        merged.write.mode("overwrite").parquet(os.path.join(base, f"v={batch_id:012d}"))
+        merged.write.mode("overwrite").parquet(os.path.join(base, f"v={version:012d}"))
 
     return (changes_stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
-def latest_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
-    """The newest complete snapshot under ``base`` (written by
-    ``merge_into_snapshots``), found with the cluster's file system."""
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Complete snapshot versions under ``base`` (listed with the cluster's file system)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(conf)
     if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        n = st.getPath().getName()
+        if st.isDirectory() and n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(n[2:]))
+    return sorted(out)
+
+
+def latest_version(spark: SparkSession, base: str) -> int | None:
+    v = _versions(spark, base)
+    return v[-1] if v else None
+
+
+def latest_snapshot(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
+    """The newest complete snapshot under ``base`` (optionally older than
+    version ``before``)."""
+    v = [x for x in _versions(spark, base) if before is None or x < before]
+    if not v:
         return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path)
-                   if s.isDirectory() and s.getPath().getName().startswith("v=")
-                   and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    if not names:
-        return None
-    return spark.read.parquet(os.path.join(base, names[-1]))
+    return spark.read.parquet(os.path.join(base, f"v={v[-1]:012d}"))

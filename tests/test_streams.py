@@ -59,3 +59,22 @@ def test_merge_snapshots_idempotent(spark, scratch):
                                 "merge-" + os.path.basename(scratch), ["batchrundate", "regionname", "report_source"])
     q.awaitTermination()
     assert _rows(ST.latest_snapshot(spark, base)) == _rows(once)
+
+
+def test_merge_snapshot_versions_never_overwrite_input(spark, scratch):
+    import datetime as dt
+    from arrivalgate.sources.sinks import write_snapshot
+    d = dt.date(2024, 1, 15)
+    schema = ("batchrundate date, regionname string, report_source string, execution_status string, "
+              "error_message string, actual_start_time timestamp_ntz")
+    base = os.path.join(scratch, "log")
+    write_snapshot(spark.createDataFrame([(d, "R", "BMT", "Yet to start", None, None)], schema), base, 0)
+    chdir = os.path.join(scratch, "changes")
+    spark.createDataFrame([(d, "R", "BMT", "Submitted", "NULL", None)], schema).write.parquet(os.path.join(chdir, "a"))
+    keys = ["batchrundate", "regionname", "report_source"]
+    name = "merge-v-" + os.path.basename(scratch)
+    stream = spark.readStream.schema(schema).parquet(os.path.join(chdir, "*"))
+    ST.merge_into_snapshots(spark, stream, base, G.merge_log, name, keys).awaitTermination()
+    assert ST._versions(spark, base) == [0, 1]
+    assert [r.execution_status for r in spark.read.parquet(os.path.join(base, "v=000000000000")).collect()] == ["Yet to start"]
+    assert [r.execution_status for r in ST.latest_snapshot(spark, base).collect()] == ["Submitted"]
