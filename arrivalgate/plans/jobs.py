@@ -49,8 +49,10 @@ def trigger_cycle(t: dict[str, DataFrame], now: Column, out_dir: str, version: i
     ``t`` holds the control tables: schedule, trigger_log, expected_files,
     load_log, file_procs, landing, dependency, job_runs (and curated_ref for
     the legacy rule). ``now`` is the evaluation time (a Column). Outputs are
-    written under ``out_dir``: ``decisions``, ``trigger_log/v=<version>``
-    (a new snapshot, never the one read), ``start_requests``, ``notifications``.
+    written under ``out_dir/<kind>/v=<version>`` for ``decisions``,
+    ``trigger_log`` (the new snapshot; never the one read), ``start_requests``
+    and ``notifications``; a re-run of the same version rewrites only its own
+    outputs.
     """
     busy = G.busy_regions(t["dependency"], t["job_runs"])
     decided = []
@@ -67,14 +69,10 @@ def trigger_cycle(t: dict[str, DataFrame], now: Column, out_dir: str, version: i
     bmt = decisions.where(F.col("report_source") == "BMT")
     spdst = decisions.where(F.col("report_source") == "SPDST")
     alerts = O.bmt_alerts(bmt, env, jobs, decided[0][2]).unionByName(O.current_alerts(spdst, env))
-    paths = {
-        "decisions": os.path.join(out_dir, "decisions"),
-        "trigger_log": os.path.join(out_dir, "trigger_log"),
-        "start_requests": os.path.join(out_dir, "start_requests"),
-        "notifications": os.path.join(out_dir, "notifications"),
+    outputs = {
+        "decisions": decisions,
+        "trigger_log": G.merge_log(t["trigger_log"], decisions),
+        "start_requests": O.start_requests(decisions, jobs),
+        "notifications": alerts,
     }
-    sinks.append_rows(decisions, paths["decisions"])
-    paths["trigger_log"] = sinks.write_snapshot(G.merge_log(t["trigger_log"], decisions), paths["trigger_log"], version)
-    sinks.append_rows(O.start_requests(decisions, jobs), paths["start_requests"])
-    sinks.append_rows(alerts, paths["notifications"])
-    return paths
+    return {k: sinks.write_version(df, os.path.join(out_dir, k), version) for k, df in outputs.items()}

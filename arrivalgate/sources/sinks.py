@@ -22,6 +22,18 @@ def write_snapshot(df: DataFrame, base: str, version: int, partition_by: list[st
     return path
 
 
+def write_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:
+    """Outputs of one cycle in their own version folder: a re-run of the cycle
+    (after a failure) rewrites exactly its own output, never another
+    version and never an input, so the job is idempotent."""
+    path = os.path.join(base, f"v={version:012d}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return path
+
+
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """Append new rows (initial log rows, notifications, start
     requests) to a table."""
