@@ -176,8 +176,16 @@ class ControlTables:
         fs = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(done):
             # Balanced files, one per core: the stand-in's storage layout.
+            # Written to a private folder, then renamed into place: a
+            # concurrent writer of the same table never sees a partial one
+            # (the first rename wins, the other copy is left unused).
+            import uuid
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
             (self._view(name).repartition(self.spark.sparkContext.defaultParallelism)
-             .write.mode("overwrite").parquet(path))
+             .write.mode("errorifexists").parquet(tmp))
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            if not fs.exists(target):
+                fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target)
         df = self.spark.read.parquet(path)
         ControlTables._frames[fkey] = df
         return df
