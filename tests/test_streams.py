@@ -78,3 +78,17 @@ def test_merge_snapshot_versions_never_overwrite_input(spark, scratch):
     assert ST._versions(spark, base) == [0, 1]
     assert [r.execution_status for r in spark.read.parquet(os.path.join(base, "v=000000000000")).collect()] == ["Yet to start"]
     assert [r.execution_status for r in ST.latest_snapshot(spark, base).collect()] == ["Submitted"]
+
+
+def test_late_arrivals_from_stream(spark, scratch):
+    src = os.path.join(scratch, "events")
+    os.makedirs(src)
+    shutil.copy(EVENTS, os.path.join(src, "part-0.parquet"))
+    batch = spark.read.parquet(src)
+    max_ts = batch.agg(F.max("ts")).first()[0]
+    stream = spark.readStream.schema(batch.schema).parquet(src)
+    out = ST.run_available_now(spark, stream, ST.first_arrivals, os.path.join(scratch, "first"),
+                               "late-" + os.path.basename(scratch))
+    got = _rows(ST.late_arrivals(spark.read.parquet(out), "12:00:00"))
+    want = _rows(ST.late_arrivals(_closed(ST.first_arrivals(batch), max_ts), "12:00:00"))
+    assert got and got == want
