@@ -102,10 +102,12 @@ def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay
         # distinct needle keys -- an inner join, where AQE may broadcast the
         # needle side after checking its runtime size, and otherwise falls
         # back to a shuffle join -- then semi/anti join the few matched keys.
-        # (Duplicate needles only repeat matches; the distinct removes them.)
+        # The distinct needles are a shuffle stage of their own: its measured
+        # size is what lets AQE broadcast them instead of shuffling the
+        # fragments (static broadcast is off).
         keys = on + [needle_col]
         frags = right.select(*[F.col(f"__r_{c}") for c in on], F.col(_FRAG))
-        matched = (frags.join(needles.select(*keys), cond, "inner")
+        matched = (frags.join(needles.select(*keys).distinct(), cond, "inner")
                    .select(*keys).distinct())
         return needles.join(matched, keys, how)
     if how != "inner":
