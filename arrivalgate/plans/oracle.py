@@ -298,6 +298,12 @@ HELPERS["outcome_strict"] = f"""SELECT run_id, 'strict' AS rule, CASE WHEN n_fai
 FROM (SELECT run_id, count(*) AS n_steps, count(*) FILTER (WHERE outcome = 'Failed') AS n_failed,
   count(*) FILTER (WHERE outcome = 'Skipped') AS n_skipped,
   arg_min(coalesce(error, 'Unknown error'), rk) FILTER (WHERE outcome = 'Failed') AS fe FROM halt_strict GROUP BY 1) z"""
+HELPERS["outcome_strict_older"] = f"""SELECT run_id, 'strict_older' AS rule, CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Finished' END AS execution_status,
+  CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Completed' END AS report_status,
+  CASE WHEN n_failed > 0 THEN {_SECOND.format(e='fe')} ELSE 'NULL' END AS error_message, n_steps, n_failed, n_skipped
+FROM (SELECT run_id, count(*) AS n_steps, count(*) FILTER (WHERE outcome = 'Failed') AS n_failed,
+  count(*) FILTER (WHERE outcome = 'Skipped') AS n_skipped,
+  arg_min(coalesce(error, 'Unknown error'), rk) FILTER (WHERE outcome = 'Failed') AS fe FROM halt_strict GROUP BY 1) z"""
 HELPERS["outcome_critical"] = f"""SELECT run_id, 'critical' AS rule, CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Finished' END AS execution_status,
   CASE WHEN coalesce(lo = 'Failed', false) THEN 'Failed' ELSE 'Completed' END AS report_status,
   CASE WHEN coalesce(lo = 'Failed', false) THEN {_SECOND.format(e='le')} ELSE 'Null' END AS error_message, n_steps, n_failed, n_skipped
@@ -317,7 +323,7 @@ BODIES.update({
 FROM (SELECT step_id, batchrundate, min(rn) FILTER (WHERE status <> 'FAILED') AS first_ok, count(*) AS n
   FROM (SELECT *, row_number() OVER (PARTITION BY step_id, batchrundate ORDER BY started, seq) AS rn FROM d_step_attempts) z
   GROUP BY 1, 2) y""",
-    "q34_run_outcome": "SELECT * FROM outcome_strict UNION ALL SELECT * FROM outcome_critical",
+    "q34_run_outcome": "SELECT * FROM outcome_strict UNION ALL SELECT * FROM outcome_strict_older UNION ALL SELECT * FROM outcome_critical",
     "q35_error_text": f"""SELECT error, {_SECOND.format(e='error')} AS second_part, {_TAIL.format(e='error')} AS tail
 FROM (SELECT DISTINCT error FROM d_run_steps WHERE error IS NOT NULL) z""",
     "q39_statement_state": """SELECT s.statement_id, t.state AS final_state, t.started AS terminal_at, s.n_events

@@ -260,7 +260,9 @@ def q33_retry_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_outcomes(ct: ControlTables) -> DataFrame:
     p = plan(ct)
-    return (R.run_outcome(R.step_outcomes(p, "strict"), "strict")
+    strict = R.step_outcomes(p, "strict")
+    return (R.run_outcome(strict, "strict")
+            .unionByName(R.run_outcome(strict, "strict_older"))
             .unionByName(R.run_outcome(R.step_outcomes(p, "critical"), "critical")))
 
 
