@@ -277,7 +277,9 @@ def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
     empty expected list is ready (R7). ``names``: the message text of the
     rule -- legacy and current: missing files; bmt: decided by the last
     missing-or-failed file in name order (its name if it failed, else the
-    missing list), as the reference's loop does.
+    missing list), as the reference's loop does. ``failed_files``: the
+    failed files with their reasons, for the failure alert (bounded by the
+    region's expected-file catalog).
     """
     st = F.col("state")
     agg = states.groupBy(*DAY_REGION).agg(
@@ -290,6 +292,7 @@ def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
         T.comma_list(F.collect_list(F.when(st == "failed", F.col("filename")))).alias("failed_names"),
         F.max(F.when(st.isin("missing", "failed"), F.struct(F.col("filename").alias("f"), st.alias("s"))))
         .alias("_last"),
+        F.array_sort(F.collect_list(F.when(st == "failed", F.struct("filename", "detail")))).alias("failed_files"),
     )
     if rule == "bmt":
         ready = F.col("done") >= F.col("expected")
@@ -300,4 +303,8 @@ def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
         ready = F.col("done") == F.col("expected")
         names = F.col("missing_names")
     return agg.select(*DAY_REGION, "expected", "done", "missing", "failed", "in_progress",
-                      ready.alias("ready"), "missing_names", "failed_names", names.alias("names"))
+                      ready.alias("ready"), "missing_names", "failed_names", names.alias("names"), "failed_files")
+
+
+READINESS_COLS = ["batchrundate", "regionname", "expected", "done", "missing", "failed", "in_progress", "ready",
+                  "missing_names", "failed_names", "names"]

@@ -122,7 +122,8 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
     log_cols.append((F.col("actual_start_time") if "actual_start_time" in log.columns
                      else F.lit(None).cast("timestamp_ntz")).alias("old_actual_start"))
     df = (w.join(log.select(*KEYS, *log_cols, F.lit(True).alias("_has_row")), KEYS, "left")
-          .join(ready.select(*DAY_REGION, "expected", "done", "missing", "names", "missing_names"),
+          .join(ready.select(*DAY_REGION, "expected", "done", "missing", "names", "missing_names",
+                             *(["failed_files"] if "failed_files" in ready.columns else [])),
                 DAY_REGION, "left")
           # One row per region: bounded by the region catalog, so broadcast.
           .join(F.broadcast(busy.select("regionname", "busy")), "regionname", "left"))
@@ -178,7 +179,12 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
     return df.select(*KEYS, "action", status.alias("execution_status"), message.alias("error_message"),
                      started.alias("actual_start_time"), flag.alias("priority_files_received"),
                      missing.alias("missing"), names.alias("names"),
-                     F.coalesce("missing_names", F.lit("")).alias("missing_names"), alert.alias("delay_alert"))
+                     F.coalesce("missing_names", F.lit("")).alias("missing_names"), alert.alias("delay_alert"),
+                     *([F.col("failed_files")] if "failed_files" in df.columns else []))
+
+
+DECISION_COLS = KEYS + ["action", "execution_status", "error_message", "actual_start_time",
+                        "priority_files_received", "missing", "names", "missing_names", "delay_alert"]
 
 
 def merge_log(log: DataFrame, changes: DataFrame, keys: list[str] | None = None,

@@ -64,19 +64,15 @@ def current_alerts(current: DataFrame, env: str) -> DataFrame:
     ])
 
 
-def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str], bmt_failed: DataFrame) -> DataFrame:
+def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:
     """D13, BMT trigger: started (with or without files), files missing and
-    files failed at the cutoff. ``bmt_failed`` holds (batchrundate, regionname,
-    filename, detail) of failed files; their list is built per region and
-    date (bounded by the expected-file catalog of a region)."""
+    files failed at the cutoff. The failed files with their reasons come with
+    the decisions (``failed_files``, from readiness)."""
     r, a = F.col("regionname"), F.col("action")
-    per = (bmt_failed.groupBy("batchrundate", "regionname")
-           .agg(F.sort_array(F.collect_list(F.struct("filename", "detail"))).alias("_f")))
-    df = bmt.join(per, ["batchrundate", "regionname"], "left")
     started = F.struct(F.lit(env).alias("Env"),
                        F.format_string(MSG_BMT_STARTED, r, F.lit(jobs["BMT"])).alias("Message"), r.alias("Region"))
-    failed_list = F.transform("_f", lambda x: F.create_map(x["filename"], F.split(x["detail"], ",")))
-    return _explode(df, [
+    failed_list = F.transform("failed_files", lambda x: F.create_map(x["filename"], F.split(x["detail"], ",")))
+    return _explode(bmt, [
         _alert(a == "start", "started", F.format_string(SUBJ_BMT_STARTED, r), started),
         _alert(a == "forced_start", "started_without_files", F.format_string(SUBJ_BMT_FORCED, r), started),
         # The BMT missing message lists the plain missing files, not the
@@ -84,29 +80,30 @@ def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str], bmt_failed: DataF
         _alert((a == "cutoff") & (F.col("missing") > 0), "files_missing", F.format_string(SUBJ_BMT_MISSING, r),
                F.struct(F.lit(env).alias("Env"), _names("missing_names").alias("Missing Priority File"),
                         F.lit(PROC_NOT_RECEIVED).alias("Process Name failed, If any"), r.alias("Region"))),
-        _alert((a == "cutoff") & F.col("_f").isNotNull(), "files_failed", F.format_string(SUBJ_BMT_FAILED, r),
+        _alert((a == "cutoff") & (F.coalesce(F.size("failed_files"), F.lit(0)) > 0), "files_failed",
+               F.format_string(SUBJ_BMT_FAILED, r),
                F.struct(F.lit(env).alias("Env"), failed_list.alias("Priority File Failed"),
                         F.lit("NA").alias("Process Name failed, If any"), r.alias("Region"))),
     ])
 
 
-def run_alerts(outcomes: DataFrame, failed_steps: DataFrame, env: str, report_url: str,
-               label: Column, run_col: str = "run_id") -> DataFrame:
+def run_alerts(outcomes: DataFrame, env: str, report_url: str, label: Column, run_col: str = "run_id") -> DataFrame:
     """D13 for the executors (strict rule): one failure message with the failed
     step, or a success message plus a report-link message (R14: one per run
-    and kind). ``label`` names the run in texts (the region in a deployment)."""
-    fs = failed_steps.select(run_col, F.struct(
-        F.col("stored_procedure_name").alias("Stored Procedure Name"),
-        F.coalesce(F.col("error"), F.lit("Unknown error")).alias("Error"),
-        F.when(F.col("file_datasource") == "SPDST", F.lit("SPDST")).otherwise(F.lit(OTHER_SOURCES)).alias("Data Source"),
-        label.alias("Region")).alias("_entry"))
-    df = outcomes.join(fs, run_col, "left").withColumn("_label", label)
+    and kind). ``label`` names the run in texts (the region in a deployment).
+    The failed step comes with the outcome (``run_outcome``)."""
+    df = outcomes.withColumn("_label", label)
     lab = F.col("_label")
+    entry = F.struct(
+        F.col("failed_procedure").alias("Stored Procedure Name"),
+        F.col("failed_error").alias("Error"),
+        F.when(F.col("failed_source") == "SPDST", F.lit("SPDST")).otherwise(F.lit(OTHER_SOURCES)).alias("Data Source"),
+        lab.alias("Region"))
     failed = F.col("execution_status") == "Failed"
     empty = F.array().cast("array<struct<`Stored Procedure Name`:string,Error:string,`Data Source`:string,Region:string>>")
     return _explode(df, [
         _alert(failed, "run_failed", F.format_string(SUBJ_RUN, lab, F.lit("Failed")),
-               F.struct(F.lit(env).alias("Env"), F.array("_entry").alias("Error Message"),
+               F.struct(F.lit(env).alias("Env"), F.array(entry).alias("Error Message"),
                         F.lit("Failed").alias("status"), lab.alias("Region"))),
         _alert(~failed, "run_succeeded", F.format_string(SUBJ_RUN, lab, F.lit("Successful")),
                F.struct(F.lit(env).alias("Env"), empty.alias("Error Message"),

@@ -93,6 +93,8 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
     strict_older: same with F07 and 'NULL'.
     critical: log 'Failed' if any step failed; report state and error text
       from the last step that ran (F07 of its error, or 'Null').
+    The first failed step (procedure, source, raw error) is carried for the
+    failure notification, so alerts need no second pass over the steps.
     """
     st = F.col("outcome")
     err = F.coalesce(F.col("error"), F.lit(UNKNOWN_ERROR))
@@ -100,7 +102,8 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
         F.count(F.lit(1)).alias("n_steps"),
         F.count_if(st == FAILED).alias("n_failed"),
         F.count_if(st == SKIPPED).alias("n_skipped"),
-        F.min(F.when(st == FAILED, F.struct("pos", err.alias("e")))).alias("_first_fail"),
+        F.min(F.when(st == FAILED, F.struct("pos", err.alias("e"), F.col("stored_procedure_name").alias("p"),
+                                            F.col("file_datasource").alias("d")))).alias("_first_fail"),
         F.max(F.when(st != SKIPPED, F.struct("pos", st.alias("o"), err.alias("e")))).alias("_last_ran"),
     )
     any_failed = F.col("n_failed") > 0
@@ -118,7 +121,13 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
         raise ValueError(f"unknown rule {rule!r}")
     return agg.select(run_col, F.lit(rule).alias("rule"), log_state.alias("execution_status"),
                       report.alias("report_status"), text.alias("error_message"),
-                      "n_steps", "n_failed", "n_skipped")
+                      "n_steps", "n_failed", "n_skipped",
+                      F.col("_first_fail.p").alias("failed_procedure"), F.col("_first_fail.d").alias("failed_source"),
+                      F.col("_first_fail.e").alias("failed_error"))
+
+
+OUTCOME_COLS = ["run_id", "rule", "execution_status", "report_status", "error_message", "n_steps", "n_failed",
+                "n_skipped"]
 
 
 def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None) -> DataFrame:

@@ -60,17 +60,16 @@ def trigger_cycle(t: dict[str, DataFrame], now: Column, out_dir: str, version: i
         cal, states = _chain(t, "bmt" if rule == "bmt" else "other", rule, metadata_prefix, empty_error)
         windows = S.expected_window(t["schedule"], cal)
         up = None if rule == "bmt" else G.upstream_finished(t["trigger_log"], cal)
-        d = G.decide(rule, windows, t["trigger_log"], FS.readiness(states, rule), busy, up, now,
-                     cutoff, force_extra, delay_window)
-        failed = states.where(F.col("state") == "failed").select("batchrundate", "regionname", "filename", "detail")
-        decided.append((rule, d, failed))
-    # One action: the decisions of both triggers, stored in the shared folder.
-    decisions = materialize(decided[0][1].unionByName(decided[1][1]))
+        decided.append(G.decide(rule, windows, t["trigger_log"], FS.readiness(states, rule), busy, up, now,
+                                cutoff, force_extra, delay_window))
+    # One action: the decisions of both triggers (with the failed files the
+    # alerts need), stored in the shared folder; every output reads them.
+    decisions = materialize(decided[0].unionByName(decided[1]))
     bmt = decisions.where(F.col("report_source") == "BMT")
     spdst = decisions.where(F.col("report_source") == "SPDST")
-    alerts = O.bmt_alerts(bmt, env, jobs, decided[0][2]).unionByName(O.current_alerts(spdst, env))
+    alerts = O.bmt_alerts(bmt, env, jobs).unionByName(O.current_alerts(spdst, env))
     outputs = {
-        "decisions": decisions,
+        "decisions": decisions.select(*G.DECISION_COLS),
         "trigger_log": G.merge_log(t["trigger_log"], decisions),
         "start_requests": O.start_requests(decisions, jobs),
         "notifications": alerts,

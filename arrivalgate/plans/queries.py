@@ -111,7 +111,7 @@ def q17_file_state_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q18_readiness(spark: SparkSession, sf: str) -> DataFrame:
-    return FS.readiness(file_chain(ControlTables(spark, sf), "bmt", "bmt")["states"], "bmt")
+    return FS.readiness(file_chain(ControlTables(spark, sf), "bmt", "bmt")["states"], "bmt").select(*FS.READINESS_COLS)
 
 
 QUERIES = {
@@ -182,15 +182,15 @@ def q19_upstream_finished(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q24_decide_current(spark: SparkSession, sf: str) -> DataFrame:
-    return decisions(ControlTables(spark, sf), "current")
+    return decisions(ControlTables(spark, sf), "current").select(*G.DECISION_COLS)
 
 
 def q25_decide_bmt(spark: SparkSession, sf: str) -> DataFrame:
-    return decisions(ControlTables(spark, sf), "bmt")
+    return decisions(ControlTables(spark, sf), "bmt").select(*G.DECISION_COLS)
 
 
 def q26_decide_legacy(spark: SparkSession, sf: str) -> DataFrame:
-    return decisions(ControlTables(spark, sf), "legacy")
+    return decisions(ControlTables(spark, sf), "legacy").select(*G.DECISION_COLS)
 
 
 def q27_merged_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -267,7 +267,7 @@ def run_outcomes(ct: ControlTables) -> DataFrame:
 
 
 def q34_run_outcome(spark: SparkSession, sf: str) -> DataFrame:
-    return run_outcomes(ControlTables(spark, sf))
+    return run_outcomes(ControlTables(spark, sf)).select(*R.OUTCOME_COLS)
 
 
 def q35_error_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,15 +300,10 @@ from arrivalgate.streaming import streams as ST  # noqa: E402
 
 def q36_notifications(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    cur = decisions(ct, "current")
-    bmt = decisions(ct, "bmt")
-    failed_files = (file_chain(ct, "bmt", "bmt")["states"].where(F.col("state") == "failed")
-                    .select("batchrundate", "regionname", "filename", "detail"))
-    trig = O.current_alerts(cur, P.ENV).unionByName(O.bmt_alerts(bmt, P.ENV, P.JOBS, failed_files))
-    steps = R.step_outcomes(plan(ct), "strict")
-    outcomes = R.run_outcome(steps, "strict")
-    runs = O.run_alerts(outcomes, steps.where(F.col("outcome") == R.FAILED), P.ENV, P.REPORT_URL,
-                        F.col("run_id").cast("string"))
+    trig = O.current_alerts(decisions(ct, "current"), P.ENV).unionByName(
+        O.bmt_alerts(decisions(ct, "bmt"), P.ENV, P.JOBS))
+    outcomes = R.run_outcome(R.step_outcomes(plan(ct), "strict"), "strict")
+    runs = O.run_alerts(outcomes, P.ENV, P.REPORT_URL, F.col("run_id").cast("string"))
     return trig.unionByName(runs)
 
 
