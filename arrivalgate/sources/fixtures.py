@@ -167,13 +167,13 @@ class ControlTables:
         import os
         from arrivalgate.session import ensure_checkpoint_dir
         fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.sf_dir), name)
-        hit = ControlTables._frames.get(fkey)
-        if hit is not None:
-            return hit
         path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", fkey[1], name)
         jvm = self.spark.sparkContext._jvm
         done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
         fs = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        hit = ControlTables._frames.get(fkey)
+        if hit is not None and fs.exists(done):
+            return hit
         if not fs.exists(done):
             # Balanced files, one per core: the stand-in's storage layout.
             # Written to a private folder, then renamed into place: a
