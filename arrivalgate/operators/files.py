@@ -1,9 +1,10 @@
 """File readiness: expected files against loads, procedures, landing and failures.
 
 Grain of everything here is (batchrundate, regionname, filename); it is
-computed for all regions and batch dates at once. Keys are never region
-alone (one region may hold a third of all rows): joins are on date + region
-+ file, aggregates on date + file or date + region with map-side partials.
+computed for all regions and batch dates at once. No shuffle is keyed by
+region alone (one region may hold a third of all rows): joins are on date +
+region + file, aggregates on date + file or date + region with map-side
+partials; the one join keyed by region alone broadcasts its calendar side.
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ from pyspark.sql import SparkSession
 # sizes, coalesces small shuffle partitions and splits skewed ones (one region
 # may hold a third of all load-log rows). Static auto-broadcast is off: a
 # planner estimate from compressed file sizes is no bound on the in-memory
-# size (a filtered 100 TB log can look small). Only AQE broadcasts, from the
-# measured size of a finished shuffle stage.
+# size (a filtered 100 TB log can look small). AQE broadcasts from the
+# measured size of a finished shuffle stage; the operators broadcast
+# explicitly only tables bounded by a catalog or by calendar days.
 ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
