@@ -33,7 +33,7 @@ def _chain(t: dict, source: str, rule: str, metadata_prefix: str, empty_error: s
     pub = FS.published(FS.map_procedures(loaded, t["file_procs"], lens, catalog=pf), log)
     rec = FS.received(FS.restrict_to_dates(t["landing"], cal), expected,
                       "exact" if rule == "current" else "contains", metadata_prefix, lens)
-    refd = (FS.reference_dates(pub, log, t["curated_ref"], lens)
+    refd = (FS.reference_dates(pub, log, FS.restrict_to_dates(t["curated_ref"], cal), lens)
             if rule == "legacy" and "curated_ref" in t else None)
     states = FS.file_state(expected, pub, rec, FS.failed_processes(log, facts),
                            FS.empty_sources(log, facts=facts), refd, rule)

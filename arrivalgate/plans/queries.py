@@ -34,7 +34,8 @@ def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True)
     rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, lens)
     failed = FS.failed_processes(log, facts)
     empty = FS.empty_sources(log, facts=facts)
-    refd = FS.reference_dates(pub, log, ct.d_curated_ref, lens) if rule == "legacy" else None
+    refs = FS.restrict_to_dates(ct.d_curated_ref, cal) if restrict else ct.d_curated_ref
+    refd = FS.reference_dates(pub, log, refs, lens) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
             "mapped": mapped, "published": pub, "received": rec, "failed": failed,
