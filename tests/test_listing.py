@@ -30,3 +30,17 @@ def test_listing_and_received(spark, scratch):
     assert exact == ["FILE_A", "FILE_B"]  # the metadata object and the other day do not count
     cont = sorted(r.filename for r in FS.received(lst, exp, "contains").collect())
     assert cont == ["FILE_A", "FILE_B"]
+
+
+def test_listing_prunes_date_folders(spark, scratch):
+    from pyspark.sql import functions as F
+    root = os.path.join(scratch, "bucket")
+    for day in ("2024-01-15", "2024-01-16", "2024-01-17"):
+        p = os.path.join(root, "LandingZone", f"dt={day}", f"F_{day}_20240115101500.dat")
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "wb") as f:
+            f.write(b"x")
+    one_day = read_listing(spark, {"EMEA": root}).where(F.col("batchrundate") == dt.date(2024, 1, 16))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-16" in plan
+    assert [r.object_key for r in one_day.collect()] == ["LandingZone/dt=2024-01-16/F_2024-01-16_20240115101500.dat"]
