@@ -143,14 +143,18 @@ def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None
     key = F.struct("started", "seq")
     ok = F.coalesce(F.col("status") != FAILED_ST, F.lit(False))
     firsts = attempts.groupBy(*keys).agg(F.min(F.when(ok, key)).alias("_first_ok"),
-                                         F.count(F.lit(1)).alias("attempts_recorded"))
-    before = (attempts.select(*keys, key.alias("_k"))
-              .join(firsts.select(*keys, "_first_ok"), keys)
-              .groupBy(*keys)
-              .agg(F.count_if(F.col("_first_ok").isNotNull() & (F.col("_k") < F.col("_first_ok")))
-                   .alias("_n_before")))
-    df = firsts.join(before, keys)
-    completed = F.col("_first_ok").isNotNull() & (F.col("_n_before") < limit)
+                                         F.count(F.lit(1)).alias("_n"))
+    # One join and one aggregate: the per-step values ride along as
+    # fixed-width fields (the same in every row of a step), so the second
+    # aggregate stays a hash aggregate and nothing is joined back.
+    fo = F.col("_first_ok")
+    df = (attempts.select(*keys, key.alias("_k"))
+          .join(firsts.select(*keys, fo.isNotNull().alias("_has_ok"), fo["started"].alias("_ok_t"),
+                              fo["seq"].alias("_ok_s"), "_n"), keys)
+          .groupBy(*keys)
+          .agg(F.count_if(F.col("_has_ok") & (F.struct("_ok_t", "_ok_s") > F.col("_k"))).alias("_n_before"),
+               F.bool_or("_has_ok").alias("_has_ok"), F.max("_n").alias("attempts_recorded")))
+    completed = F.col("_has_ok") & (F.col("_n_before") < limit)
     used = F.when(completed, F.col("_n_before") + 1).otherwise(F.least(F.col("attempts_recorded"), F.lit(limit)))
     return df.select(*keys, F.when(completed, COMPLETED).otherwise(FAILED).alias("final_state"),
                      used.cast("bigint").alias("attempts_used"), "attempts_recorded")
