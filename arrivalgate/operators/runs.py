@@ -197,10 +197,15 @@ def close_runs(outcomes: DataFrame, run_keys: DataFrame, ended_at) -> tuple[Data
     region and identifier: status). Apply them with ``gate.merge_log``.
     """
     end = ended_at if isinstance(ended_at, Column) else F.lit(str(ended_at)).cast("timestamp_ntz")
-    j = outcomes.join(run_keys, "run_id")
-    log = j.select("batchrundate", "regionname", "report_source", "execution_status",
-                   end.alias("actual_end_time"), "error_message")
-    master = j.select("regionname", "identifier", F.col("report_status").alias("status"))
+    # A run with an empty plan has no outcome row and closes as
+    # 'Finished' / 'Completed' with zero steps.
+    j = run_keys.join(outcomes.select("run_id", "execution_status", "report_status", "error_message"),
+                      "run_id", "left")
+    log = j.select("batchrundate", "regionname", "report_source",
+                   F.coalesce("execution_status", F.lit(LOG_FINISHED)).alias("execution_status"),
+                   end.alias("actual_end_time"), F.coalesce("error_message", F.lit("Null")).alias("error_message"))
+    master = j.select("regionname", "identifier",
+                      F.coalesce("report_status", F.lit(COMPLETED)).alias("status"))
     return log, master
 
 

@@ -171,3 +171,14 @@ def test_statement_states_poll_error(spark):
 def test_procedure_name_forms(spark):
     r = one(spark, a=T.is_no_arg_call(F.lit("PUBLISHED.SP_X ();")), b=T.is_no_arg_call(F.lit("PUBLISHED.SP_X ('EMEA')")))
     assert r.a is True and r.b is False
+
+
+def test_empty_plan_closes_finished(spark):
+    p = _plan(spark, [("OTHER", "FINISHED", None)])
+    out = R.run_outcome(R.step_outcomes(p, "strict"), "strict")
+    keys = spark.createDataFrame([(2, dt.date(2024, 1, 15), "APJ", "SPDST", "SPDST")],
+                                 "run_id bigint, batchrundate date, regionname string, report_source string, identifier string")
+    log_changes, master_changes = R.close_runs(out, keys, "2024-01-15 13:00:00")
+    r = log_changes.first()
+    assert (r.execution_status, r.error_message) == ("Finished", "Null")
+    assert master_changes.first().status == "Completed"
