@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from arrivalgate.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "part", "lineitem", "orders", "customer", "events"]
@@ -45,10 +46,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) & set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]

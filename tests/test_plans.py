@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from arrivalgate.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +15,7 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_no_python(spark, name):
     plan = final_plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan
