@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from arrivalgate.session import ensure_checkpoint_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, so that
+    they can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_arrivalgate_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    file = os.path.join(tempfile.mkdtemp(prefix="arrivalgate-"), "arrivalgate.zip")
+    with zipfile.ZipFile(file, "w") as z:
+        for folder, _, names in sorted(os.walk(top)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(file)
+    sc._arrivalgate_shipped = True
+
+
 class Scratch:
     """Tables written under the shared folder named in ``spark.checkpoint.dir``.
 
@@ -18,6 +39,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/arrivalgate-llm/{label}-{uuid.uuid4().hex}"
 

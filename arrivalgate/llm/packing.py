@@ -24,7 +24,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from arrivalgate.llm.common import Scratch, buckets_for, rank_in_groups
+from arrivalgate.llm.common import Scratch, buckets_for, rank_in_groups, ship
 
 VOCABULARY = "byte_bpe_50k.json"
 CACHE_UNITS = 800_000  # about 160 MB a worker
@@ -103,6 +103,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: s
     A null or empty text is the end id alone. Repeated documents give repeated
     pieces. Texts are read whole; one text must fit in a worker's memory.
     """
+    ship(docs.sparkSession)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()),
               T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import mixing, packing, sharding, url_filter
+from arrivalgate.llm import mixing, packing, quality, sharding, toxicity, url_filter
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -29,6 +29,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows, 2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by the factorization machine."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by the sparse rule ensemble."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix of sources (weights 5, 2, 1) takes of it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -46,6 +58,8 @@ def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op7_pareto_mixing": op7_pareto_mixing,
     "op10_label_propagation": op10_label_propagation,
 }
