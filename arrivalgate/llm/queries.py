@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import mixing, packing, quality, sharding, toxicity, url_filter
+from arrivalgate.llm import langid, mixing, packing, quality, sharding, toxicity, url_filter
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -41,6 +41,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by the Kneser-Ney models."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.classify(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op7_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix of sources (weights 5, 2, 1) takes of it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -60,6 +66,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
+    "op6_language_id": op6_language_id,
     "op7_pareto_mixing": op7_pareto_mixing,
     "op10_label_propagation": op10_label_propagation,
 }
