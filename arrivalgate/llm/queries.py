@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import langid, mixing, packing, quality, sharding, toxicity, url_filter
+from arrivalgate.llm import langid, mixing, neardup, packing, quality, sharding, toxicity, url_filter
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -53,6 +53,12 @@ def op7_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its near duplicates."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards whose row counts are at most one apart."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +74,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_language_id": op6_language_id,
     "op7_pareto_mixing": op7_pareto_mixing,
+    "op8_minhash_neardup": op8_minhash_neardup,
     "op10_label_propagation": op10_label_propagation,
 }
 
