@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import langid, mixing, neardup, packing, quality, sharding, toxicity, url_filter
+from arrivalgate.llm import langid, mixing, neardup, nndescent, packing, quality, sharding, toxicity, url_filter
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -22,6 +22,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links at cosine 0.95 or more and their component."""
+    return nndescent.near_duplicates(_table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces of at most 2048 tokens, placed in sequences."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +74,7 @@ def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_nn_descent": op2_nn_descent,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
