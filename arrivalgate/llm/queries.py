@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import langid, mixing, neardup, nndescent, packing, quality, sharding, toxicity, url_filter
+from arrivalgate.llm import ann, langid, mixing, neardup, nndescent, packing, quality, sharding, toxicity, url_filter
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -64,6 +64,11 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_kmeans_tree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every vector whose id is divisible by 50."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), 5, 50).select("query_id", "rank", "vec_id", "score")
+
+
 def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards whose row counts are at most one apart."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,6 +86,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_pareto_mixing": op7_pareto_mixing,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op9_kmeans_tree_ann": op9_kmeans_tree_ann,
     "op10_label_propagation": op10_label_propagation,
 }
 
