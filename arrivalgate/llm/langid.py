@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from arrivalgate.llm.common import fold_of, ship
+from arrivalgate.llm.common import Scratch, fold_of
 
 ORDER, BITS = 5, 12
 DISCOUNT = 0.75
@@ -144,9 +144,9 @@ class Model:
                 base = lower_p[np.searchsorted(lower_key, short)]
             p = (count - DISCOUNT) / total[at] + weight[at] * base
             self.keys.append(key)
-            self.logp.append(np.log(p))
+            self.logp.append(np.log(p).astype(np.float32))
             self.ctx.append(ctx)
-            self.logw.append(np.log(weight))
+            self.logw.append(np.log(weight).astype(np.float32))
             lower_key, lower_p = key, p
 
     def log_probability(self, gram: np.ndarray) -> np.ndarray:
@@ -171,12 +171,11 @@ class Model:
 
 
 class Identifier:
-    """The models of all languages, in name order, and their limits."""
+    """The models of all languages, in name order."""
 
     def __init__(self, models: dict[str, Model]):
         self.langs = sorted(models)
         self.models = [models[x] for x in self.langs]
-        self.limit = np.full(len(self.langs), np.inf)
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(cross-entropy per character and language, number of characters) of whole texts."""
@@ -191,8 +190,8 @@ class Identifier:
                     out[at, j] = -np.bincount(doc, m.log_probability(u)[back], len(at)) / np.maximum(n, 1)
         return out, size
 
-    def judge(self, texts: list[str]) -> pd.DataFrame:
-        """lang_pred, score (0 to 1) and accepted of each text."""
+    def judge(self, texts: list[str], limit: np.ndarray) -> pd.DataFrame:
+        """lang_pred, score (0 to 1) and accepted (by each language's ``limit``) of each text."""
         h, n = self.entropies(texts)
         if not self.langs:
             return pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0, "accepted": False})
@@ -200,29 +199,52 @@ class Identifier:
         low = h[np.arange(len(h)), best]
         odds = np.exp(-(h - low[:, None]) * np.minimum(n, 60)[:, None])
         some = n > 0
-        ok = some & (low <= self.limit[best] + 3.0 / np.sqrt(np.maximum(n, 1)))
+        ok = some & (low <= limit[best] + 3.0 / np.sqrt(np.maximum(n, 1)))
         names = np.array(self.langs, dtype=object)[best]
         names[~some] = UNDETERMINED
         return pd.DataFrame({"lang_pred": names, "score": np.where(some, 1.0 / odds.sum(axis=1), 0.0), "accepted": ok})
 
 
-def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 3_000_000, calibration: int = 2000,
-        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Identifier:
+class Fitted:
+    """The broadcast models and, per language, the cross-entropy up to which a text is accepted."""
+
+    def __init__(self, sent, langs: list[str]):
+        self.sent, self.langs, self.limit = sent, langs, np.full(len(langs), np.inf)
+
+
+def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 500_000, calibration: int = 2000,
+        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Fitted:
     """Learn from text and non-null language of all documents outside fold ``held_out``.
 
     The counts cover every such document. The model that goes to the workers
     holds at most ``max_grams`` 5-grams over all languages, the most frequent
-    ones. ``calibration`` bounds the training documents (first by id hash)
-    whose cross-entropies set each language's limit: the 99.9 % quantile and
-    10 % more.
+    ones (all that occur at least as often as the count at which that many are
+    reached), so its broadcast is bounded. ``calibration`` bounds the training documents (first by id hash)
+    whose cross-entropies set each language's limit: half as much again as the
+    99.9 % quantile, so that only texts far from the language are refused.
     """
-    ship(docs.sparkSession)
     train = docs.where(F.col(lang_col).isNotNull() & (fold_of(id_col, folds) != held_out))
-    got = count_grams(train, lang_col, text_col).orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
-    model = Identifier({lang: Model(p["gram"].to_numpy(np.int64), p["n"].to_numpy(np.int64)) for lang, p in got.groupby("lang")})
-    if not model.langs:
-        return model
+    scratch = Scratch(docs.sparkSession, "langid")
+    counts = scratch.save(count_grams(train, lang_col, text_col), "grams")
+    langs = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    # the smallest count that keeps the model within its size, from a histogram of log counts (steps of 5 %)
+    step = F.floor(20 * F.log("n")).cast("int")
+    least, total = 1 << 30, 0
+    for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        total += r["count"]
+        if total > max_grams:
+            break
+        least = r["step"]
+    number = F.lit(-1)
+    for i, lang in enumerate(langs):
+        number = F.when(F.col("lang") == lang, i).otherwise(number)
+    got = counts.where(step >= least).select(number.cast("int").alias("l"), "gram", F.least(F.col("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
+    model = Identifier({langs[i]: Model(p["gram"].to_numpy(), p["n"].to_numpy()) for i, p in got.groupby("l")})
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    fitted = Fitted(sent, model.langs)
+    del got, model
+    if not fitted.langs:
+        return fitted
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -237,19 +259,19 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 3_0
         .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     top = sample.mapInPandas(measure, "lang string, h double").groupBy("lang").agg(F.expr("percentile_approx(h, 0.999, 10000)").alias("q"))
     for r in top.collect():
-        model.limit[model.langs.index(r["lang"])] = 1.1 * r["q"]
-    return model
+        fitted.limit[fitted.langs.index(r["lang"])] = 1.5 * r["q"]
+    return fitted
 
 
-def identify(docs: DataFrame, model: Identifier, text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, fitted: Fitted, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``accepted`` to every row, by the whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, limit = fitted.sent, fitted.limit
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                          T.StructField("accepted", T.BooleanType())])
 
     @F.pandas_udf(kind)
     def judged(text: pd.Series) -> pd.DataFrame:
-        return sent.value.judge([t or "" for t in text])
+        return sent.value.judge([t or "" for t in text], limit)
 
     got = docs.drop("lang_pred", "score", "accepted").withColumn("__l", judged(F.col(text_col).cast("string")))
     return got.select("*", "__l.*").drop("__l")
@@ -266,5 +288,5 @@ def classify(docs: DataFrame, folds: int = 3, held_out: int = 1, id_col: str = "
     an empty result; input columns named like a result are replaced, all others
     pass through. Only the text decides.
     """
-    model = fit(docs, folds, held_out, id_col=id_col, text_col=text_col, lang_col=lang_col, **options)
-    return identify(docs.drop("held_out"), model, text_col).withColumn("held_out", fold_of(id_col, folds) == held_out)
+    fitted = fit(docs, folds, held_out, id_col=id_col, text_col=text_col, lang_col=lang_col, **options)
+    return identify(docs.drop("held_out"), fitted, text_col).withColumn("held_out", fold_of(id_col, folds) == held_out)
