@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the reference: the length of the time-stamp suffix of a
-# landed object's stem, and the prefix of metadata objects in a listing.
+# Fixed value of the reference: the length of the time-stamp suffix of a
+# landed object's stem.
 STAMP_SUFFIX_LEN = 15
-METADATA_PREFIX = "SC360metadata_"
 
 
 def _c(x) -> Column:
@@ -36,8 +35,8 @@ def landed_file_name(key, n: int = STAMP_SUFFIX_LEN) -> Column:
     return drop_stamp(stem(base_name(key)), n)
 
 
-def is_data_object(name, prefix: str = METADATA_PREFIX) -> Column:
-    """Non-empty base name that is not a metadata object."""
+def is_data_object(name, prefix: str) -> Column:
+    """Non-empty base name that is not a metadata object (``prefix``: the deployment's)."""
     c = _c(name)
     return (F.length(c) > 0) & ~c.startswith(prefix)
 

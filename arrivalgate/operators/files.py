@@ -16,8 +16,7 @@ from arrivalgate.functions import text as T
 from arrivalgate.operators.joins import contains_join
 
 # Fixed values of the reference: process names, load states, the priority
-# flag, the point-in-time suffix, the empty-source error text and the
-# reference-date failure reason.
+# flag, the point-in-time suffix and the reference-date failure reason.
 CURATED = "RedshiftCuratedLoad"
 PUBLISHED = "RedshiftPublishedLoad"
 VALIDATION = "DataValidation"
@@ -25,8 +24,6 @@ SUCCEEDED = "Succeeded"
 FAILED = "Failed"
 PRIORITY_YES = "YES"
 PND_SUFFIX = "PND"
-EMPTY_SOURCE_ERROR = ("list index out of rangeException caught while converting the SCITS file to "
-                      "relational in scits_data_conversion_to_relational function.")
 DATA_FILE_SUFFIX = ".dat"
 REFDATE_REASON = "Reference_Dt not correct of the file. It should be current_dt - 1"
 
@@ -50,9 +47,14 @@ def priority_files(expected_files: DataFrame, source: str = "all") -> DataFrame:
     return df.select(F.col("region").alias("regionname"), "filename")
 
 
-def calendar(trigger_log: DataFrame) -> DataFrame:
-    """Distinct (batchrundate, regionname) pairs to evaluate."""
-    return trigger_log.select(*DAY_REGION).distinct()
+def calendar(dates: DataFrame, schedule: DataFrame) -> DataFrame:
+    """(batchrundate, regionname) pairs to evaluate: every given batch date with
+    every scheduled region, whether or not the log has a row for it. The
+    regions are one array (bounded by the region catalog) that each date
+    explodes, so no join is needed."""
+    regions = schedule.agg(F.array_sort(F.collect_set("regionname")).alias("r")).scalar()
+    return (dates.select("batchrundate").where(F.col("batchrundate").isNotNull()).distinct()
+            .select("batchrundate", F.explode(regions).alias("regionname")))
 
 
 def expected_by_date(cal: DataFrame, files: DataFrame) -> DataFrame:
@@ -76,20 +78,21 @@ def restrict_to_dates(df: DataFrame, cal: DataFrame) -> DataFrame:
 _CURATED_OK, _FAILED, _EMPTY = 1, 2, 4
 
 
-def load_summary(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
+def load_summary(load_log: DataFrame, error_text: str | None,
                  suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
     """One pass over the load log (the largest input) for the three per-file
     facts the readiness rules need, per (batchrundate, regionname, filename,
     processname): a succeeded curated load (J01), a failed run of the process
-    (J09) and an empty-source validation row (P11).
+    (J09) and an empty-source validation row (P11; ``error_text`` is the text the
+    loader writes for an empty file, None where the caller does not ask).
 
     The facts are one bit mask folded by a single ``bit_or`` (a fixed-width,
     code-generated hash aggregate reduced map-side), and the flags are
     projections above it, so Catalyst cannot prune the aggregate differently
     for different consumers (see ``load_facts``)."""
     pn, st = F.col("processname"), F.col("executionstatus")
-    empty = ((pn == VALIDATION) & F.col("errormessage").contains(error_text)
-             & F.col("sourcename").endswith(suffix))
+    empty = F.lit(False) if error_text is None else (
+        (pn == VALIDATION) & F.col("errormessage").contains(error_text) & F.col("sourcename").endswith(suffix))
     bit = lambda cond, b: F.when(F.coalesce(cond, F.lit(False)), F.lit(b)).otherwise(F.lit(0))
     # Disjoint bits, so the sum is the bitwise or.
     mask = bit((pn == CURATED) & (st == SUCCEEDED), _CURATED_OK) + bit(st == FAILED, _FAILED) + bit(empty, _EMPTY)
@@ -101,7 +104,7 @@ def load_summary(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
                     (flags.bitwiseAND(_EMPTY) != 0).alias("empty_source")))
 
 
-def load_facts(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
+def load_facts(load_log: DataFrame, error_text: str | None,
                suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
     """The load summary folded per (batchrundate, filename): the regions with a
     succeeded curated load, the sorted failed processes (any region, as the
@@ -120,13 +123,12 @@ def load_facts(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
 def curated_loaded(load_log: DataFrame, files: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Files with a succeeded curated load, limited to the
     expected files of their region (a semi join; an empty list gives nothing)."""
-    fa = facts if facts is not None else load_facts(load_log)
+    fa = facts if facts is not None else load_facts(load_log, None)
     return (fa.select("batchrundate", F.explode("curated_regions").alias("regionname"), "filename")
             .join(files, ["regionname", "filename"], "left_semi").select(*KEY))
 
 
-def map_procedures(loaded: DataFrame, file_procs: DataFrame, lengths: list[int] | None = None,
-                   catalog: DataFrame | None = None) -> DataFrame:
+def map_procedures(loaded: DataFrame, file_procs: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
     """J03 + A12: each loaded file to its procedure by ``source_filename`` containing
     the file name on the same region; files without a procedure drop out. The
     reference takes an arbitrary first match; ours is the smallest name (R2).
@@ -135,16 +137,16 @@ def map_procedures(loaded: DataFrame, file_procs: DataFrame, lengths: list[int]
     expected-file ``catalog`` the loads were limited to is given, the map is
     built from that small table and ``loaded`` (from the large log) is read
     once, by the final join."""
-    proc = file_procedures(catalog if catalog is not None else loaded, file_procs, lengths)
+    proc = file_procedures(catalog if catalog is not None else loaded, file_procs)
     return loaded.join(proc, ["regionname", "filename"])
 
 
-def file_procedures(files: DataFrame, file_procs: DataFrame, lengths: list[int] | None = None) -> DataFrame:
+def file_procedures(files: DataFrame, file_procs: DataFrame) -> DataFrame:
     """J03 on (region, file) only: the procedure of every file, no date."""
     names = files.select("regionname", "filename").distinct()
     matched = contains_join(names, "filename",
                             file_procs.select("regionname", "source_filename", "stored_procedure_name"),
-                            "source_filename", on=["regionname"], lengths=lengths)
+                            "source_filename", on=["regionname"])
     return matched.groupBy("regionname", "filename").agg(
         F.min("stored_procedure_name").alias("stored_procedure_name"))
 
@@ -153,12 +155,14 @@ def published(mapped: DataFrame, load_log: DataFrame) -> DataFrame:
     """(file, procedure) kept when a published load whose ``scriptpath`` is the
     procedure succeeded on the same date and region. Names compared as they are (R3)."""
     pub = (load_log.where((F.col("processname") == PUBLISHED) & (F.col("executionstatus") == SUCCEEDED))
-           .select(*DAY_REGION, F.col("scriptpath").alias("stored_procedure_name")))
+           .select(*DAY_REGION, F.col("scriptpath").alias("stored_procedure_name"))
+           # A region publishes few procedures many times: reduced map-side, no key stays hot.
+           .distinct())
     return (mapped.join(pub, DAY_REGION + ["stored_procedure_name"], "left_semi")
             .select(*KEY))
 
 
-def landed_objects(landing: DataFrame, metadata_prefix: str = T.METADATA_PREFIX) -> DataFrame:
+def landed_objects(landing: DataFrame, metadata_prefix: str) -> DataFrame:
     """S10 + U01 + P12 + F01: data objects of the landing and archive zones with
     their base name. ``landing`` holds (regionname, batchrundate, object_key)
     for both zones; see ``arrivalgate.sources.listing`` to build it from storage."""
@@ -166,8 +170,7 @@ def landed_objects(landing: DataFrame, metadata_prefix: str = T.METADATA_PREFIX)
             .where(T.is_data_object("object_name", metadata_prefix)))
 
 
-def received(landing: DataFrame, expected: DataFrame, match: str = "exact",
-             metadata_prefix: str = T.METADATA_PREFIX, lengths: list[int] | None = None) -> DataFrame:
+def received(landing: DataFrame, expected: DataFrame, match: str, metadata_prefix: str) -> DataFrame:
     """Expected files found in the landing or archive zone of their date.
 
     ``exact`` (J07): the object's stem less its 15-character stamp equals the
@@ -179,27 +182,26 @@ def received(landing: DataFrame, expected: DataFrame, match: str = "exact",
         return expected.join(names, KEY, "left_semi").select(*KEY)
     if match == "contains":
         return contains_join(expected.select(*KEY), "filename", objs, "object_name",
-                             on=DAY_REGION, how="left_semi", lengths=lengths).select(*KEY)
+                             on=DAY_REGION, how="left_semi").select(*KEY)
     raise ValueError(f"unknown match {match!r}")
 
 
 def failed_processes(load_log: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Distinct failed processes of a file on a date (no region condition)."""
-    fa = facts if facts is not None else load_facts(load_log)
+    fa = facts if facts is not None else load_facts(load_log, None)
     return (fa.where(F.size("failed_list") > 0)
             .select("batchrundate", "filename", F.array_join("failed_list", ",").alias("failed_processes"),
                     F.size("failed_list").cast("bigint").alias("n_failed_processes")))
 
 
-def empty_sources(load_log: DataFrame, error_text: str = EMPTY_SOURCE_ERROR,
+def empty_sources(load_log: DataFrame, error_text: str | None,
                   suffix: str = DATA_FILE_SUFFIX, facts: DataFrame | None = None) -> DataFrame:
     """Validation rows that report an empty source file (no region condition)."""
     fa = facts if facts is not None else load_facts(load_log, error_text, suffix)
     return fa.where(F.col("empty_source")).select("batchrundate", "filename")
 
 
-def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame,
-                    lengths: list[int] | None = None) -> DataFrame:
+def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame) -> DataFrame:
     """S09 + J14 + P13 + P14: for point-in-time (PND) files, the curated table
     their succeeded curated load wrote to (load-log ``filename`` containing the
     file), then that table's ``reference_dt`` for rows whose ``source_nm``
@@ -211,12 +213,11 @@ def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFram
     pnd = files.where(T.last3("filename") == PND_SUFFIX).select(*KEY)
     loads = (load_log.where((F.col("processname") == CURATED) & (F.col("executionstatus") == SUCCEEDED))
              .select(*DAY_REGION, F.col("filename").alias("load_filename"),
-                     F.col("destinationname").alias("table_name")))
-    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION, lengths=lengths)
+                     F.col("destinationname").alias("table_name")).distinct())
+    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION)
               .groupBy(*KEY).agg(F.min("table_name").alias("table_name")))
-    refs = curated_ref.select("batchrundate", "table_name", "source_nm", "reference_dt")
-    dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"],
-                           lengths=lengths)
+    refs = curated_ref.select("batchrundate", "table_name", "source_nm", "reference_dt").distinct()
+    dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"])
              .groupBy(*KEY).agg(F.max("reference_dt").alias("reference_dt")))
     return dated.withColumn("ref_ok", F.col("reference_dt") == F.date_sub("batchrundate", 1))
 
@@ -293,8 +294,12 @@ def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
         T.comma_list(F.collect_list(F.when(st == "failed", F.col("filename")))).alias("failed_names"),
         F.max(F.when(st.isin("missing", "failed"), F.struct(F.col("filename").alias("f"), st.alias("s"))))
         .alias("_last"),
-        F.array_sort(F.collect_list(F.when(st == "failed", F.struct("filename", "detail")))).alias("failed_files"),
+        # Under the current rule no file is ever 'failed': only the others collect the reasons.
+        *([F.array_sort(F.collect_list(F.when(st == "failed", F.struct("filename", "detail")))).alias("failed_files")]
+          if rule != "current" else []),
     )
+    if rule == "current":
+        agg = agg.withColumn("failed_files", F.array().cast("array<struct<filename:string,detail:string>>"))
     if rule == "bmt":
         ready = F.col("done") >= F.col("expected")
         names = (F.when(F.col("_last.s") == "failed", F.col("_last.f"))

@@ -85,18 +85,29 @@ def next_step_status(trigger_log: DataFrame, source: str) -> DataFrame:
         "regionname", F.col("batchrundate").alias("_next"), F.col("execution_status").alias("next_status"))
 
 
-def next_day_delay(cal: DataFrame, trigger_log: DataFrame, now: Column, window: tuple,
-                   source: str = "SPDST", months: int = 0, days: int = 1) -> DataFrame:
-    """D12 (legacy): delay alert when in the delay window (field form, minute <
+DELAY_CHECKED = ("start", "cutoff", "pending")
+
+
+def with_next_day_delay(decisions: DataFrame, trigger_log: DataFrame, now: Column, window: tuple,
+                        source: str = "SPDST", months: int = 0, days: int = 1) -> DataFrame:
+    """The decisions with ``next_status``, ``in_window`` and ``alert``. D12 (legacy): delay alert when in the delay window (field form, minute <
     end minute) and the next batch's row (``months`` or ``days`` later) is
-    missing or 'Failed'."""
+    missing or 'Failed'. The reference gets that far only for a day that has
+    its row, is not triggered yet and has no busy job, so only the legacy
+    ``decisions`` start, cutoff and pending can alert."""
     d = F.col("batchrundate")
     nxt_day = F.add_months(d, months) if months else F.date_add(d, days)
-    df = (cal.select(*DAY_REGION).withColumn("_next", nxt_day)
+    df = (decisions.withColumn("_next", nxt_day)
           .join(next_step_status(trigger_log, source), ["regionname", "_next"], "left").drop("_next"))
     inside = TC.in_window(now, *window, form="fields_strict_end")
-    alert = inside & (F.col("next_status").isNull() | (F.col("next_status") == FAILED))
-    return df.select(*DAY_REGION, "next_status", inside.alias("in_window"), alert.alias("alert"))
+    alert = F.col("action").isin(*DELAY_CHECKED) & inside & (F.col("next_status").isNull() | (F.col("next_status") == FAILED))
+    return df.withColumn("in_window", inside).withColumn("alert", alert)
+
+
+def next_day_delay(decisions: DataFrame, trigger_log: DataFrame, now: Column, window: tuple, **step) -> DataFrame:
+    """D12 (legacy): the delay check of every decision (see ``with_next_day_delay``)."""
+    return with_next_day_delay(decisions, trigger_log, now, window, **step).select(
+        *DAY_REGION, "next_status", "in_window", "alert")
 
 
 def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFrame, busy: DataFrame,
@@ -180,6 +191,7 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
                      started.alias("actual_start_time"), flag.alias("priority_files_received"),
                      missing.alias("missing"), names.alias("names"),
                      F.coalesce("missing_names", F.lit("")).alias("missing_names"), alert.alias("delay_alert"),
+                     "expected_start", "expected_end",
                      *([F.col("failed_files")] if "failed_files" in df.columns else []))
 
 
@@ -187,16 +199,45 @@ DECISION_COLS = KEYS + ["action", "execution_status", "error_message", "actual_s
                         "priority_files_received", "missing", "names", "missing_names", "delay_alert"]
 
 
+def log_changes(decisions: DataFrame, jobs: dict[str, str]) -> DataFrame:
+    """The trigger-log values of the decisions. A first row ('insert')
+    comes complete, with its job and expected window; other rows leave those
+    columns as they are (NULL)."""
+    job = F.create_map(*[x for k, v in jobs.items() for x in (F.lit(k), F.lit(v))])[F.col("report_source")]
+    first = F.col("action") == "insert"
+    return decisions.select(
+        *KEYS, "execution_status", F.when(first, job).alias("gluejob"),
+        F.when(first, F.col("expected_start")).alias("expected_start_time"),
+        F.when(first, F.col("expected_end")).alias("expected_end_time"), "error_message", "actual_start_time")
+
+
 def merge_log(log: DataFrame, changes: DataFrame, keys: list[str] | None = None,
               cols: list[str] | None = None) -> DataFrame:
-    """K02 to K06 + T04: keyed upsert without MERGE. Full outer join on the key;
-    a changed column takes the new value, else keeps the old. ``changes``
-    must hold at most one row per key (decisions do). The result is a new
-    snapshot; write it to a new path, never over the one being read."""
+    """K02 to K06 + T04: keyed upsert without MERGE, on whole rows.
+
+    Every column of ``log`` stays, with its type and in its place. A changed
+    column (``cols``, by default all that ``changes`` holds) takes the new
+    value, or keeps the old where the new one is NULL. Several log rows of one
+    key are all changed and all stay. A key that the log lacks becomes a new
+    row, NULL where ``changes`` says nothing. Columns that only ``changes``
+    has are added at the end. Two changes of one key are an error.
+    The result is a new snapshot; write it to a new path, never over the one
+    being read."""
     keys = keys or KEYS
-    cols = cols or ["execution_status", "error_message", "actual_start_time"]
-    old = log.select(*keys, *[(F.col(c) if c in log.columns else F.lit(None)).alias(f"_o_{c}") for c in cols])
-    new = changes.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols])
-    j = old.join(new, keys, "full_outer")
-    return j.select(*keys, *[F.coalesce(f"_n_{c}", F.col(f"_o_{c}").cast(changes.schema[c].dataType)).alias(c)
-                             for c in cols])
+    cols = cols or [c for c in changes.columns if c not in keys]
+    once = changes.groupBy(*keys).agg(F.first(F.struct(*cols)).alias("_n"), F.count(F.lit(1)).alias("_c"))
+    # the check is part of the value, so that no column pruning can drop it
+    twice = F.raise_error(F.concat(F.lit("two changes of the key "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])))
+    once = once.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                       F.when(F.col("_c") > 1, twice.cast(once.schema["_n"].dataType)).otherwise(F.col("_n")).alias("_n"))
+    j = log.join(once, [F.col(k) == F.col(f"_k_{k}") for k in keys], "full_outer")
+    out = []
+    for c in log.columns:
+        kind = log.schema[c].dataType
+        if c in keys:
+            out.append(F.coalesce(F.col(c), F.col(f"_k_{c}").cast(kind)).alias(c))
+        elif c in cols:
+            out.append(F.coalesce(F.col(f"_n.{c}").cast(kind), F.col(c)).alias(c))
+        else:
+            out.append(F.col(c))
+    return j.select(*out, *[F.col(f"_n.{c}").alias(c) for c in cols if c not in log.columns])

@@ -6,111 +6,74 @@ The reference matches a file name inside a longer name three times:
 plan it as a sort-merge join on the equality keys (region) with the LIKE as a
 residual: a few giant partitions, quadratic inside each.
 
-Exact equi-join form: a needle of length L is contained in a haystack iff it
-equals one of the haystack's substrings of length L. So each haystack row is
-expanded into its distinct substrings *of the needle lengths that occur*, and
-the join becomes an equality on (keys, fragment) -- hash-partitioned on a
-high-cardinality key, no residual, no size cap and no approximation. The
-distinct needle lengths are a tiny aggregate (at most the longest name
-length), read once on the driver to build the expansion expression.
-
-Cost: each haystack row yields sum over lengths L of (len - L + 1) fragments;
-with file names of a few distinct lengths this is a small constant per row.
-Matching is literal and case-sensitive (R4: no LIKE wildcards from data).
+Exact form on grams. A needle of ``GRAM`` characters or more is posted under
+one of its grams, the one that the fewest needles have; a shorter needle is
+posted as it is. A haystack is expanded into its distinct substrings of 1 to
+``GRAM`` characters: at most ``GRAM`` per character position, however many
+needle lengths there are, and nothing has to be known when the query is built.
+The join is an equality on (keys, gram); ``contains`` then confirms each hit.
+Matching is literal and case-sensitive (R4: no LIKE wildcards from data). An
+empty needle is contained in every haystack, NULL in none.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_FRAG = "__frag"
-
+GRAM = 5
 
-def needle_lengths(needles: DataFrame, needle_col: str) -> list[int]:
-    rows = (needles.select(F.length(needle_col).alias("n"))
-            .where(F.col("n").isNotNull()).distinct().collect())
-    return sorted(int(r["n"]) for r in rows)
 
+def _pieces(text: Column, least: int) -> Column:
+    """Distinct substrings of ``text`` of ``least`` to GRAM characters (and the empty text for ``least`` 0)."""
+    n = F.length(text)
+    at = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    sizes = range(max(1, least), GRAM + 1)
+    got = F.flatten(F.transform(at, lambda i: F.filter(
+        F.array(*[F.when(i + (size - 1) <= n, F.substring(text, i, F.lit(size))) for size in sizes]), lambda x: x.isNotNull())))
+    return F.array_distinct(F.concat(F.array(F.lit("")), got) if least == 0 else got)
 
-def _positions(hay, lengths: list[int]):
-    """(length, start) of every substring of ``hay`` with a length in ``lengths``,
-    as one integer index space: index i < c1 is (L1, i+1), the next c2 are
-    (L2, ..), and so on, where c_k = max(len - L_k + 1, 0). Exploding a plain
-    integer sequence is much cheaper than building arrays of strings."""
-    n = F.length(hay)
-    counts = [F.greatest(n - F.lit(L - 1), F.lit(0)) if L > 0 else F.when(hay.isNotNull(), F.lit(1)).otherwise(0)
-              for L in lengths]
-    total = counts[0]
-    for c in counts[1:]:
-        total = total + c
-    return total, counts
 
-
-def fragment_columns(hay_col: str, lengths: list[int], idx: str):
-    """Length and text of fragment number ``idx`` (see ``_positions``)."""
-    hay = F.col(hay_col)
-    _, counts = _positions(hay, lengths)
-    i = F.col(idx)
-    length = start = None
-    offset = F.lit(0)
-    for L, c in zip(lengths, counts):
-        cond = i < offset + c
-        st = i - offset + 1
-        length = F.when(cond, F.lit(L)) if length is None else length.when(cond, F.lit(L))
-        start = F.when(cond, st) if start is None else start.when(cond, st)
-        offset = offset + c
-    frag = F.substring(hay, start, length)
-    # Keep the first occurrence of each distinct fragment only.
-    first = (F.instr(hay, frag) == start) | (length == 0)
-    return frag, first
+def posted(needles: DataFrame, needle_col: str) -> DataFrame:
+    """(needle, gram) for the distinct needles: a short needle itself, else its rarest gram."""
+    own = needles.select(F.col(needle_col).alias("__n")).where("__n is not null").distinct()
+    short = own.where(F.length("__n") < GRAM).select("__n", F.col("__n").alias("__g"))
+    grams = own.where(F.length("__n") >= GRAM).select("__n", F.explode(_pieces(F.col("__n"), GRAM)).alias("__g"))
+    often = grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
+    rare = grams.join(often, "__g").groupBy("__n").agg(F.min(F.struct("__c", "__g")).alias("__m")).select("__n", F.col("__m.__g").alias("__g"))
+    return short.union(rare)
 
 
 def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay_col: str,
-                  on: list[str] | None = None, how: str = "inner",
-                  lengths: list[int] | None = None) -> DataFrame:
+                  on: list[str] | None = None, how: str = "inner") -> DataFrame:
     """Rows of ``needles`` x ``haystacks`` where ``hay_col`` contains ``needle_col``
     (and the ``on`` columns are equal). ``how`` is ``inner``, ``left_semi``
     (needles with at least one match) or ``left_anti``.
 
     Output columns (``inner``): needles' columns, then haystacks' columns that
     are not already in needles.
-
-    ``lengths``: needle lengths if known (any superset is exact, e.g. the
-    lengths of a small catalog the needles come from); else read from the
-    needles with one small aggregate.
     """
     on = list(on or [])
-    if lengths is None:
-        lengths = needle_lengths(needles, needle_col)
+    if how not in ("inner", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
     extra = [c for c in haystacks.columns if c not in on and c not in needles.columns]
     # Right side renamed so the join resolves by name even when both sides
     # come from the same table.
-    lengths = lengths or [0]  # no non-null needle: nothing can match
-    total, _ = _positions(F.col(hay_col), lengths)
-    idx = "__idx"
-    seq = F.when(total > 0, F.sequence(F.lit(0), total - 1)).otherwise(F.array().cast("array<int>"))
-    expanded = haystacks.select("*", F.explode(seq).alias(idx))
-    frag, first = fragment_columns(hay_col, lengths, idx)
-    right = (expanded.select(*[F.col(c).alias(f"__r_{c}") for c in on], frag.alias(_FRAG), first.alias("__first"),
-                             *[F.col(c) for c in extra])
-             .where("__first").drop("__first"))
-    cond = [F.col(c) == F.col(f"__r_{c}") for c in on] + [F.col(needle_col) == F.col(_FRAG)]
-    if how in ("left_semi", "left_anti"):
-        # A semi/anti join can only build its right side, which here would be
-        # the (large) fragment side. So first join the fragments with the
-        # distinct needle keys -- an inner join, where AQE may broadcast the
-        # needle side after checking its runtime size, and otherwise falls
-        # back to a shuffle join -- then semi/anti join the few matched keys.
-        # The distinct needles are a shuffle stage of their own: its measured
-        # size is what lets AQE broadcast them instead of shuffling the
-        # fragments (static broadcast is off).
-        keys = on + [needle_col]
-        frags = right.select(*[F.col(f"__r_{c}") for c in on], F.col(_FRAG))
-        matched = (frags.join(needles.select(*keys).distinct(), cond, "inner")
-                   .select(*keys).distinct())
-        return needles.join(matched, keys, how)
+    grams = (haystacks.where(F.col(hay_col).isNotNull())
+             .select(*[F.col(c).alias(f"__r_{c}") for c in on], F.col(hay_col).alias("__h"),
+                     *[F.col(c).alias(f"__x_{c}") for c in (extra if how == "inner" else [])]))
     if how != "inner":
-        raise ValueError(f"unsupported join type {how!r}")
-    joined = right.join(needles, cond, "inner")
-    return joined.select(*needles.columns, *extra)
+        grams = grams.distinct()
+    grams = grams.withColumn("__g", F.explode(_pieces(F.col("__h"), 0)))
+    # The distinct needles are a shuffle stage of their own: its measured size
+    # is what lets AQE broadcast them instead of shuffling the grams.
+    keys = needles.select(*on, F.col(needle_col).alias("__n")).distinct().join(posted(needles, needle_col), "__n")
+    hit = grams.join(keys, [F.col(f"__r_{c}") == F.col(c) for c in on] + [grams["__g"] == keys["__g"]]) \
+        .where(F.col("__h").contains(F.col("__n")))
+    if how != "inner":
+        # Semi and anti join on the few matched keys, not on the gram side.
+        matched = hit.select(*on, F.col("__n").alias(needle_col)).distinct()
+        return needles.join(matched, [*on, needle_col], how)
+    pairs = hit.select(*[F.col(c).alias(f"__k_{c}") for c in on], "__n", *[F.col(f"__x_{c}") for c in extra])
+    cond = [F.col(f"__k_{c}") == F.col(c) for c in on] + [F.col("__n") == F.col(needle_col)]
+    return needles.join(pairs, cond).select(*needles.columns, *[F.col(f"__x_{c}").alias(c) for c in extra])

@@ -20,10 +20,16 @@ MSG_BMT_STARTED = "The BMT %s Report refresh is started. Open glue job log : %s"
 SUBJ_BMT_MISSING = "*** %sBMT Priority File Missing ***"
 SUBJ_BMT_FAILED = "*** %sBMT Priority File Failure ***"
 PROC_NOT_RECEIVED = "Files Not Received"
-SUBJ_RUN = "%s SPDST/Others Report Refresh %s"
-SUBJ_RUN_LINK = "%s SPDST/others Report Refresh Successful"
-MSG_RUN_LINK = "%s SPDST/others Report Refresh is Completed Successfully."
+SUBJ_RUN = {"other": "%s SPDST/Others Report Refresh %s", "bmt": "%s BMT Report Refresh %s"}
+SUBJ_RUN_LINK = {"other": "%s SPDST/others Report Refresh Successful", "bmt": "%s BMT Report Refresh Successful"}
+MSG_RUN_LINK = {"other": "%s SPDST/others Report Refresh is Completed Successfully.",
+                "bmt": "%s BMT Report Refresh is Completed Successfully."}
 OTHER_SOURCES = "SPDST/Others"
+SUBJ_LEGACY_STARTED = "*** %s SPDST report refresh is started.***"
+MSG_LEGACY_STARTED = "The SPDST %s Report refresh is started. Open glue job log : %s"
+SUBJ_LEGACY_MISSING = "*** %s SPDST Priority File Missing ***"
+SUBJ_LEGACY_FAILED = "*** %sSPDST Priority File Failure ***"
+MSG_LEGACY_DELAY = "There will Delay in Report_source for SPDST due to some issue."
 
 NOTIFY_COLS = ["kind", "regionname", "batchrundate", "run_id", "subject", "body"]
 
@@ -87,29 +93,55 @@ def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:
     ])
 
 
-def run_alerts(outcomes: DataFrame, env: str, report_url: str, label: Column, run_col: str = "run_id") -> DataFrame:
-    """D13 for the executors (strict rule): one failure message with the failed
-    step, or a success message plus a report-link message (R14: one per run
-    and kind). ``label`` names the run in texts (the region in a deployment).
-    The failed step comes with the outcome (``run_outcome``)."""
+def legacy_alerts(legacy: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:
+    """D13, legacy SPDST trigger: started, files missing and files failed at the
+    cutoff, and the delay alert. ``legacy``: decisions from
+    ``gate.with_next_day_delay``, read once."""
+    r, a = F.col("regionname"), F.col("action")
+    failed_list = F.transform("failed_files", lambda x: F.create_map(x["filename"], F.split(x["detail"], ",")))
+    return _explode(legacy, [
+        _alert(a == "start", "started", F.format_string(SUBJ_LEGACY_STARTED, r),
+               F.struct(F.lit(env).alias("Env"), F.format_string(MSG_LEGACY_STARTED, r, F.lit(jobs["SPDST"])).alias("Message"),
+                        r.alias("Region"))),
+        _alert((a == "cutoff") & (F.col("missing") > 0), "files_missing", F.format_string(SUBJ_LEGACY_MISSING, r),
+               F.struct(F.lit(env).alias("Env"), _names("missing_names").alias("Missing Priority File"),
+                        F.lit(PROC_NOT_RECEIVED).alias("Process Name failed, If any"), r.alias("Region"))),
+        _alert((a == "cutoff") & (F.coalesce(F.size("failed_files"), F.lit(0)) > 0), "files_failed",
+               F.format_string(SUBJ_LEGACY_FAILED, r),
+               F.struct(F.lit(env).alias("Env"), failed_list.alias("Priority File Failed"),
+                        F.lit("NA").alias("Process Name failed, If any"), r.alias("Region"))),
+        _alert(F.col("alert"), "delay", F.format_string(SUBJ_SPDST_DELAY, r),
+               F.struct(F.lit(env).alias("Env"), F.lit("SPDST").alias("Report_Source"), r.alias("Region"),
+                        F.lit(MSG_LEGACY_DELAY).alias("Message"))),
+    ])
+
+
+def run_alerts(outcomes: DataFrame, env: str, report_url: str, label: Column, run_col: str = "run_id",
+               executor: str = "other") -> DataFrame:
+    """D13 for the executors: one failure message with all failed steps, or a
+    success message plus a report-link message (R14: one per run and kind).
+    ``label`` names the run in texts (the region in a deployment);
+    ``executor`` is ``other`` (SPDST/Others) or ``bmt``. The failed steps come
+    with the outcome (``run_outcome``)."""
     df = outcomes.withColumn("_label", label)
     lab = F.col("_label")
-    entry = F.struct(
-        F.col("failed_procedure").alias("Stored Procedure Name"),
-        F.col("failed_error").alias("Error"),
-        F.when(F.col("failed_source") == "SPDST", F.lit("SPDST")).otherwise(F.lit(OTHER_SOURCES)).alias("Data Source"),
-        lab.alias("Region"))
+    source = (lambda x: F.lit("BMT")) if executor == "bmt" else (
+        lambda x: F.when(x["source"] == "SPDST", F.lit("SPDST")).otherwise(F.lit(OTHER_SOURCES)))
+    entries = F.transform("failed_steps", lambda x: F.struct(
+        x["procedure"].alias("Stored Procedure Name"), x["error"].alias("Error"), source(x).alias("Data Source"),
+        lab.alias("Region")))
+    subject, link, text = SUBJ_RUN[executor], SUBJ_RUN_LINK[executor], MSG_RUN_LINK[executor]
     failed = F.col("execution_status") == "Failed"
     empty = F.array().cast("array<struct<`Stored Procedure Name`:string,Error:string,`Data Source`:string,Region:string>>")
     return _explode(df, [
-        _alert(failed, "run_failed", F.format_string(SUBJ_RUN, lab, F.lit("Failed")),
-               F.struct(F.lit(env).alias("Env"), F.array(entry).alias("Error Message"),
+        _alert(failed, "run_failed", F.format_string(subject, lab, F.lit("Failed")),
+               F.struct(F.lit(env).alias("Env"), entries.alias("Error Message"),
                         F.lit("Failed").alias("status"), lab.alias("Region"))),
-        _alert(~failed, "run_succeeded", F.format_string(SUBJ_RUN, lab, F.lit("Successful")),
+        _alert(~failed, "run_succeeded", F.format_string(subject, lab, F.lit("Successful")),
                F.struct(F.lit(env).alias("Env"), empty.alias("Error Message"),
                         F.lit("Succeeded").alias("status"), lab.alias("Region"))),
-        _alert(~failed, "run_report_link", F.format_string(SUBJ_RUN_LINK, lab),
-               F.struct(F.lit(env).alias("Env"), F.format_string(MSG_RUN_LINK, lab).alias("Message"),
+        _alert(~failed, "run_report_link", F.format_string(link, lab),
+               F.struct(F.lit(env).alias("Env"), F.format_string(text, lab).alias("Message"),
                         F.lit(report_url).alias("Report_Url"))),
     ], F.col(run_col))
 

@@ -4,8 +4,8 @@ The reference calls the steps of a plan one at a time and stops on a failure.
 Here the states are recorded events; the outcome of a step depends only on
 whether an *earlier* step of its run failed, so it is computed from a
 per-run aggregate (first failing position) joined back to the steps -- no
-window over a run, so a run holding a third of all steps is still reduced
-map-side and its rows spread over many tasks (AQE splits the skewed join).
+window over a run. The aggregate is reduced map-side, and the join back is on
+(run, salt), so a run holding a third of all steps is spread over SALTS tasks.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ COMPLETED, FAILED, SKIPPED = "Completed", "Failed", "Skipped"
 LOG_FINISHED, LOG_FAILED = "Finished", "Failed"
 UNKNOWN_ERROR = "Unknown error"
 
+# Parts over which the rows of one hot run or step are dealt in a join.
+SALTS = 16
+
 
 def select_plan(run_plan: DataFrame, kind: str = "other", files_received: str | None = None) -> DataFrame:
     """S08 + P04/P05/P21: the steps an executor runs. ``bmt``: data source
@@ -79,7 +82,11 @@ def step_outcomes(plan: DataFrame, halt: str = "strict", run_col: str = "run_id"
     else:
         raise ValueError(f"unknown halt rule {halt!r}")
     stops = plan.where(halting).groupBy(run_col).agg(F.min("pos").alias("_halt_at"))
-    df = plan.join(stops, run_col, "left")
+    # A run may hold a third of all steps: the steps are dealt over salts and
+    # each run's one halting position is repeated per salt.
+    salted = plan.withColumn("_salt", F.pmod(F.xxhash64("pos"), F.lit(SALTS)).cast("int"))
+    stops = stops.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    df = salted.join(stops, [run_col, "_salt"], "left").drop("_salt")
     outcome = (F.when(F.col("_halt_at").isNotNull() & (F.col("pos") > F.col("_halt_at")), SKIPPED)
                .when(failed, FAILED).otherwise(COMPLETED))
     return df.withColumn("outcome", outcome).drop("_halt_at")
@@ -93,8 +100,8 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
     strict_older: same with F07 and 'NULL'.
     critical: log 'Failed' if any step failed; report state and error text
       from the last step that ran (F07 of its error, or 'Null').
-    The first failed step (procedure, source, raw error) is carried for the
-    failure notification, so alerts need no second pass over the steps.
+    All failed steps (procedure, source, raw error, in plan order) are carried for
+    the failure notification, so alerts need no second pass over the steps.
     """
     st = F.col("outcome")
     err = F.coalesce(F.col("error"), F.lit(UNKNOWN_ERROR))
@@ -104,6 +111,9 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
         F.count_if(st == SKIPPED).alias("n_skipped"),
         F.min(F.when(st == FAILED, F.struct("pos", err.alias("e"), F.col("stored_procedure_name").alias("p"),
                                             F.col("file_datasource").alias("d")))).alias("_first_fail"),
+        # Every failed step, for the failure message (a plan's failed steps only).
+        F.array_sort(F.collect_list(F.when(st == FAILED, F.struct("pos", F.col("stored_procedure_name").alias("p"),
+                                                                  F.col("file_datasource").alias("d"), err.alias("e"))))).alias("_failed"),
         F.max(F.when(st != SKIPPED, F.struct("pos", st.alias("o"), err.alias("e")))).alias("_last_ran"),
     )
     any_failed = F.col("n_failed") > 0
@@ -122,8 +132,8 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
     return agg.select(run_col, F.lit(rule).alias("rule"), log_state.alias("execution_status"),
                       report.alias("report_status"), text.alias("error_message"),
                       "n_steps", "n_failed", "n_skipped",
-                      F.col("_first_fail.p").alias("failed_procedure"), F.col("_first_fail.d").alias("failed_source"),
-                      F.col("_first_fail.e").alias("failed_error"))
+                      F.transform("_failed", lambda x: F.struct(
+                          x["p"].alias("procedure"), x["d"].alias("source"), x["e"].alias("error"))).alias("failed_steps"))
 
 
 OUTCOME_COLS = ["run_id", "rule", "execution_status", "report_status", "error_message", "n_steps", "n_failed",
@@ -134,10 +144,12 @@ def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None
     """Up to ``limit`` attempts per step, success at the first non-failed
     attempt (by start, then sequence); attempts after a success are ignored.
 
-    Exact and skew-safe without ranking a group in one task: the first
-    success per step is a grouped min; the attempts before it are counted by
-    a second aggregate over the join of attempts with that one value. A step
-    completes iff fewer than ``limit`` attempts precede its first success.
+    Exact without ranking a group in one task: the first success per step is a
+    grouped min; the attempts before it are counted in the join of attempts
+    with that one value. The join is on (step, salt), the value repeated per
+    salt, so a step that holds a third of all attempts is spread; the counts
+    are added up per step. A step completes iff fewer than ``limit`` attempts
+    precede its first success.
     """
     keys = keys or ["step_id", "batchrundate"]
     key = F.struct("started", "seq")
@@ -148,9 +160,10 @@ def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None
     # fixed-width fields (the same in every row of a step), so the second
     # aggregate stays a hash aggregate and nothing is joined back.
     fo = F.col("_first_ok")
-    df = (attempts.select(*keys, key.alias("_k"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    df = (attempts.select(*keys, key.alias("_k"), F.pmod(F.xxhash64("started", "seq"), F.lit(SALTS)).cast("int").alias("_salt"))
           .join(firsts.select(*keys, fo.isNotNull().alias("_has_ok"), fo["started"].alias("_ok_t"),
-                              fo["seq"].alias("_ok_s"), "_n"), keys)
+                              fo["seq"].alias("_ok_s"), "_n", salts.alias("_salt")), [*keys, "_salt"])
           .groupBy(*keys)
           .agg(F.count_if(F.col("_has_ok") & (F.struct("_ok_t", "_ok_s") > F.col("_k"))).alias("_n_before"),
                F.bool_or("_has_ok").alias("_has_ok"), F.max("_n").alias("attempts_recorded")))

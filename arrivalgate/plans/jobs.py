@@ -17,34 +17,44 @@ from arrivalgate.operators import files as FS
 from arrivalgate.operators import gate as G
 from arrivalgate.operators import outputs as O
 from arrivalgate.operators import schedule as S
-from arrivalgate.operators.joins import needle_lengths
 from arrivalgate.session import materialize
 from arrivalgate.sources import sinks
 
 
-def _chain(t: dict, source: str, rule: str, metadata_prefix: str, empty_error: str):
+def _chain(t: dict, cal: DataFrame, facts: DataFrame, source: str, rule: str, metadata_prefix: str) -> DataFrame:
     pf = FS.priority_files(t["expected_files"], source)
-    cal = FS.calendar(t["trigger_log"])
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(t["load_log"], cal)
-    facts = FS.load_facts(log, empty_error)
-    lens = needle_lengths(pf, "filename")
     loaded = FS.curated_loaded(log, pf, facts)
-    pub = FS.published(FS.map_procedures(loaded, t["file_procs"], lens, catalog=pf), log)
+    pub = FS.published(FS.map_procedures(loaded, t["file_procs"], catalog=pf), log)
     rec = FS.received(FS.restrict_to_dates(t["landing"], cal), expected,
-                      "exact" if rule == "current" else "contains", metadata_prefix, lens)
-    refd = (FS.reference_dates(pub, log, FS.restrict_to_dates(t["curated_ref"], cal), lens)
+                      "exact" if rule == "current" else "contains", metadata_prefix)
+    refd = (FS.reference_dates(pub, log, FS.restrict_to_dates(t["curated_ref"], cal))
             if rule == "legacy" and "curated_ref" in t else None)
-    states = FS.file_state(expected, pub, rec, FS.failed_processes(log, facts),
-                           FS.empty_sources(log, facts=facts), refd, rule)
-    return cal, states
+    return FS.file_state(expected, pub, rec, FS.failed_processes(log, facts), FS.empty_sources(log, None, facts=facts),
+                         refd, rule)
 
 
-def trigger_cycle(t: dict[str, DataFrame], now: Column, out_dir: str, version: int, *, env: str,
-                  jobs: dict[str, str], cutoff: tuple, force_extra: tuple, delay_window: tuple,
-                  spdst_rule: str = "current", metadata_prefix: str = FS.T.METADATA_PREFIX,
-                  empty_error: str = FS.EMPTY_SOURCE_ERROR) -> dict[str, str]:
-    """Evaluate both triggers and write their outputs.
+def _check_inputs(t: dict[str, DataFrame], out_dir: str, kinds: list[str], version: int) -> None:
+    """Refuse to overwrite a folder that an input is read from."""
+    for kind in kinds:
+        target = sinks.version_path(os.path.join(out_dir, kind), version)
+        plain = target.split(":", 1)[-1].lstrip("/")
+        for name, df in t.items():
+            if any(plain in f for f in df.inputFiles()):
+                raise ValueError(f"version {version} of {kind} is where {name} is read from")
+
+
+def trigger_cycle(t: dict[str, DataFrame], batch_dates: DataFrame, now: Column, out_dir: str, version: int, *,
+                  env: str, jobs: dict[str, str], cutoff: tuple, force_extra: tuple, delay_window: tuple,
+                  metadata_prefix: str, empty_error: str, spdst_rule: str = "current",
+                  legacy_delay_window: tuple | None = None, legacy_delay_step: dict | None = None,
+                  today=None, report_now=None) -> dict[str, str]:
+    """Evaluate both triggers for the given batch dates and write their outputs.
+
+    ``batch_dates`` (column ``batchrundate``) are the days to evaluate, today's
+    in a daily run: each is evaluated for every scheduled region, whether or
+    not the log has a row for it, and other days are left alone.
 
     ``t`` holds the control tables: schedule, trigger_log, expected_files,
     load_log, file_procs, landing, dependency, job_runs (and curated_ref for
@@ -52,13 +62,21 @@ def trigger_cycle(t: dict[str, DataFrame], now: Column, out_dir: str, version: i
     written under ``out_dir/<kind>/v=<version>`` for ``decisions``,
     ``trigger_log`` (the new snapshot; never the one read), ``start_requests``
     and ``notifications``; a re-run of the same version rewrites only its own
-    outputs.
+    outputs. With ``report_master`` among the tables (and ``today`` and
+    ``report_now``), the reports' windows and statuses are updated too (K07,
+    K08), as the reference does on every trigger. Under the legacy rule the
+    legacy messages are sent, with the delay alert of ``legacy_delay_window``.
     """
+    kinds = ["decisions", "trigger_log", "start_requests", "notifications", "report_master"]
+    _check_inputs(t, out_dir, kinds, version)
     busy = G.busy_regions(t["dependency"], t["job_runs"])
+    cal = FS.calendar(batch_dates, t["schedule"])
+    # Both triggers read the same facts of the load log: summarised once, stored.
+    facts = materialize(FS.load_facts(FS.restrict_to_dates(t["load_log"], cal), empty_error))
+    windows = S.expected_window(t["schedule"], cal)
     decided = []
     for rule in ("bmt", spdst_rule):
-        cal, states = _chain(t, "bmt" if rule == "bmt" else "other", rule, metadata_prefix, empty_error)
-        windows = S.expected_window(t["schedule"], cal)
+        states = _chain(t, cal, facts, "bmt" if rule == "bmt" else "other", rule, metadata_prefix)
         up = None if rule == "bmt" else G.upstream_finished(t["trigger_log"], cal)
         decided.append(G.decide(rule, windows, t["trigger_log"], FS.readiness(states, rule), busy, up, now,
                                 cutoff, force_extra, delay_window))
@@ -67,11 +85,17 @@ def trigger_cycle(t: dict[str, DataFrame], now: Column, out_dir: str, version: i
     decisions = materialize(decided[0].unionByName(decided[1]))
     bmt = decisions.where(F.col("report_source") == "BMT")
     spdst = decisions.where(F.col("report_source") == "SPDST")
-    alerts = O.bmt_alerts(bmt, env, jobs).unionByName(O.current_alerts(spdst, env))
+    if spdst_rule == "legacy":
+        spdst_alerts = O.legacy_alerts(G.with_next_day_delay(
+            spdst, t["trigger_log"], now, legacy_delay_window or delay_window, **(legacy_delay_step or {})), env, jobs)
+    else:
+        spdst_alerts = O.current_alerts(spdst, env)
     outputs = {
         "decisions": decisions.select(*G.DECISION_COLS),
-        "trigger_log": G.merge_log(t["trigger_log"], decisions),
+        "trigger_log": G.merge_log(t["trigger_log"], G.log_changes(decisions, jobs)),
         "start_requests": O.start_requests(decisions, jobs),
-        "notifications": alerts,
+        "notifications": O.bmt_alerts(bmt, env, jobs).unionByName(spdst_alerts),
     }
+    if "report_master" in t:
+        outputs["report_master"] = S.report_status(S.report_window(t["report_master"], today), report_now)
     return {k: sinks.write_version(df, os.path.join(out_dir, k), version) for k, df in outputs.items()}

@@ -18,8 +18,9 @@ HELPERS: dict[str, str] = {
     "pf_bmt": "SELECT region AS regionname, filename FROM d_file_property WHERE priorityflag = 'YES' AND data_source = 'BMT'",
     "pf_other": "SELECT region AS regionname, filename FROM d_file_property WHERE priorityflag = 'YES' AND NOT (data_source LIKE 'BMT%')",
     "pf_all": "SELECT region AS regionname, filename FROM d_file_property WHERE priorityflag = 'YES'",
-    "cal": "SELECT DISTINCT batchrundate, regionname FROM d_trigger_log",
-    "objs": f"""SELECT regionname, batchrundate, regexp_extract(object_key, '[^/]*$') AS name FROM d_landing
+    "cal": "SELECT d.batchrundate, s.regionname FROM (SELECT DISTINCT batchrundate FROM d_batch_dates) d, (SELECT DISTINCT regionname FROM d_schedule) s",
+    "zones": "SELECT * FROM d_landing UNION ALL SELECT * FROM d_archive",
+    "objs": f"""SELECT regionname, batchrundate, regexp_extract(object_key, '[^/]*$') AS name FROM zones
         WHERE length(regexp_extract(object_key, '[^/]*$')) > 0 AND NOT starts_with(regexp_extract(object_key, '[^/]*$'), '{P.FIXTURE_METADATA_PREFIX}')""",
     "fails": """SELECT batchrundate, filename, array_to_string(list_sort(list_distinct(list(processname))), ',') AS failed_processes,
         CAST(count(DISTINCT processname) AS BIGINT) AS n_failed_processes FROM d_audit_log WHERE executionstatus = 'Failed' GROUP BY 1, 2""",
@@ -174,14 +175,15 @@ def _decide(rule: str) -> str:
   CASE WHEN action = 'insert' THEN '{init}' WHEN action = 'forced_start' THEN 'NULL' WHEN action = 'start' THEN '{start_msg}'
        WHEN action = 'blocked' AND past THEN 'Other Region Report Refresh is already running'
        WHEN action = 'cutoff' AND past THEN {cut}
-       WHEN action = 'pending' AND past THEN {pend} ELSE CAST(NULL AS VARCHAR) END AS error_message,
-  CASE WHEN action IN ('start', 'forced_start') THEN now END AS actual_start_time,
-  {flag} AS priority_files_received, missing, names, missing_names, {alert} AS delay_alert
+       WHEN action = 'pending' AND past THEN {pend} ELSE old_message END AS error_message,
+  CASE WHEN action IN ('start', 'forced_start') THEN now ELSE old_actual END AS actual_start_time,
+  {flag} AS priority_files_received, missing, names, missing_names, {alert} AS delay_alert, expected_start, expected_end
 FROM (SELECT *, CASE WHEN NOT has_row THEN 'insert' WHEN old_status IN ('Finished', 'Submitted') THEN 'none'
     WHEN busy THEN 'blocked' {forced} WHEN {ready} THEN 'start' WHEN done <> expected AND {in_cut} THEN 'cutoff'
     ELSE 'pending' END AS action
   FROM (SELECT w.batchrundate, w.regionname, w.report_source, {GATE_NOW} AS now,
-          {GATE_NOW} > w.expected_start AS past, t.batchrundate IS NOT NULL AS has_row, t.execution_status AS old_status,
+          {GATE_NOW} > w.expected_start AS past, t.batchrundate IS NOT NULL AS has_row, t.execution_status AS old_status, t.error_message AS old_message,
+          t.actual_start_time AS old_actual, w.expected_start, w.expected_end,
           coalesce(r.expected, 0) AS expected, coalesce(r.done, 0) AS done, coalesce(r.missing, 0) AS missing,
           coalesce(r.names, '') AS names, coalesce(r.missing_names, '') AS missing_names, coalesce(b.busy, false) AS busy, {up} AS up
         FROM win w
@@ -195,6 +197,13 @@ FROM (SELECT *, CASE WHEN NOT has_row THEN 'insert' WHEN old_status IN ('Finishe
 for _r in ("current", "bmt", "legacy"):
     HELPERS[f"decide_{_r}"] = _decide(_r)
 
+HELPERS["legacy_delay"] = f"""SELECT batchrundate, regionname, next_status, in_window,
+  in_window AND action IN ('start', 'cutoff', 'pending') AND (next_status IS NULL OR next_status = 'Failed') AS alert
+FROM (SELECT c.batchrundate, c.regionname, c.action, n.execution_status AS next_status, (hour(now) >= {P.LEGACY_DELAY_WINDOW[0]} AND minute(now) >= {P.LEGACY_DELAY_WINDOW[1]} AND hour(now) <= {P.LEGACY_DELAY_WINDOW[2]} AND minute(now) < {P.LEGACY_DELAY_WINDOW[3]}) AS in_window
+  FROM (SELECT *, CAST(batchrundate AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 1 MINUTE * (7 * month(batchrundate)) AS now FROM decide_legacy) c
+  LEFT JOIN d_trigger_log n ON n.regionname = c.regionname AND n.report_source = 'SPDST'
+    AND n.batchrundate = CAST(c.batchrundate + INTERVAL {P.BATCH_STEP_MONTHS} MONTH AS DATE)) z"""
+
 HELPERS["report_win"] = f"""SELECT *,
   d + CAST(expected_start_time AS TIME) AS expected_start,
   d + (CAST(expected_start_time AS TIME) + INTERVAL (average_runtime) MINUTE) AS expected_end
@@ -242,12 +251,17 @@ FROM win w WHERE NOT EXISTS (SELECT 1 FROM d_trigger_log t WHERE t.batchrundate
     "q03_already_triggered": "SELECT *, coalesce(execution_status IN ('Finished', 'Submitted'), false) AS already_triggered FROM d_trigger_log",
     "q04_busy_regions": "SELECT * FROM busy",
     "q19_upstream_finished": "SELECT * FROM upstream",
-    "q24_decide_current": "SELECT * FROM decide_current",
-    "q25_decide_bmt": "SELECT * FROM decide_bmt",
-    "q26_decide_legacy": "SELECT * FROM decide_legacy",
-    "q27_merged_log": """SELECT coalesce(n.batchrundate, o.batchrundate) AS batchrundate, coalesce(n.regionname, o.regionname) AS regionname,
-  coalesce(n.report_source, o.report_source) AS report_source, coalesce(n.execution_status, o.execution_status) AS execution_status,
-  n.error_message AS error_message, n.actual_start_time AS actual_start_time
+    "q24_decide_current": "SELECT * EXCLUDE (expected_start, expected_end) FROM decide_current",
+    "q25_decide_bmt": "SELECT * EXCLUDE (expected_start, expected_end) FROM decide_bmt",
+    "q26_decide_legacy": "SELECT * EXCLUDE (expected_start, expected_end) FROM decide_legacy",
+    "q27_merged_log": f"""SELECT coalesce(o.batchrundate, n.batchrundate) AS batchrundate, coalesce(o.regionname, n.regionname) AS regionname,
+  coalesce(n.execution_status, o.execution_status) AS execution_status,
+  CASE WHEN n.action = 'insert' THEN CASE n.report_source WHEN 'BMT' THEN '{P.JOBS["BMT"]}' ELSE '{P.JOBS["SPDST"]}' END ELSE o.gluejob END AS gluejob,
+  coalesce(o.report_source, n.report_source) AS report_source,
+  CASE WHEN n.action = 'insert' THEN n.expected_start ELSE o.expected_start_time END AS expected_start_time,
+  CASE WHEN n.action = 'insert' THEN n.expected_end ELSE o.expected_end_time END AS expected_end_time,
+  coalesce(n.error_message, o.error_message) AS error_message, coalesce(n.actual_start_time, o.actual_start_time) AS actual_start_time,
+  o.actual_end_time
 FROM d_trigger_log o FULL OUTER JOIN (SELECT * FROM decide_current UNION ALL SELECT * FROM decide_bmt) n
   ON n.batchrundate = o.batchrundate AND n.regionname = o.regionname AND n.report_source = o.report_source""",
     "q28_report_window": "SELECT * EXCLUDE (d) FROM report_win",
@@ -259,13 +273,7 @@ FROM d_trigger_log o FULL OUTER JOIN (SELECT * FROM decide_current UNION ALL SEL
        WHEN TIMESTAMP '{P.NOW}' >= expected_start AND coalesce(status = 'Completed', false) THEN 'Completed'
        ELSE coalesce(status, 'None') END AS status
 FROM report_win""",
-    "q38_next_day_delay": f"""SELECT c.batchrundate, c.regionname, n.execution_status AS next_status,
-  (hour(now) >= {P.LEGACY_DELAY_WINDOW[0]} AND minute(now) >= {P.LEGACY_DELAY_WINDOW[1]} AND hour(now) <= {P.LEGACY_DELAY_WINDOW[2]} AND minute(now) < {P.LEGACY_DELAY_WINDOW[3]}) AS in_window,
-  (hour(now) >= {P.LEGACY_DELAY_WINDOW[0]} AND minute(now) >= {P.LEGACY_DELAY_WINDOW[1]} AND hour(now) <= {P.LEGACY_DELAY_WINDOW[2]} AND minute(now) < {P.LEGACY_DELAY_WINDOW[3]})
-    AND (n.execution_status IS NULL OR n.execution_status = 'Failed') AS alert
-FROM (SELECT *, CAST(batchrundate AS TIMESTAMP) + INTERVAL 12 HOUR + INTERVAL 1 MINUTE * (7 * month(batchrundate)) AS now FROM cal) c
-LEFT JOIN d_trigger_log n ON n.regionname = c.regionname AND n.report_source = 'SPDST'
-  AND n.batchrundate = CAST(c.batchrundate + INTERVAL {P.BATCH_STEP_MONTHS} MONTH AS DATE)""",
+    "q38_next_day_delay": "SELECT * FROM legacy_delay",
 })
 
 # ---------------------------------------------------------------- runs
@@ -288,7 +296,13 @@ def _halt(kind: str) -> str:
 FROM plan_rows p LEFT JOIN (SELECT run_id, min(rk) AS halt_at FROM plan_rows WHERE {halting} GROUP BY 1) h ON h.run_id = p.run_id"""
 
 
+HELPERS["bmt_rows"] = """SELECT run_id, exec_order, stored_procedure_name, file_datasource, codebase, status, error, duplicate_keys,
+  row_number() OVER (PARTITION BY run_id ORDER BY exec_order) AS rk
+FROM (SELECT *, row_number() OVER (PARTITION BY run_id, exec_order ORDER BY stored_procedure_name NULLS FIRST, file_datasource NULLS FIRST,
+    codebase NULLS FIRST, status NULLS FIRST, error NULLS FIRST) AS rn, count(*) OVER (PARTITION BY run_id, exec_order) AS duplicate_keys
+  FROM d_run_steps WHERE contains(file_datasource, 'BMT') AND codebase = 'Y') z WHERE rn = 1"""
 HELPERS["halt_strict"] = _halt("strict")
+HELPERS["halt_bmt"] = _halt("strict").replace("plan_rows", "bmt_rows")
 HELPERS["halt_critical"] = _halt("critical")
 _TAIL = "CASE WHEN strpos({e}, ':') > 0 THEN substr({e}, strpos({e}, ':') + 1) ELSE {e} END"
 _SECOND = "CASE WHEN strpos({e}, ':') > 0 THEN split_part({e}, ':', 2) ELSE {e} END"
@@ -304,6 +318,7 @@ HELPERS["outcome_strict_older"] = f"""SELECT run_id, 'strict_older' AS rule, CAS
 FROM (SELECT run_id, count(*) AS n_steps, count(*) FILTER (WHERE outcome = 'Failed') AS n_failed,
   count(*) FILTER (WHERE outcome = 'Skipped') AS n_skipped,
   arg_min(coalesce(error, 'Unknown error'), rk) FILTER (WHERE outcome = 'Failed') AS fe FROM halt_strict GROUP BY 1) z"""
+HELPERS["outcome_bmt"] = HELPERS["outcome_strict_older"].replace("halt_strict", "halt_bmt")
 HELPERS["outcome_critical"] = f"""SELECT run_id, 'critical' AS rule, CASE WHEN n_failed > 0 THEN 'Failed' ELSE 'Finished' END AS execution_status,
   CASE WHEN coalesce(lo = 'Failed', false) THEN 'Failed' ELSE 'Completed' END AS report_status,
   CASE WHEN coalesce(lo = 'Failed', false) THEN {_SECOND.format(e='le')} ELSE 'Null' END AS error_message, n_steps, n_failed, n_skipped
@@ -335,6 +350,28 @@ LEFT JOIN (SELECT job_name, state, started, row_number() OVER (PARTITION BY job_
 
 # ---------------------------------------------------------------- outputs
 _RUN_LABEL = "CAST(o.run_id AS VARCHAR)"
+
+
+def _run_notes(outcome: str, halt: str, executor: str) -> str:
+    """Failure message with all failed steps, or success plus report link, per run."""
+    name, link = ("BMT", "BMT") if executor == "bmt" else ("SPDST/Others", "SPDST/others")
+    source = "'BMT'" if executor == "bmt" else "CASE WHEN h.file_datasource = 'SPDST' THEN 'SPDST' ELSE 'SPDST/Others' END"
+    return f"""SELECT 'run_failed' AS kind, CAST(NULL AS VARCHAR) AS regionname, CAST(NULL AS DATE) AS batchrundate, o.run_id, {_RUN_LABEL} || ' {name} Report Refresh Failed' AS subject,
+  CAST(json_object('Env', '{P.ENV}', 'Error Message', h.steps, 'status', 'Failed', 'Region', {_RUN_LABEL}) AS VARCHAR) AS body
+FROM {outcome} o JOIN (SELECT h.run_id, list(json_object('Stored Procedure Name', h.stored_procedure_name,
+    'Error', coalesce(h.error, 'Unknown error'), 'Data Source', {source}, 'Region', CAST(h.run_id AS VARCHAR)) ORDER BY h.rk) AS steps
+  FROM {halt} h WHERE h.outcome = 'Failed' GROUP BY 1) h ON h.run_id = o.run_id WHERE o.execution_status = 'Failed'
+UNION ALL
+SELECT 'run_succeeded', NULL, NULL, o.run_id, {_RUN_LABEL} || ' {name} Report Refresh Successful',
+  CAST(json_object('Env', '{P.ENV}', 'Error Message', CAST([] AS VARCHAR[]), 'status', 'Succeeded', 'Region', {_RUN_LABEL}) AS VARCHAR)
+FROM {outcome} o WHERE o.execution_status <> 'Failed'
+UNION ALL
+SELECT 'run_report_link', NULL, NULL, o.run_id, {_RUN_LABEL} || ' {link} Report Refresh Successful',
+  CAST(json_object('Env', '{P.ENV}', 'Message', {_RUN_LABEL} || ' {link} Report Refresh is Completed Successfully.',
+    'Report_Url', '{P.REPORT_URL}') AS VARCHAR)
+FROM {outcome} o WHERE o.execution_status <> 'Failed'"""
+
+
 HELPERS["notify"] = f"""
 SELECT 'files_missing' AS kind, regionname, batchrundate, CAST(NULL AS BIGINT) AS run_id,
   '** ' || regionname || ' SPDST Priority Files Missing**' AS subject,
@@ -363,20 +400,7 @@ FROM decide_bmt d JOIN (SELECT batchrundate, regionname, list(map([filename], [s
   FROM states_bmt WHERE state = 'failed' GROUP BY 1, 2) f ON f.batchrundate = d.batchrundate AND f.regionname = d.regionname
 WHERE d.action = 'cutoff'
 UNION ALL
-SELECT 'run_failed', NULL, NULL, o.run_id, {_RUN_LABEL} || ' SPDST/Others Report Refresh Failed',
-  CAST(json_object('Env', '{P.ENV}', 'Error Message', [json_object('Stored Procedure Name', h.stored_procedure_name,
-    'Error', coalesce(h.error, 'Unknown error'), 'Data Source', CASE WHEN h.file_datasource = 'SPDST' THEN 'SPDST' ELSE 'SPDST/Others' END,
-    'Region', {_RUN_LABEL})], 'status', 'Failed', 'Region', {_RUN_LABEL}) AS VARCHAR)
-FROM outcome_strict o JOIN halt_strict h ON h.run_id = o.run_id AND h.outcome = 'Failed' WHERE o.execution_status = 'Failed'
-UNION ALL
-SELECT 'run_succeeded', NULL, NULL, o.run_id, {_RUN_LABEL} || ' SPDST/Others Report Refresh Successful',
-  CAST(json_object('Env', '{P.ENV}', 'Error Message', CAST([] AS VARCHAR[]), 'status', 'Succeeded', 'Region', {_RUN_LABEL}) AS VARCHAR)
-FROM outcome_strict o WHERE o.execution_status <> 'Failed'
-UNION ALL
-SELECT 'run_report_link', NULL, NULL, o.run_id, {_RUN_LABEL} || ' SPDST/others Report Refresh Successful',
-  CAST(json_object('Env', '{P.ENV}', 'Message', {_RUN_LABEL} || ' SPDST/others Report Refresh is Completed Successfully.',
-    'Report_Url', '{P.REPORT_URL}') AS VARCHAR)
-FROM outcome_strict o WHERE o.execution_status <> 'Failed'"""
+{_run_notes("outcome_strict", "halt_strict", "other")}"""
 
 
 def _hourly(**flags) -> str:
@@ -409,6 +433,53 @@ FROM (SELECT user_id, date_trunc('day', ts) AS day_start, min(ts) AS first_ts FR
 })
 
 
+_SPDST_LISTS = """JOIN (SELECT batchrundate, regionname, list(map([filename], [string_split(detail, ',')]) ORDER BY filename, detail) AS lst
+  FROM states_legacy WHERE state = 'failed' GROUP BY 1, 2) f ON f.batchrundate = d.batchrundate AND f.regionname = d.regionname"""
+_CLOSING = f"""SELECT k.batchrundate, k.regionname, k.report_source, k.identifier, coalesce(o.execution_status, 'Finished') AS execution_status,
+  coalesce(o.report_status, 'Completed') AS report_status, coalesce(o.error_message, 'Null') AS error_message, TIMESTAMP '{P.NOW}' AS ended
+FROM d_run_keys k LEFT JOIN outcome_strict o ON o.run_id = k.run_id"""
+HELPERS["closing"] = _CLOSING
+HELPERS["newest_keys"] = """SELECT * FROM (SELECT *, max(batchrundate) OVER (PARTITION BY regionname, identifier) AS newest FROM closing) z
+WHERE batchrundate = newest"""
+BODIES.update({
+    "q43_legacy_alerts": f"""
+SELECT 'started' AS kind, regionname, batchrundate, CAST(NULL AS BIGINT) AS run_id, '*** ' || regionname || ' SPDST report refresh is started.***' AS subject,
+  CAST(json_object('Env', '{P.ENV}', 'Message', 'The SPDST ' || regionname || ' Report refresh is started. Open glue job log : {P.JOBS["SPDST"]}',
+    'Region', regionname) AS VARCHAR) AS body FROM decide_legacy WHERE action = 'start'
+UNION ALL
+SELECT 'files_missing', regionname, batchrundate, NULL, '*** ' || regionname || ' SPDST Priority File Missing ***',
+  CAST(json_object('Env', '{P.ENV}', 'Missing Priority File', string_split(missing_names, ','),
+    'Process Name failed, If any', 'Files Not Received', 'Region', regionname) AS VARCHAR)
+FROM decide_legacy WHERE action = 'cutoff' AND missing > 0
+UNION ALL
+SELECT 'files_failed', d.regionname, d.batchrundate, NULL, '*** ' || d.regionname || 'SPDST Priority File Failure ***',
+  CAST(json_object('Env', '{P.ENV}', 'Priority File Failed', f.lst, 'Process Name failed, If any', 'NA', 'Region', d.regionname) AS VARCHAR)
+FROM decide_legacy d {_SPDST_LISTS} WHERE d.action = 'cutoff'
+UNION ALL
+SELECT 'delay', regionname, batchrundate, NULL, '*** Delay in ' || regionname || ' SPDST Report Refresh ***',
+  CAST(json_object('Env', '{P.ENV}', 'Report_Source', 'SPDST', 'Region', regionname,
+    'Message', 'There will Delay in Report_source for SPDST due to some issue.') AS VARCHAR)
+FROM legacy_delay WHERE alert""",
+    "q44_critical_run_alerts": _run_notes("outcome_critical", "halt_critical", "other"),
+    "q45_bmt_plan_text_order": """SELECT run_id, exec_order, stored_procedure_name, codebase AS files_received, duplicate_keys,
+  ends_with(stored_procedure_name, ' ();') AS no_arguments FROM bmt_rows""",
+    "q46_bmt_run_alerts": _run_notes("outcome_bmt", "halt_bmt", "bmt"),
+    "q47_close_runs_log": """SELECT coalesce(o.batchrundate, c.batchrundate) AS batchrundate, coalesce(o.regionname, c.regionname) AS regionname,
+  coalesce(c.execution_status, o.execution_status) AS execution_status, o.gluejob, coalesce(o.report_source, c.report_source) AS report_source,
+  o.expected_start_time, o.expected_end_time, coalesce(c.error_message, o.error_message) AS error_message, o.actual_start_time,
+  coalesce(c.ended, o.actual_end_time) AS actual_end_time
+FROM d_trigger_log o FULL OUTER JOIN closing c ON c.batchrundate = o.batchrundate AND c.regionname = o.regionname AND c.report_source = o.report_source""",
+    "q48_close_runs_master": """SELECT m.report_name, coalesce(m.regionname, c.regionname) AS regionname, coalesce(m.identifier, c.identifier) AS identifier,
+  m.report_refresh_frequency, m.expected_start_time, m.average_runtime, coalesce(c.report_status, m.status) AS status, m.actual_start_time,
+  m.file_arrival_cutoff_datetime
+FROM d_report_master m FULL OUTER JOIN newest_keys c ON c.regionname = m.regionname AND c.identifier = m.identifier""",
+    "q49_start_runs_master": f"""SELECT m.report_name, coalesce(m.regionname, c.regionname) AS regionname, coalesce(m.identifier, c.identifier) AS identifier,
+  m.report_refresh_frequency, m.expected_start_time, m.average_runtime, CASE WHEN c.identifier IS NOT NULL THEN 'InProgress' ELSE m.status END AS status,
+  CASE WHEN c.identifier IS NOT NULL THEN TIMESTAMP '{P.NOW}' ELSE m.actual_start_time END AS actual_start_time, m.file_arrival_cutoff_datetime
+FROM d_report_master m FULL OUTER JOIN newest_keys c ON c.regionname = m.regionname AND c.identifier = m.identifier""",
+})
+
+
 def _deps(sql: str, known: dict[str, str]) -> list[str]:
     words = set(re.findall(r"\b([a-z_][a-z0-9_]*)\b", sql))
     return [w for w in known if w in words]

@@ -7,35 +7,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalgate.operators import files as FS
-from arrivalgate.operators.joins import needle_lengths
 from arrivalgate.plans import params as P
 from arrivalgate.sources.fixtures import ControlTables
 
 
 # ---------------------------------------------------------------- file chain
 
+def calendar(ct: ControlTables) -> DataFrame:
+    """Every batch date with every scheduled region."""
+    return FS.calendar(ct.d_batch_dates, ct.d_schedule)
+
+
+def zones(ct: ControlTables) -> DataFrame:
+    """The objects of the landing and the archive zone."""
+    return ct.d_landing.unionByName(ct.d_archive)
+
+
 def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True) -> dict[str, DataFrame]:
     """All stages of the file-readiness chain for one trigger kind. With
     ``restrict`` the two large inputs are read for the evaluated batch dates
     only (every file state is on those dates)."""
     pf = FS.priority_files(ct.d_file_property, source)
-    cal = FS.calendar(ct.d_trigger_log)
+    cal = calendar(ct)
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(ct.d_audit_log, cal) if restrict else ct.d_audit_log
-    landing = FS.restrict_to_dates(ct.d_landing, cal) if restrict else ct.d_landing
+    landing = FS.restrict_to_dates(zones(ct), cal) if restrict else zones(ct)
     facts = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR)
     loaded = FS.curated_loaded(log, pf, facts)
-    # Every needle of the chain's substring joins is a priority file name, so
-    # the lengths of that small catalog serve all of them (read once).
-    lens = needle_lengths(pf, "filename")
-    mapped = FS.map_procedures(loaded, ct.d_sp_map, lens, catalog=pf)
+    mapped = FS.map_procedures(loaded, ct.d_sp_map, catalog=pf)
     pub = FS.published(mapped, log)
     match = "exact" if rule == "current" else "contains"
-    rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, lens)
+    rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX)
     failed = FS.failed_processes(log, facts)
-    empty = FS.empty_sources(log, facts=facts)
+    empty = FS.empty_sources(log, P.FIXTURE_EMPTY_ERROR, facts=facts)
     refs = FS.restrict_to_dates(ct.d_curated_ref, cal) if restrict else ct.d_curated_ref
-    refd = FS.reference_dates(pub, log, refs, lens) if rule == "legacy" else None
+    refd = FS.reference_dates(pub, log, refs) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
             "mapped": mapped, "published": pub, "received": rec, "failed": failed,
@@ -71,17 +77,17 @@ def q10_unpublished_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _expected_all(ct: ControlTables) -> DataFrame:
-    return FS.expected_by_date(FS.calendar(ct.d_trigger_log), FS.priority_files(ct.d_file_property, "all"))
+    return FS.expected_by_date(calendar(ct), FS.priority_files(ct.d_file_property, "all"))
 
 
 def q11_received_exact(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return FS.received(ct.d_landing, _expected_all(ct), "exact", P.FIXTURE_METADATA_PREFIX)
+    return FS.received(zones(ct), _expected_all(ct), "exact", P.FIXTURE_METADATA_PREFIX)
 
 
 def q12_received_contains(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return FS.received(ct.d_landing, _expected_all(ct), "contains", P.FIXTURE_METADATA_PREFIX)
+    return FS.received(zones(ct), _expected_all(ct), "contains", P.FIXTURE_METADATA_PREFIX)
 
 
 def q13_failed_processes(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,7 +152,7 @@ def gate_now():
 
 
 def windows(ct: ControlTables) -> DataFrame:
-    return S.expected_window(ct.d_schedule, FS.calendar(ct.d_trigger_log))
+    return S.expected_window(ct.d_schedule, calendar(ct))
 
 
 def decisions(ct: ControlTables, rule: str) -> DataFrame:
@@ -179,7 +185,7 @@ def q04_busy_regions(spark: SparkSession, sf: str) -> DataFrame:
 
 def q19_upstream_finished(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return G.upstream_finished(ct.d_trigger_log, FS.calendar(ct.d_trigger_log))
+    return G.upstream_finished(ct.d_trigger_log, calendar(ct))
 
 
 def q24_decide_current(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,7 +203,7 @@ def q26_decide_legacy(spark: SparkSession, sf: str) -> DataFrame:
 def q27_merged_log(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
     changes = decisions(ct, "current").unionByName(decisions(ct, "bmt"))
-    return G.merge_log(ct.d_trigger_log, changes)
+    return G.merge_log(ct.d_trigger_log, G.log_changes(changes, P.JOBS))
 
 
 def q28_report_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,10 +215,14 @@ def q29_report_status(spark: SparkSession, sf: str) -> DataFrame:
     return S.report_status(w, P.NOW).select("report_name", "regionname", "identifier", "expected_start", "status")
 
 
+def legacy_delay(ct: ControlTables, legacy: DataFrame) -> DataFrame:
+    return G.with_next_day_delay(legacy, ct.d_trigger_log, gate_now(), P.LEGACY_DELAY_WINDOW, "SPDST",
+                                 months=P.BATCH_STEP_MONTHS)
+
+
 def q38_next_day_delay(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return G.next_day_delay(FS.calendar(ct.d_trigger_log), ct.d_trigger_log, gate_now(),
-                            P.LEGACY_DELAY_WINDOW, "SPDST", months=P.BATCH_STEP_MONTHS)
+    return legacy_delay(ct, decisions(ct, "legacy")).select(*G.DAY_REGION, "next_status", "in_window", "alert")
 
 
 QUERIES.update({
@@ -240,6 +250,11 @@ def plan(ct: ControlTables) -> DataFrame:
     return R.plan_order(R.select_plan(ct.d_run_steps, "other"))
 
 
+def bmt_plan(ct: ControlTables) -> DataFrame:
+    """The BMT executor's plan, with the priority files received, in text order."""
+    return R.plan_order(R.select_plan(ct.d_run_steps, "bmt", "Y"), numeric=False)
+
+
 def q30_plan_order(spark: SparkSession, sf: str) -> DataFrame:
     return plan(ControlTables(spark, sf)).select(
         "run_id", "order_key", "exec_order", "stored_procedure_name", "file_datasource", "duplicate_keys")
@@ -294,6 +309,7 @@ QUERIES.update({
 
 # ---------------------------------------------------------------- outputs
 
+from arrivalgate.functions import text as FT  # noqa: E402
 from arrivalgate.functions import timecols as TC  # noqa: E402
 from arrivalgate.operators import outputs as O  # noqa: E402
 from arrivalgate.streaming import streams as ST  # noqa: E402
@@ -317,12 +333,10 @@ def q37_start_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def _hourly(ct: ControlTables, **flags) -> DataFrame:
     ev = ct.events
-    # Zone-free hour bucket of a TIMESTAMP_NTZ (date_trunc would go through
-    # the session zone).
-    hour = F.to_timestamp_ntz(F.date_format("ts", "yyyy-MM-dd HH:00:00"))
-    return (ev.groupBy(hour.alias("hour_start"))
+    return (ev.groupBy(F.window("ts", "1 hour").alias("w"))
             .agg(F.count(F.lit(1)).alias("n_events"),
-                 *[F.count_if(c).alias(name) for name, c in flags.items()]))
+                 *[F.count_if(c).alias(name) for name, c in flags.items()])
+            .select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "n_events", *flags))
 
 
 def q20_cutoff_clock(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,3 +381,72 @@ QUERIES.update({
     "q41_first_arrivals": q41_first_arrivals,
     "q42_late_arrivals": q42_late_arrivals,
 })
+
+
+# ------------------------------------ runs: both executors, both audit tables
+
+def run_closing(ct: ControlTables) -> DataFrame:
+    """Strict outcomes of the SPDST/Others executor, one row per run."""
+    return R.run_outcome(R.step_outcomes(plan(ct), "strict"), "strict")
+
+
+def run_keys(ct: ControlTables) -> DataFrame:
+    return ct.d_run_keys
+
+
+def newest_run_keys(ct: ControlTables) -> DataFrame:
+    """The newest run of each region and identifier: one change per report-master key."""
+    keys = ct.d_run_keys
+    newest = keys.groupBy("regionname", "identifier").agg(F.max("batchrundate").alias("batchrundate"))
+    return keys.join(newest, ["regionname", "identifier", "batchrundate"])
+
+
+def q43_legacy_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return O.legacy_alerts(legacy_delay(ct, decisions(ct, "legacy")), P.ENV, P.JOBS)
+
+
+def q44_critical_run_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    outcomes = R.run_outcome(R.step_outcomes(plan(ct), "critical"), "critical")
+    return O.run_alerts(outcomes, P.ENV, P.REPORT_URL, F.col("run_id").cast("string"))
+
+
+def q45_bmt_plan_text_order(spark: SparkSession, sf: str) -> DataFrame:
+    return bmt_plan(ControlTables(spark, sf)).select(
+        "run_id", "exec_order", "stored_procedure_name", F.col("codebase").alias("files_received"), "duplicate_keys",
+        FT.is_no_arg_call("stored_procedure_name").alias("no_arguments"))
+
+
+def q46_bmt_run_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    outcomes = R.run_outcome(R.step_outcomes(bmt_plan(ct), "strict"), "strict_older")
+    return O.run_alerts(outcomes, P.ENV, P.REPORT_URL, F.col("run_id").cast("string"), executor="bmt")
+
+
+def q47_close_runs_log(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    log, _ = R.close_runs(run_closing(ct), run_keys(ct), P.NOW)
+    return G.merge_log(ct.d_trigger_log, log)
+
+
+def q48_close_runs_master(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    _, master = R.close_runs(run_closing(ct), newest_run_keys(ct), P.NOW)
+    return G.merge_log(ct.d_report_master, master, ["regionname", "identifier"])
+
+
+def q49_start_runs_master(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return G.merge_log(ct.d_report_master, R.start_runs(newest_run_keys(ct), P.NOW), ["regionname", "identifier"])
+
+
+QUERIES.update({
+    "q43_legacy_alerts": q43_legacy_alerts,
+    "q44_critical_run_alerts": q44_critical_run_alerts,
+    "q45_bmt_plan_text_order": q45_bmt_plan_text_order,
+    "q46_bmt_run_alerts": q46_bmt_run_alerts,
+    "q47_close_runs_log": q47_close_runs_log,
+    "q48_close_runs_master": q48_close_runs_master,
+    "q49_start_runs_master": q49_start_runs_master,
+})

@@ -14,38 +14,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arrivalgate.sources import fs
+
 BASE_TABLES = ("region", "part", "lineitem", "orders", "customer", "events")
 
 # name -> SQL; order matters (later views read earlier ones).
 DERIVED_SQL: dict[str, str] = {
     "d_file_property": """
-SELECT 'PF' || lpad(CAST(p.p_partkey AS STRING),6,'0') || CASE WHEN p.p_partkey % 7 = 0 THEN 'PND' ELSE 'STD' END AS filename,
+SELECT CASE WHEN p.p_partkey % 7 = 0 THEN 'PF' || CAST(p.p_partkey AS STRING) || 'PND' ELSE 'PF' || CAST(p.p_partkey AS STRING) END AS filename,
  r.r_name AS region, CASE p.p_partkey % 3 WHEN 0 THEN 'BMT' WHEN 1 THEN 'SPDST' ELSE 'OTHER' END AS data_source,
  CASE WHEN p.p_size <= 2 THEN 'YES' ELSE 'NO' END AS priorityflag FROM {part} p JOIN {region} r ON p.p_partkey % 5 = r.r_regionkey
 """,
     "d_audit_log": """
 SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS batchrundate, r.r_name AS regionname,
- 'PF' || lpad(CAST(l.l_partkey AS STRING),6,'0') || CASE WHEN l.l_partkey % 7 = 0 THEN 'PND' ELSE 'STD' END AS filename,
+ CASE WHEN l.l_partkey % 7 = 0 THEN 'PF' || CAST(l.l_partkey AS STRING) || 'PND' ELSE 'PF' || CAST(l.l_partkey AS STRING) END AS filename,
  CASE WHEN l.l_linenumber % 4 IN (1,2) THEN 'RedshiftCuratedLoad' WHEN l.l_linenumber % 4 = 3 THEN 'RedshiftPublishedLoad' ELSE 'DataValidation' END AS processname,
  CASE WHEN l.l_returnflag = 'N' THEN 'Failed' ELSE 'Succeeded' END AS executionstatus,
  'PUBLISHED.SP_' || CAST(l.l_partkey % 50 AS STRING) || ' (''' || r.r_name || ''')' AS scriptpath,
  'CURATED.T_' || CAST(l.l_partkey % 20 AS STRING) AS destinationname,
- 'PF' || lpad(CAST(l.l_partkey AS STRING),6,'0') || CASE WHEN l.l_linenumber = 4 THEN '.dat' ELSE '.csv' END AS sourcename,
+ 'PF' || CAST(l.l_partkey AS STRING) || CASE WHEN l.l_linenumber = 4 THEN '.dat' ELSE '.csv' END AS sourcename,
  CASE WHEN l.l_linenumber % 4 = 0 AND l.l_partkey % 3 = 0 THEN 'list index out of range: empty source' WHEN l.l_returnflag = 'N' THEN 'ERROR: load failed' END AS errormessage
  FROM {lineitem} l JOIN {region} r ON l.l_partkey % 5 = r.r_regionkey
 """,
     "d_sp_map": """
-SELECT DISTINCT region AS regionname, 'SRC_' || filename || '_X' AS source_filename, 'PUBLISHED.SP_' || CAST(CAST(substr(filename,3,6) AS INT) % 50 AS STRING) || ' (''' || region || ''')' AS stored_procedure_name FROM {d_file_property} WHERE CAST(substr(filename,3,6) AS INT) % 11 <> 0
+SELECT DISTINCT f.region AS regionname, 'SRC_' || f.filename || '_X' AS source_filename, 'PUBLISHED.SP_' || CAST(p.p_partkey % 50 AS STRING) || ' (''' || f.region || ''')' AS stored_procedure_name FROM {d_file_property} f JOIN {part} p ON f.filename = CASE WHEN p.p_partkey % 7 = 0 THEN 'PF' || CAST(p.p_partkey AS STRING) || 'PND' ELSE 'PF' || CAST(p.p_partkey AS STRING) END
+ WHERE p.p_brand <> 'Brand#11'
+""",
+    "d_batch_dates": """
+SELECT DISTINCT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS batchrundate FROM {orders} o
 """,
     "d_trigger_log": """
-SELECT batchrundate, regionname, report_source, min(execution_status) AS execution_status FROM (SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS batchrundate, r.r_name AS regionname, CASE WHEN o.o_orderkey % 2 = 0 THEN 'BMT' ELSE 'SPDST' END AS report_source,
- CASE WHEN o.o_orderkey % 5 = 0 THEN 'Delay' WHEN o.o_orderstatus='F' THEN 'Finished' WHEN o.o_orderstatus='P' THEN 'Submitted' ELSE 'Yet to start' END AS execution_status, o.o_orderkey FROM {orders} o JOIN {region} r ON o.o_custkey % 5 = r.r_regionkey) t
- WHERE o_orderkey % 37 < 2 GROUP BY 1,2,3
+SELECT batchrundate, regionname, execution_status, CASE WHEN report_source = 'BMT' THEN 'bmt_report_refresh' ELSE 'spdst_report_refresh' END AS gluejob, report_source,
+ CAST(batchrundate AS {ntz}) + INTERVAL '6' HOUR AS expected_start_time, CAST(batchrundate AS {ntz}) + INTERVAL '7' HOUR AS expected_end_time,
+ CASE WHEN execution_status = 'Delay' THEN 'Pending files: 1' WHEN execution_status = 'Yet to start' THEN 'refresh yet to start' ELSE 'NA' END AS error_message,
+ CASE WHEN execution_status IN ('Finished', 'Submitted') THEN CAST(batchrundate AS {ntz}) + INTERVAL '8' HOUR END AS actual_start_time,
+ CASE WHEN execution_status = 'Finished' THEN CAST(batchrundate AS {ntz}) + INTERVAL '9' HOUR END AS actual_end_time
+ FROM (SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS batchrundate, r.r_name AS regionname, CASE WHEN o.o_orderkey % 2 = 0 THEN 'BMT' ELSE 'SPDST' END AS report_source,
+  max_by(CASE WHEN o.o_orderkey % 5 = 0 THEN 'Delay' WHEN o.o_orderstatus = 'F' THEN 'Finished' WHEN o.o_orderstatus = 'P' THEN 'Submitted' ELSE 'Yet to start' END, (o.o_totalprice, o.o_orderkey)) AS execution_status,
+  max_by(o.o_orderpriority, (o.o_totalprice, o.o_orderkey)) AS priority
+  FROM {orders} o JOIN {region} r ON o.o_custkey % 5 = r.r_regionkey GROUP BY 1, 2, 3) t
+ WHERE priority NOT IN ('1-URGENT', '2-HIGH')
 """,
     "d_schedule": """
 SELECT r.r_name AS regionname, 'BMT' AS report_source, lpad(CAST(6 + 4 * r.r_regionkey AS STRING),2,'0') || ':15:00' AS expected_start_time, 45 + 20 * r.r_regionkey AS average_runtime FROM {region} r
 UNION ALL
 SELECT r.r_name AS regionname, 'SPDST/Others' AS report_source, lpad(CAST(6 + 4 * r.r_regionkey AS STRING),2,'0') || ':15:00' AS expected_start_time, 45 + 20 * r.r_regionkey + 15 AS average_runtime FROM {region} r
+UNION ALL
+SELECT r.r_name AS regionname, 'SPDST weekly' AS report_source, lpad(CAST(5 + 4 * r.r_regionkey AS STRING),2,'0') || ':45:00' AS expected_start_time, 30 + r.r_regionkey AS average_runtime FROM {region} r WHERE r.r_name <> 'ASIA'
 """,
     "d_report_master": """
 SELECT c.c_name AS report_name, r.r_name AS regionname, CASE WHEN c.c_custkey % 2 = 0 THEN 'BMT' ELSE 'SPDST' END AS identifier,
@@ -58,8 +73,8 @@ SELECT c.c_name AS report_name, r.r_name AS regionname, CASE WHEN c.c_custkey %
 """,
     "d_run_steps": """
 SELECT l_orderkey AS run_id, CAST(l_linenumber * 5 AS STRING) AS exec_order, 'PUBLISHED.SP_' || CAST(l_partkey AS STRING) AS stored_procedure_name,
- CASE WHEN l_linestatus = 'O' THEN 'SPDST' ELSE 'OTHER' END AS file_datasource, CASE WHEN l_suppkey % 2 = 0 THEN 'Y' ELSE 'N' END AS codebase,
- CASE l_returnflag WHEN 'N' THEN 'FAILED' WHEN 'A' THEN 'FINISHED' ELSE CASE WHEN l_partkey % 10 = 0 THEN 'ABORTED' ELSE 'FINISHED' END END AS status,
+ CASE WHEN l_quantity <= 12 THEN 'BMT' WHEN l_linestatus = 'O' THEN 'SPDST' ELSE 'OTHER' END AS file_datasource, CASE WHEN l_suppkey % 2 = 0 THEN 'Y' ELSE 'N' END AS codebase,
+ CASE WHEN l_tax >= 0.08 THEN CAST(NULL AS STRING) WHEN l_returnflag = 'N' THEN 'FAILED' WHEN l_returnflag = 'A' THEN 'FINISHED' ELSE CASE WHEN l_partkey % 10 = 0 THEN 'ABORTED' ELSE 'FINISHED' END END AS status,
  CASE WHEN l_returnflag = 'N' THEN CASE WHEN l_partkey % 4 = 0 THEN 'timeout' ELSE 'ERROR: relation ' || CAST(l_partkey AS STRING) || ': missing' END END AS error FROM {lineitem}
 """,
     "d_step_attempts": """
@@ -74,11 +89,19 @@ UNION ALL
 SELECT r.r_name AS regionname, 'job_' || CAST(r.r_regionkey * 2 + 1 AS STRING) AS job_name FROM {region} r
 """,
     "d_landing": """
-SELECT DISTINCT regionname, batchrundate, CASE WHEN length(scriptpath) % 2 = 0 THEN 'LandingZone/dt=' ELSE 'ArchiveZone/dt=' END || CAST(batchrundate AS STRING) || '/' || CASE WHEN processname = 'DataValidation' THEN 'metadata_' ELSE '' END || filename || '_20240115101500.dat' AS object_key FROM {d_audit_log}
+SELECT DISTINCT regionname, batchrundate, 'LandingZone/dt=' || CAST(batchrundate AS STRING) || '/' || CASE WHEN processname = 'DataValidation' THEN 'metadata_' ELSE '' END || filename || '_20240115101500.dat' AS object_key FROM {d_audit_log} WHERE length(scriptpath) % 2 = 0
+""",
+    "d_archive": """
+SELECT DISTINCT regionname, batchrundate, 'ArchiveZone/dt=' || CAST(batchrundate AS STRING) || '/' || CASE WHEN processname = 'DataValidation' THEN 'metadata_' ELSE '' END || filename || '_20240115101500.dat' AS object_key FROM {d_audit_log} WHERE length(scriptpath) % 2 <> 0
+""",
+    "d_run_keys": """
+SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS batchrundate, r.r_name AS regionname, CASE WHEN o.o_orderkey % 2 = 0 THEN 'BMT' ELSE 'SPDST' END AS report_source,
+ CASE WHEN o.o_orderkey % 2 = 0 THEN 'BMT' ELSE 'SPDST' END AS identifier, max_by(o.o_orderkey, (o.o_totalprice, o.o_orderkey)) AS run_id
+ FROM {orders} o JOIN {region} r ON o.o_custkey % 5 = r.r_regionkey GROUP BY 1, 2, 3, 4
 """,
     "d_curated_ref": """
 SELECT DISTINCT batchrundate, destinationname AS table_name, 'SRC_' || filename AS source_nm,
- CASE WHEN (CAST(substr(filename,3,6) AS INT) + month(batchrundate)) % 3 = 0 THEN CAST(batchrundate - INTERVAL '2' DAY AS DATE) ELSE CAST(batchrundate - INTERVAL '1' DAY AS DATE) END AS reference_dt
+ CASE WHEN (length(filename) + month(batchrundate)) % 3 = 0 THEN CAST(batchrundate - INTERVAL '2' DAY AS DATE) ELSE CAST(batchrundate - INTERVAL '1' DAY AS DATE) END AS reference_dt
  FROM {d_audit_log} WHERE processname = 'RedshiftCuratedLoad' AND executionstatus = 'Succeeded' AND filename LIKE '%PND'
 """,
 }
@@ -142,13 +165,7 @@ class ControlTables:
 
     def derived(self, name: str) -> DataFrame:
         if name not in self._cache:
-            df = None
-            if self.stored:
-                try:
-                    df = self._stored(name)
-                except Exception:  # noqa: BLE001 -- no JVM handle or folder (e.g. a Connect session): keep the view
-                    df = None
-            self._cache[name] = df if df is not None else self._view(name)
+            self._cache[name] = self._stored(name) if self.stored else self._view(name)
         return self._cache[name]
 
     def _view(self, name: str) -> DataFrame:
@@ -168,13 +185,11 @@ class ControlTables:
         from arrivalgate.session import ensure_checkpoint_dir
         fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.sf_dir), name)
         path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", fkey[1], name)
-        jvm = self.spark.sparkContext._jvm
-        done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-        fs = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        done = fs.exists(self.spark, path + "/_SUCCESS")
         hit = ControlTables._frames.get(fkey)
-        if hit is not None and fs.exists(done):
+        if hit is not None and done:
             return hit
-        if not fs.exists(done):
+        if not done:
             # Balanced files, one per core: the stand-in's storage layout.
             # Written to a private folder, then renamed into place: a
             # concurrent writer of the same table never sees a partial one
@@ -183,9 +198,7 @@ class ControlTables:
             tmp = f"{path}.tmp-{uuid.uuid4().hex}"
             (self._view(name).repartition(self.spark.sparkContext.defaultParallelism)
              .write.mode("errorifexists").parquet(tmp))
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            if not fs.exists(target):
-                fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target)
+            fs.rename(self.spark, tmp, path)
         df = self.spark.read.parquet(path)
         ControlTables._frames[fkey] = df
         return df

@@ -13,28 +13,34 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the reference: the zone folders and the bucket name template
-# (the region part is lower case).
+from arrivalgate.sources import fs
+
+# Fixed values of the reference: the zone folders.
 ZONES = ("LandingZone", "ArchiveZone")
-BUCKET_TEMPLATE = "sc360-{env}-{region}-bucket"
 
 
-def bucket_name(env: str, region: str, template: str = BUCKET_TEMPLATE) -> str:
-    """bucket of a region."""
+def bucket_name(template: str, env: str, region: str) -> str:
+    """bucket of a region by the deployment's template (``{env}``,
+    ``{region}``; the region part is lower case)."""
     return template.format(env=env, region=region.lower())
 
 
-def read_listing(spark: SparkSession, roots: dict[str, str], zones=ZONES) -> DataFrame:
+def read_listing(spark: SparkSession, roots: dict[str, str], zones=ZONES, dates=None) -> DataFrame:
     """(regionname, batchrundate, object_key) for every object of every zone of
-    every region root (``{region: 'scheme://bucket'}``)."""
+    every region root (``{region: 'scheme://bucket'}``).
+
+    ``dates``: the batch dates being evaluated. Only their ``dt=`` folders are
+    listed then; without it the whole tree is, for a full reload."""
     parts = []
     zone_alt = "|".join(zones)
     for region, root in roots.items():
         for zone in zones:
             path = f"{root.rstrip('/')}/{zone}"
-            if not _exists(spark, path):
+            wanted = [path] if dates is None else [f"{path}/dt={d}" for d in dates]
+            wanted = [p for p in wanted if fs.exists(spark, p)]
+            if not wanted:
                 continue
-            df = (spark.read.format("binaryFile").option("basePath", path).load(path)
+            df = (spark.read.format("binaryFile").option("basePath", path).load(wanted)
                   .select(F.lit(region).alias("regionname"),
                           F.col("dt").cast("date").alias("batchrundate"),
                           F.regexp_extract("path", rf"(({zone_alt})/dt=[^/]+/.*)$", 1).alias("object_key")))
@@ -42,9 +48,3 @@ def read_listing(spark: SparkSession, roots: dict[str, str], zones=ZONES) -> Dat
     if not parts:
         return spark.createDataFrame([], "regionname string, batchrundate date, object_key string")
     return reduce(DataFrame.unionByName, parts)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

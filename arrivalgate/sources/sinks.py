@@ -12,6 +12,10 @@ import os
 from pyspark.sql import DataFrame
 
 
+def version_path(base: str, version: int) -> str:
+    return os.path.join(base, f"v={version:012d}")
+
+
 def write_snapshot(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:
     """Write a table snapshot to ``base/v=<version>``."""
     path = os.path.join(base, f"v={version:012d}")

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivalgate.functions import timecols as TC
-from arrivalgate.session import checkpoint_dir
+from arrivalgate.session import ensure_checkpoint_dir
+from arrivalgate.sources import fs
 
 
 def _event_time(events: DataFrame, ts: str) -> DataFrame:
@@ -51,7 +52,8 @@ def first_arrivals(events: DataFrame, key: str = "user_id", ts: str = "ts", seq:
 
 def late_arrivals(firsts: DataFrame, cutoff_clock: str) -> DataFrame:
     """Per day, keys whose first arrival came by the cutoff clock time and
-    those that came later (batch, over ``first_arrivals``)."""
+    those that came later, over ``first_arrivals`` (a batch, or the stored
+    output of its stream; ``late_arrivals_stream`` is the streaming form)."""
     cutoff = TC.at_clock(F.to_date("day_start"), F.lit(cutoff_clock))
     return (firsts.groupBy("day_start")
             .agg(F.count(F.lit(1)).alias("n_keys"),
@@ -59,12 +61,26 @@ def late_arrivals(firsts: DataFrame, cutoff_clock: str) -> DataFrame:
                  F.count_if(F.col("first_ts") > cutoff).alias("late")))
 
 
+def late_arrivals_stream(events: DataFrame, cutoff_clock: str, key: str = "user_id", ts: str = "ts",
+                         watermark: str = "1 day") -> DataFrame:
+    """T03 as a stream: the first arrivals per key and day, then their counts per
+    day, two chained windowed aggregates in append mode."""
+    first = (_event_time(events, ts).withWatermark(ts, watermark)
+             .groupBy(key, F.window(ts, "1 day").alias("w")).agg(F.min(ts).alias("first_ts")))
+    cutoff = TC.at_clock(F.to_date(F.col("w.start")), F.lit(cutoff_clock)).cast("timestamp")
+    day = F.window(F.window_time("w"), "1 day").alias("d")
+    return (first.withColumn("in_time", F.col("first_ts") <= cutoff).groupBy(day)
+            .agg(F.count(F.lit(1)).alias("n_keys"), F.count_if("in_time").alias("on_time"),
+                 F.count_if(~F.col("in_time")).alias("late"))
+            .select(F.col("d.start").cast("timestamp_ntz").alias("day_start"), "n_keys", "on_time", "late"))
+
+
 def run_available_now(spark: SparkSession, source: DataFrame, fn, out_path: str, name: str,
                       output_mode: str = "append") -> str:
     """Run ``fn(stream)`` over everything available now and append the result
     to parquet at ``out_path`` (checkpoint under the shared checkpoint folder,
     so a lost executor or a restart resumes, never recounts)."""
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
     q = (fn(source).writeStream.format("parquet").outputMode(output_mode)
          .option("path", out_path).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
@@ -75,15 +91,20 @@ def run_available_now(spark: SparkSession, source: DataFrame, fn, out_path: str,
 def merge_into_snapshots(spark: SparkSession, changes_stream: DataFrame, base: str, merge_fn, name: str,
                          keys: list[str]):
     """Apply each micro-batch of decisions to the newest log snapshot and
-    write the result as the next snapshot under ``base``. Versions continue
-    after the newest one present when the stream starts; a batch reads the
-    newest snapshot *before* its own version, so the folder being read is
-    never the one written, and a replayed batch (after a failure) rewrites
-    its own version from the same input. Within a batch the newest decision
-    per key wins (by ``decided_at`` when present)."""
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    start = latest_version(spark, base)
-    first = (start + 1) if start is not None else 0
+    write the result as the next snapshot under ``base``. A batch's version is
+    its batch id after a first version that is recorded once, beside the
+    stream's checkpoint, when the stream starts for the first time; so a
+    replayed batch (after a failure or a restart) rewrites its own version. A
+    batch reads the newest snapshot *before* its own version: the folder being
+    read is never the one written. Within a batch the newest decision per key
+    wins (by ``decided_at`` when present; without it, two decisions of one key
+    are an error of the merge)."""
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    noted = f"{ckpt}-first-version"
+    if not fs.exists(spark, f"{noted}/_SUCCESS"):
+        start = latest_version(spark, base)
+        spark.range(1).select(F.lit(0 if start is None else start + 1).alias("first")).write.mode("overwrite").parquet(noted)
+    first = spark.read.parquet(noted).first()["first"]
 
     def apply(batch: DataFrame, batch_id: int):
         if "decided_at" in batch.columns:
@@ -101,18 +122,7 @@ def merge_into_snapshots(spark: SparkSession, changes_stream: DataFrame, base: s
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
     """Complete snapshot versions under ``base`` (listed with the cluster's file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        n = st.getPath().getName()
-        if st.isDirectory() and n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(n[2:]))
-    return sorted(out)
+    return sorted(int(n[2:]) for n in fs.folders(spark, base) if n.startswith("v=") and fs.exists(spark, f"{base}/{n}/_SUCCESS"))
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:

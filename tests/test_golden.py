@@ -182,3 +182,55 @@ def test_empty_plan_closes_finished(spark):
     r = log_changes.first()
     assert (r.execution_status, r.error_message) == ("Finished", "Null")
     assert master_changes.first().status == "Completed"
+
+
+def test_merge_keeps_all_columns_and_rows(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from arrivalgate.operators import gate as G
+    master = spark.createDataFrame([("r1", "EMEA", "BMT", "Null", 5), ("r2", "EMEA", "BMT", "Delay", 6), ("r3", "APJ", "BMT", "Null", 7)],
+                                   "report_name string, regionname string, identifier string, status string, average_runtime int")
+    new = spark.createDataFrame([("EMEA", "BMT", "InProgress"), ("AMS", "BMT", "Completed")],
+                                "regionname string, identifier string, status string")
+    got = G.merge_log(master, new, ["regionname", "identifier"])
+    assert got.columns == master.columns
+    assert sorted((r.report_name or "", r.regionname, r.status, r.average_runtime) for r in got.collect()) == [
+        ("", "AMS", "Completed", None), ("r1", "EMEA", "InProgress", 5), ("r2", "EMEA", "InProgress", 6), ("r3", "APJ", "Null", 7)]
+    with pytest.raises(PySparkException, match="two changes of the key"):
+        G.merge_log(master, new.union(new), ["regionname", "identifier"]).collect()
+
+
+def test_critical_failure_message_lists_every_failed_step(spark):
+    import json
+
+    from arrivalgate.operators import outputs as O
+    rows = [("OTHER", "FAILED", "E: a"), ("SPDST", "FAILED", "E: b"), ("OTHER", "FINISHED", None)]
+    out = R.run_outcome(R.step_outcomes(_plan(spark, rows), "critical"), "critical")
+    body = json.loads(O.run_alerts(out, "dev", "url", F.lit("EMEA")).where("kind = 'run_failed'").first().body)
+    assert [(x["Stored Procedure Name"], x["Error"], x["Data Source"]) for x in body["Error Message"]] == [
+        ("SP_0", "E: a", "SPDST/Others"), ("SP_1", "E: b", "SPDST")]
+
+
+def test_hot_run_and_hot_step_are_spread(spark):
+    """One run and one step hold a third of all rows: the joins deal them over the salts, and the results stay right."""
+    steps = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("run_id"), F.col("id").cast("string").alias("exec_order"),
+        F.concat(F.lit("SP_"), "id").alias("stored_procedure_name"), F.lit("OTHER").alias("file_datasource"), F.lit("Y").alias("codebase"),
+        F.when(F.col("id") == 15000, "FAILED").otherwise("FINISHED").alias("status"), F.lit(None).cast("string").alias("error"))
+    plan = R.plan_order(steps)
+    out = R.step_outcomes(plan, "strict")
+    got = {r["outcome"]: r["count"] for r in out.where("run_id = 0").groupBy("outcome").count().collect()}
+    assert got == {"Completed": 5000, "Failed": 1, "Skipped": 4999}
+    salted = plan.withColumn("s", F.pmod(F.xxhash64("pos"), F.lit(R.SALTS))).groupBy("run_id", "s").count()
+    assert salted.agg(F.max("count")).first()[0] < 30000 / 3 / R.SALTS * 1.5
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(run_id" in text and "_salt" in text
+    t = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    att = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("step_id"),
+                                    F.to_date(F.lit("2024-01-15")).alias("batchrundate"), t.alias("started"), F.col("id").alias("seq"),
+                                    F.when(F.col("id") < 21, "FAILED").otherwise("FINISHED").alias("status"))
+    r = R.fold_attempts(att, 8).where("step_id = 0").first()
+    assert (r.final_state, r.attempts_used, r.attempts_recorded) == ("Completed", 8, 10000)
+    r = R.fold_attempts(att, 7).where("step_id = 0").first()
+    assert (r.final_state, r.attempts_used) == ("Failed", 7)

@@ -19,12 +19,69 @@ def _rows(df):
 def test_trigger_cycle(spark, scratch):
     ct = ControlTables(spark, SF)
     t = {"schedule": ct.d_schedule, "trigger_log": ct.d_trigger_log, "expected_files": ct.d_file_property,
-         "load_log": ct.d_audit_log, "file_procs": ct.d_sp_map, "landing": ct.d_landing,
+         "load_log": ct.d_audit_log, "file_procs": ct.d_sp_map, "landing": Q.zones(ct),
          "dependency": ct.d_dependency, "job_runs": ct.d_job_runs}
-    paths = trigger_cycle(t, Q.gate_now(), os.path.join(scratch, "out"), 1, env=P.ENV, jobs=P.JOBS,
+    paths = trigger_cycle(t, ct.d_batch_dates, Q.gate_now(), os.path.join(scratch, "out"), 1, env=P.ENV, jobs=P.JOBS,
                           cutoff=P.CUTOFF, force_extra=P.FORCE_EXTRA, delay_window=P.DELAY_WINDOW,
                           metadata_prefix=P.FIXTURE_METADATA_PREFIX, empty_error=P.FIXTURE_EMPTY_ERROR)
     assert _rows(spark.read.parquet(paths["trigger_log"])) == _rows(Q.q27_merged_log(spark, SF))
     assert _rows(spark.read.parquet(paths["start_requests"])) == _rows(Q.q37_start_requests(spark, SF))
     notes = Q.q36_notifications(spark, SF).where(F.col("run_id").isNull())
     assert _rows(spark.read.parquet(paths["notifications"])) == _rows(notes)
+
+
+def _job(spark, t, dates, scratch, **more):
+    return trigger_cycle(t, dates, Q.gate_now(), os.path.join(scratch, "out"), 1, env=P.ENV, jobs=P.JOBS, cutoff=P.CUTOFF,
+                         force_extra=P.FORCE_EXTRA, delay_window=P.DELAY_WINDOW, metadata_prefix=P.FIXTURE_METADATA_PREFIX,
+                         empty_error=P.FIXTURE_EMPTY_ERROR, **more)
+
+
+def _tables(ct):
+    return {"schedule": ct.d_schedule, "trigger_log": ct.d_trigger_log, "expected_files": ct.d_file_property,
+            "load_log": ct.d_audit_log, "file_procs": ct.d_sp_map, "landing": Q.zones(ct), "curated_ref": ct.d_curated_ref,
+            "dependency": ct.d_dependency, "job_runs": ct.d_job_runs, "report_master": ct.d_report_master}
+
+
+def test_a_new_day_starts_on_an_empty_log(spark, scratch):
+    """Only the given day is touched, and every scheduled region gets complete first rows."""
+    ct = ControlTables(spark, SF)
+    t = _tables(ct)
+    t["trigger_log"] = t["trigger_log"].where("false")
+    t["schedule"] = t["schedule"].where("regionname in ('ASIA', 'EUROPE')")
+    dates = spark.sql("select date '2031-05-01' as batchrundate")
+    paths = _job(spark, t, dates, scratch, today=P.TODAY, report_now=P.NOW)
+    rows = spark.read.parquet(paths["trigger_log"]).collect()
+    assert len(rows) == 4 and {(r.regionname, r.report_source) for r in rows} == {
+        (x, y) for x in ("ASIA", "EUROPE") for y in ("BMT", "SPDST")}
+    for r in rows:
+        assert r.execution_status == "Yet to start" and r.gluejob == P.JOBS[r.report_source]
+        assert r.expected_start_time is not None and r.expected_end_time is not None
+    assert spark.read.parquet(paths["start_requests"]).count() == 0
+    assert spark.read.parquet(paths["report_master"]).count() == t["report_master"].count()
+
+
+def test_other_days_are_left_alone(spark, scratch):
+    ct = ControlTables(spark, SF)
+    t = _tables(ct)
+    day = ct.d_batch_dates.agg(F.max("batchrundate").alias("batchrundate"))
+    paths = _job(spark, t, day, scratch, spdst_rule="legacy", legacy_delay_window=P.LEGACY_DELAY_WINDOW,
+                 legacy_delay_step={"months": 1}, today=P.TODAY, report_now=P.NOW)
+    d = day.first()[0]
+    old = _rows(t["trigger_log"].where(F.col("batchrundate") != F.lit(d)))
+    new = spark.read.parquet(paths["trigger_log"])
+    assert new.columns == t["trigger_log"].columns
+    assert _rows(new.where(F.col("batchrundate") != F.lit(d))) == old
+    notes = Q.q43_legacy_alerts(spark, SF).where(F.col("batchrundate") == F.lit(d))
+    legacy = spark.read.parquet(paths["notifications"]).where("subject like '%SPDST%'")
+    assert _rows(legacy) == _rows(notes)
+
+
+def test_refuses_to_overwrite_its_input(spark, scratch):
+    import pytest
+    ct = ControlTables(spark, SF)
+    t = _tables(ct)
+    path = os.path.join(scratch, "out", "trigger_log", "v=000000000001")
+    t["trigger_log"].write.parquet(path)
+    t["trigger_log"] = spark.read.parquet(path)
+    with pytest.raises(ValueError, match="read from"):
+        _job(spark, t, ct.d_batch_dates, scratch, today=P.TODAY, report_now=P.NOW)

@@ -8,11 +8,11 @@ from arrivalgate.sources.listing import bucket_name, read_listing
 
 
 def test_listing_and_received(spark, scratch):
-    root = os.path.join(scratch, bucket_name("dev", "EMEA"))
+    root = os.path.join(scratch, bucket_name("files-{env}-{region}", "dev", "EMEA"))
     files = {
         "LandingZone/dt=2024-01-15/FILE_A_20240115101500.dat": b"x",
         "ArchiveZone/dt=2024-01-15/FILE_B_20240115101500.csv": b"y",
-        "LandingZone/dt=2024-01-15/SC360metadata_FILE_C_20240115101500.dat": b"z",
+        "LandingZone/dt=2024-01-15/meta_FILE_C_20240115101500.dat": b"z",
         "LandingZone/dt=2024-01-16/FILE_C_20240116101500.dat": b"w",
     }
     for k, v in files.items():
@@ -20,15 +20,15 @@ def test_listing_and_received(spark, scratch):
         os.makedirs(os.path.dirname(p), exist_ok=True)
         with open(p, "wb") as f:
             f.write(v)
-    assert os.path.basename(root) == "sc360-dev-emea-bucket"
+    assert os.path.basename(root) == "files-dev-emea"
     lst = read_listing(spark, {"EMEA": root})
     assert sorted(r.object_key for r in lst.collect()) == sorted(files)
     d = dt.date(2024, 1, 15)
     exp = spark.createDataFrame([(d, "EMEA", "FILE_A"), (d, "EMEA", "FILE_B"), (d, "EMEA", "FILE_C")],
                                 "batchrundate date, regionname string, filename string")
-    exact = sorted(r.filename for r in FS.received(lst, exp, "exact").collect())
+    exact = sorted(r.filename for r in FS.received(lst, exp, "exact", "meta_").collect())
     assert exact == ["FILE_A", "FILE_B"]  # the metadata object and the other day do not count
-    cont = sorted(r.filename for r in FS.received(lst, exp, "contains").collect())
+    cont = sorted(r.filename for r in FS.received(lst, exp, "contains", "meta_").collect())
     assert cont == ["FILE_A", "FILE_B"]
 
 
@@ -44,3 +44,16 @@ def test_listing_prunes_date_folders(spark, scratch):
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-16" in plan
     assert [r.object_key for r in one_day.collect()] == ["LandingZone/dt=2024-01-16/F_2024-01-16_20240115101500.dat"]
+
+
+def test_listing_of_given_dates_lists_only_their_folders(spark, scratch):
+    root = os.path.join(scratch, "bucket")
+    for zone, day in (("LandingZone", "2024-01-15"), ("LandingZone", "2024-01-16"), ("ArchiveZone", "2024-01-15")):
+        p = os.path.join(root, zone, f"dt={day}", f"F_{day}_20240115101500.dat")
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "wb") as f:
+            f.write(b"x")
+    got = read_listing(spark, {"EMEA": root}, dates=[dt.date(2024, 1, 15), dt.date(2024, 1, 18)])
+    assert sorted(r.object_key.split("/")[0] for r in got.collect()) == ["ArchiveZone", "LandingZone"]
+    assert all("dt=2024-01-15" in f for f in got.inputFiles())
+    assert read_listing(spark, {"EMEA": root}, dates=[dt.date(2023, 1, 1)]).collect() == []

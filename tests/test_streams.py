@@ -92,3 +92,40 @@ def test_late_arrivals_from_stream(spark, scratch):
     got = _rows(ST.late_arrivals(spark.read.parquet(out), "12:00:00"))
     want = _rows(ST.late_arrivals(_closed(ST.first_arrivals(batch), max_ts), "12:00:00"))
     assert got and got == want
+
+
+def test_restart_after_write_before_commit_leaves_one_version(spark, scratch):
+    """A batch written but not committed is replayed into its own version."""
+    import datetime as dt
+    from arrivalgate.session import ensure_checkpoint_dir
+    from arrivalgate.sources.sinks import write_snapshot
+    schema = "batchrundate date, regionname string, report_source string, execution_status string, gluejob string"
+    base, chdir = os.path.join(scratch, "log"), os.path.join(scratch, "changes")
+    d = dt.date(2024, 1, 15)
+    write_snapshot(spark.createDataFrame([(d, "R", "BMT", "Yet to start", "job")], schema), base, 0)
+    part = "batchrundate date, regionname string, report_source string, execution_status string"
+    spark.createDataFrame([(d, "R", "BMT", "Submitted")], part).write.parquet(os.path.join(chdir, "a"))
+    name = "restart-" + os.path.basename(scratch)
+    stream = spark.readStream.schema(part).parquet(os.path.join(chdir, "*"))
+    keys = ["batchrundate", "regionname", "report_source"]
+    ST.merge_into_snapshots(spark, stream, base, G.merge_log, name, keys).awaitTermination()
+    commits = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "streams", name, "commits")
+    for f in os.listdir(commits):
+        if f.strip(".").split(".")[0] == "0":
+            os.remove(os.path.join(commits, f))
+    ST.merge_into_snapshots(spark, stream, base, G.merge_log, name, keys).awaitTermination()
+    assert ST._versions(spark, base) == [0, 1]
+    assert [tuple(r) for r in ST.latest_snapshot(spark, base).collect()] == [(d, "R", "BMT", "Submitted", "job")]
+
+
+def test_late_arrivals_stream_equals_batch(spark, scratch):
+    src = os.path.join(scratch, "events")
+    os.makedirs(src)
+    shutil.copy(EVENTS, os.path.join(src, "part-0.parquet"))
+    batch = spark.read.parquet(src)
+    stream = spark.readStream.schema(batch.schema).parquet(src)
+    out = ST.run_available_now(spark, stream, lambda e: ST.late_arrivals_stream(e, "12:00:00"), os.path.join(scratch, "late"),
+                               "late-stream-" + os.path.basename(scratch))
+    got = _rows(spark.read.parquet(out))
+    want = _rows(ST.late_arrivals(ST.first_arrivals(batch), "12:00:00"))
+    assert got and set(got) <= set(want) and len(got) >= len(want) - 3     # the last days are open under the watermark
