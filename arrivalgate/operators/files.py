@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivalgate.functions import text as T
-from arrivalgate.operators.joins import contains_join
+from arrivalgate.operators.joins import contains_join, posted
 
 # Fixed values of the reference: process names, load states, the priority
 # flag, the point-in-time suffix and the reference-date failure reason.
@@ -128,7 +128,8 @@ def curated_loaded(load_log: DataFrame, files: DataFrame, facts: DataFrame | Non
             .join(files, ["regionname", "filename"], "left_semi").select(*KEY))
 
 
-def map_procedures(loaded: DataFrame, file_procs: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+def map_procedures(loaded: DataFrame, file_procs: DataFrame, catalog: DataFrame | None = None,
+                   posts: DataFrame | None = None) -> DataFrame:
     """J03 + A12: each loaded file to its procedure by ``source_filename`` containing
     the file name on the same region; files without a procedure drop out. The
     reference takes an arbitrary first match; ours is the smallest name (R2).
@@ -137,16 +138,21 @@ def map_procedures(loaded: DataFrame, file_procs: DataFrame, catalog: DataFrame
     expected-file ``catalog`` the loads were limited to is given, the map is
     built from that small table and ``loaded`` (from the large log) is read
     once, by the final join."""
-    proc = file_procedures(catalog if catalog is not None else loaded, file_procs)
+    proc = file_procedures(catalog if catalog is not None else loaded, file_procs, posts)
     return loaded.join(proc, ["regionname", "filename"])
 
 
-def file_procedures(files: DataFrame, file_procs: DataFrame) -> DataFrame:
+def name_posts(files: DataFrame) -> DataFrame:
+    """The expected file names under their rarest grams, for all substring joins of a chain."""
+    return posted(files, "filename")
+
+
+def file_procedures(files: DataFrame, file_procs: DataFrame, posts: DataFrame | None = None) -> DataFrame:
     """J03 on (region, file) only: the procedure of every file, no date."""
     names = files.select("regionname", "filename").distinct()
     matched = contains_join(names, "filename",
                             file_procs.select("regionname", "source_filename", "stored_procedure_name"),
-                            "source_filename", on=["regionname"])
+                            "source_filename", on=["regionname"], posts=posts)
     return matched.groupBy("regionname", "filename").agg(
         F.min("stored_procedure_name").alias("stored_procedure_name"))
 
@@ -170,7 +176,8 @@ def landed_objects(landing: DataFrame, metadata_prefix: str) -> DataFrame:
             .where(T.is_data_object("object_name", metadata_prefix)))
 
 
-def received(landing: DataFrame, expected: DataFrame, match: str, metadata_prefix: str) -> DataFrame:
+def received(landing: DataFrame, expected: DataFrame, match: str, metadata_prefix: str,
+             posts: DataFrame | None = None) -> DataFrame:
     """Expected files found in the landing or archive zone of their date.
 
     ``exact`` (J07): the object's stem less its 15-character stamp equals the
@@ -182,7 +189,7 @@ def received(landing: DataFrame, expected: DataFrame, match: str, metadata_prefi
         return expected.join(names, KEY, "left_semi").select(*KEY)
     if match == "contains":
         return contains_join(expected.select(*KEY), "filename", objs, "object_name",
-                             on=DAY_REGION, how="left_semi").select(*KEY)
+                             on=DAY_REGION, how="left_semi", posts=posts).select(*KEY)
     raise ValueError(f"unknown match {match!r}")
 
 
@@ -201,7 +208,8 @@ def empty_sources(load_log: DataFrame, error_text: str | None,
     return fa.where(F.col("empty_source")).select("batchrundate", "filename")
 
 
-def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame) -> DataFrame:
+def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFrame,
+                    posts: DataFrame | None = None) -> DataFrame:
     """S09 + J14 + P13 + P14: for point-in-time (PND) files, the curated table
     their succeeded curated load wrote to (load-log ``filename`` containing the
     file), then that table's ``reference_dt`` for rows whose ``source_nm``
@@ -214,10 +222,10 @@ def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFram
     loads = (load_log.where((F.col("processname") == CURATED) & (F.col("executionstatus") == SUCCEEDED))
              .select(*DAY_REGION, F.col("filename").alias("load_filename"),
                      F.col("destinationname").alias("table_name")).distinct())
-    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION)
+    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION, posts=posts)
               .groupBy(*KEY).agg(F.min("table_name").alias("table_name")))
     refs = curated_ref.select("batchrundate", "table_name", "source_nm", "reference_dt").distinct()
-    dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"])
+    dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"], posts=posts)
              .groupBy(*KEY).agg(F.max("reference_dt").alias("reference_dt")))
     return dated.withColumn("ref_ok", F.col("reference_dt") == F.date_sub("batchrundate", 1))
 

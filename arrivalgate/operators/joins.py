@@ -8,12 +8,14 @@ residual: a few giant partitions, quadratic inside each.
 
 Exact form on grams. A needle of ``GRAM`` characters or more is posted under
 one of its grams, the one that the fewest needles have; a shorter needle is
-posted as it is. A haystack is expanded into its distinct substrings of 1 to
-``GRAM`` characters: at most ``GRAM`` per character position, however many
-needle lengths there are, and nothing has to be known when the query is built.
-The join is an equality on (keys, gram); ``contains`` then confirms each hit.
-Matching is literal and case-sensitive (R4: no LIKE wildcards from data). An
-empty needle is contained in every haystack, NULL in none.
+posted as it is. The distinct haystack texts (a name occurs on many dates, it
+is matched once) are expanded into their substrings of the posted lengths, at
+most ``GRAM`` per character position however many needle lengths there are.
+The lengths come from a scalar subquery, so nothing runs while a query is
+built. The join is an equality on the gram; ``contains`` then confirms each
+hit, and the matched (needle, text) pairs are joined with both sides' rows on
+their keys. Matching is literal and case-sensitive (R4: no LIKE wildcards from
+data). An empty needle is contained in every haystack, NULL in none.
 """
 
 from __future__ import annotations
@@ -24,56 +26,53 @@ from pyspark.sql import functions as F
 GRAM = 5
 
 
-def _pieces(text: Column, least: int) -> Column:
-    """Distinct substrings of ``text`` of ``least`` to GRAM characters (and the empty text for ``least`` 0)."""
-    n = F.length(text)
-    at = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    sizes = range(max(1, least), GRAM + 1)
-    got = F.flatten(F.transform(at, lambda i: F.filter(
-        F.array(*[F.when(i + (size - 1) <= n, F.substring(text, i, F.lit(size))) for size in sizes]), lambda x: x.isNotNull())))
-    return F.array_distinct(F.concat(F.array(F.lit("")), got) if least == 0 else got)
+def _pieces(text: str, size: str | Column) -> Column:
+    """Distinct substrings of ``size`` characters of the column ``text`` (which has at least that many)."""
+    size = F.col(size) if isinstance(size, str) else size
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(F.col(text), i, size)))
 
 
 def posted(needles: DataFrame, needle_col: str) -> DataFrame:
     """(needle, gram) for the distinct needles: a short needle itself, else its rarest gram."""
     own = needles.select(F.col(needle_col).alias("__n")).where("__n is not null").distinct()
     short = own.where(F.length("__n") < GRAM).select("__n", F.col("__n").alias("__g"))
-    grams = own.where(F.length("__n") >= GRAM).select("__n", F.explode(_pieces(F.col("__n"), GRAM)).alias("__g"))
+    grams = own.where(F.length("__n") >= GRAM).select("__n", F.explode(_pieces("__n", F.lit(GRAM))).alias("__g"))
     often = grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
     rare = grams.join(often, "__g").groupBy("__n").agg(F.min(F.struct("__c", "__g")).alias("__m")).select("__n", F.col("__m.__g").alias("__g"))
     return short.union(rare)
 
 
 def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay_col: str,
-                  on: list[str] | None = None, how: str = "inner") -> DataFrame:
+                  on: list[str] | None = None, how: str = "inner", posts: DataFrame | None = None) -> DataFrame:
     """Rows of ``needles`` x ``haystacks`` where ``hay_col`` contains ``needle_col``
     (and the ``on`` columns are equal). ``how`` is ``inner``, ``left_semi``
     (needles with at least one match) or ``left_anti``.
 
     Output columns (``inner``): needles' columns, then haystacks' columns that
     are not already in needles.
+
+    ``posts``: ``posted`` of a catalog that holds every needle, where several
+    joins look for names of one catalog (Spark then computes it once).
     """
     on = list(on or [])
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    extra = [c for c in haystacks.columns if c not in on and c not in needles.columns]
+    extra = [c for c in haystacks.columns if c not in on and c not in needles.columns] if how == "inner" else []
+    posts = posts if posts is not None else posted(needles, needle_col)
+    sizes = F.coalesce(posts.agg(F.collect_set(F.length("__g"))).scalar(), F.array().cast("array<int>"))
+    grams = (haystacks.select(F.col(hay_col).alias("__h")).where("__h is not null").distinct()
+             .select("__h", F.explode(sizes).alias("__k")).where(F.col("__k") <= F.length("__h"))
+             .select("__h", F.explode(_pieces("__h", "__k")).alias("__hg")))
+    # The posts are a shuffle stage of their own: its measured size is what
+    # lets AQE broadcast them instead of shuffling the grams.
+    hit = grams.join(posts, F.col("__hg") == F.col("__g")).where(F.col("__h").contains(F.col("__n"))).select("__h", "__n")
     # Right side renamed so the join resolves by name even when both sides
     # come from the same table.
-    grams = (haystacks.where(F.col(hay_col).isNotNull())
-             .select(*[F.col(c).alias(f"__r_{c}") for c in on], F.col(hay_col).alias("__h"),
-                     *[F.col(c).alias(f"__x_{c}") for c in (extra if how == "inner" else [])]))
-    if how != "inner":
-        grams = grams.distinct()
-    grams = grams.withColumn("__g", F.explode(_pieces(F.col("__h"), 0)))
-    # The distinct needles are a shuffle stage of their own: its measured size
-    # is what lets AQE broadcast them instead of shuffling the grams.
-    keys = needles.select(*on, F.col(needle_col).alias("__n")).distinct().join(posted(needles, needle_col), "__n")
-    hit = grams.join(keys, [F.col(f"__r_{c}") == F.col(c) for c in on] + [grams["__g"] == keys["__g"]]) \
-        .where(F.col("__h").contains(F.col("__n")))
+    rows = haystacks.select(F.col(hay_col).alias("__t"), *[F.col(c).alias(f"__r_{c}") for c in on],
+                            *[F.col(c).alias(f"__x_{c}") for c in extra]).join(hit, F.col("__t") == F.col("__h"))
     if how != "inner":
-        # Semi and anti join on the few matched keys, not on the gram side.
-        matched = hit.select(*on, F.col("__n").alias(needle_col)).distinct()
+        # Semi and anti join on the few matched keys.
+        matched = rows.select(*[F.col(f"__r_{c}").alias(c) for c in on], F.col("__n").alias(needle_col)).distinct()
         return needles.join(matched, [*on, needle_col], how)
-    pairs = hit.select(*[F.col(c).alias(f"__k_{c}") for c in on], "__n", *[F.col(f"__x_{c}") for c in extra])
-    cond = [F.col(f"__k_{c}") == F.col(c) for c in on] + [F.col("__n") == F.col(needle_col)]
-    return needles.join(pairs, cond).select(*needles.columns, *[F.col(f"__x_{c}").alias(c) for c in extra])
+    cond = [F.col(f"__r_{c}") == F.col(c) for c in on] + [F.col("__n") == F.col(needle_col)]
+    return needles.join(rows, cond).select(*needles.columns, *[F.col(f"__x_{c}").alias(c) for c in extra])

@@ -26,10 +26,11 @@ def _chain(t: dict, cal: DataFrame, facts: DataFrame, source: str, rule: str, me
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(t["load_log"], cal)
     loaded = FS.curated_loaded(log, pf, facts)
-    pub = FS.published(FS.map_procedures(loaded, t["file_procs"], catalog=pf), log)
+    posts = FS.name_posts(pf)
+    pub = FS.published(FS.map_procedures(loaded, t["file_procs"], catalog=pf, posts=posts), log)
     rec = FS.received(FS.restrict_to_dates(t["landing"], cal), expected,
-                      "exact" if rule == "current" else "contains", metadata_prefix)
-    refd = (FS.reference_dates(pub, log, FS.restrict_to_dates(t["curated_ref"], cal))
+                      "exact" if rule == "current" else "contains", metadata_prefix, posts)
+    refd = (FS.reference_dates(pub, log, FS.restrict_to_dates(t["curated_ref"], cal), posts)
             if rule == "legacy" and "curated_ref" in t else None)
     return FS.file_state(expected, pub, rec, FS.failed_processes(log, facts), FS.empty_sources(log, None, facts=facts),
                          refd, rule)

@@ -34,14 +34,15 @@ def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True)
     landing = FS.restrict_to_dates(zones(ct), cal) if restrict else zones(ct)
     facts = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR)
     loaded = FS.curated_loaded(log, pf, facts)
-    mapped = FS.map_procedures(loaded, ct.d_sp_map, catalog=pf)
+    posts = FS.name_posts(pf)
+    mapped = FS.map_procedures(loaded, ct.d_sp_map, catalog=pf, posts=posts)
     pub = FS.published(mapped, log)
     match = "exact" if rule == "current" else "contains"
-    rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX)
+    rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, posts)
     failed = FS.failed_processes(log, facts)
     empty = FS.empty_sources(log, P.FIXTURE_EMPTY_ERROR, facts=facts)
     refs = FS.restrict_to_dates(ct.d_curated_ref, cal) if restrict else ct.d_curated_ref
-    refd = FS.reference_dates(pub, log, refs) if rule == "legacy" else None
+    refd = FS.reference_dates(pub, log, refs, posts) if rule == "legacy" else None
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
             "mapped": mapped, "published": pub, "received": rec, "failed": failed,
@@ -87,7 +88,8 @@ def q11_received_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 def q12_received_contains(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return FS.received(zones(ct), _expected_all(ct), "contains", P.FIXTURE_METADATA_PREFIX)
+    posts = FS.name_posts(FS.priority_files(ct.d_file_property, "all"))
+    return FS.received(zones(ct), _expected_all(ct), "contains", P.FIXTURE_METADATA_PREFIX, posts)
 
 
 def q13_failed_processes(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +104,7 @@ def q15_reference_date_check(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
     pf = FS.priority_files(ct.d_file_property, "other")
     loaded = FS.curated_loaded(ct.d_audit_log, pf)
-    return FS.reference_dates(loaded, ct.d_audit_log, ct.d_curated_ref)
+    return FS.reference_dates(loaded, ct.d_audit_log, ct.d_curated_ref, FS.name_posts(pf))
 
 
 def q16_file_state_bmt(spark: SparkSession, sf: str) -> DataFrame:
