@@ -35,11 +35,11 @@ def _pieces(text: str, size: str | Column) -> Column:
 def posted(needles: DataFrame, needle_col: str) -> DataFrame:
     """(needle, gram) for the distinct needles: a short needle itself, else its rarest gram."""
     own = needles.select(F.col(needle_col).alias("__n")).where("__n is not null").distinct()
-    short = own.where(F.length("__n") < GRAM).select("__n", F.col("__n").alias("__g"))
-    grams = own.where(F.length("__n") >= GRAM).select("__n", F.explode(_pieces("__n", F.lit(GRAM))).alias("__g"))
+    # no filter on the length: Catalyst would carry it to the tables the names come from
+    grams = F.when(F.length("__n") >= GRAM, _pieces("__n", F.lit(GRAM))).otherwise(F.array("__n"))
+    grams = own.select("__n", F.explode(grams).alias("__g"))
     often = grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
-    rare = grams.join(often, "__g").groupBy("__n").agg(F.min(F.struct("__c", "__g")).alias("__m")).select("__n", F.col("__m.__g").alias("__g"))
-    return short.union(rare)
+    return grams.join(often, "__g").groupBy("__n").agg(F.min(F.struct("__c", "__g")).alias("__m")).select("__n", F.col("__m.__g").alias("__g"))
 
 
 def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay_col: str,
