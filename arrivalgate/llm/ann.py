@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from arrivalgate.llm.common import Scratch
 from arrivalgate.llm.vectors import cosine, matrix, unit, usable, usual_size
 
-BIN_LEAVES = 16          # leaves that share a task group
-BIN_ROWS = 8192          # rows of a bin in one task group
+BIN_ROWS = 8192          # rows of neighbouring leaves that share a task group
 TIE = 1e-9
 
 
@@ -89,14 +88,14 @@ def _kmeans(x: np.ndarray, k: int, rng, rounds: int = 8) -> list[tuple[np.ndarra
 
 
 def _best(q: np.ndarray, q_raw: np.ndarray, q_nid: np.ndarray, x: np.ndarray, x_raw: np.ndarray, x_nid: np.ndarray,
-          x_id: np.ndarray, k: int, seen: np.ndarray | None = None) -> tuple[list, list, list, list]:
-    """The k closest rows of each query, ties to smaller ids; ``seen``: (queries, rows) that may be compared."""
+          x_id: np.ndarray, k: int, seen: np.ndarray | None = None, at: np.ndarray | None = None) -> tuple[list, list, list, list]:
+    """The k closest rows of each query, ties to smaller ids; ``seen``: (queries, leaves) that may be compared, ``at``: the rows' leaves."""
     qi, ids, score, nids = [], [], [], []
     for s in range(0, len(q), 256):
         sim = q[s:s + 256] @ x.T
         sim[q_nid[s:s + 256, None] == x_nid[None, :]] = -3
         if seen is not None:
-            sim[~seen[s:s + 256]] = -3
+            sim[~seen[s:s + 256][:, at]] = -3
         n = min(k, sim.shape[1])
         least = -np.partition(-sim, n - 1, axis=1)[:, n - 1] - TIE
         for r in range(len(sim)):
@@ -118,12 +117,21 @@ def _truth(rows: DataFrame, chosen: pd.DataFrame, size: int, k: int) -> pd.DataF
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q, q_raw, q_nid = sent.value
+        held: list[pd.DataFrame] = []       # the best of this task so far; one small set leaves it
+
+        def best() -> pd.DataFrame:
+            return pd.concat(held).sort_values(["score", "id", "nid"], ascending=[False, True, True]).groupby("query").head(k)
+
         for pdf in batches:
             for s in range(0, len(pdf), BIN_ROWS):
                 part = pdf.iloc[s:s + BIN_ROWS]
                 x = matrix(part["raw"], size)
                 qi, ids, score, nids = _best(q, q_raw, q_nid, unit(x), x, part["nid"].to_numpy(), part["id"].to_numpy(), k)
-                yield pd.DataFrame({"query": q_nid[qi], "id": ids, "score": score, "nid": nids})
+                held.append(pd.DataFrame({"query": q_nid[qi], "id": ids, "score": score, "nid": nids}))
+            if len(held) > 16:
+                held = [best()]
+        if held:
+            yield best()
 
     order = W.partitionBy("query").orderBy(F.desc("score"), "id", "nid")
     return rows.select("nid", "id", "raw").mapInPandas(scan, "query long, id long, score double, nid long") \
@@ -169,6 +177,10 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
     counts = np.zeros(tree.leaves, np.int64)
     for r in placed.groupBy("leaf").count().collect():       # one row per leaf of the bounded tree
         counts[r["leaf"]] = r["count"]
+    # neighbouring leaves fill a bin; a leaf that is larger than a bin is split over several groups
+    bin_of = ((np.cumsum(counts) - counts) // BIN_ROWS).astype(np.int64)
+    first = {int(b): int(np.flatnonzero(bin_of == b)[0]) for b in np.unique(bin_of)}
+    in_bin = {int(b): int(counts[bin_of == b].sum()) for b in np.unique(bin_of)}
     queries = placed.where(F.col("id") % every == 0)
     chosen = queries.orderBy(F.xxhash64("id", F.lit(29)), "nid").limit(calibration).select("nid", "raw").toPandas()
     if not len(chosen):
@@ -185,29 +197,33 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
                     if n >= visits and rows_seen > k:
                         break
                     rows_seen += int(counts[leaf])
-                    bins.setdefault(leaf // BIN_LEAVES, []).append(leaf)
-                for b, leaves in bins.items():
+                    bins.setdefault(int(bin_of[leaf]), []).append(leaf)
+                for b, leaves in bins.items():      # at most one row per query and bin
                     for name, value in zip(out, (nid, id_, raw, b, leaves)):
                         out[name].append(value)
             yield pd.DataFrame(out)
 
     asked = queries.select("nid", "id", "raw").mapInPandas(walk, "nid long, id long, raw array<double>, bin int, leaves array<int>")
-    held = [int(counts[b:b + BIN_LEAVES].sum()) for b in range(0, tree.leaves, BIN_LEAVES)]
-    parts = F.array(*[F.lit(max(1, -(-n // BIN_ROWS))) for n in held])      # a crowded bin is split over several groups
-    bin_ = F.floor(F.col("leaf") / BIN_LEAVES).cast("int")
-    stored = placed.withColumn("bin", bin_).withColumn("part", F.pmod(F.xxhash64("nid"), F.get(parts, F.col("bin"))).cast("int"))
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.get(parts, F.col("bin")) - 1)))
+    # one row per leaf of the bounded tree
+    plan = spark.createDataFrame([(i, int(b), max(1, -(-in_bin[int(b)] // BIN_ROWS))) for i, b in enumerate(bin_of)],
+                                 "leaf int, bin int, parts int")
+    stored = placed.join(F.broadcast(plan), "leaf").withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")).cast("int"))
+    asked = asked.join(F.broadcast(plan.select("bin", "parts").distinct()), "bin") \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    tree_leaves = int(np.bincount(bin_of).max())       # most leaves in a bin
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query": [], "query_id": [], "id": [], "nid": [], "score": []})
         q_raw, x_raw = matrix(left["raw"], size), matrix(right["raw"], size)
-        at = right["leaf"].to_numpy() % BIN_LEAVES
-        seen = np.zeros((len(left), BIN_LEAVES), bool)
+        low = first[int(left["bin"].iloc[0])]
+        at = right["leaf"].to_numpy() - low
+        seen = np.zeros((len(left), tree_leaves), bool)
         for i, leaves in enumerate(left["leaves"]):
-            seen[i, np.asarray(leaves) % BIN_LEAVES] = True
+            seen[i, np.asarray(leaves) - low] = True
         qi, ids, score, nids = _best(unit(q_raw), q_raw, left["nid"].to_numpy(), unit(x_raw), x_raw, right["nid"].to_numpy(),
-                                     right["id"].to_numpy(), k, seen[:, at])
+                                     right["id"].to_numpy(), k, seen, at)
         return pd.DataFrame({"query": left["nid"].to_numpy()[qi], "query_id": left["id"].to_numpy()[qi], "id": ids, "nid": nids, "score": score})
 
     found = asked.groupBy("bin", "part").cogroup(stored.select("nid", "id", "raw", "leaf", "bin", "part").groupBy("bin", "part")) \

@@ -12,10 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from arrivalgate.session import ensure_checkpoint_dir
 
 
+ARROW_BATCH, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context, so that
-    they can import it wherever the driver was started."""
+    they can import it wherever the driver was started. Rows hold whole texts,
+    so Arrow batches are cut to ``ARROW_ROWS`` rows where the session has the
+    default of 10,000: a batch's memory counts in the worker and off the
+    executor's heap."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_BATCH, "10000") == "10000":
+        spark.conf.set(ARROW_BATCH, str(ARROW_ROWS))
     if getattr(sc, "_arrivalgate_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

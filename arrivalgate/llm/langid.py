@@ -22,7 +22,7 @@ from arrivalgate.llm.common import Scratch, fold_of
 
 ORDER, BITS = 5, 12
 DISCOUNT = 0.75
-CHUNK = 1_000_000            # characters counted or scored at once
+CHUNK = 500_000            # characters counted or scored at once
 UNDETERMINED = "und"
 
 
@@ -99,10 +99,10 @@ def count_grams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
                     u, n = np.unique(np.concatenate(got), return_counts=True)
                     held.setdefault(lang, []).append((u, n))
                     sizes[lang] = sizes.get(lang, 0) + len(u)
-                    if sizes[lang] > 4_000_000:
+                    if sizes[lang] > 2_000_000:
                         u, n = merged(lang)
                         held[lang], sizes[lang] = [(u, n)], len(u)
-                        if len(u) > 2_000_000:      # hand on what does not fit, the sums are made later
+                        if len(u) > 1_000_000:      # hand on what does not fit, the sums are made later
                             yield pd.DataFrame({"lang": lang, "gram": u, "n": n})
                             held[lang], sizes[lang] = [], 0
         for lang in held:

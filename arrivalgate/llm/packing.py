@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from arrivalgate.llm.common import Scratch, buckets_for, rank_in_groups, ship
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_UNITS = 800_000  # about 160 MB a worker
+CACHE_UNITS = 250_000  # about 50 MB a worker
 SPACE_RUN = re.compile(r" \s")
 CUT_RUN = re.compile(r"\s \s|\s \Z")
 

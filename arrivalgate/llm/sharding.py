@@ -55,8 +55,10 @@ def propagate(members: DataFrame, shards: int, quota: np.ndarray, scratch: Scrat
     for step in range(1, rounds + 1):
         count = {r["shard"]: r["count"] for r in state.groupBy("shard").count().collect()}
         room = quota - np.array([count.get(i, 0) for i in ids])
-        placed = members.join(state, "nid")
-        hubs = placed.groupBy("hub").agg(*[F.count(F.when(F.col("shard") == i, 1)).alias(f"c{i}") for i in ids])
+        placed = scratch.save(members.join(state, "nid"), f"placed-{step}")
+        # stored, so that the join with it meets two plain shuffles and a hot hub's members can be split
+        hubs = scratch.save(placed.groupBy("hub").agg(
+            *[F.count(F.when(F.col("shard") == i, 1)).alias(f"c{i}") for i in ids]), f"hubs-{step}")
         votes = placed.join(hubs, "hub").groupBy("nid").agg(
             F.first("shard").alias("shard"), F.min("hub").alias("hub"), *[F.sum(f"c{i}").alias(f"c{i}") for i in ids])
         full = F.array(*[F.lit(bool(room[i] <= 0)) for i in ids])
@@ -84,7 +86,8 @@ def propagate(members: DataFrame, shards: int, quota: np.ndarray, scratch: Scrat
             state_new = state.join(made, "nid", "left").select("nid", F.coalesce("new", "shard").alias("shard"))
         state = scratch.save(state_new, f"state-{step}")
         scratch.drop(f"state-{step - 1}")
-        scratch.drop(f"wish-{step}")
+        for name in ("wish", "placed", "hubs"):
+            scratch.drop(f"{name}-{step}")
     return state
 
 

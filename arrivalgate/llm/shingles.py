@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
