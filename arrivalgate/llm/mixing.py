@@ -47,8 +47,9 @@ def source_order(sources: DataFrame, scratch: Scratch) -> DataFrame:
         .repartitionByRange(F.col("__null"), F.col("source")).sortWithinPartitions("__null", "source")
         .withColumn("__pid", F.spark_partition_id()), "ranges")
     size = placed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = size.alias("a").join(F.broadcast(size.alias("b")), F.col("b.__pid") < F.col("a.__pid"), "left") \
-        .groupBy(F.col("a.__pid").alias("__pid")).agg(F.coalesce(F.sum("b.__n"), F.lit(0)).alias("__base"))
+    # one row per range: as many rows as shuffle partitions
+    ahead = W.orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)
+    before = size.select("__pid", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__base"))
     local = F.row_number().over(W.partitionBy("__pid").orderBy("__null", "source")) - 1
     return (placed.withColumn("__r", local).join(F.broadcast(before), "__pid")
             .select("source", "source_size", "docs", (F.col("__base") + F.col("__r")).alias("pos")))
