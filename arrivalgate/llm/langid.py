@@ -4,7 +4,9 @@ Counts of character 5-grams per language are taken over all training
 documents: each task counts its own texts with numpy, Spark adds the counts
 up. The lower orders (continuation counts, contexts) follow from the distinct
 5-grams. Every order is a sorted array of 64-bit n-gram hashes (12 bits a
-character) with probabilities beside it. A text gets the language with the
+character) with probabilities beside it. No gram is left out: orders 3 to 5 are
+cut into slices by the third and fourth character, which a 5-gram shares with
+all its lower orders and contexts, and tasks load one slice at a time. A text gets the language with the
 lowest cross-entropy per character; a calibration sample gives each language
 the cross-entropy above which a text is not accepted as that language.
 """
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from arrivalgate.llm.common import Scratch, fold_of
 
 ORDER, BITS = 5, 12
+LOW = 2                    # orders up to this one are in every slice
+PAIR = (1 << 2 * BITS) - 1
 DISCOUNT = 0.75
 CHUNK = 500_000            # characters counted or scored at once
 UNDETERMINED = "und"
@@ -117,19 +121,23 @@ def count_grams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
 class Model:
     """One language: per order the sorted grams with their log probabilities and
-    the sorted contexts with the log weight they give to the next lower order."""
+    the sorted contexts with the log weight they give to the next lower order.
 
-    def __init__(self, gram: np.ndarray, n: np.ndarray):
-        order = np.argsort(gram)
-        key, count = gram[order], n[order].astype(float)
+    With ``low``, the model of the lowest orders, only the orders above it are
+    made from ``gram``."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray, order: int = ORDER, low: Model | None = None):
+        at = np.argsort(gram)
+        key, count = gram[at], n[at].astype(float)
+        done = len(low.keys) if low else 0
         levels = []
-        for k in range(ORDER, 0, -1):          # count of the highest order; distinct left neighbours below
+        for k in range(order, done, -1):       # count of the highest order; distinct left neighbours below
             levels.append((key, count))
-            if k > 1:
+            if k > done + 1:
                 key, count = np.unique(key & ((1 << BITS * (k - 1)) - 1), return_counts=True)
                 count = count.astype(float)
-        self.keys, self.logp, self.ctx, self.logw = [], [], [], []
-        lower_key, lower_p = None, None
+        self.keys, self.logp, self.ctx, self.logw = ([*x] for x in ((low.keys, low.logp, low.ctx, low.logw) if low else [()] * 4))
+        lower_key, lower_p = (low.keys[-1], low.top) if low else (None, None)
         for key, count in reversed(levels):
             ctx, start = np.unique(key >> BITS, return_index=True)
             total = np.add.reduceat(count, start)
@@ -148,12 +156,13 @@ class Model:
             self.ctx.append(ctx)
             self.logw.append(np.log(weight).astype(np.float32))
             lower_key, lower_p = key, p
+        self.top = lower_p if order < ORDER else None      # what the next order is built on
 
     def log_probability(self, gram: np.ndarray) -> np.ndarray:
         """Of the last character of each 5-gram (sorted or not) after the four before it."""
         out = np.zeros(len(gram))
         todo = np.arange(len(gram))
-        for k in range(ORDER, 0, -1):
+        for k in range(len(self.keys), 0, -1):
             if not len(todo):
                 return out
             g = gram[todo] & ((1 << BITS * k) - 1)
@@ -171,11 +180,20 @@ class Model:
 
 
 class Identifier:
-    """The models of all languages, in name order."""
+    """The models of all languages, in name order, cut into slices.
+
+    ``starts``: the smallest pair (third and fourth character) of each slice;
+    ``slices``: per slice a broadcast of the languages' models of its grams."""
 
-    def __init__(self, models: dict[str, Model]):
-        self.langs = sorted(models)
-        self.models = [models[x] for x in self.langs]
+    def __init__(self, langs: list[str], starts: np.ndarray, slices: list):
+        self.langs, self.starts, self.slices = langs, starts, slices
+
+    def _models(self, i: int) -> list[Model]:
+        """A single slice stays in the worker; of several, one at a time is in memory."""
+        sent = self.slices[i]
+        if len(self.slices) == 1 or not hasattr(sent, "_path"):
+            return sent.value
+        return sent.load_from_path(sent._path)
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(cross-entropy per character and language, number of characters) of whole texts."""
@@ -186,15 +204,21 @@ class Identifier:
             if n.sum():
                 u, back = np.unique(np.concatenate(got), return_inverse=True)
                 doc = np.repeat(np.arange(len(at)), n)
-                for j, m in enumerate(self.models):
-                    out[at, j] = -np.bincount(doc, m.log_probability(u)[back], len(at)) / np.maximum(n, 1)
+                part = np.maximum(np.searchsorted(self.starts, (u >> BITS) & PAIR, side="right") - 1, 0)
+                logp = np.zeros((len(self.langs), len(u)))
+                for i in np.unique(part):
+                    mine = np.flatnonzero(part == i)
+                    for j, m in enumerate(self._models(i)):
+                        logp[j, mine] = m.log_probability(u[mine])
+                for j in range(len(self.langs)):
+                    out[at, j] = -np.bincount(doc, logp[j][back], len(at)) / np.maximum(n, 1)
         return out, size
 
     def judge(self, texts: list[str], limit: np.ndarray) -> pd.DataFrame:
         """lang_pred, score (0 to 1) and accepted (by each language's ``limit``) of each text."""
-        h, n = self.entropies(texts)
         if not self.langs:
             return pd.DataFrame({"lang_pred": [UNDETERMINED] * len(texts), "score": 0.0, "accepted": False})
+        h, n = self.entropies(texts)
         best = h.argmin(axis=1)
         low = h[np.arange(len(h)), best]
         odds = np.exp(-(h - low[:, None]) * np.minimum(n, 60)[:, None])
@@ -206,50 +230,63 @@ class Identifier:
 
 
 class Fitted:
-    """The broadcast models and, per language, the cross-entropy up to which a text is accepted."""
+    """The sliced models and, per language, the cross-entropy up to which a text is accepted."""
+
+    def __init__(self, model: Identifier):
+        self.model, self.langs, self.limit = model, model.langs, np.full(len(model.langs), np.inf)
+
 
-    def __init__(self, sent, langs: list[str]):
-        self.sent, self.langs, self.limit = sent, langs, np.full(len(langs), np.inf)
+def _slices(counts: DataFrame, langs: list[str], max_grams: int) -> Identifier:
+    """The models of all counted 5-grams, in slices of about ``max_grams``.
+
+    The driver holds the pairs of characters (as many as the alphabets have)
+    and one slice at a time."""
+    spark = counts.sparkSession
+    number = F.lit(-1)
+    for i, lang in enumerate(langs):
+        number = F.when(F.col("lang") == lang, i).otherwise(number)
+    pair = F.shiftright("gram", BITS).bitwiseAND(PAIR).cast("int").alias("pair")
+    rows = counts.select(number.cast("int").alias("l"), "gram", F.least(F.col("n"), F.lit(2**31 - 1)).cast("int").alias("n"), pair)
+    # the lowest orders: distinct left neighbours of each pair that ends a gram
+    ends = rows.select("l", F.col("gram").bitwiseAND((1 << (LOW + 1) * BITS) - 1).alias("g")).distinct() \
+        .groupBy("l", F.col("g").bitwiseAND(PAIR).alias("gram")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    low = {int(i): Model(p["gram"].to_numpy(), p["n"].to_numpy(), LOW) for i, p in ends.groupby("l")}
+    sizes = rows.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("pair")
+    before = (sizes["n"].cumsum() - sizes["n"]).to_numpy() // max_grams
+    starts = sizes["pair"].to_numpy()[np.flatnonzero(np.diff(before, prepend=-1))].astype(np.int64)
+    sent = []
+    for lo, hi in zip(starts, [*starts[1:], PAIR + 1]):
+        got = rows.where((F.col("pair") >= int(lo)) & (F.col("pair") < int(hi))).drop("pair").toPandas()
+        own = {int(i): Model(p["gram"].to_numpy(), p["n"].to_numpy(), ORDER, low[int(i)]) for i, p in got.groupby("l")}
+        sent.append(spark.sparkContext.broadcast([own.get(i, low[i]) for i in range(len(langs))]))
+        del got, own
+    return Identifier(langs, starts, sent)
 
 
 def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 500_000, calibration: int = 2000,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Fitted:
     """Learn from text and non-null language of all documents outside fold ``held_out``.
 
-    The counts cover every such document. The model that goes to the workers
-    holds at most ``max_grams`` 5-grams over all languages, the most frequent
-    ones (all that occur at least as often as the count at which that many are
-    reached), so its broadcast is bounded. ``calibration`` bounds the training documents (first by id hash)
+    The models hold every 5-gram of every such document. About ``max_grams`` of
+    them make a slice, the part that driver and workers hold at once; the
+    results do not depend on it. ``calibration`` bounds the training documents (first by id hash)
     whose cross-entropies set each language's limit: half as much again as the
     99.9 % quantile, so that only texts far from the language are refused.
     """
     train = docs.where(F.col(lang_col).isNotNull() & (fold_of(id_col, folds) != held_out))
     scratch = Scratch(docs.sparkSession, "langid")
     counts = scratch.save(count_grams(train, lang_col, text_col), "grams")
-    langs = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
-    # the smallest count that keeps the model within its size, from a histogram of log counts (steps of 5 %)
-    step = F.floor(20 * F.log("n")).cast("int")
-    least, total = 1 << 30, 0
-    for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
-        total += r["count"]
-        if total > max_grams:
-            break
-        least = r["step"]
-    number = F.lit(-1)
-    for i, lang in enumerate(langs):
-        number = F.when(F.col("lang") == lang, i).otherwise(number)
-    got = counts.where(step >= least).select(number.cast("int").alias("l"), "gram", F.least(F.col("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
-    model = Identifier({langs[i]: Model(p["gram"].to_numpy(), p["n"].to_numpy()) for i, p in got.groupby("l")})
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    fitted = Fitted(sent, model.langs)
-    del got, model
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    model = _slices(counts, langs, max_grams)
+    fitted = Fitted(model)
     if not fitted.langs:
         return fitted
+    place = {lang: i for i, lang in enumerate(langs)}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            h, n = sent.value.entropies(pdf["text"].tolist())
-            own = np.searchsorted(sent.value.langs, pdf["lang"].to_numpy(str))
+            h, n = model.entropies(pdf["text"].tolist())
+            own = pdf["lang"].map(place).fillna(0).to_numpy(int)      # a language without grams has no row to measure
             some = n > 0
             yield pd.DataFrame({"lang": pdf["lang"][some], "h": h[np.arange(len(h)), own][some]})
 
@@ -265,13 +302,13 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 500
 
 def identify(docs: DataFrame, fitted: Fitted, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``accepted`` to every row, by the whole text."""
-    sent, limit = fitted.sent, fitted.limit
+    model, limit = fitted.model, fitted.limit
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                          T.StructField("accepted", T.BooleanType())])
 
     @F.pandas_udf(kind)
     def judged(text: pd.Series) -> pd.DataFrame:
-        return sent.value.judge([t or "" for t in text], limit)
+        return model.judge([t or "" for t in text], limit)
 
     got = docs.drop("lang_pred", "score", "accepted").withColumn("__l", judged(F.col(text_col).cast("string")))
     return got.select("*", "__l.*").drop("__l")

@@ -149,3 +149,31 @@ def test_kneser_ney_sums_to_one():
             h = (h << langid.BITS) | ord(ch)
         p = np.exp(m.log_probability((h << langid.BITS) | np.arange(1 << langid.BITS)))
         assert abs(p.sum() - 1) < 1e-4
+
+
+def test_rare_language_beside_a_hot_one_keeps_its_grams(spark):
+    r = random.Random(4)
+    say = lambda letters, k: " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(k))
+    hot = say("abcdefghimnorst", 100)
+    hot = [(i, hot, "hot") for i in range(300)]
+    rare = [(1000 + i, say("βγδκλμνπρστω", 12), "rare") for i in range(12)]
+    df = spark.createDataFrame(hot + rare, "doc_id long, text string, lang string")
+    got = langid.classify(df, max_grams=300).collect()
+    assert {r["doc_id"] for r in got if r["lang_pred"] == "rare"} == {i for i, _, _ in rare}
+    assert all(r["lang_pred"] == "hot" for r in got if r["doc_id"] < 1000)
+
+
+def test_sliced_models_equal_whole_ones(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120).where("lang is not null and text is not null")
+    docs = spark.createDataFrame(docs.select("doc_id", "text", "lang").collect(), "doc_id long, text string, lang string")
+    counts = langid.count_grams(docs, "lang", "text").toPandas()
+    whole = {x: langid.Model(p["gram"].to_numpy(), p["n"].to_numpy()) for x, p in counts.groupby("lang")}
+    texts = [r["text"] for r in docs.limit(20).collect()] + ["", "12", "漢字 漢字", "é", "qqzzxx " * 5]
+    fitted = langid.fit(docs, folds=1, held_out=1, max_grams=5000)
+    assert fitted.langs == sorted(whole) and len(fitted.model.slices) > 3
+    h, n = fitted.model.entropies(texts)
+    for i, t in enumerate(texts):
+        g = langid.grams(langid.encode(t))
+        assert n[i] == len(g)
+        for j, x in enumerate(fitted.langs):
+            assert abs(h[i, j] - (-whole[x].log_probability(g).mean() if len(g) else 0)) < 1e-5
