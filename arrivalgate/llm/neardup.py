@@ -107,14 +107,15 @@ def _finish(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ends = np.cumsum(size)
         start = ends - size
         _, comp, many = np.unique(root, return_inverse=True, return_counts=True)
+        one = many.argmax()     # of two members of different components, at most one is in this one
         flag = np.zeros(local.max() + 1, bool)
         out = []
         for i in np.argsort(many[comp], kind="stable"):
             other = comp != comp[i]
             if block.min() != block.max():
                 other &= block != block[i]      # pairs inside a block meet in the block's own group
-            if many[comp[i]] == many.max() or not other.any():
-                continue        # every pair of components has a member outside the largest one
+            if comp[i] == one or not other.any():
+                continue
             flag[local[start[i]:ends[i]]] = True
             inter = np.add.reduceat(flag[local], start, dtype=np.int64)
             flag[local[start[i]:ends[i]]] = False
@@ -122,8 +123,8 @@ def _finish(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for j in hit:
                 if comp[j] != comp[i]:
                     out.append((min(cid[i], cid[j]), max(cid[i], cid[j])))
+                    one = comp[i] if comp[j] == one else one
                     comp[comp == comp[j]] = comp[i]
-            many = np.bincount(comp, minlength=len(many))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),

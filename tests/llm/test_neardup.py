@@ -112,3 +112,47 @@ def test_signatures_estimate_similarity(share):
     a, b = (np.sort(np.concatenate([common, r.integers(0, 1 << 63, own, dtype=np.uint64)])) for _ in range(2))
     g = shingles.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), 512)
     assert abs((g[0] == g[1]).mean() - share) < 0.06
+
+
+def finished(sets, roots, spark, blocks=1):
+    """Components after _finish of one hub group with these sets and roots."""
+    held = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "cid long, s array<long>")
+    groups = spark.createDataFrame([(0, i, r, blocks, i % blocks) for i, r in enumerate(roots)],
+                                   "hub long, cid long, root long, blocks int, block int")
+    return {(r["a"], r["b"]) for r in neardup._finish(groups, held, 75).collect()}
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_hub_group_of_single_classes(spark, blocks):
+    """No member is linked yet, so all components tie as the largest."""
+    sets = [set(range(100 * i, 100 * i + 40)) for i in range(14)]
+    sets[9] = set(sets[4]) | {5000}
+    assert finished(sets, list(range(14)), spark, blocks) == {(4, 9)}
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_hub_group_of_two_equal_components(spark, blocks):
+    sets = [set(range(100 * i, 100 * i + 40)) for i in range(8)]
+    sets[6] = set(sets[1]) | {5000}
+    found = finished(sets, [0, 0, 0, 0, 4, 4, 4, 4], spark, blocks)
+    assert found and all((a < 4) != (b < 4) for a, b in found)
+    sets[7] = set(range(10000, 10040))
+    assert finished(sets, [0, 0, 0, 4, 4, 4, 6, 7], spark, blocks) == {(1, 6)}
+
+
+def test_finish_against_brute_force(spark):
+    r = random.Random(5)
+    for case in range(3):
+        sets = [set(range(100 * (i % 9), 100 * (i % 9) + 30)) | {r.randrange(10 ** 6) for _ in range(r.randint(0, 8))} for i in range(40)]
+        roots = [r.randrange(0, i % 9 + 1, 1) * 9 + i % 9 if i % 3 else i for i in range(40)]
+        join = lambda links: _joined(40, links + [(i, roots.index(x)) for i, x in enumerate(roots)])
+        want = [(i, j) for i in range(40) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+        assert join(list(finished(sets, roots, spark, 1 + case))) == join(want)
+
+
+def _joined(n, links):
+    root = list(range(n))
+    for a, b in links:
+        x, y = root[a], root[b]
+        root = [min(x, y) if v in (x, y) else v for v in root]
+    return root
