@@ -9,7 +9,9 @@
    neighbours (and those it is a neighbour of) to each other, and every list
    keeps the best it has met. A list whose members all link is saturated and
    is doubled. Rounds go on until few entries change and an audit, a sample of
-   nodes against all nodes in blocks, finds the wanted share of the links.
+   nodes against all nodes in blocks, finds the wanted share of the links. The
+   sample is enlarged until it has enough links to judge by. If the last round
+   is still below that share, all nodes are compared with all in blocks.
 3. Links. Node pairs are confirmed on the original vectors in double precision.
    Two classes link wholly, not at all, or pair by pair, by the triangle
    inequality on their centres' angle and their radii.
@@ -30,23 +32,37 @@ from arrivalgate.llm.vectors import cosine, matrix, unit, usable, usual_size
 
 TABLES, SKETCH_BITS = 8, 48
 BLOCK = 512
+AUDIT_LINKS = 500   # links that an audit must have seen, if there are so many
+AUDIT_BLOCK = 4096   # nodes that are sent to the tasks at a time
 SLACK = 0.004        # half-precision vectors are off by less; pairs are confirmed in double
 
 
-def _planes(size: int, seed: int = 5) -> np.ndarray:
-    return np.random.default_rng(seed).normal(size=(TABLES, SKETCH_BITS, size))
+def _planes(size: int, tables: int, seed: int = 5) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(tables, SKETCH_BITS, size))
 
 
-def sketched(nodes: DataFrame, size: int) -> DataFrame:
+def _prefix(rows: int) -> int:
+    """Leading signs by which the sorted sketches are cut into windows."""
+    return max(2, min(SKETCH_BITS, math.ceil(math.log2(max(rows, 1) / 16 + 1)) + 1))
+
+
+def tables_for(rows: int, floor: float) -> int:
+    """So many tables that two vectors at similarity ``floor`` share the window's
+    prefix in two of them on average, whatever the number of rows; ``TABLES`` at least."""
+    same = 1 - math.acos(max(-1.0, min(1.0, floor))) / math.pi
+    return max(TABLES, math.ceil(2 / same ** _prefix(rows)))
+
+
+def sketched(nodes: DataFrame, size: int, tables: int = TABLES) -> DataFrame:
     """(nid, t, code): the 48 signs of each vector in every table, the most significant first."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes = _planes(size)
+        planes = _planes(size, tables)
         place = np.int64(1) << np.arange(SKETCH_BITS - 1, -1, -1, dtype=np.int64)
         for pdf in batches:
             if len(pdf):
                 x = matrix(pdf["v"], size)
-                for t in range(TABLES):
+                for t in range(tables):
                     code = ((x @ planes[t].T) > 0) @ place
                     yield pd.DataFrame({"nid": pdf["nid"], "t": t, "code": code})
 
@@ -131,16 +147,16 @@ def descend(nodes: DataFrame, codes: DataFrame, size: int, rows: int, floor: flo
     """(u, v, sim), both ways: approximate neighbour lists of ``nodes`` (nid, v, wide).
 
     ``wide``: the similarity from which a node's pair may link. Every list keeps
-    its ``k`` best (twice as many as link, if more do).
+    its ``k`` best (twice as many as link, if more do). The lists hold at least the
+    share ``recall`` of the audited links: where ``rounds`` do not reach it, the
+    pairs that may link are added from a comparison of all nodes in blocks.
     """
     spark = nodes.sparkSession
     slim = scratch.save(nodes.select("nid", _half("v", size).alias("h"), "wide"), "half")
-    prefix = max(2, min(SKETCH_BITS, math.ceil(math.log2(max(rows, 1) / 16 + 1)) + 1))
-    order = W.partitionBy("t", F.shiftright("code", SKETCH_BITS - prefix)).orderBy("code", "nid")
+    order = W.partitionBy("t", F.shiftright("code", SKETCH_BITS - _prefix(rows))).orderBy("code", "nid")
     start = codes.select(F.col("nid").alias("u"), F.lead("nid", 1).over(order).alias("v1"), F.lead("nid", 2).over(order).alias("v2"))
     start = start.select("u", F.explode(F.array("v1", "v2")).alias("v")).where("v is not null")
     edges = scratch.save(start.distinct().select("u", "v", F.lit(-1.0).cast("float").alias("sim"), F.lit(True).alias("fresh")), "edges-0")
-    queries = slim.orderBy(F.xxhash64("nid", F.lit(1))).limit(audit_nodes).toPandas()
     truth = None
     for step in range(1, rounds + 1):
         both = edges.union(edges.select("v", "u", "sim", "fresh")).groupBy("u", "v").agg(
@@ -168,19 +184,51 @@ def descend(nodes: DataFrame, codes: DataFrame, size: int, rows: int, floor: flo
         edges = scratch.save(merged, f"edges-{step}")
         scratch.drop(f"edges-{step - 1}")
         count = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("fresh").cast("int")).alias("f")).first()
-        if step >= 2 and (count["f"] or 0) <= 0.05 * max(1, count["n"]) or step >= 4:
-            truth = scratch.save(_audit(slim, queries, size), "truth") if truth is None else truth
+        settled = step >= 2 and (count["f"] or 0) <= 0.05 * max(1, count["n"])
+        if settled or step >= 4:
+            truth = _audit(slim, size, rows, audit_nodes, scratch) if truth is None else truth
             pairs = edges.select("u", "v").union(edges.select("v", "u")).distinct()
             got = truth.join(pairs.withColumn("found", F.lit(1)), ["u", "v"], "left").agg(
                 F.count(F.lit(1)).alias("n"), F.count("found").alias("found")).first()
-            if got["found"] >= recall * got["n"]:
-                break
-            k *= 2
-    return edges
-
-
-def _audit(slim: DataFrame, queries: pd.DataFrame, size: int) -> DataFrame:
-    """(u, v): every pair of an audited node that may link, by comparing them with all nodes in blocks."""
+            enough = got["found"] >= recall * got["n"]
+            if enough and (settled or step == rounds):
+                return edges
+            k = k if enough else 2 * k
+    every = _compared(slim, size, rows, 0, max(1, -(-rows // AUDIT_BLOCK)), 0.0, scratch, "every")
+    return edges.union(every.select("u", "v", F.lit(-1.0).cast("float"), F.lit(False)))
+
+
+def _audit(slim: DataFrame, size: int, rows: int, audit_nodes: int, scratch: Scratch) -> DataFrame:
+    """(u, v): every pair of an audited node that may link, by comparing them with
+    all nodes. Nodes are audited in groups of about ``audit_nodes``, each time as
+    many more as before, until ``AUDIT_LINKS`` pairs are found or all nodes are audited."""
+    parts = max(1, -(-rows // audit_nodes))
+    truth = _compared(slim, size, rows, 0, 1, SLACK, scratch, "truth-1", parts)
+    done = 1
+    while done < parts and truth.count() < AUDIT_LINKS:
+        more = min(parts, 2 * done)
+        truth = truth.union(_compared(slim, size, rows, done, more, SLACK, scratch, f"truth-{more}", parts))
+        done = more
+    return truth
+
+
+def _compared(slim: DataFrame, size: int, rows: int, first: int, last: int, slack: float, scratch: Scratch, name: str,
+              parts: int | None = None) -> DataFrame:
+    """(u, v): pairs that may link, ``slack`` above their bound, of the nodes of the groups
+    ``first`` to ``last - 1`` (of ``parts``, by hash) with all nodes, ``AUDIT_BLOCK`` at a time."""
+    parts = parts or last
+    group = F.pmod(F.xxhash64("nid", F.lit(1)), F.lit(parts))
+    step = max(1, AUDIT_BLOCK * parts // max(rows, 1))
+    out = None
+    for at in range(first, last, step):
+        queries = slim.where((group >= at) & (group < min(at + step, last))).toPandas()
+        if len(queries):
+            met = scratch.save(_scan(slim, queries, size, slack), f"{name}-{at}")
+            out = met if out is None else out.union(met)
+    return out if out is not None else slim.sparkSession.createDataFrame([], "u long, v long")
+
+
+def _scan(slim: DataFrame, queries: pd.DataFrame, size: int, slack: float) -> DataFrame:
     qx = np.frombuffer(b"".join(queries["h"]), np.float16).reshape(-1, size).astype(np.float32)
     sent = slim.sparkSession.sparkContext.broadcast((queries["nid"].to_numpy(), qx, queries["wide"].to_numpy()))
 
@@ -189,7 +237,7 @@ def _audit(slim: DataFrame, queries: pd.DataFrame, size: int) -> DataFrame:
         for pdf in batches:
             if len(pdf):
                 x = np.frombuffer(b"".join(pdf["h"]), np.float16).reshape(-1, size).astype(np.float32)
-                i, j = np.nonzero(q @ x.T >= np.minimum(wide[:, None], pdf["wide"].to_numpy()[None, :]) + SLACK)
+                i, j = np.nonzero(q @ x.T >= np.minimum(wide[:, None], pdf["wide"].to_numpy()[None, :]) + slack)
                 v = pdf["nid"].to_numpy()[j]
                 keep = qid[i] != v
                 yield pd.DataFrame({"u": qid[i][keep], "v": v[keep]})
@@ -248,7 +296,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col: str
     points = scratch.save(points.withColumn("wide", wide), "points")
     m = points.count()
     start = points.select(F.col("cid").alias("nid"), "v", "wide")
-    edges = descend(start, scratch.save(sketched(start, size), "point-codes"), size, m, threshold, scratch, k, recall=recall)
+    point_codes = scratch.save(sketched(start, size, tables_for(m, threshold)), "point-codes")
+    edges = descend(start, point_codes, size, m, threshold, scratch, k, recall=recall)
 
     # confirm on the vectors themselves
     one = edges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()

@@ -120,3 +120,35 @@ def test_nearest_of_odd_tables(spark):
     got = ann.nearest(frame(spark, hot), 5, 50).collect()
     assert [g["vec_id"] for g in sorted(got, key=lambda g: (g["query_id"], g["rank"])) if g["query_id"] == 50] == [0, 1, 2, 3, 4]
     assert len([g for g in got if g["query_id"] == 1000]) == 5
+
+
+def _descended(spark, x, **options):
+    """(u, v) found by the descent itself, at cosine 0.95."""
+    df = spark.createDataFrame([(i, v.tolist(), 0.95 - nndescent.SLACK) for i, v in enumerate(unit(x))], "nid long, v array<double>, wide double")
+    scratch = nndescent.Scratch(spark, "test-descend")
+    codes = scratch.save(nndescent.sketched(df, x.shape[1]), "codes")
+    got = nndescent.descend(df, codes, x.shape[1], len(x), 0.95, scratch, **options)
+    return {(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in got.select("u", "v").collect()}
+
+
+def test_last_round_below_the_recall_is_completed(spark):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(400, 16))
+    x = np.concatenate([x, x + r.normal(size=x.shape) * 0.2])
+    u = unit(x)
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(u @ u.T >= 0.95)) if a < b}
+    assert len(want) > 100
+    assert want <= _descended(spark, x, k=1, rounds=1)
+
+
+def test_audit_is_enlarged_until_it_has_links(spark):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(600, 16))
+    x[500:510] = x[:10] * 1.5 + r.normal(size=(10, 16)) * 0.01
+    slim = spark.createDataFrame([(i, v.astype(np.float16).tobytes(), 0.95) for i, v in enumerate(unit(x))], "nid long, h binary, wide double")
+    got = nndescent._audit(slim, 16, 600, 20, nndescent.Scratch(spark, "test-audit"))
+    assert {(g["u"], g["v"]) for g in got.collect()} >= {(i, 500 + i) for i in range(10)} | {(500 + i, i) for i in range(10)}
+
+
+def test_tables_grow_with_the_prefix():
+    assert nndescent.tables_for(1000, 0.95) == nndescent.TABLES < nndescent.tables_for(10 ** 7, 0.95) < nndescent.tables_for(10 ** 9, 0.95)
