@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from arrivalgate.llm.common import Scratch
-from arrivalgate.llm.vectors import cosine, matrix, unit, usable, usual_size
+from arrivalgate.llm.vectors import cosine, lengths, matrix, unit, usable
 
 BIN_ROWS = 8192          # rows of neighbouring leaves that share a task group
 TIE = 1e-9
@@ -150,21 +150,32 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
     true neighbours come from a scan of all rows.
 
     Defined cases: vectors that are null, zero or hold a null or non-finite
-    component, those of another length than the usable one with the smallest
-    id, and rows with a null id take no part; equal scores go to the smaller
+    component and rows with a null id take no part; vectors are compared with
+    those of their own length, every length with a tree of its own; equal scores go to the smaller
     id; rows that repeat an id are candidates of their own, and each is a
     query (with the same id) if its id is divisible; fewer candidates than
     ``k`` are all returned; an empty table gives an empty result.
     """
     spark = embeddings.sparkSession
     scratch = Scratch(spark, "ann")
-    size = usual_size(embeddings.where(F.col(id_col).isNotNull()), id_col, vec_col)
-    ok = F.col(id_col).isNotNull() & usable(F.col(vec_col)) & (F.size(vec_col) == size)
+    ok = F.col(id_col).isNotNull() & usable(F.col(vec_col))
     rows = scratch.save(embeddings.where(ok).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("raw"))
                         .withColumn("nid", F.monotonically_increasing_id()), "rows")
-    empty = spark.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score double")
-    if size == 0:
-        return empty
+    out = None
+    for size in lengths(rows, "raw"):
+        part = _nearest(rows.where(F.size("raw") == size), size, k, every, recall, sample_rows, branch, leaf_rows, calibration)
+        if part is not None:
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], "query_id long, rank int, id long, score double")
+    return out.withColumnRenamed("id", id_col)
+
+
+def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, sample_rows: int, branch: int, leaf_rows: int,
+             calibration: int) -> DataFrame | None:
+    """``query_id``, ``rank``, ``id``, ``score`` over the usable vectors (nid, id, raw) of one length; None without a query."""
+    spark = rows.sparkSession
+    scratch = Scratch(spark, "ann")
     fit = rows.orderBy(F.xxhash64("id", F.lit(17)), "nid").limit(sample_rows).select("raw").toPandas()
     tree = Tree(unit(matrix(fit["raw"], size)), branch, leaf_rows)
     sent = spark.sparkContext.broadcast(tree)
@@ -184,7 +195,7 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
     queries = placed.where(F.col("id") % every == 0)
     chosen = queries.orderBy(F.xxhash64("id", F.lit(29)), "nid").limit(calibration).select("nid", "raw").toPandas()
     if not len(chosen):
-        return empty
+        return None
     visits = _widen(tree, placed, chosen, size, k, recall)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,7 +241,7 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
         .applyInPandas(search, "query long, query_id long, id long, nid long, score double")
     order = W.partitionBy("query").orderBy(F.desc("score"), "id", "nid")
     top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return top.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    return top.select("query_id", "rank", "id", "score")
 
 
 def _widen(tree: Tree, placed: DataFrame, chosen: pd.DataFrame, size: int, k: int, recall: float) -> int:

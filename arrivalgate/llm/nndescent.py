@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from arrivalgate.llm.common import Scratch, buckets_for
 from arrivalgate.llm.graph import components
-from arrivalgate.llm.vectors import cosine, matrix, unit, usable, usual_size
+from arrivalgate.llm.vectors import cosine, lengths, matrix, unit, usable
 
 TABLES, SKETCH_BITS = 8, 48
 BLOCK = 512
@@ -251,21 +251,31 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col: str
     ``component_id`` (smallest id reachable) and ``kept`` (its own id is that).
 
     Vectors link whose cosine is ``threshold`` or more. Defined cases: vectors
-    that are null, zero or hold a null or non-finite component, and vectors of
-    another length than the usable one with the smallest id, link with nothing;
-    equal vectors link; repeated ids are rows of their own; a null id is no
+    that are null, zero or hold a null or non-finite component link with nothing;
+    vectors link with those of their own length, every length by itself; equal vectors link; repeated ids are rows of their own; a null id is no
     component id unless its whole component has none; an empty table gives an
     empty result. Only the id and the vector are read.
     """
     spark = embeddings.sparkSession
     scratch = Scratch(spark, "nndescent")
-    size = usual_size(embeddings, id_col, vec_col)
-    ok = usable(F.col(vec_col)) & (F.size(vec_col) == size)
-    rows = scratch.save(embeddings.select(F.col(id_col).cast("long").alias("id"), F.when(ok, F.col(vec_col).cast("array<double>")).alias("raw"))
+    rows = scratch.save(embeddings.select(F.col(id_col).cast("long").alias("id"), F.when(usable(F.col(vec_col)), F.col(vec_col).cast("array<double>")).alias("raw"))
                         .withColumn("nid", F.monotonically_increasing_id()), "rows")
-    if size == 0:
+    got = None
+    for size in lengths(rows, "raw"):
+        part = _linked(rows.where(F.size("raw") == size), size, threshold, dense, k, recall)
+        got = part if got is None else got.unionByName(part)
+    if got is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.col("id").isNotNull().alias("kept"))
+    out = rows.select("nid", "id").join(got, "nid", "left")
+    comp = F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                      comp.alias("component_id"), F.coalesce(F.col("id") == comp, F.lit(False)).alias("kept"))
+
+
+def _linked(good: DataFrame, size: int, threshold: float, dense: int, k: int, recall: float) -> DataFrame:
+    """(nid, n_links, component_id) of the usable vectors (nid, id, raw) of one length."""
+    scratch = Scratch(good.sparkSession, "nndescent")
     limit = math.acos(threshold)
     radius = 0.495 * limit
 
@@ -273,7 +283,6 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col: str
     def scaled(v: pd.Series) -> pd.Series:
         return pd.Series(list(unit(matrix(v, size))), dtype=object) if len(v) else pd.Series([], dtype=object)
 
-    good = rows.where("raw is not null")
     # equal vectors are one vector with copies
     copies = scratch.save(good.groupBy("raw").agg(F.min("nid").alias("first"), F.count(F.lit(1)).alias("copies")), "copies")
     alike = scratch.save(good.select("nid", "id", "raw").join(copies, "raw").select("nid", "id", "first", "copies"), "alike")
@@ -331,11 +340,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col: str
                                   (F.col("inside") - 1 + F.coalesce("n_whole", F.lit(0)) + F.coalesce("n_part", F.lit(0))).alias("n_links")), "own")
     every = scratch.save(alike.join(own.withColumnRenamed("nid", "first"), "first").select("nid", "id", "root", "n_links"), "every")
     least = scratch.save(every.groupBy("root").agg(F.min("id").alias("component_id")), "least")
-    got = every.join(least, "root").select("nid", "n_links", "component_id")
-    out = rows.select("nid", "id").join(got, "nid", "left")
-    comp = F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      comp.alias("component_id"), F.coalesce(F.col("id") == comp, F.lit(False)).alias("kept"))
+    return every.join(least, "root").select("nid", "n_links", "component_id")
 
 
 def _between(partly: DataFrame, owner: DataFrame, size: int, threshold: float) -> DataFrame:

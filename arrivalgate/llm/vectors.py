@@ -14,10 +14,10 @@ def usable(col: Column) -> Column:
     return F.coalesce(col.isNotNull() & ~bad & some, F.lit(False))
 
 
-def usual_size(df: DataFrame, id_col: str, vec_col: str) -> int:
-    """Length of the usable vector with the smallest id; vectors of another length take no part. 0 if there is none."""
-    got = df.where(usable(F.col(vec_col))).agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.size(vec_col).alias("n"))).alias("m")).first()
-    return int(got["m"]["n"]) if got["m"] is not None else 0
+def lengths(rows: DataFrame, vec_col: str) -> list[int]:
+    """Lengths that two or more of the vectors have; a vector is compared with those of its own length."""
+    got = rows.where(F.col(vec_col).isNotNull()).groupBy(F.size(vec_col).alias("size")).count().where("count > 1")
+    return sorted(r["size"] for r in got.collect())
 
 
 def unit(x: np.ndarray) -> np.ndarray:

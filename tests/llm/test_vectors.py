@@ -152,3 +152,18 @@ def test_audit_is_enlarged_until_it_has_links(spark):
 
 def test_tables_grow_with_the_prefix():
     assert nndescent.tables_for(1000, 0.95) == nndescent.TABLES < nndescent.tables_for(10 ** 7, 0.95) < nndescent.tables_for(10 ** 9, 0.95)
+
+
+def test_every_length_is_compared_with_its_own(spark):
+    r = np.random.default_rng(9)
+    rows = [(0, [1.0, 2.0, 3.0])] + [(i, v.tolist()) for i, v in enumerate(r.normal(size=(60, 16)), 1)]
+    rows += [(100 + i, rows[i][1]) for i in range(1, 31)] + [(200 + i, v.tolist()) for i, v in enumerate(r.normal(size=(20, 8)))]
+    rows += [(300 + i, [2 * c for c in rows[91 + i][1]]) for i in range(5)]
+    got = {g["vec_id"]: (g["n_links"], g["component_id"]) for g in nndescent.near_duplicates(frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and got[0] == (0, 0)
+    assert all(got[100 + i] == (1, i) for i in range(1, 31)) and all(got[300 + i] == (1, 200 + i) for i in range(5))
+    near = ann.nearest(frame(spark, rows), 5, 10).collect()
+    size = {d: len(v) for d, v in rows}
+    assert all(size[g["query_id"]] == size[g["vec_id"]] for g in near)
+    assert {g["query_id"] for g in near} == {d for d, _ in rows if d and d % 10 == 0}
+    assert {(g["query_id"], g["vec_id"]) for g in near if g["rank"] == 1} >= {(110, 10), (120, 20), (130, 30), (300, 200)}
