@@ -7,7 +7,7 @@ up. The lower orders (continuation counts, contexts) follow from the distinct
 character) with probabilities beside it. No gram is left out: orders 3 to 5 are
 cut into slices by the third and fourth character, which a 5-gram shares with
 all its lower orders and contexts, and tasks load one slice at a time. A text gets the language with the
-lowest cross-entropy per character; a calibration sample gives each language
+lowest cross-entropy per character; all training documents of a language give
 the cross-entropy above which a text is not accepted as that language.
 """
 
@@ -28,6 +28,7 @@ PAIR = (1 << 2 * BITS) - 1
 DISCOUNT = 0.75
 CHUNK = 500_000            # characters counted or scored at once
 UNDETERMINED = "und"
+UNIFORM = BITS * np.log(2.0)    # cross-entropy of any text if all characters are alike: the limit where nothing is measured
 
 
 @lru_cache(maxsize=1)
@@ -233,7 +234,7 @@ class Fitted:
     """The sliced models and, per language, the cross-entropy up to which a text is accepted."""
 
     def __init__(self, model: Identifier):
-        self.model, self.langs, self.limit = model, model.langs, np.full(len(model.langs), np.inf)
+        self.model, self.langs, self.limit = model, model.langs, np.full(len(model.langs), UNIFORM)
 
 
 def _slices(counts: DataFrame, langs: list[str], max_grams: int) -> Identifier:
@@ -263,15 +264,16 @@ def _slices(counts: DataFrame, langs: list[str], max_grams: int) -> Identifier:
     return Identifier(langs, starts, sent)
 
 
-def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 500_000, calibration: int = 2000,
-        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Fitted:
+def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 500_000, id_col: str = "doc_id",
+        text_col: str = "text", lang_col: str = "lang") -> Fitted:
     """Learn from text and non-null language of all documents outside fold ``held_out``.
 
     The models hold every 5-gram of every such document. About ``max_grams`` of
     them make a slice, the part that driver and workers hold at once; the
-    results do not depend on it. ``calibration`` bounds the training documents (first by id hash)
-    whose cross-entropies set each language's limit: half as much again as the
-    99.9 % quantile, so that only texts far from the language are refused.
+    results do not depend on it. The cross-entropies of all training documents
+    set each language's limit: half as much again as their 99.9 % quantile, so
+    that only texts far from the language are refused. A language without a
+    document to measure has ``UNIFORM`` as its limit.
     """
     train = docs.where(F.col(lang_col).isNotNull() & (fold_of(id_col, folds) != held_out))
     scratch = Scratch(docs.sparkSession, "langid")
@@ -290,11 +292,8 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1, max_grams: int = 500
             some = n > 0
             yield pd.DataFrame({"lang": pdf["lang"][some], "h": h[np.arange(len(h)), own][some]})
 
-    ids = train.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id")).distinct() \
-        .orderBy(F.xxhash64(F.col("__id").cast("string"))).limit(calibration)
-    sample = train.join(F.broadcast(ids), F.col(id_col) == F.col("__id")) \
-        .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    top = sample.mapInPandas(measure, "lang string, h double").groupBy("lang").agg(F.expr("percentile_approx(h, 0.999, 10000)").alias("q"))
+    every = train.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    top = every.mapInPandas(measure, "lang string, h double").groupBy("lang").agg(F.expr("percentile_approx(h, 0.999, 10000)").alias("q"))
     for r in top.collect():
         fitted.limit[fitted.langs.index(r["lang"])] = 1.5 * r["q"]
     return fitted

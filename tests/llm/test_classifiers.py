@@ -177,3 +177,21 @@ def test_sliced_models_equal_whole_ones(spark):
         assert n[i] == len(g)
         for j, x in enumerate(fitted.langs):
             assert abs(h[i, j] - (-whole[x].log_probability(g).mean() if len(g) else 0)) < 1e-5
+
+
+def test_every_language_has_a_limit_of_its_own(spark):
+    r = random.Random(6)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 6)))
+    docs = [(i, " ".join(word("abcdef") for _ in range(3)), "hot") for i in range(6000)]
+    rare = [f"l{c:02d}" for c in range(12)]
+    docs += [(10000 + 10 * c + i, " ".join(word([chr(0x400 + 8 * c + x) for x in range(8)]) for _ in range(20)), x) for c, x in enumerate(rare) for i in range(4)]
+    held = [sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, x in docs if x == y) for y in rare]
+    assert min(held) > 0
+    fitted = langid.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert fitted.langs == ["hot", *rare]
+    h, _ = fitted.model.entropies([t for _, t, _ in docs])
+    assert np.isfinite(fitted.limit).all()
+    own = np.array([fitted.langs.index(x) for *_, x in docs])
+    train = np.array([zlib.crc32(str(i).encode()) % 3 != 1 for i, *_ in docs])
+    for j in range(1, len(fitted.langs)):
+        assert abs(fitted.limit[j] - 1.5 * h[train & (own == j), j].max()) < 1e-9
