@@ -91,3 +91,12 @@ def test_fold_column(spark):
     df = spark.createDataFrame([(i,) for i in (0, 7, -3, 10**12)] + [(None,)], "doc_id long")
     for r in df.select("doc_id", fold_of("doc_id", 5).alias("f")).collect():
         assert r["f"] == zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 5
+
+
+def test_packed_pieces_hold_their_tokens(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    packed = corpus_pipeline.pack_sequences(spark, docs, SF)
+    from arrivalgate.llm import packing
+    total = packed.agg({"length": "sum"}).first()[0]
+    got = packing.sequences(packed).collect()
+    assert sum(len(r["ids"]) for r in got) == total and all(0 < len(r["ids"]) <= 2048 for r in got)
