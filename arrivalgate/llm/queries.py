@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import ann, langid, mixing, neardup, nndescent, packing, quality, sharding, toxicity, url_filter
+from arrivalgate.llm import ann, host_rules, langid, mixing, neardup, nndescent, packing, quality, sharding, toxicity, url_filter
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -77,6 +77,14 @@ def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document measured, judged by its own rules and by those of its source."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return host_rules.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "host", "host_docs", "failed_base", "host_ok")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_nn_descent": op2_nn_descent,
@@ -88,6 +96,7 @@ QUERIES = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_kmeans_tree_ann": op9_kmeans_tree_ann,
     "op10_label_propagation": op10_label_propagation,
+    "op13_host_rules": op13_host_rules,
 }
 
 ORACLE_SQL = {
@@ -112,4 +121,50 @@ ORACLE_SQL = {
         select page_id, host, path, rule,
                case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 'block' else 'allow' end as verdict
         from ruled""",
+    "op13_host_rules": r"""
+        with d as (select row_number() over () as rid, doc_id, source as host, coalesce(text, '') as t from documents),
+        w as (
+            select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
+                   [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as ls
+            from d),
+        wins as (
+            select rid, unnest([array_to_string(ws[i:i+4], ' ') for i in range(1, len(ws) - 3)]) as win,
+                   unnest(range(1, len(ws) - 3)) as pos
+            from w where len(ws) >= 5),
+        twice as (select rid, win from wins group by all having count(*) > 1),
+        marked as (
+            select rid, count(distinct pos + o) as n
+            from wins join twice using (rid, win), (select unnest(range(0, 5)) as o) group by rid),
+        m as (
+            select w.rid, doc_id, host, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,
+                   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+                   len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(n, 0) as n_repeat_words, len(ls) as n_lines
+            from w left join marked using (rid)),
+        f as (
+            select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+                   10 * n_symbols > word_chars as symbols_failed, 10 * n_dup_lines > 3 * n_lines as lines_failed
+            from m),
+        hosts as (
+            select host, count(*) as host_docs, count(*) filter (base_failed) as failed_base,
+                   count(*) filter (symbols_failed) as failed_symbols, count(*) filter (lines_failed) as failed_lines
+            from f where host is not null group by host),
+        long as (
+            select host, host_docs::double as n, unnest(['base', 'symbols', 'lines']) as rule,
+                   unnest([failed_base, failed_symbols, failed_lines])::double as x
+            from hosts),
+        sums as (
+            select rule, count(*) as k, sum(n) as n, sum(n * n) as nn, sum(x) as x, sum(x * x / n) as s, sum(x) / sum(n) as mean
+            from long group by rule),
+        priors as (
+            select rule, mean,
+                   1 / case when k < 2 or mean = 0 or mean = 1 or n - nn / n - (k - 1) <= 0 then 1e-6
+                       else least(greatest(((s - n * mean * mean) / (mean * (1 - mean)) - (k - 1)) / (n - nn / n - (k - 1)), 1e-6), 0.1)
+                       end - 1 as strength
+            from sums),
+        verdicts as (
+            select host, bool_and((x + mean * strength) / (n + strength) <= 0.5) as host_ok
+            from long join priors using (rule) group by host)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               not base_failed and coalesce(host_ok, true) as kept, n_lines, f.host, host_docs, failed_base, host_ok
+        from f left join hosts on f.host = hosts.host left join verdicts on f.host = verdicts.host""",
 }

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     ops = [re.match(r"op(\d+)_", k) for k in E.queries()]
-    assert sorted(int(m[1]) for m in ops if m) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in ops if m) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(ORACLE_SQL) <= set(QUERIES) <= set(E.queries())
 
 
@@ -38,6 +38,8 @@ COLUMNS = {
     "op6": ["doc_id", "held_out", "lang_pred", "score", "accepted"],
     "op7": ["doc_id", "size", "source_size", "target", "taken"],
     "op8": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op13": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+             "n_lines", "host", "host_docs", "failed_base", "host_ok"],
     "op10": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 
