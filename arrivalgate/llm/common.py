@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -102,6 +103,12 @@ def buckets_for(rows: int, per_bucket: int = 50_000, least: int = 64) -> int:
     return max(least, -(-rows // per_bucket))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` reads it
+    (a lambda's own references would evaluate the expression anew for every element)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly over the shuffle partitions (for a stage of Python work
     whose input splits are few or uneven)."""

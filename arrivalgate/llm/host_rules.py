@@ -17,11 +17,9 @@ and compared inside its own row, so no window of words is ever shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from arrivalgate.llm.common import Scratch
+from arrivalgate.llm.common import Scratch, let
 
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -41,12 +39,6 @@ BROADCAST_HOSTS, BROADCAST_BYTES = 200_000, 32 << 20
 HOT_SHARE = 20_000
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often ``use`` reads it
-    (a lambda's own references would evaluate the expression anew for every element)."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _repeated(windows: Column, size: int) -> Column:
     """Words that lie in a window whose hash occurs twice or more."""
     def covered(at: Column) -> Column:
@@ -56,10 +48,10 @@ def _repeated(windows: Column, size: int) -> Column:
     def marked(s: Column) -> Column:
         twin = lambda x, j: (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"])     # noqa: E731
         at = F.transform(s, lambda x, j: F.when(twin(x, j), x["i"]))
-        return _let(F.sort_array(F.array_compact(at)), covered)
+        return let(F.sort_array(F.array_compact(at)), covered)
 
     some = F.size(F.array_distinct(windows)) < F.size(windows)
-    return F.when(some, _let(F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), marked)) \
+    return F.when(some, let(F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), marked)) \
         .otherwise(F.lit(0).cast("long"))
 
 
@@ -69,9 +61,9 @@ def _measures(words: Column, text: Column, size: int) -> Column:
                                                      lambda i: F.xxhash64(*[F.get(h, i + d) for d in range(size)]))) \
             .otherwise(F.array().cast("array<bigint>"))
 
-    repeated = _let(_let(F.transform(words, lambda w: F.xxhash64(w)), windows), lambda w: _repeated(w, size))
+    repeated = let(let(F.transform(words, lambda w: F.xxhash64(w)), windows), lambda w: _repeated(w, size))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
-    lines = _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
+    lines = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
                                            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
     return F.struct(
         F.size(words).cast("long").alias("n_words"),
@@ -93,7 +85,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     words = F.filter(F.split(text, GAP, -1), lambda w: w != "")
     slim = docs.select(F.col(id_col).alias("__id"), F.col(host_col).cast("string").alias("__host"),
                        F.col(text_col).cast("string").alias("__text"))
-    got = slim.select("__id", "__host", _let(words, lambda w: _measures(w, text, window)).alias("m"))
+    got = slim.select("__id", "__host", let(words, lambda w: _measures(w, text, window)).alias("m"))
     return got.select(F.col("__id").alias(id_col), F.col("__host").alias("host"), "m.n_words", "m.word_chars", "m.n_symbols",
                       F.col("m.lines.dup").alias("n_dup_lines"), "m.n_repeat_words", F.col("m.lines.n").alias("n_lines"))
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import ann, host_rules, langid, mixing, neardup, nndescent, packing, quality, sharding, toxicity, url_filter
+from arrivalgate.llm import ann, host_rules, langid, mixing, neardup, nndescent, packing, periodic, quality, sharding, \
+    toxicity, url_filter
+from arrivalgate.llm.common import let, text_crc32
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
@@ -77,6 +79,39 @@ def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _planted(doc_id: Column, text: Column) -> Column:
+    """The words of a text, joined by one space, in which the contract plants a period
+    for a tenth of the documents: from word a on, word i becomes word a + (i - a) % p."""
+    words = F.filter(F.split(text, host_rules.GAP, -1), lambda w: w != "")
+    h = text_crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def plant(ws: Column) -> Column:
+        n = F.size(ws).cast("long")
+        a = F.pmod(g, n)
+        at = let(F.struct(a.alias("a"), (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).alias("p")),
+                 lambda s: F.transform(ws, lambda w, i: F.when(i < s["a"], w).otherwise(
+                     F.get(ws, (s["a"] + F.pmod(i - s["a"], s["p"])).cast("int")))))
+        return F.when(n > 0, F.array_join(at, " ")).otherwise(F.lit(""))
+
+    return F.when(F.pmod(h, F.lit(10)) == 0, let(words, plant)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words: how many, the longest, and digests of all runs and of the rest."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", _planted(F.col("doc_id"), F.coalesce("text", F.lit(""))))
+    got = periodic.find_runs(docs).select("doc_id", "runs", "collapsed")
+    row = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    rows = F.array_join(F.transform(row, lambda x: F.concat(x, F.lit("\n"))), "")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("short"))))
+    return got.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"), F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        F.sha2(rows, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document measured, judged by its own rules and by those of its source."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -96,6 +131,7 @@ QUERIES = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_kmeans_tree_ann": op9_kmeans_tree_ann,
     "op10_label_propagation": op10_label_propagation,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_host_rules": op13_host_rules,
 }
 

@@ -38,6 +38,7 @@ COLUMNS = {
     "op6": ["doc_id", "held_out", "lang_pred", "score", "accepted"],
     "op7": ["doc_id", "size", "source_size", "target", "taken"],
     "op8": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op12": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op13": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
              "n_lines", "host", "host_docs", "failed_base", "host_ok"],
     "op10": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
