@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from arrivalgate.llm import ann, host_rules, langid, mixing, neardup, nndescent, packing, periodic, quality, sharding, \
+from arrivalgate.llm import ann, host_rules, langid, lexical, mixing, neardup, nndescent, packing, periodic, quality, sharding, \
     toxicity, url_filter
 from arrivalgate.llm.common import let, text_crc32
 
@@ -79,6 +79,13 @@ def op10_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return lexical.search(docs, items, 10).select("item_id", "rank", "doc_id", "score")
+
+
 def _planted(doc_id: Column, text: Column) -> Column:
     """The words of a text, joined by one space, in which the contract plants a period
     for a tenth of the documents: from word a on, word i becomes word a + (i - a) % p."""
@@ -131,6 +138,7 @@ QUERIES = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_kmeans_tree_ann": op9_kmeans_tree_ann,
     "op10_label_propagation": op10_label_propagation,
+    "op11_block_max_search": op11_block_max_search,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_host_rules": op13_host_rules,
 }
@@ -157,6 +165,34 @@ ORACLE_SQL = {
         select page_id, host, path, rule,
                case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 'block' else 'allow' end as verdict
         from ruled""",
+    "op11_block_max_search": r"""
+        with d as (
+            select row_number() over () as rid, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws
+            from documents),
+        q as (
+            select row_number() over () as qid, item_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ws
+            from benchmark),
+        corpus as (select count(*) as n_docs, sum(len(ws)) as n_terms from d where len(ws) > 0),
+        asked as (select qid, term, count(*) as qtf from (select qid, unnest(ws) as term from q) group by all),
+        posts as (
+            select rid, term, count(*) as tf from (select rid, unnest(ws) as term from d)
+            where term in (select term from asked) group by all),
+        weights as (
+            select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from posts, corpus group by term, n_docs),
+        norms as (select rid, doc_id, 100 - 75 + ((75 * len(ws) * n_docs) // n_terms)::bigint as m from d, corpus where len(ws) > 0),
+        scores as (
+            select qid, rid, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+            from asked join posts using (term) join weights using (term) join norms using (rid) group by all),
+        ranked as (
+            select qid, doc_id, score,
+                   row_number() over (partition by qid order by score desc, doc_id asc nulls last) as rank
+            from scores join norms using (rid) where score > 0)
+        select item_id, rank::int as rank, doc_id, score from ranked join q using (qid) where rank <= 10""",
     "op13_host_rules": r"""
         with d as (select row_number() over () as rid, doc_id, source as host, coalesce(text, '') as t from documents),
         w as (

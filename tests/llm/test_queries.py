@@ -24,7 +24,7 @@ def test_one_query_per_operator():
 def test_sql(spark, name):
     df = QUERIES[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name]).fetchall()
     names = [d[0] for d in con.description]
