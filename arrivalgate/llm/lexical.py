@@ -33,7 +33,6 @@ from arrivalgate.llm.common import Scratch
 BLOCK = 128
 SHARD_DOCS, SHARD_POSTINGS = 16_384, 1_500_000
 QUERY_ROWS, QUERY_BYTES = 20_000, 16 << 20
-PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _SPLIT = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 INDEX = ("ids binary, no_id binary, m binary, terms array<int>, counts array<long>, maxima array<long>, blocks array<int>, "
          "doc_width array<int>, tf_width array<int>, last binary, top binary, doc_data binary, tf_data binary")
@@ -204,6 +203,17 @@ def _kth(x: np.ndarray, k: int) -> int:
     return int(np.partition(x, len(x) - k)[len(x) - k]) if len(x) >= k else 0
 
 
+def lengths(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Per task the documents with a term, and their terms with repeats."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            n = [len(terms(t)) for t in pdf["text"].tolist()]
+            yield pd.DataFrame({"docs": [sum(map(bool, n))], "terms": [sum(n)]})
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInPandas(count, "docs long, terms long")
+
+
 def build_index(docs: DataFrame, vocabulary: dict[bytes, int], n_docs: int, n_terms: int, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per shard with the posting lists of the vocabulary's terms in every document."""
@@ -291,8 +301,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lexical")
-    n = F.regexp_count(F.col(text_col).cast("string"), F.lit(PATTERN))
-    size = docs.select(n.alias("n")).where("n > 0").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("n").cast("long")).alias("terms")).first()
+    size = lengths(docs, text_col).agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
     asked = queries.select(F.monotonically_increasing_id().alias("key"), F.col(query_id_col).alias("__id"),
                            F.col(query_text_col).cast("string").alias("text"))
     asked = scratch.save(asked, "queries")
