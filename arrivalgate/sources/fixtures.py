@@ -121,15 +121,10 @@ def duckdb_view_sql(name: str) -> str:
     return sql.format(**{r: r for r in _refs(sql) if r != "ntz"}, ntz="TIMESTAMP").strip()
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Identity of a test-data folder: names, sizes and times of its files."""
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of a test-data folder: names, sizes and times of its files, as Spark's file system sees them."""
     import hashlib
-    import os
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for n in sorted(os.listdir(sf_dir)):
-        st = os.stat(os.path.join(sf_dir, n))
-        h.update(f"{n}:{st.st_size}:{int(st.st_mtime)}".encode())
-    return h.hexdigest()[:16]
+    return hashlib.sha1(f"{sf_dir}:{fs.status(spark, sf_dir)}".encode()).hexdigest()[:16]
 
 
 class ControlTables:
@@ -183,7 +178,7 @@ class ControlTables:
     def _stored(self, name: str) -> DataFrame:
         import os
         from arrivalgate.session import ensure_checkpoint_dir
-        fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.sf_dir), name)
+        fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.spark, self.sf_dir), name)
         path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", fkey[1], name)
         done = fs.exists(self.spark, path + "/_SUCCESS")
         hit = ControlTables._frames.get(fkey)

@@ -28,3 +28,15 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
     _, q = _at(spark, new)
     if not fs.exists(q):
         fs.rename(p, q)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all it holds (nothing if it does not exist)."""
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
+
+
+def status(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of everything directly under ``path``, by name."""
+    fs, p = _at(spark, path)
+    return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from arrivalgate.functions import timecols as TC
 from arrivalgate.session import ensure_checkpoint_dir
 from arrivalgate.sources import fs
+from arrivalgate.sources.dated import DatedTable
 
 
 def _event_time(events: DataFrame, ts: str) -> DataFrame:
@@ -100,17 +101,10 @@ def merge_into_snapshots(spark: SparkSession, changes_stream: DataFrame, base: s
     wins (by ``decided_at`` when present; without it, two decisions of one key
     are an error of the merge)."""
     ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    noted = f"{ckpt}-first-version"
-    if not fs.exists(spark, f"{noted}/_SUCCESS"):
-        start = latest_version(spark, base)
-        spark.range(1).select(F.lit(0 if start is None else start + 1).alias("first")).write.mode("overwrite").parquet(noted)
-    first = spark.read.parquet(noted).first()["first"]
+    first = first_version(spark, name, latest_version(spark, base))
 
     def apply(batch: DataFrame, batch_id: int):
-        if "decided_at" in batch.columns:
-            newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]),
-                                                       F.col("decided_at")).alias("_n"))
-            batch = newest.select(*keys, "_n.*")
+        batch = newest_per_key(batch, keys)
         version = first + batch_id
         current = latest_snapshot(spark, base, before=version)
         merged = merge_fn(current, batch) if current is not None else batch
@@ -120,6 +114,41 @@ def merge_into_snapshots(spark: SparkSession, changes_stream: DataFrame, base: s
             .trigger(availableNow=True).start())
 
 
+def first_version(spark: SparkSession, name: str, newest: int | None) -> int:
+    """Version of a stream's first batch: after the ``newest`` one that exists when the
+    stream starts for the first time, recorded once beside the stream's checkpoint, so
+    that a replayed batch finds its own version again."""
+    noted = os.path.join(ensure_checkpoint_dir(spark), "streams", f"{name}-first-version")
+    if not fs.exists(spark, f"{noted}/_SUCCESS"):
+        spark.range(1).select(F.lit(0 if newest is None else newest + 1).alias("first")).write.mode("overwrite").parquet(noted)
+    return spark.read.parquet(noted).first()["first"]
+
+
+def newest_per_key(batch: DataFrame, keys: list[str], at: str = "decided_at") -> DataFrame:
+    """The newest change of each key by ``at``, where the batch has that column."""
+    if at not in batch.columns:
+        return batch
+    newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in batch.columns if c not in keys]), F.col(at)).alias("_n"))
+    return newest.select(*keys, "_n.*")
+
+
+def merge_into_dates(spark: SparkSession, changes_stream: DataFrame, table: DatedTable, merge_fn, name: str, keys: list[str]):
+    """T04 on a table stored by date: each micro-batch of decisions is merged into the
+    dates it holds, and no other file of the log is read or written. A batch's version
+    is its batch id after the stream's first version; a version that was committed is
+    not written again when its batch is replayed after a failure."""
+    first = first_version(spark, name, table.newest())
+
+    def apply(batch: DataFrame, batch_id: int):
+        batch.persist()
+        table.update(newest_per_key(batch, keys), merge_fn, first + batch_id)
+        batch.unpersist()
+
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    return (changes_stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
     """Complete snapshot versions under ``base`` (listed with the cluster's file system)."""
     return sorted(int(n[2:]) for n in fs.folders(spark, base) if n.startswith("v=") and fs.exists(spark, f"{base}/{n}/_SUCCESS"))
