@@ -9,11 +9,13 @@ partials; the one join keyed by region alone broadcasts its calendar side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivalgate.functions import text as T
 from arrivalgate.operators.joins import contains_join, posted
+from arrivalgate.session import materialize
+from arrivalgate.sources.named import NamedTables
 
 # Fixed values of the reference: process names, load states, the priority
 # flag, the point-in-time suffix and the reference-date failure reason.
@@ -27,6 +29,9 @@ PND_SUFFIX = "PND"
 DATA_FILE_SUFFIX = ".dat"
 REFDATE_REASON = "Reference_Dt not correct of the file. It should be current_dt - 1"
 
+# A published load that succeeded (SQL over the load log).
+PUBLISHED_OK = f"processname = '{PUBLISHED}' AND executionstatus = '{SUCCEEDED}'"
+
 DAY_REGION = ["batchrundate", "regionname"]
 KEY = ["batchrundate", "regionname", "filename"]
 
@@ -78,6 +83,17 @@ def restrict_to_dates(df: DataFrame, cal: DataFrame) -> DataFrame:
 _CURATED_OK, _FAILED, _EMPTY = 1, 2, 4
 
 
+def load_mask(error_text: str | None, suffix: str = DATA_FILE_SUFFIX) -> Column:
+    """What one load-log row says, as bits (see ``load_summary``). The bits of any rows,
+    in any order and however often, add up by ``bit_or``."""
+    pn, st = F.col("processname"), F.col("executionstatus")
+    empty = F.lit(False) if error_text is None else (
+        (pn == VALIDATION) & F.col("errormessage").contains(error_text) & F.col("sourcename").endswith(suffix))
+    bit = lambda cond, b: F.when(F.coalesce(cond, F.lit(False)), F.lit(b)).otherwise(F.lit(0))
+    # Disjoint bits, so the sum is the bitwise or.
+    return bit((pn == CURATED) & (st == SUCCEEDED), _CURATED_OK) + bit(st == FAILED, _FAILED) + bit(empty, _EMPTY)
+
+
 def load_summary(load_log: DataFrame, error_text: str | None,
                  suffix: str = DATA_FILE_SUFFIX) -> DataFrame:
     """One pass over the load log (the largest input) for the three per-file
@@ -90,18 +106,16 @@ def load_summary(load_log: DataFrame, error_text: str | None,
     code-generated hash aggregate reduced map-side), and the flags are
     projections above it, so Catalyst cannot prune the aggregate differently
     for different consumers (see ``load_facts``)."""
-    pn, st = F.col("processname"), F.col("executionstatus")
-    empty = F.lit(False) if error_text is None else (
-        (pn == VALIDATION) & F.col("errormessage").contains(error_text) & F.col("sourcename").endswith(suffix))
-    bit = lambda cond, b: F.when(F.coalesce(cond, F.lit(False)), F.lit(b)).otherwise(F.lit(0))
-    # Disjoint bits, so the sum is the bitwise or.
-    mask = bit((pn == CURATED) & (st == SUCCEEDED), _CURATED_OK) + bit(st == FAILED, _FAILED) + bit(empty, _EMPTY)
+    return flags_of(load_log.groupBy(*KEY, "processname").agg(F.bit_or(load_mask(error_text, suffix)).alias("_flags")))
+
+
+def flags_of(masks: DataFrame) -> DataFrame:
+    """The three facts of each mask."""
     flags = F.col("_flags")
-    return (load_log.groupBy(*KEY, "processname").agg(F.bit_or(mask).alias("_flags"))
-            .select(*KEY, "processname",
-                    (flags.bitwiseAND(_CURATED_OK) != 0).alias("curated_ok"),
-                    (flags.bitwiseAND(_FAILED) != 0).alias("failed"),
-                    (flags.bitwiseAND(_EMPTY) != 0).alias("empty_source")))
+    return masks.select(*KEY, "processname",
+                        (flags.bitwiseAND(_CURATED_OK) != 0).alias("curated_ok"),
+                        (flags.bitwiseAND(_FAILED) != 0).alias("failed"),
+                        (flags.bitwiseAND(_EMPTY) != 0).alias("empty_source"))
 
 
 def load_facts(load_log: DataFrame, error_text: str | None,
@@ -113,8 +127,12 @@ def load_facts(load_log: DataFrame, error_text: str | None,
     file only, so the constraints Catalyst infers from their joins are the
     same and the summary below it -- the only reader of the log -- is
     computed once per query."""
-    sm = load_summary(load_log, error_text, suffix)
-    return (sm.groupBy("batchrundate", "filename")
+    return facts_of(load_summary(load_log, error_text, suffix))
+
+
+def facts_of(summary: DataFrame) -> DataFrame:
+    """A load summary folded per (batchrundate, filename)."""
+    return (summary.groupBy("batchrundate", "filename")
             .agg(F.collect_set(F.when(F.col("curated_ok"), F.col("regionname"))).alias("curated_regions"),
                  F.array_sort(F.collect_set(F.when(F.col("failed"), F.col("processname")))).alias("failed_list"),
                  F.bool_or("empty_source").alias("empty_source")))
@@ -157,13 +175,19 @@ def file_procedures(files: DataFrame, file_procs: DataFrame, posts: DataFrame |
         F.min("stored_procedure_name").alias("stored_procedure_name"))
 
 
-def published(mapped: DataFrame, load_log: DataFrame) -> DataFrame:
+def published_scripts(load_log: DataFrame) -> DataFrame:
+    """(batchrundate, regionname, stored_procedure_name) of the published loads that succeeded."""
+    return (load_log.where(PUBLISHED_OK)
+            .select(*DAY_REGION, F.col("scriptpath").alias("stored_procedure_name"))
+            # A region publishes few procedures many times: reduced map-side, no key stays hot.
+            .distinct())
+
+
+def published(mapped: DataFrame, load_log: DataFrame | None, scripts: DataFrame | None = None) -> DataFrame:
     """(file, procedure) kept when a published load whose ``scriptpath`` is the
-    procedure succeeded on the same date and region. Names compared as they are (R3)."""
-    pub = (load_log.where((F.col("processname") == PUBLISHED) & (F.col("executionstatus") == SUCCEEDED))
-           .select(*DAY_REGION, F.col("scriptpath").alias("stored_procedure_name"))
-           # A region publishes few procedures many times: reduced map-side, no key stays hot.
-           .distinct())
+    procedure succeeded on the same date and region. Names compared as they are (R3).
+    ``scripts``: ``published_scripts``, where they are known already."""
+    pub = scripts if scripts is not None else published_scripts(load_log)
     return (mapped.join(pub, DAY_REGION + ["stored_procedure_name"], "left_semi")
             .select(*KEY))
 
@@ -216,20 +240,41 @@ def reference_dates(files: DataFrame, load_log: DataFrame, curated_ref: DataFram
     contains the file, as of the batch date. The reference takes an arbitrary
     first row; ours is the smallest table name and the latest date (R2).
 
-    ``curated_ref`` is one table for all curated tables, with ``table_name``.
+    ``curated_ref`` is one table for all curated tables, with ``table_name``; see
+    ``reference_dates_named`` for tables of their own.
     """
+    return dated_references(curated_tables(files, load_log, posts), curated_ref, posts)
+
+
+def curated_tables(files: DataFrame, load_log: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+    """The curated table that each point-in-time file was loaded to, by the load log."""
     pnd = files.where(T.last3("filename") == PND_SUFFIX).select(*KEY)
     loads = (load_log.where((F.col("processname") == CURATED) & (F.col("executionstatus") == SUCCEEDED))
              .select(*DAY_REGION, F.col("filename").alias("load_filename"),
                      F.col("destinationname").alias("table_name")).distinct())
-    tables = (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION, posts=posts)
-              .groupBy(*KEY).agg(F.min("table_name").alias("table_name")))
+    return (contains_join(pnd, "filename", loads, "load_filename", on=DAY_REGION, posts=posts)
+            .groupBy(*KEY).agg(F.min("table_name").alias("table_name")))
+
+
+def dated_references(tables: DataFrame, curated_ref: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+    """J14 + P14: the latest reference date of each file in its curated table, and whether it is the day before."""
     refs = curated_ref.select("batchrundate", "table_name", "source_nm", "reference_dt").distinct()
     dated = (contains_join(tables, "filename", refs, "source_nm", on=["batchrundate", "table_name"], posts=posts)
              .groupBy(*KEY).agg(F.max("reference_dt").alias("reference_dt")))
     return dated.withColumn("ref_ok", F.col("reference_dt") == F.date_sub("batchrundate", 1))
 
 
+REFERENCE_COLUMNS = {"batchrundate": "date", "source_nm": "string", "reference_dt": "date"}
+
+
+def reference_dates_named(files: DataFrame, load_log: DataFrame, tables: NamedTables, posts: DataFrame | None = None) -> DataFrame:
+    """S09 + J14 with a curated table for each name that the load log holds: the names
+    are found first and stored, then only the tables they name are read, for the dates
+    that ask for them. A name without a table has no reference date."""
+    named = materialize(curated_tables(files, load_log, posts))
+    return dated_references(named, tables.read(named, REFERENCE_COLUMNS, dates="batchrundate"), posts)
+
+
 def _flag(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.select(*keys).distinct().withColumn(name, F.lit(True))
 

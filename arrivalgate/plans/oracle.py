@@ -479,6 +479,28 @@ FROM d_report_master m FULL OUTER JOIN newest_keys c ON c.regionname = m.regionn
 FROM d_report_master m FULL OUTER JOIN newest_keys c ON c.regionname = m.regionname AND c.identifier = m.identifier""",
 })
 
+HELPERS["arrivals"] = f"""SELECT k.user_id, d.day_start, d.day_start + CAST('{P.ARRIVAL_CUTOFF}' AS INTERVAL) AS cutoff_at,
+  (SELECT min(e.ts) FROM events e WHERE e.user_id = k.user_id AND date_trunc('day', e.ts) = d.day_start) AS first_ts
+FROM (SELECT DISTINCT user_id FROM events) k, (SELECT DISTINCT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start FROM events) d"""
+BODIES.update({
+    "q50_missing_at_cutoff": """SELECT user_id, day_start, cutoff_at, CASE WHEN first_ts IS NULL THEN 'missing' ELSE 'late' END AS state, first_ts
+FROM arrivals WHERE first_ts IS NULL OR first_ts > cutoff_at""",
+    "q51_cutoff_messages": """SELECT day_start, cutoff_at, count(*) AS n_expected,
+  count(*) FILTER (WHERE first_ts IS NULL OR first_ts > cutoff_at) AS n_missing, count(*) FILTER (WHERE first_ts > cutoff_at) AS n_late,
+  CASE WHEN count(*) FILTER (WHERE first_ts IS NULL OR first_ts > cutoff_at) > 0
+    THEN 'Cut off time Reached: Missing ' || count(*) FILTER (WHERE first_ts IS NULL OR first_ts > cutoff_at) || ' files' END AS message
+FROM arrivals GROUP BY 1, 2""",
+    "q52_dated_log": BODIES["q47_close_runs_log"],
+    "q53_load_facts_incremental": f"""SELECT a.batchrundate, a.filename,
+  coalesce(string_agg(DISTINCT a.regionname, ',' ORDER BY a.regionname)
+    FILTER (WHERE a.processname = 'RedshiftCuratedLoad' AND a.executionstatus = 'Succeeded'), '') AS curated_regions,
+  coalesce(string_agg(DISTINCT a.processname, ',' ORDER BY a.processname) FILTER (WHERE a.executionstatus = 'Failed'), '') AS failed_processes,
+  coalesce(bool_or(a.processname = 'DataValidation' AND contains(a.errormessage, '{P.FIXTURE_EMPTY_ERROR}') AND ends_with(a.sourcename, '.dat')), false) AS empty_source
+FROM d_audit_log a GROUP BY 1, 2""",
+    "q54_readiness_incremental": BODIES["q18_readiness"],
+    "q55_reference_dates_named": BODIES["q15_reference_date_check"],
+})
+
 
 def _deps(sql: str, known: dict[str, str]) -> list[str]:
     words = set(re.findall(r"\b([a-z_][a-z0-9_]*)\b", sql))

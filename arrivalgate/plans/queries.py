@@ -23,20 +23,22 @@ def zones(ct: ControlTables) -> DataFrame:
     return ct.d_landing.unionByName(ct.d_archive)
 
 
-def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True) -> dict[str, DataFrame]:
+def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True, facts: DataFrame | None = None,
+               scripts: DataFrame | None = None) -> dict[str, DataFrame]:
     """All stages of the file-readiness chain for one trigger kind. With
     ``restrict`` the two large inputs are read for the evaluated batch dates
-    only (every file state is on those dates)."""
+    only (every file state is on those dates). ``facts`` and ``scripts``: the load
+    facts and published scripts, where they are kept up to date (``LoadState``)."""
     pf = FS.priority_files(ct.d_file_property, source)
     cal = calendar(ct)
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(ct.d_audit_log, cal) if restrict else ct.d_audit_log
     landing = FS.restrict_to_dates(zones(ct), cal) if restrict else zones(ct)
-    facts = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR)
+    facts = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR) if facts is None else facts
     loaded = FS.curated_loaded(log, pf, facts)
     posts = FS.name_posts(pf)
     mapped = FS.map_procedures(loaded, ct.d_sp_map, catalog=pf, posts=posts)
-    pub = FS.published(mapped, log)
+    pub = FS.published(mapped, log, scripts)
     match = "exact" if rule == "current" else "contains"
     rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, posts)
     failed = FS.failed_processes(log, facts)
@@ -452,3 +454,87 @@ QUERIES.update({
     "q48_close_runs_master": q48_close_runs_master,
     "q49_start_runs_master": q49_start_runs_master,
 })
+
+
+# -------------------------------------- arrivals still missing at the cutoff
+
+import uuid  # noqa: E402
+
+from arrivalgate.operators.loadstate import LoadState, fact_rows  # noqa: E402
+from arrivalgate.session import ensure_checkpoint_dir  # noqa: E402
+from arrivalgate.sources.dated import DatedTable  # noqa: E402
+from arrivalgate.sources.named import NamedTables, in_folder  # noqa: E402
+from arrivalgate.streaming import missing as M  # noqa: E402
+
+
+def expected_arrivals(ct: ControlTables) -> DataFrame:
+    """Every sender is due on every day of the events."""
+    return M.expected_arrivals(ct.events, ct.events.select(F.to_date("ts").alias("day")), P.ARRIVAL_CUTOFF)
+
+
+def q50_missing_at_cutoff(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return M.missing_at_cutoff(expected_arrivals(ct), ct.events)
+
+
+def q51_cutoff_messages(spark: SparkSession, sf: str) -> DataFrame:
+    ct = ControlTables(spark, sf)
+    return M.cutoff_messages(M.arrival_states(expected_arrivals(ct), ct.events))
+
+
+# ------------------------------------------------- tables kept by batch date
+
+def _store(spark: SparkSession, name: str) -> str:
+    """A folder of its own under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/store/{name}-{uuid.uuid4().hex}"
+
+
+def q52_dated_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The trigger log kept by date: the closings of the BMT runs, then those of the others, merged into their dates."""
+    ct = ControlTables(spark, sf)
+    log = DatedTable(spark, _store(spark, "trigger-log"))
+    log.replace(ct.d_trigger_log, 0)
+    changes, _ = R.close_runs(run_closing(ct), run_keys(ct), P.NOW)
+    for version, part in enumerate((F.col("report_source") == "BMT", F.col("report_source") != "BMT"), 1):
+        log.update(changes.where(part), G.merge_log, version)
+    return log.read()
+
+
+def load_state(ct: ControlTables) -> LoadState:
+    """The load log taken in by three parts, in no order of its rows, one of them twice."""
+    state = LoadState(ct.spark, _store(ct.spark, "load-state"), P.FIXTURE_EMPTY_ERROR)
+    part = F.pmod(F.xxhash64(*ct.d_audit_log.columns), F.lit(3))
+    for version, i in enumerate((2, 0, 1, 0)):
+        state.advance(ct.d_audit_log.where(part == i), version)
+    return state
+
+
+def q53_load_facts_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    return fact_rows(load_state(ControlTables(spark, sf)).facts())
+
+
+def q54_readiness_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """q18 without the load log: its facts come from the state."""
+    ct = ControlTables(spark, sf)
+    state = load_state(ct)
+    chain = file_chain(ct, "bmt", "bmt", facts=state.facts(), scripts=state.scripts())
+    return FS.readiness(chain["states"], "bmt").select(*FS.READINESS_COLS)
+
+
+def q55_reference_dates_named(spark: SparkSession, sf: str) -> DataFrame:
+    """q15 with a table of its own for every curated table that the load log names."""
+    ct = ControlTables(spark, sf)
+    pf = FS.priority_files(ct.d_file_property, "other")
+    loaded = FS.curated_loaded(ct.d_audit_log, pf)
+    tables = NamedTables(spark, in_folder(spark, ct.folders_of("d_curated_ref", "table_name"), "table_name="))
+    return FS.reference_dates_named(loaded, ct.d_audit_log, tables, FS.name_posts(pf))
+
+
+QUERIES.update({
+    "q50_missing_at_cutoff": q50_missing_at_cutoff,
+    "q51_cutoff_messages": q51_cutoff_messages,
+    "q52_dated_log": q52_dated_log,
+    "q53_load_facts_incremental": q53_load_facts_incremental,
+    "q54_readiness_incremental": q54_readiness_incremental,
+    "q55_reference_dates_named": q55_reference_dates_named,
+})

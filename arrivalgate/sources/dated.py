@@ -3,7 +3,7 @@
 Layout under one base folder (on the cluster's file system):
 
     data/v=<version>/<date column>=<date>/...   the dates that a version wrote
-    manifest/v=<version>/                       one row: every date with the version that holds it
+    manifest/v=<version>/                       one row (JSON): every date with the version that holds it
 
 An update reads the dates it changes, writes them under its own version and then
 commits by moving the new manifest into place. Readers follow the newest
@@ -23,12 +23,12 @@ import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from arrivalgate.sources import fs
 
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"      # Spark's folder name of a null partition value
-_MANIFEST = "schema string, dates array<struct<day:date,version:long>>"
 
 
 class DatedTable:
@@ -60,8 +60,8 @@ class DatedTable:
 
     def manifest(self, version: int) -> tuple[StructType, dict[dt.date | None, int]]:
         """Schema of a committed version, and the version that holds each of its dates."""
-        row = self.spark.read.schema(_MANIFEST).parquet(self._manifest_path(version)).first()
-        return StructType.fromJson(json.loads(row["schema"])), {r["day"]: r["version"] for r in row["dates"]}
+        got = json.loads(self.spark.read.schema("manifest string").parquet(self._manifest_path(version)).first()["manifest"])
+        return StructType.fromJson(got["schema"]), {d and dt.date.fromisoformat(d): v for d, v in got["dates"]}
 
     # ---------------------------------------------------------------- read
 
@@ -102,9 +102,9 @@ class DatedTable:
                 raise ValueError(f"version {version} holds dates that it should not touch")
             held = {d: v for d, v in held.items() if d not in touched}
         held.update({d: version for d in wrote})
-        row = [(df.schema.json(), sorted(held.items(), key=lambda x: (x[0] is not None, x[0])))]
+        text = json.dumps({"schema": df.schema.jsonValue(), "dates": [(d and d.isoformat(), v) for d, v in held.items()]})
         tmp = f"{self.base}/manifest/.tmp-{uuid.uuid4().hex}"
-        self.spark.createDataFrame(row, _MANIFEST).coalesce(1).write.parquet(tmp)
+        self.spark.range(1, numPartitions=1).select(F.lit(text).alias("manifest")).write.parquet(tmp)
         fs.rename(self.spark, tmp, self._manifest_path(version))
 
     def update(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int) -> None:

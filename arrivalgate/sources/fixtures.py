@@ -12,6 +12,8 @@ the oracle). ``{ntz}`` is the zone-less timestamp type name of the engine.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivalgate.sources import fs
@@ -172,6 +174,16 @@ class ControlTables:
             args[r] = self.derived(r) if r.startswith("d_") else self.base(r)
         return self.spark.sql(sql.replace("{ntz}", "TIMESTAMP_NTZ"), **args)
 
+    def folders_of(self, name: str, col: str) -> str:
+        """The folder that holds a derived table as one parquet folder per value of ``col``."""
+        from arrivalgate.session import ensure_checkpoint_dir
+        path = f"{ensure_checkpoint_dir(self.spark)}/standin/{_fingerprint(self.spark, self.sf_dir)}/{name}-by-{col}"
+        if not fs.exists(self.spark, path + "/_SUCCESS"):
+            tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+            self.derived(name).repartition(col).write.mode("errorifexists").partitionBy(col).parquet(tmp)
+            fs.rename(self.spark, tmp, path)
+        return path
+
     # (session, folder fingerprint, name) -> DataFrame over the stored table
     _frames: dict[tuple, DataFrame] = {}
 
@@ -189,7 +201,6 @@ class ControlTables:
             # Written to a private folder, then renamed into place: a
             # concurrent writer of the same table never sees a partial one
             # (the first rename wins, the other copy is left unused).
-            import uuid
             tmp = f"{path}.tmp-{uuid.uuid4().hex}"
             (self._view(name).repartition(self.spark.sparkContext.defaultParallelism)
              .write.mode("errorifexists").parquet(tmp))
