@@ -4,8 +4,9 @@ The reference calls the steps of a plan one at a time and stops on a failure.
 Here the states are recorded events; the outcome of a step depends only on
 whether an *earlier* step of its run failed, so it is computed from a
 per-run aggregate (first failing position) joined back to the steps -- no
-window over a run. The aggregate is reduced map-side, and the join back is on
-(run, salt), so a run holding a third of all steps is spread over SALTS tasks.
+window over a run. The aggregate is reduced map-side and also counts the run's
+steps; the join back is on (run, part), where a run has as many parts as its
+size asks for (see ``skew``), so one that holds a third of all steps is spread.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrivalgate.functions import text as T
+from arrivalgate.operators.skew import PART, ROWS_PER_TASK, deal, each_part
 
 # Fixed values of the reference: statement states and the critical source.
 FINISHED, FAILED_ST, ABORTED = "FINISHED", "FAILED", "ABORTED"
@@ -23,9 +25,6 @@ COMPLETED, FAILED, SKIPPED = "Completed", "Failed", "Skipped"
 LOG_FINISHED, LOG_FAILED = "Finished", "Failed"
 UNKNOWN_ERROR = "Unknown error"
 
-# Parts over which the rows of one hot run or step are dealt in a join.
-SALTS = 16
-
 
 def select_plan(run_plan: DataFrame, kind: str = "other", files_received: str | None = None) -> DataFrame:
     """S08 + P04/P05/P21: the steps an executor runs. ``bmt``: data source
@@ -66,13 +65,15 @@ def plan_order(steps: DataFrame, run_col: str = "run_id", numeric: bool = True)
                     *[F.col(f"s.{c}").alias(c) for c in payload], "duplicate_keys"))
 
 
-def step_outcomes(plan: DataFrame, halt: str = "strict", run_col: str = "run_id") -> DataFrame:
+def step_outcomes(plan: DataFrame, halt: str = "strict", run_col: str = "run_id",
+                  per_task: int = ROWS_PER_TASK) -> DataFrame:
     """D10 + W04 / W05: Completed, Failed or Skipped per step.
 
     ``strict``: any failure halts the run. ``critical``: only a failure of
     the critical source halts it; other failures are recorded and the run
     goes on. FINISHED and ABORTED count as success; a step without a
-    state counts as FAILED (R15).
+    state counts as FAILED (R15). The part of the run that a step was dealt to
+    stays as a column: ``run_outcome`` adds up the parts where they are.
     """
     failed = F.coalesce(F.col("status") == FAILED_ST, F.col("status").isNull())
     if halt == "strict":
@@ -81,12 +82,10 @@ def step_outcomes(plan: DataFrame, halt: str = "strict", run_col: str = "run_id"
         halting = failed & F.coalesce(F.col("file_datasource") == CRITICAL_SOURCE, F.lit(False))
     else:
         raise ValueError(f"unknown halt rule {halt!r}")
-    stops = plan.where(halting).groupBy(run_col).agg(F.min("pos").alias("_halt_at"))
-    # A run may hold a third of all steps: the steps are dealt over salts and
-    # each run's one halting position is repeated per salt.
-    salted = plan.withColumn("_salt", F.pmod(F.xxhash64("pos"), F.lit(SALTS)).cast("int"))
-    stops = stops.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    df = salted.join(stops, [run_col, "_salt"], "left").drop("_salt")
+    runs = plan.groupBy(run_col).agg(F.min(F.when(halting, F.col("pos"))).alias("_halt_at"), F.count(F.lit(1)).alias("_n"))
+    steps = deal(plan, runs, [run_col], "_n", F.xxhash64("pos"), per_task)
+    stops = each_part(runs.where(F.col("_halt_at").isNotNull()), "_n", per_task).drop("_n")
+    df = steps.join(stops, [run_col, PART], "left")
     outcome = (F.when(F.col("_halt_at").isNotNull() & (F.col("pos") > F.col("_halt_at")), SKIPPED)
                .when(failed, FAILED).otherwise(COMPLETED))
     return df.withColumn("outcome", outcome).drop("_halt_at")
@@ -105,17 +104,24 @@ def run_outcome(outcomes: DataFrame, rule: str = "strict", run_col: str = "run_i
     """
     st = F.col("outcome")
     err = F.coalesce(F.col("error"), F.lit(UNKNOWN_ERROR))
-    agg = outcomes.groupBy(run_col).agg(
+    # Two levels: each part of a run by itself (its rows are together already after
+    # the join that dealt them), then one small row per part.
+    part = F.col(PART) if PART in outcomes.columns else F.lit(0).alias(PART)
+    parts = outcomes.groupBy(run_col, part).agg(
         F.count(F.lit(1)).alias("n_steps"),
         F.count_if(st == FAILED).alias("n_failed"),
         F.count_if(st == SKIPPED).alias("n_skipped"),
         F.min(F.when(st == FAILED, F.struct("pos", err.alias("e"), F.col("stored_procedure_name").alias("p"),
                                             F.col("file_datasource").alias("d")))).alias("_first_fail"),
         # Every failed step, for the failure message (a plan's failed steps only).
-        F.array_sort(F.collect_list(F.when(st == FAILED, F.struct("pos", F.col("stored_procedure_name").alias("p"),
-                                                                  F.col("file_datasource").alias("d"), err.alias("e"))))).alias("_failed"),
+        F.collect_list(F.when(st == FAILED, F.struct("pos", F.col("stored_procedure_name").alias("p"),
+                                                     F.col("file_datasource").alias("d"), err.alias("e")))).alias("_failed"),
         F.max(F.when(st != SKIPPED, F.struct("pos", st.alias("o"), err.alias("e")))).alias("_last_ran"),
     )
+    agg = parts.groupBy(run_col).agg(
+        F.sum("n_steps").alias("n_steps"), F.sum("n_failed").alias("n_failed"), F.sum("n_skipped").alias("n_skipped"),
+        F.min("_first_fail").alias("_first_fail"), F.max("_last_ran").alias("_last_ran"),
+        F.array_sort(F.flatten(F.collect_list("_failed"))).alias("_failed"))
     any_failed = F.col("n_failed") > 0
     log_state = F.when(any_failed, LOG_FAILED).otherwise(LOG_FINISHED)
     if rule in ("strict", "strict_older"):
@@ -140,16 +146,17 @@ OUTCOME_COLS = ["run_id", "rule", "execution_status", "report_status", "error_me
                 "n_skipped"]
 
 
-def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None) -> DataFrame:
+def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None,
+                  per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Up to ``limit`` attempts per step, success at the first non-failed
     attempt (by start, then sequence); attempts after a success are ignored.
 
     Exact without ranking a group in one task: the first success per step is a
     grouped min; the attempts before it are counted in the join of attempts
-    with that one value. The join is on (step, salt), the value repeated per
-    salt, so a step that holds a third of all attempts is spread; the counts
-    are added up per step. A step completes iff fewer than ``limit`` attempts
-    precede its first success.
+    with that one value. The join is on (step, part), with as many parts as the
+    step's attempts ask for, so a step that holds a third of all attempts is
+    spread; the counts are added up per step. A step completes iff fewer than
+    ``limit`` attempts precede its first success.
     """
     keys = keys or ["step_id", "batchrundate"]
     key = F.struct("started", "seq")
@@ -160,10 +167,10 @@ def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None
     # fixed-width fields (the same in every row of a step), so the second
     # aggregate stays a hash aggregate and nothing is joined back.
     fo = F.col("_first_ok")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    df = (attempts.select(*keys, key.alias("_k"), F.pmod(F.xxhash64("started", "seq"), F.lit(SALTS)).cast("int").alias("_salt"))
-          .join(firsts.select(*keys, fo.isNotNull().alias("_has_ok"), fo["started"].alias("_ok_t"),
-                              fo["seq"].alias("_ok_s"), "_n", salts.alias("_salt")), [*keys, "_salt"])
+    dealt = deal(attempts.select(*keys, key.alias("_k")), firsts, keys, "_n", F.xxhash64("_k"), per_task)
+    known = each_part(firsts.select(*keys, fo.isNotNull().alias("_has_ok"), fo["started"].alias("_ok_t"),
+                                    fo["seq"].alias("_ok_s"), "_n"), "_n", per_task)
+    df = (dealt.join(known, [*keys, PART])
           .groupBy(*keys)
           .agg(F.count_if(F.col("_has_ok") & (F.struct("_ok_t", "_ok_s") > F.col("_k"))).alias("_n_before"),
                F.bool_or("_has_ok").alias("_has_ok"), F.max("_n").alias("attempts_recorded")))

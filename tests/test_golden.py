@@ -213,24 +213,50 @@ def test_critical_failure_message_lists_every_failed_step(spark):
 
 
 def test_hot_run_and_hot_step_are_spread(spark):
-    """One run and one step hold a third of all rows: the joins deal them over the salts, and the results stay right."""
+    """One run and one step hold a third of all rows: they get parts by their size, the others one, and the results stay right."""
     steps = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("run_id"), F.col("id").cast("string").alias("exec_order"),
         F.concat(F.lit("SP_"), "id").alias("stored_procedure_name"), F.lit("OTHER").alias("file_datasource"), F.lit("Y").alias("codebase"),
         F.when(F.col("id") == 15000, "FAILED").otherwise("FINISHED").alias("status"), F.lit(None).cast("string").alias("error"))
     plan = R.plan_order(steps)
-    out = R.step_outcomes(plan, "strict")
-    got = {r["outcome"]: r["count"] for r in out.where("run_id = 0").groupBy("outcome").count().collect()}
-    assert got == {"Completed": 5000, "Failed": 1, "Skipped": 4999}
-    salted = plan.withColumn("s", F.pmod(F.xxhash64("pos"), F.lit(R.SALTS))).groupBy("run_id", "s").count()
-    assert salted.agg(F.max("count")).first()[0] < 30000 / 3 / R.SALTS * 1.5
+    for per_task in (100, 1000, 1_000_000):
+        out = R.step_outcomes(plan, "strict", per_task=per_task)
+        got = {r["outcome"]: r["count"] for r in out.where("run_id = 0").groupBy("outcome").count().collect()}
+        assert got == {"Completed": 5000, "Failed": 1, "Skipped": 4999}
+        size = out.groupBy("run_id", "_part").count()
+        assert size.where("run_id = 0").count() == max(1, 10_000 // per_task)      # as many parts as the run's size asks for
+        assert size.where("run_id <> 0").agg(F.max("_part")).first()[0] == 0
+        assert size.agg(F.max("count")).first()[0] <= max(1.5 * per_task, 100) or per_task > 10_000
+        end = R.run_outcome(out, "strict").where("run_id = 0").first()
+        assert (end.n_steps, end.n_failed, end.n_skipped, end.execution_status) == (10_000, 1, 4999, "Failed")
+        assert [x["procedure"] for x in end.failed_steps] == ["SP_15000"]
     text = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(run_id" in text and "_salt" in text
+    assert "hashpartitioning(run_id" in text and "_part" in text
     t = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     att = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("step_id"),
                                     F.to_date(F.lit("2024-01-15")).alias("batchrundate"), t.alias("started"), F.col("id").alias("seq"),
                                     F.when(F.col("id") < 21, "FAILED").otherwise("FINISHED").alias("status"))
-    r = R.fold_attempts(att, 8).where("step_id = 0").first()
-    assert (r.final_state, r.attempts_used, r.attempts_recorded) == ("Completed", 8, 10000)
+    for per_task in (500, 1_000_000):
+        r = R.fold_attempts(att, 8, per_task=per_task).where("step_id = 0").first()
+        assert (r.final_state, r.attempts_used, r.attempts_recorded) == ("Completed", 8, 10000)
     r = R.fold_attempts(att, 7).where("step_id = 0").first()
     assert (r.final_state, r.attempts_used) == ("Failed", 7)
+
+
+def test_parts_of_a_run_add_up_without_another_shuffle(spark):
+    """The list of a hot run's failed steps is assembled from its parts, in plan order, where the join left them."""
+    steps = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("run_id"), F.col("id").cast("string").alias("exec_order"),
+        F.concat(F.lit("SP_"), "id").alias("stored_procedure_name"), F.lit("OTHER").alias("file_datasource"), F.lit("Y").alias("codebase"),
+        F.when(F.col("id") % 2 == 0, "FAILED").otherwise("FINISHED").alias("status"), F.lit("E: x").alias("error"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        whole, cut = (R.run_outcome(R.step_outcomes(R.plan_order(steps), "critical", per_task=n), "critical") for n in (10**6, 50))
+        assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+        assert [x["procedure"] for x in cut.where("run_id = 0").first().failed_steps] == [f"SP_{i}" for i in range(0, 3000, 6)]
+        plan = cut._jdf.queryExecution().executedPlan().toString()
+        lines = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+        by_part = [x for x in lines if "_part#" in x]
+        assert len(by_part) == 2, lines         # the join's two sides; adding up the parts needs none of its own
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
