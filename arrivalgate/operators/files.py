@@ -52,6 +52,17 @@ def priority_files(expected_files: DataFrame, source: str = "all") -> DataFrame:
     return df.select(F.col("region").alias("regionname"), "filename")
 
 
+# The rules of a cycle's two triggers: the BMT files, and those of all other sources.
+def trigger_files(expected_files: DataFrame, other_rule: str = "current") -> DataFrame:
+    """S05 for both triggers in one pass: the expected priority files with the
+    ``rule`` that judges them (``bmt`` for the BMT files, ``other_rule`` for files
+    whose source does not begin with BMT; all other rows drop out)."""
+    src = F.col("data_source")
+    rule = F.when(src == "BMT", "bmt").when(~src.startswith("BMT"), other_rule)
+    return (expected_files.where(F.col("priorityflag") == PRIORITY_YES)
+            .select(F.col("region").alias("regionname"), "filename", rule.alias("rule")).where(F.col("rule").isNotNull()))
+
+
 def calendar(dates: DataFrame, schedule: DataFrame) -> DataFrame:
     """(batchrundate, regionname) pairs to evaluate: every given batch date with
     every scheduled region, whether or not the log has a row for it. The
@@ -67,7 +78,8 @@ def expected_by_date(cal: DataFrame, files: DataFrame) -> DataFrame:
     broadcast: it is bounded by calendar days x the region catalog, and the
     join key is the region alone (a shuffle on it would put a hot region's
     files in one task)."""
-    return F.broadcast(cal.select(*DAY_REGION)).join(files, "regionname").select(*KEY)
+    tag = ["rule"] if "rule" in files.columns else []
+    return F.broadcast(cal.select(*DAY_REGION)).join(files, "regionname").select(*KEY, *tag)
 
 
 def restrict_to_dates(df: DataFrame, cal: DataFrame) -> DataFrame:
@@ -217,6 +229,20 @@ def received(landing: DataFrame, expected: DataFrame, match: str, metadata_prefi
     raise ValueError(f"unknown match {match!r}")
 
 
+def received_flags(landing: DataFrame, expected: DataFrame, metadata_prefix: str, posts: DataFrame | None = None) -> DataFrame:
+    """Both receipts in one pass over the zones: the expected files that some object's
+    name contains (J08), each with ``exact`` where one also matches exactly (J07). An
+    exact match is the beginning of the object's name, so it is among the contained ones."""
+    objs = landed_objects(landing, metadata_prefix)
+    # The join reads the names, then their rows. The same filters (none is left to be
+    # inferred) and distinct rows for both make them one scan; dealt by name, neither
+    # needs another shuffle.
+    objs = objs.where("batchrundate is not null and regionname is not null").select(*DAY_REGION, F.coalesce("object_name", F.lit("")).alias("object_name"))
+    objs = objs.distinct().repartition("object_name")
+    hits = contains_join(expected.select(*KEY).distinct(), "filename", objs, "object_name", on=DAY_REGION, posts=posts)
+    return hits.groupBy(*KEY).agg(F.bool_or(T.drop_stamp(T.stem("object_name")) == F.col("filename")).alias("exact"))
+
+
 def failed_processes(load_log: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Distinct failed processes of a file on a date (no region condition)."""
     fa = facts if facts is not None else load_facts(load_log, None)
@@ -290,41 +316,63 @@ def file_state(expected: DataFrame, published_files: DataFrame, received_files:
     legacy:  published PND: reference date = batch date - 1 -> done, else failed
              with a reason; published -> done; then as bmt.
     """
+    if rule == "legacy" and refdates is None:
+        raise ValueError("legacy rule needs reference dates")
     df = (expected.select(*KEY)
           .join(_flag(published_files, KEY, "is_published"), KEY, "left")
           .join(_flag(received_files, KEY, "is_received"), KEY, "left")
           .join(failed.select("batchrundate", "filename", "failed_processes"),
                 ["batchrundate", "filename"], "left"))
+    if rule != "current":
+        df = df.join(_flag(empty, ["batchrundate", "filename"], "is_empty"), ["batchrundate", "filename"], "left")
+    if rule == "legacy":
+        df = df.join(refdates.select(*KEY, "ref_ok"), KEY, "left")
+    state, detail = _state(rule, F.coalesce("is_received", F.lit(False)))
+    return df.select(*KEY, state.alias("state"), detail.alias("detail"))
+
+
+def _state(rule: str, received: Column) -> tuple[Column, Column]:
+    """State and detail of a file under a rule, over the flags joined to it."""
     pub = F.coalesce("is_published", F.lit(False))
-    rec = F.coalesce("is_received", F.lit(False))
     has_failed = F.col("failed_processes").isNotNull()
     if rule == "current":
-        state = F.when(pub & (rec | has_failed), "done").otherwise("missing")
-        detail = F.lit(None).cast("string")
-        return df.select(*KEY, state.alias("state"), detail.alias("detail"))
-    df = df.join(_flag(empty, ["batchrundate", "filename"], "is_empty"), ["batchrundate", "filename"], "left")
+        return F.when(pub & (received | has_failed), "done").otherwise("missing"), F.lit(None).cast("string")
     emp = F.coalesce("is_empty", F.lit(False))
     if rule == "bmt":
         state = (F.when(pub, "done").when(emp, "done").when(has_failed, "failed")
-                 .when(rec, "in_progress").otherwise("missing"))
-        detail = F.when(~pub & ~emp & has_failed, F.col("failed_processes"))
-        return df.select(*KEY, state.alias("state"), detail.alias("detail"))
+                 .when(received, "in_progress").otherwise("missing"))
+        return state, F.when(~pub & ~emp & has_failed, F.col("failed_processes"))
     if rule == "legacy":
-        if refdates is None:
-            raise ValueError("legacy rule needs reference dates")
-        df = df.join(refdates.select(*KEY, "ref_ok"), KEY, "left")
         is_pnd = T.last3("filename") == PND_SUFFIX
         ref_ok = F.coalesce("ref_ok", F.lit(False))
         state = (F.when(pub & is_pnd & ref_ok, "done")
                  .when(pub & is_pnd, "failed")
                  .when(pub, "done").when(emp, "done").when(has_failed, "failed")
-                 .when(rec, "in_progress").otherwise("missing"))
-        detail = (F.when(pub & is_pnd & ~ref_ok, F.lit(REFDATE_REASON))
-                  .when(~pub & ~emp & has_failed, F.col("failed_processes")))
-        return df.select(*KEY, state.alias("state"), detail.alias("detail"))
+                 .when(received, "in_progress").otherwise("missing"))
+        return state, (F.when(pub & is_pnd & ~ref_ok, F.lit(REFDATE_REASON))
+                       .when(~pub & ~emp & has_failed, F.col("failed_processes")))
     raise ValueError(f"unknown rule {rule!r}")
 
 
+def trigger_states(expected: DataFrame, published_files: DataFrame, receipts: DataFrame, facts: DataFrame,
+                   refdates: DataFrame | None = None) -> DataFrame:
+    """D02 to D04 for both triggers in one pass: every expected file (with its ``rule``,
+    see ``trigger_files``), judged by that rule. ``receipts``: ``received_flags``."""
+    known = facts.select("batchrundate", "filename", F.col("empty_source").alias("is_empty"),
+                         F.when(F.size("failed_list") > 0, F.array_join("failed_list", ",")).alias("failed_processes"))
+    df = (expected.select(*KEY, "rule")
+          .join(_flag(published_files, KEY, "is_published"), KEY, "left")
+          .join(receipts.select(*KEY, "exact"), KEY, "left")
+          .join(known, ["batchrundate", "filename"], "left"))
+    if refdates is not None:
+        df = df.join(refdates.select(*KEY, "ref_ok"), KEY, "left")
+    # Where the exact match is asked for, the contained one does not count.
+    judged = {rule: _state(rule, F.coalesce("exact", F.lit(False)) if rule == "current" else F.col("exact").isNotNull())
+              for rule in ("bmt", "current", *(["legacy"] if refdates is not None else []))}
+    pick = lambda i: F.coalesce(*[F.when(F.col("rule") == r, x[i]) for r, x in judged.items()])      # noqa: E731
+    return df.select(*KEY, "rule", pick(0).alias("state"), pick(1).alias("detail"))
+
+
 def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
     """A03 to A07 + F09: counts per (batchrundate, regionname) in one aggregate.
 
@@ -335,9 +383,13 @@ def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
     missing list), as the reference's loop does. ``failed_files``: the
     failed files with their reasons, for the failure alert (bounded by the
     region's expected-file catalog).
+
+    With ``rule="each"`` the states hold a ``rule`` column: one row per date, region
+    and rule, in the same one aggregate.
     """
     st = F.col("state")
-    agg = states.groupBy(*DAY_REGION).agg(
+    keys = DAY_REGION + (["rule"] if rule == "each" else [])
+    agg = states.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("expected"),
         F.count_if(st == "done").alias("done"),
         F.count_if(st == "missing").alias("missing"),
@@ -353,15 +405,13 @@ def readiness(states: DataFrame, rule: str = "bmt") -> DataFrame:
     )
     if rule == "current":
         agg = agg.withColumn("failed_files", F.array().cast("array<struct<filename:string,detail:string>>"))
-    if rule == "bmt":
-        ready = F.col("done") >= F.col("expected")
-        names = (F.when(F.col("_last.s") == "failed", F.col("_last.f"))
-                 .when(F.col("_last.s") == "missing", F.col("missing_names"))
-                 .otherwise(F.lit("")))
-    else:
-        ready = F.col("done") == F.col("expected")
-        names = F.col("missing_names")
-    return agg.select(*DAY_REGION, "expected", "done", "missing", "failed", "in_progress",
+    bmt = F.col("rule") == "bmt" if rule == "each" else F.lit(rule == "bmt")
+    ready = F.when(bmt, F.col("done") >= F.col("expected")).otherwise(F.col("done") == F.col("expected"))
+    last = (F.when(F.col("_last.s") == "failed", F.col("_last.f"))
+            .when(F.col("_last.s") == "missing", F.col("missing_names"))
+            .otherwise(F.lit("")))
+    names = F.when(bmt, last).otherwise(F.col("missing_names"))
+    return agg.select(*keys, "expected", "done", "missing", "failed", "in_progress",
                       ready.alias("ready"), "missing_names", "failed_names", names.alias("names"), "failed_files")
 
 

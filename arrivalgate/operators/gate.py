@@ -124,71 +124,113 @@ def decide(rule: str, windows: DataFrame, trigger_log: DataFrame, ready: DataFra
     The upstream 'Delay' text of current/legacy is always overwritten by 6 or 7
     in the reference, so it is not a step here.
     """
-    src = RULE_SOURCE[rule]
-    w = windows.where(F.col("report_source") == src)
-    log = trigger_log.where(F.col("report_source") == src)
+    src = F.col("report_source") == RULE_SOURCE[rule]
+    df = _situation(windows.where(src), trigger_log.where(src), ready, DAY_REGION, busy, upstream, now)
+    return _decided(df, {RULE_SOURCE[rule]: rule}, cutoff, force_extra, delay_window)
+
+
+def decide_both(windows: DataFrame, trigger_log: DataFrame, ready: DataFrame, busy: DataFrame, upstream: DataFrame,
+                now: Column, cutoff: tuple, force_extra: tuple | None = None, delay_window: tuple | None = None,
+                spdst_rule: str = "current") -> DataFrame:
+    """D05 to D07 for both triggers in one pass: the decisions that ``decide`` makes
+    under ``bmt`` and under ``spdst_rule``, from readiness per rule
+    (``files.readiness(..., "each")``)."""
+    rules = {RULE_SOURCE[rule]: rule for rule in ("bmt", spdst_rule)}
+    both = F.col("report_source").isin(*rules)
+    source = F.coalesce(*[F.when(F.col("rule") == rule, F.lit(src)) for src, rule in rules.items()])
+    df = _situation(windows.where(both), trigger_log.where(both), ready.withColumn("report_source", source), KEYS, busy, upstream, now)
+    return _decided(df, rules, cutoff, force_extra, delay_window)
+
+
+def _situation(windows: DataFrame, log: DataFrame, ready: DataFrame, ready_keys: list[str], busy: DataFrame,
+               upstream: DataFrame | None, now: Column) -> DataFrame:
+    """Every window with what is known when it is decided."""
     log_cols = [F.col("execution_status").alias("old_status")]
     log_cols.append((F.col("error_message") if "error_message" in log.columns
                      else F.lit(None).cast("string")).alias("old_message"))
     log_cols.append((F.col("actual_start_time") if "actual_start_time" in log.columns
                      else F.lit(None).cast("timestamp_ntz")).alias("old_actual_start"))
-    df = (w.join(log.select(*KEYS, *log_cols, F.lit(True).alias("_has_row")), KEYS, "left")
-          .join(ready.select(*DAY_REGION, "expected", "done", "missing", "names", "missing_names",
+    df = (windows.join(log.select(*KEYS, *log_cols, F.lit(True).alias("_has_row")), KEYS, "left")
+          .join(ready.select(*ready_keys, "expected", "done", "missing", "names", "missing_names",
                              *(["failed_files"] if "failed_files" in ready.columns else [])),
-                DAY_REGION, "left")
+                ready_keys, "left")
           # One row per region: bounded by the region catalog, so broadcast.
           .join(F.broadcast(busy.select("regionname", "busy")), "regionname", "left"))
     if upstream is not None:
         df = df.join(upstream.select(*DAY_REGION, "upstream_finished"), DAY_REGION, "left")
-    df = df.withColumn("_now", now)
+    else:
+        df = df.withColumn("upstream_finished", F.lit(True))
+    return df.withColumn("_now", now)
+
+
+def _early(busy: Column) -> Column:
+    """Steps 1 to 3, which need no file states."""
+    return (F.when(F.col("_has_row").isNull(), "insert")
+            .when(F.col("old_status").isin(*TRIGGERED), "none")
+            .when(F.coalesce(busy, F.lit(False)), "blocked"))
+
+
+def early_actions(rule: str, windows: DataFrame, trigger_log: DataFrame, busy: DataFrame) -> DataFrame:
+    """The decisions of a rule as far as they need no file states: ``insert``, ``none``,
+    ``blocked``, and ``pending`` for all that go on to the files (where the full
+    decision is ``start``, ``cutoff`` or ``pending``)."""
+    src = F.col("report_source") == RULE_SOURCE[rule]
+    log = trigger_log.where(src).select(*KEYS, F.col("execution_status").alias("old_status"), F.lit(True).alias("_has_row"))
+    df = windows.where(src).join(log, KEYS, "left").join(F.broadcast(busy.select("regionname", "busy")), "regionname", "left")
+    return df.select(*KEYS, _early(F.col("busy")).otherwise("pending").alias("action"))
+
+
+def _decided(df: DataFrame, rules: dict[str, str], cutoff: tuple, force_extra: tuple | None,
+             delay_window: tuple | None) -> DataFrame:
+    """The decision columns over ``_situation``; ``rules`` maps a report source to its rule."""
+    def by_rule(of) -> Column:
+        got = {src: of(rule) for src, rule in rules.items()}
+        if len(got) == 1:
+            return next(iter(got.values()))
+        return F.coalesce(*[F.when(F.col("report_source") == src, c) for src, c in got.items()])
+
     n = F.col("_now")
     past = n > F.col("expected_start")
     expected = F.coalesce("expected", F.lit(0))
     done = F.coalesce("done", F.lit(0))
     missing = F.coalesce("missing", F.lit(0))
     names = F.coalesce("names", F.lit(""))
-    up = F.coalesce("upstream_finished", F.lit(False)) if upstream is not None else F.lit(True)
-    form = "clock" if rule == "current" else "fields"
-    in_cut = TC.in_window(n, *cutoff, form=form)
-    if rule == "bmt":
-        is_ready = done >= expected
-    else:
-        is_ready = (done == expected) & up
-    action = (F.when(F.col("_has_row").isNull(), "insert")
-              .when(F.col("old_status").isin(*TRIGGERED), "none")
-              .when(F.coalesce("busy", F.lit(False)), "blocked"))
-    if rule == "bmt" and force_extra is not None:
-        action = action.when(TC.after_cutoff_plus(n, cutoff[0], cutoff[1], *force_extra), "forced_start")
-    action = action.when(is_ready, "start").when((done != expected) & in_cut, "cutoff").otherwise("pending")
-    df = df.withColumn("action", action)
+    up = F.coalesce("upstream_finished", F.lit(False))
+
+    def action(rule: str) -> Column:
+        in_cut = TC.in_window(n, *cutoff, form="clock" if rule == "current" else "fields")
+        is_ready = done >= expected if rule == "bmt" else (done == expected) & up
+        got = _early(F.col("busy"))
+        if rule == "bmt" and force_extra is not None:
+            got = got.when(TC.after_cutoff_plus(n, cutoff[0], cutoff[1], *force_extra), "forced_start")
+        return got.when(is_ready, "start").when((done != expected) & in_cut, "cutoff").otherwise("pending")
+
+    df = df.withColumn("action", by_rule(action))
     a = F.col("action")
-    if rule == "current":
-        cut_msg = F.format_string(MSG_CUTOFF_COUNT, missing)
-        pend_msg = F.format_string(MSG_PENDING_COUNT, missing)
-    else:
-        cut_msg = F.concat(F.lit(MSG_CUTOFF_NAMES), names)
-        pend_msg = F.concat(F.lit(MSG_PENDING_NAMES), names)
+    cut_msg = by_rule(lambda rule: F.format_string(MSG_CUTOFF_COUNT, missing) if rule == "current"
+                      else F.concat(F.lit(MSG_CUTOFF_NAMES), names))
+    pend_msg = by_rule(lambda rule: F.format_string(MSG_PENDING_COUNT, missing) if rule == "current"
+                       else F.concat(F.lit(MSG_PENDING_NAMES), names))
     delayed = a.isin("blocked", "cutoff", "pending") & past
     status = (F.when(a == "insert", YET)
               .when(a.isin("start", "forced_start"), SUBMITTED)
               .when(delayed, DELAY)
               .otherwise(F.col("old_status")))
-    message = (F.when(a == "insert", MSG_INIT[rule])
+    message = (F.when(a == "insert", by_rule(lambda rule: F.lit(MSG_INIT[rule])))
                .when(a == "forced_start", "NULL")
-               .when(a == "start", MSG_START[rule])
+               .when(a == "start", by_rule(lambda rule: F.lit(MSG_START[rule])))
                .when(delayed & (a == "blocked"), MSG_BUSY)
                .when(delayed & (a == "cutoff"), cut_msg)
                .when(delayed & (a == "pending"), pend_msg)
                .otherwise(F.col("old_message")))
     started = F.when(a.isin("start", "forced_start"), n).otherwise(F.col("old_actual_start"))
-    flag = (F.when(a == "forced_start", "N").when(a == "start", "Y") if rule == "bmt"
-            else F.lit(None)).cast("string")
-    if delay_window is not None and rule == "current":
-        alert = a.isin("start", "cutoff", "pending") & TC.in_window(n, *delay_window, form="clock")
-    else:
-        alert = F.lit(False)
+    none = F.lit(None).cast("string")
+    flag = by_rule(lambda rule: F.when(a == "forced_start", "N").when(a == "start", "Y") if rule == "bmt" else none)
+    no = F.lit(False)
+    alert = by_rule(lambda rule: a.isin("start", "cutoff", "pending") & TC.in_window(n, *delay_window, form="clock")
+                    if rule == "current" and delay_window is not None else no)
     return df.select(*KEYS, "action", status.alias("execution_status"), message.alias("error_message"),
-                     started.alias("actual_start_time"), flag.alias("priority_files_received"),
+                     started.alias("actual_start_time"), flag.cast("string").alias("priority_files_received"),
                      missing.alias("missing"), names.alias("names"),
                      F.coalesce("missing_names", F.lit("")).alias("missing_names"), alert.alias("delay_alert"),
                      "expected_start", "expected_end",

@@ -58,8 +58,19 @@ def _names(col: str) -> Column:
 
 def current_alerts(current: DataFrame, env: str) -> DataFrame:
     """D13, SPDST trigger: files missing at the cutoff, and the delay alert."""
+    return _explode(current, _current_candidates(env))
+
+
+def trigger_alerts(decisions: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:
+    """D13 for both triggers: the alerts that ``bmt_alerts`` and ``current_alerts`` make of
+    their decisions, from one pass over all of them."""
+    own = lambda src, found: [F.when(F.col("report_source") == src, x) for x in found]      # noqa: E731
+    return _explode(decisions, own("BMT", _bmt_candidates(env, jobs)) + own("SPDST", _current_candidates(env)))
+
+
+def _current_candidates(env: str) -> list[Column]:
     r = F.col("regionname")
-    return _explode(current, [
+    return [
         _alert((F.col("action") == "cutoff") & (F.col("missing") > 0), "files_missing",
                F.format_string(SUBJ_SPDST_MISSING, r),
                F.struct(F.lit(env).alias("Env"), _names("names").alias("File"),
@@ -67,18 +78,22 @@ def current_alerts(current: DataFrame, env: str) -> DataFrame:
         _alert(F.col("delay_alert"), "delay", F.format_string(SUBJ_SPDST_DELAY, r),
                F.struct(F.lit(env).alias("Env"), F.lit("SPDST").alias("Report_Source"),
                         r.alias("Region"), F.lit(MSG_SPDST_DELAY).alias("Message"))),
-    ])
+    ]
 
 
 def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:
     """D13, BMT trigger: started (with or without files), files missing and
     files failed at the cutoff. The failed files with their reasons come with
     the decisions (``failed_files``, from readiness)."""
+    return _explode(bmt, _bmt_candidates(env, jobs))
+
+
+def _bmt_candidates(env: str, jobs: dict[str, str]) -> list[Column]:
     r, a = F.col("regionname"), F.col("action")
     started = F.struct(F.lit(env).alias("Env"),
                        F.format_string(MSG_BMT_STARTED, r, F.lit(jobs["BMT"])).alias("Message"), r.alias("Region"))
     failed_list = F.transform("failed_files", lambda x: F.create_map(x["filename"], F.split(x["detail"], ",")))
-    return _explode(bmt, [
+    return [
         _alert(a == "start", "started", F.format_string(SUBJ_BMT_STARTED, r), started),
         _alert(a == "forced_start", "started_without_files", F.format_string(SUBJ_BMT_FORCED, r), started),
         # The BMT missing message lists the plain missing files, not the
@@ -90,7 +105,7 @@ def bmt_alerts(bmt: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:
                F.format_string(SUBJ_BMT_FAILED, r),
                F.struct(F.lit(env).alias("Env"), failed_list.alias("Priority File Failed"),
                         F.lit("NA").alias("Process Name failed, If any"), r.alias("Region"))),
-    ])
+    ]
 
 
 def legacy_alerts(legacy: DataFrame, env: str, jobs: dict[str, str]) -> DataFrame:

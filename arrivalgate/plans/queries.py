@@ -169,6 +169,18 @@ def decisions(ct: ControlTables, rule: str) -> DataFrame:
                     P.CUTOFF, P.FORCE_EXTRA, P.DELAY_WINDOW)
 
 
+def both_decisions(ct: ControlTables) -> DataFrame:
+    """The decisions of both triggers, from one pass over the inputs."""
+    pf, cal = FS.trigger_files(ct.d_file_property), calendar(ct)
+    log, landing = (FS.restrict_to_dates(x, cal) for x in (ct.d_audit_log, zones(ct)))
+    facts, posts, expected = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR), FS.name_posts(pf), FS.expected_by_date(cal, pf)
+    mapped = FS.map_procedures(FS.curated_loaded(log, pf, facts), ct.d_sp_map, catalog=pf, posts=posts)
+    receipts = FS.received_flags(landing, expected, P.FIXTURE_METADATA_PREFIX, posts)
+    states = FS.trigger_states(expected, FS.published(mapped, log), receipts, facts)
+    return G.decide_both(windows(ct), ct.d_trigger_log, FS.readiness(states, "each"), G.busy_regions(ct.d_dependency, ct.d_job_runs),
+                         G.upstream_finished(ct.d_trigger_log, cal), gate_now(), P.CUTOFF, P.FORCE_EXTRA, P.DELAY_WINDOW)
+
+
 def q01_expected_window(spark: SparkSession, sf: str) -> DataFrame:
     return windows(ControlTables(spark, sf))
 
@@ -206,8 +218,7 @@ def q26_decide_legacy(spark: SparkSession, sf: str) -> DataFrame:
 
 def q27_merged_log(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    changes = decisions(ct, "current").unionByName(decisions(ct, "bmt"))
-    return G.merge_log(ct.d_trigger_log, G.log_changes(changes, P.JOBS))
+    return G.merge_log(ct.d_trigger_log, G.log_changes(both_decisions(ct), P.JOBS))
 
 
 def q28_report_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -226,7 +237,9 @@ def legacy_delay(ct: ControlTables, legacy: DataFrame) -> DataFrame:
 
 def q38_next_day_delay(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return legacy_delay(ct, decisions(ct, "legacy")).select(*G.DAY_REGION, "next_status", "in_window", "alert")
+    # whether the delay is checked at all depends on the log and the busy jobs only
+    early = G.early_actions("legacy", windows(ct), ct.d_trigger_log, G.busy_regions(ct.d_dependency, ct.d_job_runs))
+    return legacy_delay(ct, early).select(*G.DAY_REGION, "next_status", "in_window", "alert")
 
 
 QUERIES.update({
@@ -321,8 +334,7 @@ from arrivalgate.streaming import streams as ST  # noqa: E402
 
 def q36_notifications(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    trig = O.current_alerts(decisions(ct, "current"), P.ENV).unionByName(
-        O.bmt_alerts(decisions(ct, "bmt"), P.ENV, P.JOBS))
+    trig = O.trigger_alerts(both_decisions(ct), P.ENV, P.JOBS)
     outcomes = R.run_outcome(R.step_outcomes(plan(ct), "strict"), "strict")
     runs = O.run_alerts(outcomes, P.ENV, P.REPORT_URL, F.col("run_id").cast("string"))
     return trig.unionByName(runs)
@@ -330,7 +342,7 @@ def q36_notifications(spark: SparkSession, sf: str) -> DataFrame:
 
 def q37_start_requests(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return O.start_requests(decisions(ct, "current").unionByName(decisions(ct, "bmt")), P.JOBS)
+    return O.start_requests(both_decisions(ct), P.JOBS)
 
 
 # ------------------------------------------------- windows over event time

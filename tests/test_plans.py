@@ -37,3 +37,17 @@ def test_large_inputs_filtered_to_evaluated_dates(spark):
     plan = final_plan(E.queries()["q18_readiness"](spark, SF))
     # the date restriction is a broadcast semi join right above the scans
     assert re.search(r"BroadcastHashJoin \[batchrundate#\d+\], \[batchrundate#\d+\], LeftSemi", plan)
+
+
+def test_both_triggers_in_one_pass(spark):
+    """Both triggers' decisions: one scan of each zone, two of the load log (facts, published scripts)."""
+    for name in ("q27_merged_log", "q36_notifications", "q37_start_requests"):
+        plan = final_plan(E.queries()[name](spark, SF))
+        scans = [line for line in plan.splitlines() if "FileScan" in line]
+        for table, most in (("d_landing", 1), ("d_archive", 1), ("d_audit_log", 2)):
+            assert 1 <= sum(f"/{table}]" in x or f"/{table}." in x or table in x for x in scans) <= most, (name, table)
+
+
+def test_delay_check_reads_no_files(spark):
+    plan = final_plan(E.queries()["q38_next_day_delay"](spark, SF))
+    assert not any(t in plan for t in ("d_audit_log", "d_landing", "d_archive", "d_file_property"))
