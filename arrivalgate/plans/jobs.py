@@ -21,6 +21,7 @@ from arrivalgate.operators.loadstate import LoadState
 from arrivalgate.session import materialize
 from arrivalgate.sources import sinks
 from arrivalgate.sources.dated import DatedTable
+from arrivalgate.sources.once import AppendOnce
 
 
 def _states(t: dict, cal: DataFrame, facts: DataFrame, scripts: DataFrame | None, spdst_rule: str, metadata_prefix: str) -> DataFrame:
@@ -55,7 +56,8 @@ def trigger_cycle(t: dict[str, DataFrame], batch_dates: DataFrame, now: Column,
                   metadata_prefix: str, empty_error: str, spdst_rule: str = "current",
                   legacy_delay_window: tuple | None = None, legacy_delay_step: dict | None = None,
                   today=None, report_now=None, load_state: LoadState | None = None,
-                  log_table: DatedTable | None = None) -> dict[str, str]:
+                  log_table: DatedTable | None = None, messages: AppendOnce | None = None,
+                  requests: AppendOnce | None = None) -> dict[str, str]:
     """Evaluate both triggers for the given batch dates and write their outputs.
 
     ``batch_dates`` (column ``batchrundate``) are the days to evaluate, today's
@@ -119,7 +121,12 @@ def trigger_cycle(t: dict[str, DataFrame], batch_dates: DataFrame, now: Column,
     changes = G.log_changes(decisions, jobs)
     if log_table is None:
         outputs["trigger_log"] = G.merge_log(t["trigger_log"], changes)
-    written = {k: sinks.write_version(df, os.path.join(out_dir, k), version) for k, df in outputs.items()}
+    written = {}
+    for kind, table in (("notifications", messages), ("start_requests", requests)):
+        if table is not None:
+            table.append(outputs.pop(kind), "cycle", version)
+            written[kind] = table.base
+    written |= {k: sinks.write_version(df, os.path.join(out_dir, k), version) for k, df in outputs.items()}
     if log_table is not None:
         # last, so that a cycle that fails before is decided anew in full
         log_table.update(changes, G.merge_log, version)

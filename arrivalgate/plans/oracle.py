@@ -499,6 +499,15 @@ FROM arrivals GROUP BY 1, 2""",
 FROM d_audit_log a GROUP BY 1, 2""",
     "q54_readiness_incremental": BODIES["q18_readiness"],
     "q55_reference_dates_named": BODIES["q15_reference_date_check"],
+    "q56_listing": """SELECT regionname, batchrundate, 'LandingZone' AS zone, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS n_objects FROM d_landing GROUP BY 1, 2
+UNION ALL SELECT regionname, batchrundate, 'ArchiveZone', CAST(ceil(count(*) / 1000.0) AS BIGINT) FROM d_archive GROUP BY 1, 2""",
+    "q57_alerts_once": f"""SELECT *, CAST(0 AS BIGINT) AS batch FROM ({BODIES["q46_bmt_run_alerts"]}) b
+UNION ALL SELECT *, 1 FROM ({BODIES["q44_critical_run_alerts"]}) c""",
+    "q58_missing_stream": """SELECT user_id, day_start, cutoff_at FROM arrivals
+WHERE (first_ts IS NULL OR first_ts > cutoff_at) AND day_start < (SELECT max(day_start) FROM arrivals)""",
+    "q59_statement_stream": BODIES["q39_statement_state"],
+    "q60_readiness_open_days": """SELECT * FROM ready_bmt WHERE batchrundate IN (SELECT batchrundate FROM d_trigger_log
+  WHERE report_source = 'BMT' AND execution_status = 'Delay' GROUP BY 1 HAVING count(DISTINCT regionname) >= 2)""",
 })
 
 

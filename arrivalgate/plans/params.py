@@ -36,3 +36,5 @@ RETRY_LIMIT = 3
 ARRIVAL_CUTOFF = "12:00:00"
 # Link carried by the success message of a run (a deployment setting).
 REPORT_URL = "report-url"
+# Name of a region's bucket.
+BUCKET = "files-{env}-{region}"

@@ -474,6 +474,7 @@ import uuid  # noqa: E402
 
 from arrivalgate.operators.loadstate import LoadState, fact_rows  # noqa: E402
 from arrivalgate.session import ensure_checkpoint_dir  # noqa: E402
+from arrivalgate.sources import fs  # noqa: E402
 from arrivalgate.sources.dated import DatedTable  # noqa: E402
 from arrivalgate.sources.named import NamedTables, in_folder  # noqa: E402
 from arrivalgate.streaming import missing as M  # noqa: E402
@@ -550,3 +551,97 @@ QUERIES.update({
     "q54_readiness_incremental": q54_readiness_incremental,
     "q55_reference_dates_named": q55_reference_dates_named,
 })
+
+
+# ------------------------------------------------------ listings, appends, streams
+
+from arrivalgate.sources.listing import ListingTable, bucket_name  # noqa: E402
+from arrivalgate.sources.once import AppendOnce  # noqa: E402
+from arrivalgate.streaming import statements as SS  # noqa: E402
+
+OBJECT_ROWS = 1000      # rows of the stand-in listing per stored object
+ZONE_FOLDERS = ("zone=LandingZone", "zone=ArchiveZone")
+
+
+def stored_objects(ct: ControlTables) -> tuple[dict[str, str], list]:
+    """The zones of every region as objects in storage (one per ``OBJECT_ROWS`` rows of
+    the stand-in listing): the regions' buckets (F11), and the dates."""
+    path = ct._path("objects-by-bucket")
+    bucket = F.concat(F.lit("files-"), F.lit(P.ENV), F.lit("-"), F.lower("regionname"))
+    listing = zones(ct).select(bucket.alias("bucket"), F.substring_index("object_key", "/", 1).alias("zone"),
+                               F.col("batchrundate").alias("dt"), "object_key")
+    if not fs.exists(ct.spark, f"{path}/_SUCCESS"):
+        (listing.repartition("bucket", "zone", "dt").write.option("maxRecordsPerFile", OBJECT_ROWS)
+         .partitionBy("bucket", "zone", "dt").parquet(path))
+    days = [r[0] for r in ct.d_batch_dates.collect()] + [r[0] for r in listing.select("dt").distinct().collect()]
+    regions = [r[0] for r in ct.d_schedule.select("regionname").distinct().collect()]
+    return {r: f"{path}/bucket={bucket_name(P.BUCKET, P.ENV, r)}" for r in regions}, sorted(set(days))
+
+
+def q56_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects per region, zone and date, from a listing kept by date: all dates but the newest first, then all that may still change."""
+    roots, days = stored_objects(ControlTables(spark, sf))
+    table = ListingTable(spark, _store(spark, "listing"), roots, ZONE_FOLDERS)
+    table.refresh(days[:-1], 0)
+    table.refresh(days, 1, closed=days[:-1])
+    zone = F.substring(F.substring_index("object_key", "/", 1), 6, 100)
+    return table.read().groupBy("regionname", "batchrundate", zone.alias("zone")).agg(F.count(F.lit(1)).alias("n_objects"))
+
+
+def q57_alerts_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The alerts of both executors' runs, appended by two cycles of which the first ran twice."""
+    notes = AppendOnce(spark, _store(spark, "notifications"))
+    for batch, alerts in ((0, q46_bmt_run_alerts), (0, q46_bmt_run_alerts), (1, q44_critical_run_alerts)):
+        notes.append(alerts(spark, sf), "executors", batch)
+    return notes.read().select(*O.NOTIFY_COLS, "batch")
+
+
+def _available_now(stream: DataFrame, store: str, mode: str) -> DataFrame:
+    """What a stream gives for everything that is there now, each micro-batch in a folder of its own."""
+    def keep(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(f"{store}/rows/batch={batch_id}")
+
+    (stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{store}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return stream.sparkSession.read.schema(stream.schema).option("basePath", f"{store}/rows").parquet(f"{store}/rows/*")
+
+
+def q58_missing_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """q50 as a stream: every sender still missing at the cutoff of every day but the last, which is still open."""
+    ct = ControlTables(spark, sf)
+    store = _store(spark, "missing")
+    due = expected_arrivals(ct)
+    due.write.parquet(f"{store}/due")
+    expected = spark.readStream.schema(due.schema).parquet(f"{store}/due")
+    events = ct.stream("d_step_attempts").select(F.col("step_id").alias("user_id"), F.col("started").alias("ts"))
+    return _available_now(M.missing_stream(expected, events, P.ARRIVAL_CUTOFF), store, "append").select("user_id", "day_start", "cutoff_at")
+
+
+def q59_statement_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """q39 as a stream of state events."""
+    ct = ControlTables(spark, sf)
+    ev = ct.stream("d_job_runs").select(F.col("job_name").alias("statement_id"), "started", "seq", F.col("job_run_state").alias("state"))
+    got = SS.statement_states_stream(ev, aliases={"SUCCEEDED": R.FINISHED}, watermark="60 days")
+    return SS.newest_states(_available_now(got, _store(spark, "statements"), "update")).drop("closed")
+
+
+def open_days(ct: ControlTables) -> DataFrame:
+    """The days on which two or more regions' BMT refresh is delayed."""
+    late = ct.d_trigger_log.where("report_source = 'BMT' and execution_status = 'Delay'")
+    return late.groupBy("batchrundate").agg(F.countDistinct("regionname").alias("n")).where("n >= 2").select("batchrundate")
+
+
+def q60_readiness_open_days(spark: SparkSession, sf: str) -> DataFrame:
+    """q18 for the open days only, over a load log and zones stored by date: the other days' folders are not read."""
+    ct = ControlTables(spark, sf).by_date("d_audit_log", "d_landing", "d_archive")
+    ct._cache["d_batch_dates"] = open_days(ct)
+    return FS.readiness(file_chain(ct, "bmt", "bmt")["states"], "bmt").select(*FS.READINESS_COLS)
+
+
+QUERIES.update({
+    "q56_listing": q56_listing,
+    "q57_alerts_once": q57_alerts_once,
+    "q58_missing_stream": q58_missing_stream,
+    "q59_statement_stream": q59_statement_stream,
+    "q60_readiness_open_days": q60_readiness_open_days,
+})

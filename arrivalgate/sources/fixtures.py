@@ -174,10 +174,22 @@ class ControlTables:
             args[r] = self.derived(r) if r.startswith("d_") else self.base(r)
         return self.spark.sql(sql.replace("{ntz}", "TIMESTAMP_NTZ"), **args)
 
+    def by_date(self, *names: str, col: str = "batchrundate") -> ControlTables:
+        """The same tables, with the named ones stored in a folder per date."""
+        out = ControlTables(self.spark, self.sf_dir, self.stored)
+        for name in names:
+            df = self.derived(name)
+            out._cache[name] = self.spark.read.schema(df.schema).parquet(self.folders_of(name, col)).select(*df.columns)
+        return out
+
+    def stream(self, name: str) -> DataFrame:
+        """A derived table as a stream of its stored files."""
+        df = self.derived(name)
+        return self.spark.readStream.schema(df.schema).parquet(self._path(name))
+
     def folders_of(self, name: str, col: str) -> str:
         """The folder that holds a derived table as one parquet folder per value of ``col``."""
-        from arrivalgate.session import ensure_checkpoint_dir
-        path = f"{ensure_checkpoint_dir(self.spark)}/standin/{_fingerprint(self.spark, self.sf_dir)}/{name}-by-{col}"
+        path = self._path(f"{name}-by-{col}")
         if not fs.exists(self.spark, path + "/_SUCCESS"):
             tmp = f"{path}.tmp-{uuid.uuid4().hex}"
             self.derived(name).repartition(col).write.mode("errorifexists").partitionBy(col).parquet(tmp)
@@ -187,11 +199,13 @@ class ControlTables:
     # (session, folder fingerprint, name) -> DataFrame over the stored table
     _frames: dict[tuple, DataFrame] = {}
 
-    def _stored(self, name: str) -> DataFrame:
-        import os
+    def _path(self, name: str) -> str:
         from arrivalgate.session import ensure_checkpoint_dir
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/standin/{_fingerprint(self.spark, self.sf_dir)}/{name}"
+
+    def _stored(self, name: str) -> DataFrame:
         fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.spark, self.sf_dir), name)
-        path = os.path.join(ensure_checkpoint_dir(self.spark), "standin", fkey[1], name)
+        path = self._path(name)
         done = fs.exists(self.spark, path + "/_SUCCESS")
         hit = ControlTables._frames.get(fkey)
         if hit is not None and done:

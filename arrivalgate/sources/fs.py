@@ -30,6 +30,12 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         fs.rename(p, q)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """Make a folder and its parents, if they are not there."""
+    fs, p = _at(spark, path)
+    fs.mkdirs(p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder and all it holds (nothing if it does not exist)."""
     fs, p = _at(spark, path)

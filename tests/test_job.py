@@ -110,3 +110,33 @@ def test_cycle_on_kept_tables_equals_the_full_one(spark, scratch):
         assert log.versions() == [0, 1]
     new = {f for f in log.read().inputFiles() if f not in before}
     assert {f.split("batchrundate=")[1][:10] for f in new} == {str(r[0]) for r in dates.collect()}
+
+
+def test_a_repeated_cycle_sends_each_message_once(spark, scratch, monkeypatch):
+    """A cycle that fails after its messages and before its log, and is run again."""
+    from arrivalgate.sources.dated import DatedTable
+    from arrivalgate.sources.once import AppendOnce
+    ct = ControlTables(spark, SF)
+    t = _tables(ct)
+    dates = ct.d_batch_dates.orderBy(F.col("batchrundate").desc()).limit(12)
+    full = _job(spark, t, dates, os.path.join(scratch, "full"), today=P.TODAY, report_now=P.NOW)
+    log = DatedTable(spark, os.path.join(scratch, "log"))
+    log.replace(ct.d_trigger_log, 0)
+    notes, starts = (AppendOnce(spark, os.path.join(scratch, k)) for k in ("notes", "starts"))
+    run = lambda: _job(spark, {k: v for k, v in t.items() if k != "trigger_log"}, dates, os.path.join(scratch, "kept"), today=P.TODAY,
+                       report_now=P.NOW, log_table=log, messages=notes, requests=starts)
+    update = DatedTable.update
+    monkeypatch.setattr(DatedTable, "update", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    try:
+        run()
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(DatedTable, "update", update)
+    assert log.versions() == [0] and notes.batches() == [("cycle", 1)]
+    for _ in range(2):
+        run()
+        assert log.versions() == [0, 1] and _rows(log.read()) == _rows(spark.read.parquet(full["trigger_log"]))
+        for table, kind in ((notes, "notifications"), (starts, "start_requests")):
+            want = spark.read.parquet(full[kind])
+            assert _rows(table.read().select(*want.columns)) == _rows(want)
+    assert notes.read().count() > 0

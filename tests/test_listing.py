@@ -57,3 +57,47 @@ def test_listing_of_given_dates_lists_only_their_folders(spark, scratch):
     assert sorted(r.object_key.split("/")[0] for r in got.collect()) == ["ArchiveZone", "LandingZone"]
     assert all("dt=2024-01-15" in f for f in got.inputFiles())
     assert read_listing(spark, {"EMEA": root}, dates=[dt.date(2023, 1, 1)]).collect() == []
+
+
+def _tree(root, days, zones=("LandingZone", "ArchiveZone"), n=2):
+    for zone in zones:
+        for day in days:
+            for i in range(n):
+                p = os.path.join(root, zone, f"dt={day}", f"F{i}_{zone}_20240115101500.dat")
+                os.makedirs(os.path.dirname(p), exist_ok=True)
+                with open(p, "wb") as f:
+                    f.write(b"x")
+
+
+def test_driver_calls_do_not_grow_with_dates(spark, scratch, monkeypatch):
+    from arrivalgate.sources import fs
+    from pyspark.sql.readwriter import DataFrameReader
+    root = os.path.join(scratch, "bucket")
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    _tree(root, days)
+    loads, load = [], DataFrameReader.load
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, *a, **k: loads.append(a) or load(self, *a, **k))
+    monkeypatch.setattr(fs, "exists", lambda *a: (_ for _ in ()).throw(AssertionError("asked for a path")))
+    for some in (days[:2], days):
+        loads.clear()
+        got = read_listing(spark, {"EMEA": root, "NOWHERE": root + "-none"}, dates=some + [dt.date(1999, 1, 1)])
+        assert got.count() == 4 * len(some) and len(loads) == 4      # region x zone
+    assert read_listing(spark, {"EMEA": root}, dates=[]).count() == 0
+
+
+def test_listing_table_lists_closed_days_once(spark, scratch):
+    from arrivalgate.sources.listing import ListingTable
+    root = os.path.join(scratch, "bucket")
+    d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    _tree(root, d[:2])
+    table = ListingTable(spark, os.path.join(scratch, "listing"), {"EMEA": root})
+    assert table.read().count() == 0
+    assert table.refresh(d[:2], 0) == d[:2]
+    rows = lambda df: sorted(map(str, (tuple(r) for r in df.collect())))      # noqa: E731
+    assert rows(table.read()) == rows(read_listing(spark, {"EMEA": root}))
+    _tree(root, d, n=3)                                                          # more objects, and a new day
+    files = set(table.read([d[0]]).inputFiles())
+    assert table.refresh(d, 1, closed=d[:1]) == d[1:]                            # the closed day is not listed again
+    assert set(table.read([d[0]]).inputFiles()) == files and table.read([d[0]]).count() == 4
+    assert table.read(d[1:]).count() == 12 and table.refresh(d, 1) == []
+    assert table.refresh(d, 2) == d and rows(table.read()) == rows(read_listing(spark, {"EMEA": root}))

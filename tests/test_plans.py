@@ -5,7 +5,9 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from arrivalgate.plans import queries as Q
 from arrivalgate.plans.queries import QUERIES
+from arrivalgate.sources.fixtures import ControlTables
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +53,34 @@ def test_both_triggers_in_one_pass(spark):
 def test_delay_check_reads_no_files(spark):
     plan = final_plan(E.queries()["q38_next_day_delay"](spark, SF))
     assert not any(t in plan for t in ("d_audit_log", "d_landing", "d_archive", "d_file_property"))
+
+
+def test_days_stored_by_date_are_pruned(spark):
+    """Over tables stored by date only the evaluated days' folders are read, found while the query runs."""
+    df = E.queries()["q60_readiness_open_days"](spark, SF)
+    plan = final_plan(df)
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "-by-batchrundate" in line]
+    assert scans and all("dynamicpruningexpression(batchrundate" in x for x in scans)
+    days = Q.open_days(ControlTables(spark, SF)).count()
+    kept = [p for p in _partitions_read(df)]
+    assert kept and max(kept) <= days < Q.open_days(ControlTables(spark, SF)).sparkSession.read.parquet(
+        ControlTables(spark, SF).folders_of("d_audit_log", "batchrundate")).select("batchrundate").distinct().count()
+
+
+def _partitions_read(df) -> list[int]:
+    """The number of folders that each pruned scan has read."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name.startswith("Scan") and node.metrics().contains("numPartitions"):
+            found.append(node.metrics().apply("numPartitions").value())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return found
