@@ -10,9 +10,10 @@ A posting list of up to ``SHORT`` classes gives all its pairs. A longer list
 gives only its pairs with one hub, the class with most shared coordinates. The
 pairs' collisions are counted on the whole signatures and the survivors
 confirmed on the full sets. Hub groups whose members are by then still in
-different components are finished exactly: their members meet block by block
-inside tasks, which compare full sets of different components and return the
-links that join them. No group is cut short and no group's pairs become rows.
+different components are finished exactly: the members outside the largest
+component meet all members block by block inside tasks, which compare full sets of
+different components and return the links that join them. No group is cut short and
+no group's pairs become rows.
 """
 
 from __future__ import annotations
@@ -92,45 +93,51 @@ def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return one.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
 
 
-def _finish(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of the same hub group, found block by block.
+def _finish(members: DataFrame, scratch: Scratch, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between different components of the same hub group, with the components' roots (ra, rb).
 
-    ``groups``: hub, cid, root, blocks (of the hub group), block (of the class).
-    Every pair of blocks of a group is one bounded task group; it returns at
-    most one link per class."""
+    ``members``: hub, cid, root. A group's largest component holds no link that is still
+    unknown, so only its other members, the strays, are compared: each block of strays
+    meets each block of members in a bounded task group. A member is sent to as many task
+    groups as its hub has blocks of strays."""
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cid").reset_index(drop=True)
-        cid, root, block = pdf["cid"].to_numpy(), pdf["root"].to_numpy(), pdf["block"].to_numpy()
-        size = pdf["s"].map(len).to_numpy()
+        pdf = pdf.sort_values(["stray", "cid"]).reset_index(drop=True)
+        cid, root, size = pdf["cid"].to_numpy(), pdf["root"].to_numpy(), pdf["s"].map(len).to_numpy()
         _, local = np.unique(np.concatenate(pdf["s"].to_list()), return_inverse=True)
         ends = np.cumsum(size)
         start = ends - size
-        _, comp, many = np.unique(root, return_inverse=True, return_counts=True)
-        one = many.argmax()     # of two members of different components, at most one is in this one
+        n = int((~pdf["stray"].to_numpy(bool)).sum())        # the block's members come first, then its strays
+        _, comp = np.unique(root, return_inverse=True)
         flag = np.zeros(local.max() + 1, bool)
         out = []
-        for i in np.argsort(many[comp], kind="stable"):
-            other = comp != comp[i]
-            if block.min() != block.max():
-                other &= block != block[i]      # pairs inside a block meet in the block's own group
-            if comp[i] == one or not other.any():
+        for i in range(n, len(pdf)):
+            other = comp[:n] != comp[i]
+            if not other.any():
                 continue
             flag[local[start[i]:ends[i]]] = True
-            inter = np.add.reduceat(flag[local], start, dtype=np.int64)
+            inter = np.add.reduceat(flag[local[:ends[n - 1]]], start[:n], dtype=np.int64)
             flag[local[start[i]:ends[i]]] = False
-            hit = np.flatnonzero(other & (100 * inter >= percent * (size + size[i] - inter)))
-            for j in hit:
+            for j in np.flatnonzero(other & (100 * inter >= percent * (size[:n] + size[i] - inter))):
                 if comp[j] != comp[i]:
-                    out.append((min(cid[i], cid[j]), max(cid[i], cid[j])))
-                    one = comp[i] if comp[j] == one else one
+                    x, y = (i, j) if cid[i] < cid[j] else (j, i)
+                    out.append((cid[x], cid[y], root[x], root[y]))
                     comp[comp == comp[j]] = comp[i]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                                 lambda x: F.struct(F.least(x, F.col("block")).alias("x"), F.greatest(x, F.col("block")).alias("y"))))
-    met = groups.withColumn("p", pair).select("hub", "cid", "root", "block", "p.x", "p.y")
-    return met.join(sets, "cid").groupBy("hub", "x", "y").applyInPandas(link, "a long, b long")
+        return pd.DataFrame(out, columns=["a", "b", "ra", "rb"], dtype="int64")
+
+    held = members.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("hub").agg(
+        F.sum("c").alias("m"), F.max(F.struct("c", "root")).alias("big"))
+    blocks = lambda n: F.ceil(n / block).cast("int")      # noqa: E731
+    open_ = scratch.save(held.where(F.col("m") > F.col("big.c")).select(
+        "hub", F.col("big.root").alias("big"), blocks(F.col("m")).alias("mb"), blocks(F.col("m") - F.col("big.c")).alias("sb")), "open")
+    if not open_.limit(1).count():
+        return open_.select(*[F.col("hub").alias(c) for c in ("a", "b", "ra", "rb")])
+    mine = members.join(open_, "hub")
+    own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")      # noqa: E731
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))      # noqa: E731
+    met = mine.select("hub", "cid", "root", F.lit(False).alias("stray"), own("mb").alias("y"), each("sb").alias("x")).unionByName(
+        mine.where("root <> big").select("hub", "cid", "root", F.lit(True).alias("stray"), own("sb").alias("x"), each("mb").alias("y")))
+    return met.join(sets, "cid").groupBy("hub", "x", "y").applyInPandas(link, "a long, b long, ra long, rb long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, coords: int = 64, matches: int = 34,
@@ -163,7 +170,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, coords: int
     stars = scratch.save(posts.join(lists.where(F.col("m") > SHORT), "token").where("cid <> hub").select("hub", "cid").distinct(), "stars")
     pairs = short.union(stars.select(F.least("hub", "cid"), F.greatest("hub", "cid"))).distinct()
     sig = classes.select("cid", "sig")
-    met = scratch.save(pairs, "pairs").join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("ga")), "a") \
+    met = pairs.join(sig.select(F.col("cid").alias("a"), F.col("sig").alias("ga")), "a") \
         .join(sig.select(F.col("cid").alias("b"), F.col("sig").alias("gb")), "b")
     equal = F.size(F.filter(F.zip_with("ga", "gb", lambda x, y: x == y), lambda x: x))
     met = scratch.save(met.where(equal >= matches).select("a", "b"), "met")
@@ -173,20 +180,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, coords: int
     links = scratch.save(_close(met, sets, percent), "links")
     roots = components(links, scratch, "first")
 
-    members = stars.union(stars.select("hub", F.col("hub").alias("cid"))).distinct() \
-        .join(roots.withColumnRenamed("id", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    members = scratch.save(members, "members")
-    open_ = members.groupBy("hub").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")) \
-        .where("lo < hi").select("hub", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    groups = members.join(scratch.save(open_, "open"), "hub").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    more = scratch.save(_finish(groups, sets, percent), "more")
-    if more.limit(1).count():
-        roots = components(links.union(more), scratch, "second")
-
     found = classes.select("n", "d1", "d2", "cid", "first").join(roots.withColumnRenamed("id", "cid"), "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
+    if stars.limit(1).count():
+        members = stars.union(stars.select("hub", F.col("hub").alias("cid"))).distinct() \
+            .join(roots.withColumnRenamed("id", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        more = scratch.save(_finish(scratch.save(members, "members"), scratch, sets, percent), "more")
+        if more.limit(1).count():       # links between components: the graph of their roots
+            up = components(more.select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch, "second").select(F.col("id").alias("root"), F.col("root").alias("up"))
+            found = found.join(up, "root", "left").withColumn("root", F.coalesce("up", "root")).drop("up")
+
     least = scratch.save(found.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    found = scratch.save(found.join(least, "root").select("n", "d1", "d2", "component_id"), "found")
+    found = found.join(least, "root").select("n", "d1", "d2", "component_id")
     out = rows.drop("sig").join(found, ["n", "d1", "d2"], "left")
     comp = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), comp.alias("component_id"),

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from arrivalgate.llm import neardup, shingles
+from arrivalgate.llm.common import Scratch
 
 
 def sets_of(text):
@@ -117,9 +118,10 @@ def test_signatures_estimate_similarity(share):
 def finished(sets, roots, spark, blocks=1):
     """Components after _finish of one hub group with these sets and roots."""
     held = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "cid long, s array<long>")
-    groups = spark.createDataFrame([(0, i, r, blocks, i % blocks) for i, r in enumerate(roots)],
-                                   "hub long, cid long, root long, blocks int, block int")
-    return {(r["a"], r["b"]) for r in neardup._finish(groups, held, 75).collect()}
+    members = spark.createDataFrame([(0, i, r) for i, r in enumerate(roots)], "hub long, cid long, root long")
+    found = neardup._finish(members, Scratch(spark, "t-finish"), held, 75, -(-len(sets) // blocks)).collect()
+    assert all((roots[r["a"]], roots[r["b"]]) == (r["ra"], r["rb"]) for r in found)
+    return {(r["a"], r["b"]) for r in found}
 
 
 @pytest.mark.parametrize("blocks", [1, 3])
@@ -156,3 +158,56 @@ def _joined(n, links):
         x, y = root[a], root[b]
         root = [min(x, y) if v in (x, y) else v for v in root]
     return root
+
+
+def test_components_of_parts(spark):
+    """Contraction in one part, in several, and against a plain search."""
+    from arrivalgate.llm.graph import components
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(1000, 1080)] + [(5, 5)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for i in sorted(near):
+        todo = [i]
+        while todo:
+            x = todo.pop()
+            if x not in want:
+                want[x] = i
+                todo += near[x]
+    want = {i: r for i, r in want.items() if near[i] != {i}}
+    scratch = Scratch(spark, "t-components")
+    table = scratch.save(spark.createDataFrame(edges, "a long, b long").repartition(6), "edges")
+    for n, per_task in enumerate((10**6, 40, 7)):
+        assert {r["id"]: r["root"] for r in components(table, scratch, f"c{n}", per_task).collect()} == want
+    assert components(table.where("a = 5 and b = 5"), scratch, "none").count() == 0
+
+
+def test_stray_members_meet_the_largest_component(spark):
+    """Variants of one template: a large component, strays that link to it or to each other only, and one that links with nothing."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+
+    def variant(words, n):
+        words = list(words)
+        for i in rng.sample(range(0, len(words), 6), n):
+            words[i] = f"x{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    docs = [(i, variant(base, rng.choice([1, 2, 3]))) for i in range(40)]
+    docs += [(100 + i, variant(base, rng.choice([4, 5, 6]))) for i in range(30)]
+    docs += [(200 + i, variant(base, 9)) for i in range(10)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df).collect()}
+    sets = {i: {tuple(w[j:j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in docs)}
+    comp = {i: i for i, _ in docs}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if comp[a] > comp[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    comp[a], changed = comp[b], True
+    assert got == comp and len(set(comp.values())) > 3
