@@ -229,7 +229,8 @@ def _apply(df: DataFrame, made, shapes: SHAPES) -> DataFrame:
         return pd.DataFrame({"rule": pd.Series(rule, dtype=object), "verdict": pd.Series(verdict, dtype=object)})
 
     df = df.withColumn("__best", best("host", "path"))
-    # a later part of the list replaces an earlier find only by a longer rule
-    wins = F.col("__best.rule").isNotNull() & (F.col("rule").isNull() | (F.length("__best.rule") > F.length("rule")))
+    # a later part of the list replaces an earlier find as inside a part: by a longer rule, or one as long with a longer host
+    rank = lambda c: F.struct(F.length(c), F.when(F.instr(c, "/") == 0, F.length(c)).otherwise(F.instr(c, "/")))      # noqa: E731
+    wins = F.col("__best.rule").isNotNull() & (F.col("rule").isNull() | (rank(F.col("__best.rule")) > rank(F.col("rule"))))
     return (df.withColumn("verdict", F.when(wins, F.col("__best.verdict")).otherwise(F.col("verdict")))
             .withColumn("rule", F.when(wins, F.col("__best.rule")).otherwise(F.col("rule"))).drop("__best"))

@@ -75,3 +75,17 @@ def test_empty(spark):
     none = spark.createDataFrame([(None, "allow"), ("org/", None), ("org/", "allow"), ("org/", "block")], "rule string, verdict string")
     got = url_filter.judge(spark.createDataFrame([(1, "http://org/")], "page_id long, url string"), none).first()
     assert (got["rule"], got["verdict"]) == ("org/", "block")
+
+
+def test_ties_do_not_depend_on_the_parts(spark):
+    """Rules as long as each other: the longer host wins, however the list is cut."""
+    rules = [("a.b.com/", "block"), ("b.com/xx", "allow"), ("c.net", "block"), ("net/abc", "allow")] + [(f"f{i}.org/", "allow") for i in range(300)]
+    urls = ["http://a.b.com/xx", "http://b.com/xx", "http://x.a.b.com/xx/y", "http://c.net/abc", "http://d.net/abc"]
+    want = None
+    for max_bytes in (64 << 20, 400, 200, 100, 60):
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        got = url_filter.judge(pages, spark.createDataFrame(rules, "rule string, verdict string"), max_bytes=max_bytes).collect()
+        got = sorted((r["page_id"], r["rule"], r["verdict"]) for r in got)
+        want = want or got
+        assert got == want, max_bytes
+    assert [r for _, r, _ in want] == ["a.b.com/", "b.com/xx", "a.b.com/", want[3][1], "net/abc"]
