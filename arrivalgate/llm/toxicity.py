@@ -7,9 +7,11 @@ prefixes of 3 to 6 letters. The machine scores it as
 
 so pairs of terms (an insult and the mention of a group) add what a linear
 model cannot. It is trained on a bounded sample of labelled documents in two
-passes: a pass with a strong L1 penalty that selects terms, and a pass without
-it on the selected terms that speak for toxicity, so the thousands of other
-words of a long text add nothing.
+passes: a pass with a strong L1 penalty on weights and factors that selects terms,
+and a pass without it on the selected terms, so the thousands of other words of a
+long text add nothing. Selected are the terms that speak for toxicity by themselves
+and all whose weight or factors stand out, whatever their sign: a term that only
+makes another one toxic, or harmless, has no positive weight of its own.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ WORD = re.compile(r"[^\W\d_]+")
 BITS = 18
 PREFIXES = (3, 4, 5, 6)
 CACHE_WORDS = 400_000
+STANDS_OUT = 0.1        # share of the greatest |weight| + |factors|
 
 
 def word_terms(word: str) -> list[int]:
@@ -117,6 +120,12 @@ def _train(term: np.ndarray, ends: np.ndarray, y: np.ndarray, keys: np.ndarray,
     return w, v, b
 
 
+def select(keys: np.ndarray, w: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The terms that the second pass is trained on."""
+    size = np.abs(w) + np.sqrt((v ** 2).sum(axis=1))
+    return keys[(w > 0) | (size > STANDS_OUT * size.max(initial=0))]
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 3000, folds: int = 5,
         held_out: int = 0, rank: int = 4, l1: float = 4e-3, min_docs: int = 3, id_col: str = "doc_id",
         text_col: str = "text") -> Machine:
@@ -141,8 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     ends = np.concatenate([[0], np.cumsum([len(t) for t in rows["t"]])])
     keys = np.flatnonzero(np.bincount(term, minlength=1 << BITS) >= min_docs)
     positive = min(3.0, (len(y) - y.sum()) / y.sum())
-    w, _, _ = _train(term, ends, y, keys, rank, 10, l1, 1e-4, positive)
-    chosen = keys[w > 0]
+    chosen = select(keys, *_train(term, ends, y, keys, rank, 10, l1, 1e-4, positive)[:2])
     if not len(chosen):
         return none
     w, v, b = _train(term, ends, y, chosen, rank, 8, 0.0, 1e-3, positive)

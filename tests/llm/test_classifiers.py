@@ -195,3 +195,22 @@ def test_every_language_has_a_limit_of_its_own(spark):
     train = np.array([zlib.crc32(str(i).encode()) % 3 != 1 for i, *_ in docs])
     for j in range(1, len(fitted.langs)):
         assert abs(fitted.limit[j] - 1.5 * h[train & (own == j), j].max()) < 1e-9
+
+
+@pytest.mark.parametrize("rule", ["insult and group", "insult and not group"])
+def test_fit_learns_pairs(spark, rule):
+    """Through the whole fit: a label that no single term decides, in texts of random words."""
+    rng = random.Random(11)
+    common = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(300)]
+    docs, labels = [], []
+    for i in range(1500):
+        words = [rng.choice(common) for _ in range(6)]
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        words += ["zinsult"] * insult + ["qgroup"] * group
+        rng.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(insult and (group if rule == "insult and group" else not group))))
+    got = toxicity.classify(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [r for r in got if r["held_out"]]
+    truth = dict(labels)
+    assert len(held) > 200 and sum(r["predicted"] == truth[r["doc_id"]] for r in held) > 0.95 * len(held)
