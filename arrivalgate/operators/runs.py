@@ -11,7 +11,7 @@ size asks for (see ``skew``), so one that holds a third of all steps is spread.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivalgate.functions import text as T
@@ -146,36 +146,25 @@ OUTCOME_COLS = ["run_id", "rule", "execution_status", "report_status", "error_me
                 "n_skipped"]
 
 
-def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None,
-                  per_task: int = ROWS_PER_TASK) -> DataFrame:
+def fold_attempts(attempts: DataFrame, limit: int, keys: list[str] | None = None) -> DataFrame:
     """Up to ``limit`` attempts per step, success at the first non-failed
     attempt (by start, then sequence); attempts after a success are ignored.
 
-    Exact without ranking a group in one task: the first success per step is a
-    grouped min; the attempts before it are counted in the join of attempts
-    with that one value. The join is on (step, part), with as many parts as the
-    step's attempts ask for, so a step that holds a third of all attempts is
-    spread; the counts are added up per step. A step completes iff fewer than
-    ``limit`` attempts precede its first success.
+    Only a step's first ``limit`` attempts decide, so only these are ranked: Spark
+    keeps at most ``limit`` rows per step in each task before it shuffles (the limit
+    on ``row_number`` is pushed into the window), and the number of attempts is
+    a count reduced map-side. However many attempts a hot step has, it sends a
+    few rows per task. Of attempts with one start and sequence a success comes first.
     """
     keys = keys or ["step_id", "batchrundate"]
-    key = F.struct("started", "seq")
     ok = F.coalesce(F.col("status") != FAILED_ST, F.lit(False))
-    firsts = attempts.groupBy(*keys).agg(F.min(F.when(ok, key)).alias("_first_ok"),
-                                         F.count(F.lit(1)).alias("_n"))
-    # One join and one aggregate: the per-step values ride along as
-    # fixed-width fields (the same in every row of a step), so the second
-    # aggregate stays a hash aggregate and nothing is joined back.
-    fo = F.col("_first_ok")
-    dealt = deal(attempts.select(*keys, key.alias("_k")), firsts, keys, "_n", F.xxhash64("_k"), per_task)
-    known = each_part(firsts.select(*keys, fo.isNotNull().alias("_has_ok"), fo["started"].alias("_ok_t"),
-                                    fo["seq"].alias("_ok_s"), "_n"), "_n", per_task)
-    df = (dealt.join(known, [*keys, PART])
-          .groupBy(*keys)
-          .agg(F.count_if(F.col("_has_ok") & (F.struct("_ok_t", "_ok_s") > F.col("_k"))).alias("_n_before"),
-               F.bool_or("_has_ok").alias("_has_ok"), F.max("_n").alias("attempts_recorded")))
-    completed = F.col("_has_ok") & (F.col("_n_before") < limit)
-    used = F.when(completed, F.col("_n_before") + 1).otherwise(F.least(F.col("attempts_recorded"), F.lit(limit)))
+    order = Window.partitionBy(*keys).orderBy("started", "seq", F.col("_ok").desc())
+    head = (attempts.select(*keys, "started", "seq", ok.alias("_ok")).withColumn("_nth", F.row_number().over(order))
+            .where(F.col("_nth") <= limit).groupBy(*keys).agg(F.min(F.when(F.col("_ok"), F.col("_nth"))).alias("_ok_at")))
+    all_ = attempts.groupBy(*keys).agg(F.count(F.lit(1)).alias("attempts_recorded"))
+    df = all_.join(head.select(*[F.col(k).alias(f"_{k}") for k in keys], "_ok_at"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    completed = F.col("_ok_at").isNotNull()
+    used = F.when(completed, F.col("_ok_at")).otherwise(F.least(F.col("attempts_recorded"), F.lit(limit)))
     return df.select(*keys, F.when(completed, COMPLETED).otherwise(FAILED).alias("final_state"),
                      used.cast("bigint").alias("attempts_used"), "attempts_recorded")
 

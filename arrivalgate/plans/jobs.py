@@ -21,10 +21,12 @@ from arrivalgate.operators.loadstate import LoadState
 from arrivalgate.session import materialize
 from arrivalgate.sources import sinks
 from arrivalgate.sources.dated import DatedTable
+from arrivalgate.sources.named import NamedTables
 from arrivalgate.sources.once import AppendOnce
 
 
-def _states(t: dict, cal: DataFrame, facts: DataFrame, scripts: DataFrame | None, spdst_rule: str, metadata_prefix: str) -> DataFrame:
+def _states(t: dict, cal: DataFrame, facts: DataFrame, scripts: DataFrame | None, spdst_rule: str, metadata_prefix: str,
+            curated: NamedTables | None) -> DataFrame:
     """The states of both triggers' files, from one pass over the inputs."""
     pf = FS.trigger_files(t["expected_files"], spdst_rule)
     expected, posts = FS.expected_by_date(cal, pf), FS.name_posts(pf)
@@ -34,10 +36,12 @@ def _states(t: dict, cal: DataFrame, facts: DataFrame, scripts: DataFrame | None
     receipts = FS.received_flags(FS.restrict_to_dates(t["landing"], cal), expected, metadata_prefix, posts)
     refd = None
     if spdst_rule == "legacy":
-        refs = FS.restrict_to_dates(t["curated_ref"], cal) if "curated_ref" in t else None
-        if refs is None:
-            raise ValueError("the legacy rule needs curated_ref")
-        refd = FS.reference_dates(pub, log, refs, posts)
+        if curated is not None:
+            refd = FS.reference_dates_named(pub, log, curated, posts)
+        elif "curated_ref" in t:
+            refd = FS.reference_dates(pub, log, FS.restrict_to_dates(t["curated_ref"], cal), posts)
+        else:
+            raise ValueError("the legacy rule needs curated_ref or curated_tables")
     return FS.trigger_states(expected, pub, receipts, facts, refd)
 
 
@@ -57,7 +61,7 @@ def trigger_cycle(t: dict[str, DataFrame], batch_dates: DataFrame, now: Column,
                   legacy_delay_window: tuple | None = None, legacy_delay_step: dict | None = None,
                   today=None, report_now=None, load_state: LoadState | None = None,
                   log_table: DatedTable | None = None, messages: AppendOnce | None = None,
-                  requests: AppendOnce | None = None) -> dict[str, str]:
+                  requests: AppendOnce | None = None, curated_tables: NamedTables | None = None) -> dict[str, str]:
     """Evaluate both triggers for the given batch dates and write their outputs.
 
     ``batch_dates`` (column ``batchrundate``) are the days to evaluate, today's
@@ -99,7 +103,7 @@ def trigger_cycle(t: dict[str, DataFrame], batch_dates: DataFrame, now: Column,
         facts, scripts = load_state.facts(days), load_state.scripts(days)
     facts = materialize(facts)
     windows = S.expected_window(t["schedule"], cal)
-    states = _states(t, cal, facts, scripts, spdst_rule, metadata_prefix)
+    states = _states(t, cal, facts, scripts, spdst_rule, metadata_prefix, curated_tables)
     # One action: the decisions of both triggers (with the failed files the
     # alerts need), stored in the shared folder; every output reads them.
     decisions = materialize(G.decide_both(windows, t["trigger_log"], FS.readiness(states, "each"), busy,

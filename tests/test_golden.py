@@ -1,5 +1,6 @@
 """Golden cases taken from the sample values in the reference's comments."""
 
+import re
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -236,9 +237,8 @@ def test_hot_run_and_hot_step_are_spread(spark):
     att = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("step_id"),
                                     F.to_date(F.lit("2024-01-15")).alias("batchrundate"), t.alias("started"), F.col("id").alias("seq"),
                                     F.when(F.col("id") < 21, "FAILED").otherwise("FINISHED").alias("status"))
-    for per_task in (500, 1_000_000):
-        r = R.fold_attempts(att, 8, per_task=per_task).where("step_id = 0").first()
-        assert (r.final_state, r.attempts_used, r.attempts_recorded) == ("Completed", 8, 10000)
+    r = R.fold_attempts(att, 8).where("step_id = 0").first()
+    assert (r.final_state, r.attempts_used, r.attempts_recorded) == ("Completed", 8, 10000)
     r = R.fold_attempts(att, 7).where("step_id = 0").first()
     assert (r.final_state, r.attempts_used) == ("Failed", 7)
 
@@ -260,3 +260,20 @@ def test_parts_of_a_run_add_up_without_another_shuffle(spark):
         assert len(by_part) == 2, lines         # the join's two sides; adding up the parts needs none of its own
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_hot_step_sends_a_few_rows_per_task(spark):
+    """The limit on attempts reaches the tasks before the shuffle; ties of start and sequence count the success first."""
+    t = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    att = spark.range(0, 20000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("step_id"), F.to_date(F.lit("2024-01-15")).alias("batchrundate"),
+        t.alias("started"), (F.col("id") / 2).cast("long").alias("seq"), F.when(F.col("id") == 9, "FINISHED").otherwise("FAILED").alias("status"))
+    got = R.fold_attempts(att, 4)
+    r = got.where("step_id = 0").first()
+    assert (r.final_state, r.attempts_used, r.attempts_recorded) == ("Completed", 4, 6667)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit .*, 4, Partial", plan) and plan.index("Final") < plan.index("Partial")
+    tie = spark.sql("select 1 step_id, date'2024-01-15' batchrundate, timestamp_ntz'2024-01-15 00:00:00' started, 5 seq, explode(array('FAILED', 'FINISHED')) status"
+                    " union all select null, date'2024-01-15', timestamp_ntz'2024-01-15 00:00:00', 6, 'FINISHED'")
+    rows = {x.step_id: (x.final_state, x.attempts_used, x.attempts_recorded) for x in R.fold_attempts(tie, 3).collect()}
+    assert rows == {1: ("Completed", 1, 2), None: ("Completed", 1, 1)}

@@ -140,3 +140,17 @@ def test_a_repeated_cycle_sends_each_message_once(spark, scratch, monkeypatch):
             want = spark.read.parquet(full[kind])
             assert _rows(table.read().select(*want.columns)) == _rows(want)
     assert notes.read().count() > 0
+
+
+def test_legacy_cycle_on_curated_tables_of_their_own(spark, scratch):
+    from arrivalgate.sources.named import NamedTables, in_folder
+    ct = ControlTables(spark, SF)
+    t = _tables(ct)
+    more = {"spdst_rule": "legacy", "legacy_delay_window": P.LEGACY_DELAY_WINDOW, "legacy_delay_step": {"months": 1}, "today": P.TODAY, "report_now": P.NOW}
+    one = _job(spark, t, ct.d_batch_dates, os.path.join(scratch, "one"), **more)
+    tables = NamedTables(spark, in_folder(spark, ct.folders_of("d_curated_ref", "table_name"), "table_name="))
+    own = _job(spark, {k: v for k, v in t.items() if k != "curated_ref"}, ct.d_batch_dates, os.path.join(scratch, "own"), curated_tables=tables, **more)
+    for kind in one:
+        assert _rows(spark.read.parquet(own[kind])) == _rows(spark.read.parquet(one[kind])), kind
+    legacy = spark.read.parquet(own["decisions"]).where("report_source = 'SPDST'")
+    assert _rows(legacy) == _rows(Q.q26_decide_legacy(spark, SF).select(*legacy.columns))
