@@ -4,7 +4,9 @@ The tree is fitted on a bounded sample and sent to the tasks; every vector is
 put into its leaf. A query walks the tree best bin first: a priority queue of
 nodes ordered by closeness to the query yields leaves, and the first V of them
 are searched. V is widened until a calibration set of queries, compared with
-all rows in blocks, finds the wanted share of its true neighbours.
+all rows in blocks, finds the wanted share of its true neighbours. Equal
+vectors are one vector with its smallest ids: tree, search and audit see it
+once, however many rows have it.
 """
 
 from __future__ import annotations
@@ -153,7 +155,8 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, recall: float =
     component and rows with a null id take no part; vectors are compared with
     those of their own length, every length with a tree of its own; equal scores go to the smaller
     id; rows that repeat an id are candidates of their own, and each is a
-    query (with the same id) if its id is divisible; fewer candidates than
+    query (with the same id) if its id is divisible; equal vectors are
+    searched once and give their ``k`` smallest ids; fewer candidates than
     ``k`` are all returned; an empty table gives an empty result.
     """
     spark = embeddings.sparkSession
@@ -176,7 +179,14 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
     """``query_id``, ``rank``, ``id``, ``score`` over the usable vectors (nid, id, raw) of one length; None without a query."""
     spark = rows.sparkSession
     scratch = Scratch(spark, "ann")
-    fit = rows.orderBy(F.xxhash64("id", F.lit(17)), "nid").limit(sample_rows).select("raw").toPandas()
+    # equal vectors are one: the row with the smallest id stands for all; k + 1 ids, one of which may be a query's own, are
+    # all that a result can show of them (every task keeps no more before the shuffle)
+    place = F.row_number().over(W.partitionBy("raw").orderBy("id", "nid"))
+    least = rows.withColumn("r", place).where(F.col("r") <= k + 1).groupBy("raw").agg(
+        F.sort_array(F.collect_list(F.struct("id", "nid"))).alias("m"))
+    vectors = scratch.save(least.select(F.col("m")[0]["nid"].alias("nid"), F.col("m")[0]["id"].alias("id"), "raw",
+                                        F.col("m.id").alias("ids"), F.col("m.nid").alias("nids")), "vectors")
+    fit = vectors.orderBy(F.xxhash64("id", F.lit(17)), "nid").limit(sample_rows).select("raw").toPandas()
     tree = Tree(unit(matrix(fit["raw"], size)), branch, leaf_rows)
     sent = spark.sparkContext.broadcast(tree)
 
@@ -184,7 +194,7 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
     def leaf_of(raw: pd.Series) -> pd.Series:
         return pd.Series(sent.value.place(unit(matrix(raw, size)))) if len(raw) else pd.Series([], dtype="int32")
 
-    placed = scratch.save(rows.withColumn("leaf", leaf_of("raw")), "placed")
+    placed = scratch.save(vectors.withColumn("leaf", leaf_of("raw")), "placed")
     counts = np.zeros(tree.leaves, np.int64)
     for r in placed.groupBy("leaf").count().collect():       # one row per leaf of the bounded tree
         counts[r["leaf"]] = r["count"]
@@ -192,7 +202,10 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
     bin_of = ((np.cumsum(counts) - counts) // BIN_ROWS).astype(np.int64)
     first = {int(b): int(np.flatnonzero(bin_of == b)[0]) for b in np.unique(bin_of)}
     in_bin = {int(b): int(counts[bin_of == b].sum()) for b in np.unique(bin_of)}
-    queries = placed.where(F.col("id") % every == 0)
+    asking = rows.where(F.col("id") % every == 0).join(vectors.select("raw", F.col("nid").alias("query")), "raw")
+    asking = scratch.save(asking.select("query", F.col("id").alias("query_id"), F.col("nid").alias("own")), "asking")
+    queries = placed.join(asking.select(F.col("query").alias("nid")).distinct(), "nid", "left_semi")
+    queries = scratch.save(queries, "queries")
     chosen = queries.orderBy(F.xxhash64("id", F.lit(29)), "nid").limit(calibration).select("nid", "raw").toPandas()
     if not len(chosen):
         return None
@@ -200,8 +213,8 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {"nid": [], "id": [], "raw": [], "bin": [], "leaves": []}
-            for nid, id_, raw, q in zip(pdf["nid"], pdf["id"], pdf["raw"], unit(matrix(pdf["raw"], size)) if len(pdf) else []):
+            out = {"nid": [], "raw": [], "bin": [], "leaves": []}
+            for nid, raw, q in zip(pdf["nid"], pdf["raw"], unit(matrix(pdf["raw"], size)) if len(pdf) else []):
                 bins: dict[int, list[int]] = {}
                 rows_seen = 0
                 for n, leaf in enumerate(sent.value.visit(q)):
@@ -210,11 +223,11 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
                     rows_seen += int(counts[leaf])
                     bins.setdefault(int(bin_of[leaf]), []).append(leaf)
                 for b, leaves in bins.items():      # at most one row per query and bin
-                    for name, value in zip(out, (nid, id_, raw, b, leaves)):
+                    for name, value in zip(out, (nid, raw, b, leaves)):
                         out[name].append(value)
             yield pd.DataFrame(out)
 
-    asked = queries.select("nid", "id", "raw").mapInPandas(walk, "nid long, id long, raw array<double>, bin int, leaves array<int>")
+    asked = queries.select("nid", "raw").mapInPandas(walk, "nid long, raw array<double>, bin int, leaves array<int>")
     # one row per leaf of the bounded tree
     plan = spark.createDataFrame([(i, int(b), max(1, -(-in_bin[int(b)] // BIN_ROWS))) for i, b in enumerate(bin_of)],
                                  "leaf int, bin int, parts int")
@@ -226,7 +239,7 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query": [], "query_id": [], "id": [], "nid": [], "score": []})
+            return pd.DataFrame({"query": [], "id": [], "nid": [], "score": [], "ids": [], "nids": []})
         q_raw, x_raw = matrix(left["raw"], size), matrix(right["raw"], size)
         low = first[int(left["bin"].iloc[0])]
         at = right["leaf"].to_numpy() - low
@@ -235,13 +248,27 @@ def _nearest(rows: DataFrame, size: int, k: int, every: int, recall: float, samp
             seen[i, np.asarray(leaves) - low] = True
         qi, ids, score, nids = _best(unit(q_raw), q_raw, left["nid"].to_numpy(), unit(x_raw), x_raw, right["nid"].to_numpy(),
                                      right["id"].to_numpy(), k, seen, at)
-        return pd.DataFrame({"query": left["nid"].to_numpy()[qi], "query_id": left["id"].to_numpy()[qi], "id": ids, "nid": nids, "score": score})
+        at = pd.Index(right["nid"]).get_indexer(nids)
+        return pd.DataFrame({"query": left["nid"].to_numpy()[qi], "id": ids, "nid": nids, "score": score,
+                             "ids": right["ids"].to_numpy()[at], "nids": right["nids"].to_numpy()[at]})
 
-    found = asked.groupBy("bin", "part").cogroup(stored.select("nid", "id", "raw", "leaf", "bin", "part").groupBy("bin", "part")) \
-        .applyInPandas(search, "query long, query_id long, id long, nid long, score double")
+    @F.pandas_udf("double")
+    def itself(raw: pd.Series) -> pd.Series:
+        x = matrix(raw, size)
+        return pd.Series(cosine(x, x) if len(x) else [], dtype=float)
+
+    found = asked.groupBy("bin", "part").cogroup(stored.select("nid", "id", "raw", "leaf", "ids", "nids", "bin", "part").groupBy("bin", "part")) \
+        .applyInPandas(search, "query long, id long, nid long, score double, ids array<long>, nids array<long>")
     order = W.partitionBy("query").orderBy(F.desc("score"), "id", "nid")
-    top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return top.select("query_id", "rank", "id", "score")
+    top = found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).select("query", "score", "ids", "nids")
+    top = top.union(queries.select("nid", itself("raw"), "ids", "nids"))      # the query's own equals
+    # at most (k + 1) ids of k + 1 vectors a query vector, for all rows that ask with it
+    rows_of = F.transform(F.arrays_zip("ids", "nids"), lambda x: F.struct(
+        (-F.col("score")).alias("s"), x["ids"].alias("id"), x["nids"].alias("nid")))
+    lists = top.groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list(rows_of))), 1, k + 1).alias("best"))
+    others = F.slice(F.filter("best", lambda x: x["nid"] != F.col("own")), 1, k)
+    out = asking.join(lists, "query").select("query_id", F.posexplode(others).alias("p", "x"))
+    return out.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.id").alias("id"), (-F.col("x.s")).alias("score"))
 
 
 def _widen(tree: Tree, placed: DataFrame, chosen: pd.DataFrame, size: int, k: int, recall: float) -> int:

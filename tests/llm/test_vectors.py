@@ -122,6 +122,35 @@ def test_nearest_of_odd_tables(spark):
     assert len([g for g in got if g["query_id"] == 1000]) == 5
 
 
+def test_nearest_where_a_third_of_the_rows_are_equal(spark):
+    """Equal rows ask and answer as rows of their own, and are searched once."""
+    r = np.random.default_rng(11)
+    x = np.concatenate([r.normal(size=(400, 16)), np.tile(r.normal(size=16), (300, 1)), r.normal(size=(100, 16))])
+    x[20:30] = x[10:20]
+    x[30:40] = 2 * x[10:20]
+    rows = [(int(i), v.tolist()) for i, v in zip(r.permutation(len(x)), x)] + [(10, x[5].tolist()), (10, x[5].tolist())]
+    got = {}
+    for g in ann.nearest(frame(spark, rows), 5, 10, sample_rows=300, leaf_rows=8, recall=1.0).collect():
+        got.setdefault(g["query_id"], []).append((g["rank"], g["vec_id"], g["score"]))
+    u = unit(np.array([v for _, v in rows]))
+    ids = np.array([i for i, _ in rows])
+    hit = total = 0
+    for q in np.flatnonzero(ids % 10 == 0):
+        same = got[ids[q]]
+        assert sorted(rank for rank, _, _ in same) == sorted(list(range(1, 6)) * (ids == ids[q]).sum())
+        if (ids == ids[q]).sum() == 1:
+            sim = np.round(u @ u[q], 12)
+            sim[q] = -3
+            want = [int(ids[i]) for i in np.lexsort((ids, -sim))[:5]]
+            have = [(i, s) for _, i, s in sorted(same)]
+            assert have == sorted(have, key=lambda h: (-h[1], h[0]))
+            hit += len(set(want) & {i for i, _ in have})
+            total += 5
+            if 400 <= q < 700:
+                assert [i for i, _ in have] == want and all(abs(s - 1) < 1e-12 for _, s in have)
+    assert hit >= 0.97 * total
+
+
 def _descended(spark, x, **options):
     """(u, v) found by the descent itself, at cosine 0.95."""
     df = spark.createDataFrame([(i, v.tolist(), 0.95 - nndescent.SLACK) for i, v in enumerate(unit(x))], "nid long, v array<double>, wide double")
