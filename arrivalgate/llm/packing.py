@@ -6,7 +6,9 @@
    best-fit decreasing over the counts. Equal bins are one entry, so the plan
    has a few rows per length whatever the number of documents is.
 3. Place: rank the pieces within their length and join the rank with the
-   plan's ranges; the rank gives the sequence and the offset in it.
+   plan's ranges; the rank gives the sequence and the offset in it. Every task
+   numbers its own pieces per length while they are stored, and one number per
+   task and length shifts them, so that the ids are not shuffled.
 """
 
 from __future__ import annotations
@@ -22,13 +24,16 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from arrivalgate.llm.common import Scratch, buckets_for, rank_in_groups, ship
+from arrivalgate.llm.common import Scratch, ship
 
 VOCABULARY = "byte_bpe_50k.json"
 CACHE_UNITS = 250_000  # about 50 MB a worker
 SPACE_RUN = re.compile(r" \s")
+SHIFT_TASKS = 4_000     # tasks whose sums per length (about 24 kB each) are broadcast; those of more are joined by a shuffle
 CUT_RUN = re.compile(r"\s \s|\s \Z")
 
 
@@ -186,32 +191,67 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(piece_rows: DataFrame, capacity: int = 2048, length_col: str = "length",
-         order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def numbered(piece_rows: DataFrame, length_col: str, capacity: int) -> DataFrame:
+    """Add ``__part`` (the task) and ``__nth`` (from 0, among the task's rows of that
+    length). Only meaningful once stored: a plan that runs again may deal rows anew."""
+    at = piece_rows.columns.index(length_col)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in piece_rows.schema.fields]
+                          + [T.StructField("__part", T.IntegerType()), T.StructField("__nth", T.LongType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
+        for batch in batches:
+            n = batch.column(at).fill_null(0).to_numpy(zero_copy_only=False)
+            n = np.where((n < 1) | (n > capacity), 0, n)        # refused by ``pack``
+            order = np.argsort(n, kind="stable")
+            kinds, first, count = np.unique(n[order], return_index=True, return_counts=True)
+            nth = np.empty(len(n), np.int64)
+            nth[order] = np.arange(len(n)) - np.repeat(first - seen[kinds], count)
+            seen[kinds] += count
+            own = [pa.array(np.full(len(n), part, np.int32)), pa.array(nth)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=schema.names)
+
+    return piece_rows.mapInArrow(number, schema)
+
+
+def pack(piece_rows: DataFrame, capacity: int = 2048, length_col: str = "length", shift_tasks: int = SHIFT_TASKS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to every row; all other columns pass along.
 
     Rows are placed in as few sequences of ``capacity`` as best-fit decreasing
     finds; offsets are gapless from 0 in every sequence. ``piece_rows`` is
-    stored once (tokenising is not repeated). Lengths must lie in 1 to
-    ``capacity``; other rows raise an error. An empty table gives an empty result.
+    stored once (tokenising is not repeated) and no row of it is shuffled: a
+    row's rank within its length is its number in the task that stored it plus
+    the rows of that length in the tasks before. Those sums (a row per task, of
+    at most ``capacity`` numbers) are broadcast up to ``shift_tasks`` tasks and
+    joined by a shuffle beyond. Lengths must lie in 1 to ``capacity``; other rows and null lengths
+    raise an error. An empty table gives an empty result.
     """
     spark = piece_rows.sparkSession
     scratch = Scratch(spark, "pack")
-    stored = scratch.save(piece_rows.drop("sequence_id", "offset"), "pieces")
-    hist = {int(r[length_col]): int(r["count"]) for r in stored.groupBy(length_col).count().collect()}
-    if any(n < 1 or n > capacity for n in hist):
+    plain = piece_rows.drop("sequence_id", "offset")
+    stored = scratch.save(numbered(plain, length_col, capacity), "pieces")
+    counts = scratch.save(stored.groupBy("__part", F.col(length_col).cast("long").alias("s_length")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    hist = {r["s_length"]: r["n"] for r in counts.groupBy("s_length").agg(F.sum("n").alias("n")).collect()}
+    if any(n is None or n < 1 or n > capacity for n in hist):
         raise ValueError(f"piece lengths must lie in 1 to {capacity}")
     plan = best_fit_plan(hist, capacity)
     schema = "p_length long, p_rank long, p_ranks long, p_bin long, p_per long, p_offset long"
-    ranked = rank_in_groups(stored, [length_col], list(order), "__r", buckets_for(max(hist.values(), default=1), least=16))
     # one range per (length, first rank); the range of a rank is found by its place among the length's starts
     by_length = spark.createDataFrame([tuple(map(int, r)) for r in plan], schema).groupBy("p_length").agg(
         F.sort_array(F.collect_list(F.struct("p_rank", "p_ranks", "p_bin", "p_per", "p_offset"))).alias("__ranges"))
+    before = W.partitionBy("s_length").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)      # one row per task
+    shift = counts.select(F.col("__part").alias("s_part"), F.col("s_length").cast("int").alias("s_length"),
+                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    shift = shift.groupBy("s_part").agg(F.map_from_entries(F.collect_list(F.struct("s_length", "base"))).alias("__base"))
+    shift = F.broadcast(shift) if counts.select("__part").distinct().count() <= shift_tasks else shift
+    ranked = stored.join(shift, F.col("__part") == F.col("s_part")) \
+        .withColumn("__r", F.col("__nth") + F.element_at("__base", F.col(length_col).cast("int")))
     got = ranked.join(F.broadcast(by_length), F.col(length_col) == F.col("p_length"))
     got = got.withColumn("__p", F.get(F.filter("__ranges", lambda x: (x["p_rank"] <= F.col("__r")) & (
         F.col("__r") < x["p_rank"] + x["p_ranks"])), F.lit(0)))
     step = F.col("__r") - F.col("__p.p_rank")
-    return got.select(*stored.columns,
+    return got.select(*plain.columns,
                       (F.col("__p.p_bin") + F.floor(step / F.col("__p.p_per")).cast("long")).alias("sequence_id"),
                       (F.col("__p.p_offset") + F.pmod(step, F.col("__p.p_per")) * F.col(length_col)).cast("long").alias("offset"))
 

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from arrivalgate.llm import packing
@@ -93,11 +94,38 @@ def test_empty(spark):
     assert packing.pack(packing.pieces(none)).collect() == []
 
 
-def test_hot_length(spark):
+@pytest.mark.parametrize("shift_tasks", [packing.SHIFT_TASKS, 0])
+def test_hot_length(spark, shift_tasks):
     df = spark.createDataFrame([(i, 0, 10 if i % 3 else 7) for i in range(5000)], "doc_id long, piece int, length long")
-    rows = packing.pack(df, 64).collect()
+    rows = packing.pack(df.repartition(7), 64, shift_tasks=shift_tasks).collect()
     ends = {}
     for x in sorted(rows, key=lambda x: (x["sequence_id"], x["offset"])):
         assert ends.get(x["sequence_id"], 0) == x["offset"]
         ends[x["sequence_id"]] = x["offset"] + x["length"]
     assert max(ends.values()) <= 64 and len(rows) == 5000
+    assert {x["doc_id"] for x in rows} == set(range(5000))
+
+
+def test_ranks_of_stored_rows_are_gapless(spark):
+    r = random.Random(3)
+    sizes = [r.choice([1, 5, 5, 5, 64, r.randint(1, 64)]) for _ in range(4000)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "doc_id long, length int").repartition(5)
+    got = {}
+    for x in packing.numbered(df, "length", 64).collect():
+        got.setdefault((x["__part"], x["length"]), []).append(x["__nth"])
+    assert all(sorted(v) == list(range(len(v))) for v in got.values()) and sum(map(len, got.values())) == 4000
+
+
+def test_places_do_not_shuffle_the_ids(spark):
+    df = spark.createDataFrame([(i, "alpha beta " * (i % 40)) for i in range(200)], "doc_id long, text string")
+    plan = packing.pack(packing.pieces(df, 64), 64)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan     # over the sums per task and length
+    physical = packing.pack(packing.pieces(df, 64), 64)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in physical and "ShuffledHashJoin" not in physical and physical.count("BroadcastHashJoin") == 2
+
+
+@pytest.mark.parametrize("bad", [None, 0, 65])
+def test_lengths_out_of_range(spark, bad):
+    df = spark.createDataFrame([(1, 3), (2, bad)], "doc_id long, length long")
+    with pytest.raises(ValueError):
+        packing.pack(df, 64)
