@@ -108,6 +108,12 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: s
     A null or empty text is the end id alone. Repeated documents give repeated
     pieces. Texts are read whole; one text must fit in a worker's memory.
     """
+    return _cut(docs, capacity, end_id, vocabulary, id_col, text_col, keep_ids, False)
+
+
+def _cut(docs: DataFrame, capacity: int, end_id: int, vocabulary: str | None, id_col: str, text_col: str, keep_ids: bool,
+         number: bool) -> DataFrame:
+    """The rows of ``pieces``; with ``number`` those of ``numbered`` in the same pass, by the same worker."""
     ship(docs.sparkSession)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("piece", T.IntegerType()),
@@ -115,10 +121,13 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: s
               T.StructField("ids_crc32", T.LongType())]
     if keep_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+    if number:
+        fields += [T.StructField("__part", T.IntegerType()), T.StructField("__nth", T.LongType())]
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok = tokenizer(path)
+        part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for pdf in batches:
             rows: dict[str, list] = {f.name: [] for f in fields}
             for doc, text in zip(pdf[id_col], pdf[text_col]):
@@ -135,6 +144,10 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: s
                     rows["ids_crc32"].append(zlib.crc32(raw))
                     if keep_ids:
                         rows["ids"].append(np.frombuffer(raw, dtype="<i4"))
+                    if number:
+                        rows["__part"].append(part)
+                        rows["__nth"].append(seen[size])
+                        seen[size] += 1
                     at, k = at + size, k + 1
             yield pd.DataFrame(rows)
 
@@ -227,10 +240,21 @@ def pack(piece_rows: DataFrame, capacity: int = 2048, length_col: str = "length"
     joined by a shuffle beyond. Lengths must lie in 1 to ``capacity``; other rows and null lengths
     raise an error. An empty table gives an empty result.
     """
-    spark = piece_rows.sparkSession
+    return _placed(numbered(piece_rows.drop("sequence_id", "offset"), length_col, capacity), capacity, length_col, shift_tasks)
+
+
+def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, vocabulary: str | None = None,
+                   id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, shift_tasks: int = SHIFT_TASKS) -> DataFrame:
+    """``pack(pieces(docs))`` with the numbers given by the worker that cuts the texts,
+    so that a task needs one Python worker, not two."""
+    return _placed(_cut(docs, capacity, end_id, vocabulary, id_col, text_col, keep_ids, True), capacity, "length", shift_tasks)
+
+
+def _placed(rows: DataFrame, capacity: int, length_col: str, shift_tasks: int) -> DataFrame:
+    """Store the numbered rows, plan on their counts and add ``sequence_id`` and ``offset``."""
+    spark = rows.sparkSession
     scratch = Scratch(spark, "pack")
-    plain = piece_rows.drop("sequence_id", "offset")
-    stored = scratch.save(numbered(plain, length_col, capacity), "pieces")
+    stored = scratch.save(rows, "pieces")
     counts = scratch.save(stored.groupBy("__part", F.col(length_col).cast("long").alias("s_length")).agg(F.count(F.lit(1)).alias("n")), "counts")
     hist = {r["s_length"]: r["n"] for r in counts.groupBy("s_length").agg(F.sum("n").alias("n")).collect()}
     if any(n is None or n < 1 or n > capacity for n in hist):
@@ -251,7 +275,7 @@ def pack(piece_rows: DataFrame, capacity: int = 2048, length_col: str = "length"
     got = got.withColumn("__p", F.get(F.filter("__ranges", lambda x: (x["p_rank"] <= F.col("__r")) & (
         F.col("__r") < x["p_rank"] + x["p_ranks"])), F.lit(0)))
     step = F.col("__r") - F.col("__p.p_rank")
-    return got.select(*plain.columns,
+    return got.select(*[c for c in stored.columns if c not in ("__part", "__nth")],
                       (F.col("__p.p_bin") + F.floor(step / F.col("__p.p_per")).cast("long")).alias("sequence_id"),
                       (F.col("__p.p_offset") + F.pmod(step, F.col("__p.p_per")) * F.col(length_col)).cast("long").alias("offset"))
 

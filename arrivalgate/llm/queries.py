@@ -32,8 +32,8 @@ def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces of at most 2048 tokens, placed in sequences."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = packing.pieces(docs, 2048, 0, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
-    return packing.pack(rows, 2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    rows = packing.pack_documents(docs, 2048, 0, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

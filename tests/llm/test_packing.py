@@ -85,13 +85,16 @@ def test_documents(spark):
     rows = packing.pack(packing.pieces(df, 64), 64).collect()
     used, least = check(rows, docs, 64)
     assert used <= least * 1.03 + 1
-    full = packing.sequences(packing.pack(packing.pieces(df, 64), 64)).collect()
+    direct = packing.pack_documents(df, 64).collect()
+    assert check(direct, docs, 64) == (used, least) and set(direct[0].asDict()) == set(rows[0].asDict())
+    full = packing.sequences(packing.pack_documents(df, 64)).collect()
     assert sum(len(x["ids"]) for x in full) == sum(x["length"] for x in rows) and max(len(x["ids"]) for x in full) <= 64
 
 
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(packing.pieces(none)).collect() == []
+    assert packing.pack_documents(none).collect() == []
 
 
 @pytest.mark.parametrize("shift_tasks", [packing.SHIFT_TASKS, 0])
