@@ -58,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, ids included, with their places in sequences of 2048 tokens."""
-    return packing.pack(packing.pieces(docs, 2048, 0), 2048)
+    return packing.pack_documents(docs, 2048, 0)
 
 
 STAGES = [
