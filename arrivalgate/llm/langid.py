@@ -250,14 +250,14 @@ def _slices(counts: DataFrame, langs: list[str], max_grams: int) -> Identifier:
     rows = counts.select(number.cast("int").alias("l"), "gram", F.least(F.col("n"), F.lit(2**31 - 1)).cast("int").alias("n"), pair)
     # the lowest orders: distinct left neighbours of each pair that ends a gram
     ends = rows.select("l", F.col("gram").bitwiseAND((1 << (LOW + 1) * BITS) - 1).alias("g")).distinct() \
-        .groupBy("l", F.col("g").bitwiseAND(PAIR).alias("gram")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+        .groupBy("l", F.col("g").bitwiseAND(PAIR).alias("gram")).agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
     low = {int(i): Model(p["gram"].to_numpy(), p["n"].to_numpy(), LOW) for i, p in ends.groupby("l")}
-    sizes = rows.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("pair")
+    sizes = rows.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas().sort_values("pair")
     before = (sizes["n"].cumsum() - sizes["n"]).to_numpy() // max_grams
     starts = sizes["pair"].to_numpy()[np.flatnonzero(np.diff(before, prepend=-1))].astype(np.int64)
     sent = []
     for lo, hi in zip(starts, [*starts[1:], PAIR + 1]):
-        got = rows.where((F.col("pair") >= int(lo)) & (F.col("pair") < int(hi))).drop("pair").toPandas()
+        got = rows.where((F.col("pair") >= int(lo)) & (F.col("pair") < int(hi))).drop("pair").toArrow().to_pandas()
         own = {int(i): Model(p["gram"].to_numpy(), p["n"].to_numpy(), ORDER, low[int(i)]) for i, p in got.groupby("l")}
         sent.append(spark.sparkContext.broadcast([own.get(i, low[i]) for i in range(len(langs))]))
         del got, own
