@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrivalgate.sources import fs
 
@@ -171,9 +172,25 @@ class ControlTables:
         for r in _refs(sql):
             if r == "ntz":
                 continue
-            args[r] = self.derived(r) if r.startswith("d_") else self.base(r)
+            args[r] = self._source(r) if r.startswith("d_") else self._dealt(r) if self.stored else self.base(r)
         return self.spark.sql(sql.replace("{ntz}", "TIMESTAMP_NTZ"), **args)
 
+    def _source(self, name: str) -> DataFrame:
+        """A derived table as another view reads it. The load log is derived row by row, so
+        it is read where it is stored and not stored for this alone."""
+        if name != "d_audit_log" or not self.stored or fs.exists(self.spark, self._path(name) + "/_SUCCESS"):
+            return self.derived(name)
+        return self._view(name)
+
+    def _dealt(self, name: str) -> DataFrame:
+        """A driver table as a stored view reads it: the region catalog broadcast, a table
+        with fewer splits than cores dealt over the cores. What is dealt are the few
+        columns that the view reads, not its rows."""
+        df, cores = self.base(name), self.spark.sparkContext.defaultParallelism
+        if name == "region":
+            return F.broadcast(df)
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     def by_date(self, *names: str, col: str = "batchrundate") -> ControlTables:
         """The same tables, with the named ones stored in a folder per date."""
         out = ControlTables(self.spark, self.sf_dir, self.stored)
@@ -211,13 +228,13 @@ class ControlTables:
         if hit is not None and done:
             return hit
         if not done:
-            # Balanced files, one per core: the stand-in's storage layout.
+            # Written where the view leaves its rows, so the number of tasks grows
+            # with the input and no row is shuffled just to be stored.
             # Written to a private folder, then renamed into place: a
             # concurrent writer of the same table never sees a partial one
             # (the first rename wins, the other copy is left unused).
             tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-            (self._view(name).repartition(self.spark.sparkContext.defaultParallelism)
-             .write.mode("errorifexists").parquet(tmp))
+            self._view(name).write.mode("errorifexists").parquet(tmp)
             fs.rename(self.spark, tmp, path)
         df = self.spark.read.parquet(path)
         ControlTables._frames[fkey] = df
