@@ -91,6 +91,14 @@ def restrict_to_dates(df: DataFrame, cal: DataFrame) -> DataFrame:
     return df.join(F.broadcast(cal.select("batchrundate").distinct()), "batchrundate", "left_semi")
 
 
+def of_files(load_log: DataFrame, files: DataFrame) -> DataFrame:
+    """Only the rows of the log that name an expected file, whatever their region (the
+    failure test has no region condition). The names are broadcast, bounded by the
+    expected-file catalog, so other files' rows are dropped where they are read and
+    neither folded nor shuffled."""
+    return load_log.join(F.broadcast(files.select("filename").distinct()), "filename", "left_semi")
+
+
 # Bits of the load-summary flag mask.
 _CURATED_OK, _FAILED, _EMPTY = 1, 2, 4
 
@@ -153,7 +161,7 @@ def facts_of(summary: DataFrame) -> DataFrame:
 def curated_loaded(load_log: DataFrame, files: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Files with a succeeded curated load, limited to the
     expected files of their region (a semi join; an empty list gives nothing)."""
-    fa = facts if facts is not None else load_facts(load_log, None)
+    fa = facts if facts is not None else load_facts(of_files(load_log, files), None)
     return (fa.select("batchrundate", F.explode("curated_regions").alias("regionname"), "filename")
             .join(files, ["regionname", "filename"], "left_semi").select(*KEY))
 

@@ -34,7 +34,7 @@ def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True,
     expected = FS.expected_by_date(cal, pf)
     log = FS.restrict_to_dates(ct.d_audit_log, cal) if restrict else ct.d_audit_log
     landing = FS.restrict_to_dates(zones(ct), cal) if restrict else zones(ct)
-    facts = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR) if facts is None else facts
+    facts = FS.load_facts(FS.of_files(log, pf), P.FIXTURE_EMPTY_ERROR) if facts is None else facts
     loaded = FS.curated_loaded(log, pf, facts)
     posts = FS.name_posts(pf)
     mapped = FS.map_procedures(loaded, ct.d_sp_map, catalog=pf, posts=posts)
@@ -43,8 +43,10 @@ def file_chain(ct: ControlTables, source: str, rule: str, restrict: bool = True,
     rec = FS.received(landing, expected, match, P.FIXTURE_METADATA_PREFIX, posts)
     failed = FS.failed_processes(log, facts)
     empty = FS.empty_sources(log, P.FIXTURE_EMPTY_ERROR, facts=facts)
-    refs = FS.restrict_to_dates(ct.d_curated_ref, cal) if restrict else ct.d_curated_ref
-    refd = FS.reference_dates(pub, log, refs, posts) if rule == "legacy" else None
+    refd = None
+    if rule == "legacy":
+        refs = FS.restrict_to_dates(ct.d_curated_ref, cal) if restrict else ct.d_curated_ref
+        refd = FS.reference_dates(pub, log, refs, posts)
     states = FS.file_state(expected, pub, rec, failed, empty, refd, rule)
     return {"priority": pf, "calendar": cal, "expected": expected, "loaded": loaded,
             "mapped": mapped, "published": pub, "received": rec, "failed": failed,
