@@ -175,7 +175,7 @@ def both_decisions(ct: ControlTables) -> DataFrame:
     """The decisions of both triggers, from one pass over the inputs."""
     pf, cal = FS.trigger_files(ct.d_file_property), calendar(ct)
     log, landing = (FS.restrict_to_dates(x, cal) for x in (ct.d_audit_log, zones(ct)))
-    facts, posts, expected = FS.load_facts(log, P.FIXTURE_EMPTY_ERROR), FS.name_posts(pf), FS.expected_by_date(cal, pf)
+    facts, posts, expected = FS.load_facts(FS.of_files(log, pf), P.FIXTURE_EMPTY_ERROR), FS.name_posts(pf), FS.expected_by_date(cal, pf)
     mapped = FS.map_procedures(FS.curated_loaded(log, pf, facts), ct.d_sp_map, catalog=pf, posts=posts)
     receipts = FS.received_flags(landing, expected, P.FIXTURE_METADATA_PREFIX, posts)
     states = FS.trigger_states(expected, FS.published(mapped, log), receipts, facts)
