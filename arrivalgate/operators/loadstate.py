@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from arrivalgate.functions import text as T
 from arrivalgate.operators import files as FS
+from arrivalgate.operators.skew import PART, ROWS_PER_TASK, deal
 from arrivalgate.session import ensure_checkpoint_dir, materialize
 from arrivalgate.sources.dated import DatedTable
 
@@ -39,9 +40,13 @@ def fold_rows(load_log: DataFrame, error_text: str | None, suffix: str = FS.DATA
     return rows.groupBy(*STATE_KEY).agg(F.bit_or("_flags").alias("_flags"))
 
 
-def merge_states(state: DataFrame, new: DataFrame) -> DataFrame:
-    """The state of the rows of both."""
-    return state.unionByName(new).groupBy(*STATE_KEY).agg(F.bit_or("_flags").alias("_flags"))
+def merge_states(state: DataFrame, new: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The state of the rows of both, dealt by date as it is stored: one shuffle folds and
+    places them. A date of more than ``per_task`` rows is cut into parts by file and script."""
+    both = state.unionByName(new)
+    days = both.groupBy("batchrundate").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = deal(both, days, ["batchrundate"], "_n", F.xxhash64("filename", "script"), per_task).repartition("batchrundate", PART)
+    return dealt.groupBy(*STATE_KEY, PART).agg(F.bit_or("_flags").alias("_flags")).drop(PART)
 
 
 class LoadState:
@@ -57,7 +62,7 @@ class LoadState:
         """Take in new rows of the load log as ``version``; a version that was taken in
         before (a replay) changes nothing. The rows are read once; what is merged is their fold."""
         if not self.table.committed(version):
-            self.table.update(materialize(fold_rows(new_rows, self.error_text, self.suffix)), merge_states, version)
+            self.table.update(materialize(fold_rows(new_rows, self.error_text, self.suffix)), merge_states, version, placed=True)
 
     def read(self, dates=None) -> DataFrame:
         """The state of all rows seen so far (of the given dates)."""
@@ -68,9 +73,11 @@ class LoadState:
         """``files.published_scripts`` of all rows seen so far (of the given dates)."""
         return self.read(dates).where("script is not null").select(*FS.DAY_REGION, F.col("script").alias("stored_procedure_name"))
 
-    def facts(self, dates=None) -> DataFrame:
-        """``files.load_facts`` of all rows seen so far (of the given dates)."""
-        return FS.facts_of(FS.flags_of(self.read(dates).where("script is null")))
+    def facts(self, dates=None, files: DataFrame | None = None) -> DataFrame:
+        """``files.load_facts`` of all rows seen so far (of the given dates; of the given
+        expected ``files``: the others' rows are not folded)."""
+        rows = self.read(dates).where("script is null")
+        return FS.facts_of(FS.flags_of(rows if files is None else FS.of_files(rows, files)))
 
 
 def fact_rows(facts: DataFrame) -> DataFrame:

@@ -532,7 +532,8 @@ def q54_readiness_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """q18 without the load log: its facts come from the state."""
     ct = ControlTables(spark, sf)
     state = load_state(ct)
-    chain = file_chain(ct, "bmt", "bmt", facts=state.facts(), scripts=state.scripts())
+    facts = state.facts(files=FS.priority_files(ct.d_file_property, "bmt"))
+    chain = file_chain(ct, "bmt", "bmt", facts=facts, scripts=state.scripts())
     return FS.readiness(chain["states"], "bmt").select(*FS.READINESS_COLS)
 
 

@@ -84,15 +84,16 @@ class DatedTable:
 
     # --------------------------------------------------------------- write
 
-    def replace(self, df: DataFrame, version: int, touched: Iterable[dt.date | None] | None = None) -> None:
+    def replace(self, df: DataFrame, version: int, touched: Iterable[dt.date | None] | None = None, placed: bool = False) -> None:
         """Commit ``version``: the dates of ``df`` (and any other ``touched`` ones, which it
-        empties) replace those of the version before; all other dates stay as they are."""
+        empties) replace those of the version before; all other dates stay as they are.
+        ``placed``: the rows of ``df`` are dealt by date already and are not shuffled again."""
         if self.committed(version):
             return
         before = self.newest(version)
         held = self.manifest(before)[1] if before is not None else {}
         # one shuffle by date; a date too large for one task is split by AQE
-        df.hint("rebalance", self.date_col).write.mode("overwrite").partitionBy(self.date_col).parquet(self._data_path(version))
+        (df if placed else df.hint("rebalance", self.date_col)).write.mode("overwrite").partitionBy(self.date_col).parquet(self._data_path(version))
         prefix = f"{self.date_col}="
         wrote = [n[len(prefix):] for n in fs.folders(self.spark, self._data_path(version)) if n.startswith(prefix)]
         wrote = [None if n == NO_DATE else dt.date.fromisoformat(n) for n in wrote]
@@ -107,18 +108,19 @@ class DatedTable:
         self.spark.range(1, numPartitions=1).select(F.lit(text).alias("manifest")).write.parquet(tmp)
         fs.rename(self.spark, tmp, self._manifest_path(version))
 
-    def update(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int) -> None:
+    def update(self, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int, placed: bool = False) -> None:
         """Commit ``version``: ``merge(rows, changes)`` of the dates that ``changes`` holds.
 
         Only these dates are read and written. ``changes`` is read twice (its dates,
         then its rows): give a stored table or a cheap plan. Without a version before,
-        ``merge`` gets an empty table with the columns of ``changes``."""
+        ``merge`` gets an empty table with the columns of ``changes``. ``placed``: ``merge``
+        deals its rows by date."""
         if self.committed(version):
             return
         days = [r[0] for r in changes.select(self.date_col).distinct().collect()]      # bounded by the calendar
         before = self.newest(version)
         rows = self.spark.createDataFrame([], changes.schema) if before is None else self.read(days, before)
-        self.replace(merge(rows, changes), version, days)
+        self.replace(merge(rows, changes), version, days, placed)
 
     def expire(self, keep: int) -> int:
         """Forget all but the newest ``keep`` versions: drop their manifests, then the date

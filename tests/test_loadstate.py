@@ -5,7 +5,7 @@ import os
 import random
 
 from arrivalgate.operators import files as FS
-from arrivalgate.operators.loadstate import LoadState, fact_rows, stream_into
+from arrivalgate.operators.loadstate import LoadState, fact_rows, fold_rows, merge_states, stream_into
 
 SCHEMA = ("batchrundate date, regionname string, filename string, processname string, executionstatus string, "
           "scriptpath string, sourcename string, errormessage string")
@@ -46,6 +46,31 @@ def test_any_order_and_replays(spark, scratch):
         _same(spark, state, rows)
 
 
+def test_merge_folds_and_places_in_one_shuffle(spark, scratch):
+    """Large dates are cut into parts, small and null ones stay whole; each key has one row, and none is shuffled twice."""
+    log = spark.createDataFrame(_log() + [(None,) + r[1:] for r in _log(seed=9)], SCHEMA)
+    for name, part in (("a", log.where("executionstatus = 'Failed'")), ("b", log.where("scriptpath is not null"))):
+        fold_rows(part, "list empty").write.parquet(f"{scratch}/{name}")
+    a, b = (spark.read.parquet(f"{scratch}/{x}") for x in "ab")
+    whole = fold_rows(log.where("executionstatus = 'Failed' or scriptpath is not null"), "list empty")
+    for per_task in (3, 1_000_000):
+        got = merge_states(a, b, per_task)
+        assert got.columns == whole.columns and _rows(got) == _rows(whole)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in x and "processname" in x for x in plan.splitlines()) == 0
+
+
+def test_facts_of_some_files(spark, scratch):
+    rows = _log()
+    state = LoadState(spark, os.path.join(scratch, "s"), "list empty")
+    state.advance(spark.createDataFrame(rows, SCHEMA), 0)
+    files = spark.createDataFrame([("A", "f2"), ("B", "f2"), ("A", "gone")], "regionname string, filename string")
+    some = spark.createDataFrame([r for r in rows if r[2] == "f2"], SCHEMA)
+    assert _rows(fact_rows(state.facts(files=files))) == _rows(fact_rows(FS.load_facts(some, "list empty")))
+    assert _rows(fact_rows(FS.load_facts(FS.of_files(spark.createDataFrame(rows, SCHEMA), files), "list empty"))) \
+        == _rows(fact_rows(FS.load_facts(some, "list empty")))
+
+
 def test_only_touched_dates_are_written(spark, scratch):
     state = LoadState(spark, os.path.join(scratch, "s"), "list empty")
     rows = _log()
