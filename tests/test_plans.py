@@ -67,6 +67,40 @@ def test_days_stored_by_date_are_pruned(spark):
         ControlTables(spark, SF).folders_of("d_audit_log", "batchrundate")).select("batchrundate").distinct().count()
 
 
+def _new_folder(scratch) -> str:
+    """The smallest test data under a name of its own, of which nothing is stored yet."""
+    import os
+    os.symlink(SF, f"{scratch}/in")
+    return f"{scratch}/in"
+
+
+def test_stand_ins_are_stored_where_they_are_derived(spark, scratch, monkeypatch):
+    """No wide row is dealt over a fixed number of tasks to be stored, and the rows are those of the view."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    dealt, repartition = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *a: dealt.append(set(self.columns)) or repartition(self, *a))
+    ct = ControlTables(spark, _new_folder(scratch))
+    for name in ("d_landing", "d_audit_log", "d_run_steps", "d_sp_map"):
+        got, view = ct.derived(name), ControlTables(spark, SF, stored=False).derived(name)
+        assert got.exceptAll(view).isEmpty() and view.exceptAll(got).isEmpty()
+    base = {frozenset(ct.base(t).columns) for t in ("lineitem", "part")}
+    assert all(frozenset(x) in base for x in dealt)
+
+
+def test_listing_does_not_store_the_load_log(spark, scratch):
+    from arrivalgate.sources import fs
+    ct = ControlTables(spark, _new_folder(scratch))
+    Q.zones(ct).count()
+    assert not fs.exists(spark, ct._path("d_audit_log")) and fs.exists(spark, ct._path("d_landing"))
+
+
+def test_only_expected_files_are_folded(spark):
+    """The load log is cut to the expected files before its facts are shuffled."""
+    for name in ("q09_published_files", "q10_unpublished_files", "q15_reference_date_check", "q24_decide_current", "q27_merged_log"):
+        plan = final_plan(E.queries()[name](spark, SF))
+        assert re.search(r"BroadcastHashJoin \[filename#\d+\], \[filename#\d+\], LeftSemi", plan), name
+
+
 def _partitions_read(df) -> list[int]:
     """The number of folders that each pruned scan has read."""
     found, todo = [], [df._jdf.queryExecution().executedPlan()]
