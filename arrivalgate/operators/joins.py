@@ -52,20 +52,22 @@ def contains_join(needles: DataFrame, needle_col: str, haystacks: DataFrame, hay
     are not already in needles.
 
     ``posts``: ``posted`` of a catalog that holds every needle, where several
-    joins look for names of one catalog (Spark then computes it once).
+    joins look for names of one catalog (Spark then computes it once). They are
+    broadcast: two short texts per name of the catalog.
     """
     on = list(on or [])
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     extra = [c for c in haystacks.columns if c not in on and c not in needles.columns] if how == "inner" else []
-    posts = posts if posts is not None else posted(needles, needle_col)
+    catalog, posts = posts, posts if posts is not None else posted(needles, needle_col)
     sizes = F.coalesce(posts.agg(F.collect_set(F.length("__g"))).scalar(), F.array().cast("array<int>"))
     grams = (haystacks.select(F.col(hay_col).alias("__h")).where("__h is not null").distinct()
              .select("__h", F.explode(sizes).alias("__k")).where(F.col("__k") <= F.length("__h"))
              .select("__h", F.explode(_pieces("__h", "__k")).alias("__hg")))
-    # The posts are a shuffle stage of their own: its measured size is what
-    # lets AQE broadcast them instead of shuffling the grams.
-    hit = grams.join(posts, F.col("__hg") == F.col("__g")).where(F.col("__h").contains(F.col("__n"))).select("__h", "__n")
+    # A text has many grams and few of them are posted: with a catalog's posts broadcast
+    # they are dropped where they are made. Posts of needles that no catalog bounds are a
+    # shuffle stage of their own: its measured size lets AQE broadcast them.
+    hit = grams.join(posts if catalog is None else F.broadcast(posts), F.col("__hg") == F.col("__g")).where(F.col("__h").contains(F.col("__n"))).select("__h", "__n")
     # Right side renamed so the join resolves by name even when both sides
     # come from the same table.
     rows = haystacks.select(F.col(hay_col).alias("__t"), *[F.col(c).alias(f"__r_{c}") for c in on],

@@ -109,6 +109,10 @@ SELECT DISTINCT batchrundate, destinationname AS table_name, 'SRC_' || filename
 """,
 }
 
+# Views that make each row from one row of a driver table: that table, and the date of
+# the row by its columns. Rows stored by date are dealt before they are made.
+DATED_ROWS = {("d_audit_log", "batchrundate"): ("lineitem", "CAST(date_trunc('month', l_shipdate) AS DATE)")}
+
 # d_schedule and d_dependency give the same rows as FIXTURES.md's texts; they
 # are written as a UNION ALL per source / job instead of a cross join.
 
@@ -166,20 +170,23 @@ class ControlTables:
             self._cache[name] = self._stored(name) if self.stored else self._view(name)
         return self._cache[name]
 
-    def _view(self, name: str) -> DataFrame:
+    def _view(self, name: str, **given: DataFrame) -> DataFrame:
+        """The rows of a view; ``given``: the driver tables that it reads in another form."""
         sql = DERIVED_SQL[name]
         args = {}
         for r in _refs(sql):
             if r == "ntz":
                 continue
-            args[r] = self._source(r) if r.startswith("d_") else self._dealt(r) if self.stored else self.base(r)
+            args[r] = given[r] if r in given else self._source(r) if r.startswith("d_") else self._dealt(r) if self.stored else self.base(r)
         return self.spark.sql(sql.replace("{ntz}", "TIMESTAMP_NTZ"), **args)
 
     def _source(self, name: str) -> DataFrame:
         """A derived table as another view reads it. The load log is derived row by row, so
-        it is read where it is stored and not stored for this alone."""
-        if name != "d_audit_log" or not self.stored or fs.exists(self.spark, self._path(name) + "/_SUCCESS"):
+        it is read where it is stored (whole or by date) and not stored for this alone."""
+        if name != "d_audit_log" or not self.stored or self._is_stored(name):
             return self.derived(name)
+        if self._is_stored(f"{name}-by-batchrundate"):
+            return self._in_folders(name, "batchrundate")
         return self._view(name)
 
     def _dealt(self, name: str) -> DataFrame:
@@ -195,10 +202,14 @@ class ControlTables:
         """The same tables, with the named ones stored in a folder per date."""
         out = ControlTables(self.spark, self.sf_dir, self.stored)
         for name in names:
-            df = self.derived(name)
-            out._cache[name] = self.spark.read.schema(df.schema).parquet(self.folders_of(name, col)).select(*df.columns)
+            out._cache[name] = self._in_folders(name, col)
         return out
 
+    def _in_folders(self, name: str, col: str) -> DataFrame:
+        """A derived table read from its folders, with the view's columns."""
+        schema = self._unplaced(name).schema
+        return self.spark.read.schema(schema).parquet(self.folders_of(name, col)).select(*schema.names)
+
     def stream(self, name: str) -> DataFrame:
         """A derived table as a stream of its stored files."""
         df = self.derived(name)
@@ -207,12 +218,28 @@ class ControlTables:
     def folders_of(self, name: str, col: str) -> str:
         """The folder that holds a derived table as one parquet folder per value of ``col``."""
         path = self._path(f"{name}-by-{col}")
-        if not fs.exists(self.spark, path + "/_SUCCESS"):
+        if not self._is_stored(f"{name}-by-{col}"):
             tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-            self.derived(name).repartition(col).write.mode("errorifexists").partitionBy(col).parquet(tmp)
+            self._placed(name, col).write.mode("errorifexists").partitionBy(col).parquet(tmp)
             fs.rename(self.spark, tmp, path)
         return path
 
+    def _unplaced(self, name: str) -> DataFrame:
+        """A derived table where it is stored already, else its view: it is not stored whole for its folders alone."""
+        return self.derived(name) if not self.stored or self._is_stored(name) else self._view(name)
+
+    def _placed(self, name: str, col: str) -> DataFrame:
+        """The rows of a derived table dealt by ``col`` in one shuffle (a value too large for
+        one task is split by AQE): those of the driver's table, with the few columns that the
+        view reads, where each makes one row, else the view's own."""
+        if (name, col) in DATED_ROWS and self.stored and not self._is_stored(name):
+            table, date = DATED_ROWS[name, col]
+            return self._view(name, **{table: self.base(table).withColumn(col, F.expr(date)).hint("rebalance", col)})
+        return self._unplaced(name).hint("rebalance", col)
+
+    def _is_stored(self, name: str) -> bool:
+        return fs.exists(self.spark, self._path(name) + "/_SUCCESS")
+
     # (session, folder fingerprint, name) -> DataFrame over the stored table
     _frames: dict[tuple, DataFrame] = {}
 
@@ -223,7 +250,7 @@ class ControlTables:
     def _stored(self, name: str) -> DataFrame:
         fkey = (self.spark.sparkContext.applicationId, _fingerprint(self.spark, self.sf_dir), name)
         path = self._path(name)
-        done = fs.exists(self.spark, path + "/_SUCCESS")
+        done = self._is_stored(name)
         hit = ControlTables._frames.get(fkey)
         if hit is not None and done:
             return hit

@@ -62,3 +62,16 @@ def test_pieces_are_linear_in_the_name(spark):
     sizes = F.explode(F.sequence(F.lit(1), F.lit(joins.GRAM))).alias("k")
     got = spark.createDataFrame([(name,)], "h string").select("h", sizes).select(F.size(joins._pieces("h", "k")).alias("n"))
     assert got.agg(F.sum("n")).first()[0] <= joins.GRAM * len(name)
+
+
+def test_grams_are_not_shuffled_with_a_catalog(spark):
+    """With a catalog's posts the grams of a text are matched where they are made, whatever the session broadcasts by itself."""
+    from arrivalgate.operators.joins import posted
+    n = spark.createDataFrame([("r1", "abcdef"), ("r1", "ab"), ("r2", "fghijk")], "regionname string, filename string")
+    h = spark.createDataFrame([("r1", "xabcdefabcdefx"), ("r1", "xabcdefabcdefx"), ("r2", "yab"), ("r2", None)],
+                              "regionname string, source_filename string")
+    joined = contains_join(n, "filename", h, "source_filename", on=["regionname"], posts=posted(n, "filename"))
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    gram = [line for line in plan.splitlines() if "Join" in line and "__hg#" in line]
+    assert len(gram) == 1 and "BroadcastHashJoin" in gram[0]
+    assert sorted(map(tuple, joined.collect())) == [("r1", "ab", "xabcdefabcdefx")] * 2 + [("r1", "abcdef", "xabcdefabcdefx")] * 2

@@ -94,6 +94,23 @@ def test_listing_does_not_store_the_load_log(spark, scratch):
     assert not fs.exists(spark, ct._path("d_audit_log")) and fs.exists(spark, ct._path("d_landing"))
 
 
+def test_tables_by_date_are_not_stored_whole(spark, scratch, monkeypatch):
+    """Folders by date are written from the view, in one shuffle of what it reads, and hold the view's rows."""
+    from arrivalgate.sources import fs
+    plans, real = [], ControlTables._placed
+    monkeypatch.setattr(ControlTables, "_placed", lambda self, *a: plans.append(real(self, *a)) or plans[-1])
+    names = ("d_audit_log", "d_landing", "d_archive")
+    ct = ControlTables(spark, _new_folder(scratch))
+    by_date = ct.by_date(*names)
+    for name in names:
+        got, view = by_date.derived(name), ControlTables(spark, SF, stored=False).derived(name)
+        assert not fs.exists(spark, ct._path(name)) and got.dtypes == view.dtypes
+        assert got.exceptAll(view).isEmpty() and view.exceptAll(got).isEmpty()
+    log = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    dealt = log[log.index("RebalancePartitions"):]
+    assert "l_partkey" in dealt and "scriptpath" not in dealt and "l_extendedprice" not in dealt.split("Relation")[0]
+
+
 def test_only_expected_files_are_folded(spark):
     """The load log is cut to the expected files before its facts are shuffled."""
     for name in ("q09_published_files", "q10_unpublished_files", "q15_reference_date_check", "q24_decide_current", "q27_merged_log"):
