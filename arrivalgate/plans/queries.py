@@ -68,7 +68,8 @@ def q07_curated_loaded(spark: SparkSession, sf: str) -> DataFrame:
 
 def q08_file_procedure(spark: SparkSession, sf: str) -> DataFrame:
     ct = ControlTables(spark, sf)
-    return FS.file_procedures(FS.priority_files(ct.d_file_property, "bmt"), ct.d_sp_map)
+    pf = FS.priority_files(ct.d_file_property, "bmt")
+    return FS.file_procedures(pf, ct.d_sp_map, FS.name_posts(pf))
 
 
 def q09_published_files(spark: SparkSession, sf: str) -> DataFrame:
