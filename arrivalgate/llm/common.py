@@ -52,9 +52,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/arrivalgate-llm/{label}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**(options or {})).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -196,3 +196,48 @@ def test_every_length_is_compared_with_its_own(spark):
     assert all(size[g["query_id"]] == size[g["vec_id"]] for g in near)
     assert {g["query_id"] for g in near} == {d for d, _ in rows if d and d % 10 == 0}
     assert {(g["query_id"], g["vec_id"]) for g in near if g["rank"] == 1} >= {(110, 10), (120, 20), (130, 30), (300, 200)}
+
+
+def _partners(r, x, cos):
+    away = r.normal(size=x.shape)
+    away = unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+    return cos * x + np.sqrt(1 - cos * cos) * away
+
+
+def test_rare_links_are_audited_without_comparing_all_with_all(spark, monkeypatch):
+    r = np.random.default_rng(21)
+    x = unit(r.normal(size=(5000, 32)))
+    x[4980:] = _partners(r, x[:20], 0.96)
+    asked, scan = [], nndescent._scan
+    monkeypatch.setattr(nndescent, "_scan", lambda slim, queries, *a: asked.append(len(queries)) or scan(slim, queries, *a))
+    got = _descended(spark, x)
+    assert {(i, 4980 + i) for i in range(20)} <= got
+    assert all(0 <= u < v < 5000 for u, v in got)       # planted vectors are not returned
+    assert 0 < sum(asked) <= 2000
+
+
+def test_sketches_are_added_until_the_audit_finds_the_links(spark):
+    r = np.random.default_rng(22)
+    x = unit(r.normal(size=(2500, 32)))
+    x = np.concatenate([x, _partners(r, x, 0.951)])
+    df = spark.createDataFrame([(i, v.tolist(), 0.95 - nndescent.SLACK) for i, v in enumerate(x)], "nid long, v array<double>, wide double")
+    scratch = nndescent.Scratch(spark, "test-sketches")
+    codes = scratch.save(nndescent.sketched(df, 32, 1), "codes")
+    got = {(g["u"], g["v"]) for g in nndescent.descend(df, codes, 32, len(x), 0.95, scratch).collect()}
+    assert sum((i, 2500 + i) in got for i in range(2500)) >= 0.985 * 2500
+
+
+def test_class_larger_than_a_cell(spark):
+    r = np.random.default_rng(23)
+    centre = unit(r.normal(size=(2, 32)))
+    x = np.concatenate([r.normal(size=(1500, 32)), centre[0] + r.normal(size=(2400, 32)) * 0.022, centre[1] + r.normal(size=(60, 32)) * 0.03])
+    x = np.concatenate([x, x[1490:1510]])
+    order = r.permutation(len(x))
+    assert len(x) > nndescent.CELL
+    got = {g["vec_id"]: g for g in nndescent.near_duplicates(frame(spark, [(int(i), x[j].tolist()) for i, j in enumerate(order)])).collect()}
+    u = unit(x[order])
+    want = (u @ u.T >= 0.95).sum(axis=1) - 1
+    have = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (have <= want).all() and have.sum() >= 0.998 * want.sum() and (have != want).sum() <= 0.01 * len(x)
+    big = np.flatnonzero((order >= 1500) & (order < 3900))
+    assert {got[i]["component_id"] for i in big} == {min(big.min(), *np.flatnonzero(order >= 3970))}
